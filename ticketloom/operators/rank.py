@@ -150,3 +150,24 @@ def time_cut(df: DataFrame, time_col: str, id_col: str, seed: int, position: int
     quota = df.sparkSession.range(1).select(F.lit(left).cast("bigint").alias("quota"))
     cut = hash_cuts(rows, [], quota, keyed_hash(seed, F.col(id_col)), id_col).first()["cut"]
     return hit["_t"], cut["digest"], cut["id"]
+
+
+def flag_lowest(
+    df: DataFrame, by: list[str], value: str, quotas: DataFrame, digest: Column, id_col: str, out: str, descending: bool = False
+) -> DataFrame:
+    """Add ``out``: is the row among the ``quota`` lowest (or highest) values of its key?
+
+    Equal values are counted before anything is ordered; ties at the boundary value are
+    taken in hash order. No task sees all rows of a key or of a value.
+    """
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = running_totals(counts, by, value, {"_n": "_upto"}, descending)
+    edges = _same(upto, quotas.filter("quota > 0").select(*by, "quota"), by, []).filter(
+        (F.col("_upto") >= F.col("quota")) & (F.col("_upto") - F.col("_n") < F.col("quota")))
+    edges = edges.select(*by, F.col(value).alias("_edge"), (F.col("quota") - F.col("_upto") + F.col("_n")).alias("quota"))
+    marked = _same(df, measured(edges.select(*by, "_edge")), by, [], "left")
+    tied = marked.filter(F.col(value) == F.col("_edge"))
+    resolved = flag_first(tied, by, edges.select(*by, "quota"), digest, id_col, out)
+    sign = F.col(value) > F.col("_edge") if descending else F.col(value) < F.col("_edge")
+    rest = marked.filter(F.coalesce(F.col(value) != F.col("_edge"), F.lit(True))).withColumn(out, F.coalesce(sign, F.lit(False)))
+    return resolved.unionByName(rest).drop("_edge")
