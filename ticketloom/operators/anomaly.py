@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions.hashing import keyed_hash
 from ticketloom.functions.vectors import as_array
 from ticketloom.operators.rank import flag_first
+from ticketloom.session import settle_table
 
 TREES = 100
 SUBSAMPLE = 256
@@ -126,7 +127,7 @@ def flag_by_quantile(scores: DataFrame, share: float, highest: bool = True) -> D
 
 def boundary_scores(
     df: DataFrame, id_col: str, features: str = "features", nu: float = 0.1, gamma: float | None = None, components: int = 128,
-    rounds: int = 30, seed: int = 42,
+    rounds: int = 20, seed: int = 42,
 ) -> DataFrame:
     """``(id, score)``: margin to a one-class boundary in random Fourier features, 6 digits.
 
@@ -134,6 +135,7 @@ def boundary_scores(
     gradient steps; a step sums one vector per partition.
     """
     rows = as_array(df.select(F.col(id_col).alias("_id"), F.col(features).alias("_x")), "_x")
+    rows = settle_table(rows, "boundary")
     stats = rows.select(F.size("_x").alias("d"), F.aggregate("_x", F.lit(0.0), lambda s, v: s + v).alias("s"),
                         F.aggregate("_x", F.lit(0.0), lambda s, v: s + v * v).alias("q")).agg(
         F.max("d").alias("d"), F.count(F.lit(1)).alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
@@ -144,9 +146,7 @@ def boundary_scores(
     w0 = rng.normal(0.0, np.sqrt(2 * gamma), (stats["d"], components))
     b0 = rng.uniform(0, 2 * np.pi, components)
     lift = lambda m: np.sqrt(2.0 / components) * np.cos(m @ w0 + b0)
-    w, rho, n = np.zeros(components), 0.0, stats["n"]
-
-    mean = np.zeros(components)
+    w, n = np.zeros(components), stats["n"]
 
     def step(w, rho):
         def partial(batches):
@@ -159,8 +159,11 @@ def boundary_scores(
             yield pd.DataFrame({"g": [grad.tolist()], "c": [short]})
 
         parts = rows.select("_x").mapInPandas(partial, "g array<double>, c long")
-        total = parts.agg(F.sum("c").alias("c"), *[F.sum(F.col("g")[i]).alias(f"g{i}") for i in range(components)]).first()
-        return np.array([total[f"g{i}"] for i in range(components)]), total["c"]
+        entries = parts.select(F.posexplode(F.concat("g", F.array(F.col("c").cast("double")))).alias("i", "v"))
+        total = np.zeros(components + 1)
+        for r in entries.groupBy("i").agg(F.sum("v").alias("v")).collect():
+            total[r["i"]] = r["v"]
+        return total[:-1], total[-1]
 
     rho = 1e-9
     for t in range(1, rounds + 1):

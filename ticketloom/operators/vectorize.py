@@ -5,16 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover, VectorAssembler, Word2Vec
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover, VectorAssembler, Word2Vec, Word2VecModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketloom.functions.vectors import as_array, as_vector, entries, is_vector, width_of
-from ticketloom.session import settle
+from ticketloom.functions.vectors import as_array, as_vector, entries, width_of
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -147,21 +147,40 @@ class TextVectorModel:
         return named.orderBy(F.desc(F.round("importance", 9)), "term").limit(top_k)
 
 
-def embed(df: DataFrame, text_column: str, encode=None, output: str = "embedding", batch_size: int = 32, blank: str = "empty") -> DataFrame:
+def filled_text(text: Column, blank: str = "empty") -> Column:
+    """The text, or ``blank`` where there is nothing to encode."""
+    return F.when(text.isNull() | (F.trim(F.regexp_replace(text, r"(?U)\s", " ")) == ""), blank).otherwise(text)
+
+
+@dataclass
+class WordEmbedding:
+    """Word vectors trained on Spark and averaged per text: the built-in encoder."""
+
+    text_column: str
+    output: str
+    model: Word2VecModel
+
+    @classmethod
+    def fit(cls, df: DataFrame, text_column: str, output: str = "embedding", size: int = 64, min_count: int = 2, seed: int = 42) -> "WordEmbedding":
+        words = df.select(tokens(filled_text(F.col(text_column))).alias("_words"))
+        learner = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, maxIter=1, inputCol="_words", outputCol=output)
+        return cls(text_column, output, learner.fit(words))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        words = df.withColumn("_words", tokens(filled_text(F.col(self.text_column))))
+        return self.model.setInputCol("_words").setOutputCol(self.output).transform(words).drop("_words")
+
+
+def embed(df: DataFrame, text_column: str, encode=None, output: str = "embedding", batch_size: int = 32) -> DataFrame:
     """Dense vector per text; a blank text is encoded as the word ``empty``.
 
     ``encode(list[str]) -> 2-D array`` is the caller's model, called per Arrow batch inside
-    the tasks. Without one, word vectors averaged per text are trained on Spark.
+    the tasks. Without one the built-in word vectors are trained and used.
     """
-    text = F.col(text_column)
-    filled = F.when(text.isNull() | (F.trim(F.regexp_replace(text, r"(?U)\s", " ")) == ""), blank).otherwise(text)
-    source = df.withColumn("_text", filled)
     if encode is None:
-        words = source.withColumn("_words", tokens(F.col("_text")))
-        model = Word2Vec(vectorSize=64, minCount=2, seed=42, maxIter=1, inputCol="_words", outputCol="_vec").fit(words)
-        out = as_array(model.transform(words), "_vec")
-        return out.withColumn(output, F.col("_vec").cast("array<float>")).drop("_text", "_words", "_vec")
-
+        out = WordEmbedding.fit(df, text_column, output).transform(df)
+        return out.withColumn(output, vector_to_array(output, "float32"))
+    source = df.withColumn("_text", filled_text(F.col(text_column)))
     schema = T.StructType([f for f in source.schema if f.name != "_text"] + [T.StructField(output, T.ArrayType(T.FloatType()))])
 
     def run(batches):
@@ -193,9 +212,6 @@ def reduce_dimensions(df: DataFrame, column: str, n_components: int = 300, metho
 
 
 def _projector(right: np.ndarray):
-    from pyspark.ml.functions import vector_to_array
-    import pandas as pd
-
     @F.pandas_udf("array<double>")
     def project(values: pd.Series) -> pd.Series:
         if not len(values):
@@ -232,7 +248,7 @@ def combine_features(df: DataFrame, columns: list[str], method: str = "concatena
 class FrameVectors:
     """A vectoriser per text column and their combination."""
 
-    models: dict[str, TextVectorModel]
+    models: dict[str, "TextVectorModel | WordEmbedding"]
     combine: str = "concatenate"
     output: str = "features"
 
@@ -244,7 +260,11 @@ class FrameVectors:
         return combine_features(out, names, self.combine, self.output).drop(*names)
 
     def feature_names(self) -> list[str]:
-        return [f"{column}:{term}" for column, model in self.models.items() for term in model.terms]
+        names = []
+        for column, model in self.models.items():
+            terms = model.terms if isinstance(model, TextVectorModel) else range(model.model.getVectorSize())
+            names += [f"{column}:{term}" for term in terms]
+        return names
 
     def shapes(self, df: DataFrame) -> DataFrame:
         """``(vectorizer, n_rows, n_features)`` per column and in total."""
