@@ -66,7 +66,7 @@ def silhouette_by_row(df: DataFrame, id_col: str, cluster: str, features: str =
     totals = parts.groupBy("_id", "_c", "_o").agg(F.sum("_sum").alias("_sum")).withColumn("_n", count)
     own = F.col("_c") == F.col("_o")
     scores = totals.groupBy("_id", "_c").agg(
-        F.max(F.when(own, F.col("_sum") / (F.col("_n") - 1))).alias("_a"),
+        F.max(F.when(own, F.col("_sum") / F.nullif(F.col("_n") - 1, F.lit(0.0)))).alias("_a"),
         F.max(F.when(own, F.col("_n"))).alias("_own"),
         F.min(F.when(~own, F.col("_sum") / F.col("_n"))).alias("_b"))
     value = F.when(F.col("_own") == 1, 0.0).otherwise(

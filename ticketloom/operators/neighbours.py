@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ticketloom.functions.hashing import keyed_hash
 from ticketloom.functions.vectors import as_array
-from ticketloom.session import measured
+from ticketloom.session import measured, settle_table
 
 MAX_PIVOTS = 256
 SUMMARY_CELLS = 200_000
@@ -107,6 +107,7 @@ def build_cells(points: DataFrame, depth: int) -> tuple[Cells, DataFrame]:
         return pd.DataFrame({"cell": np.asarray(cell, dtype="int32"), "dist": np.asarray(dist, dtype="float64")})
 
     placed = points.withColumn("_a", assign("_x")).select("*", F.col("_a.cell").alias("_cell"), F.col("_a.dist").alias("_dist")).drop("_a")
+    placed = settle_table(placed, "cells")
     sizes = placed.groupBy("_g", "_cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("_dist").alias("far"), F.min("_dist").alias("near"))
     closest = placed.select("_g", "_cell", "_dist").withColumn(

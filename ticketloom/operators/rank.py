@@ -12,6 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketloom.functions.hashing import keyed_hash
 from ticketloom.session import measured
@@ -131,25 +132,44 @@ def flag_first(
     return joined.withColumn(out, F.coalesce(key <= F.col("cut"), F.lit(False))).drop("cut")
 
 
-def time_cut(df: DataFrame, time_col: str, id_col: str, seed: int, position: int):
-    """The (time, digest, id) at 1-based ``position`` in time order, ties in hash order.
+DAY_MICROS = 86_400_000_000
+
+
+def time_key(df: DataFrame, column: str) -> Column:
+    """A whole number that orders the column: microseconds, whatever the session's zone."""
+    value, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint") * DAY_MICROS
+    if isinstance(kind, T.TimestampNTZType):
+        in_day = F.hour(value) * 3600 + F.minute(value) * 60
+        fine = (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
+        return F.unix_date(value.cast("date")).cast("bigint") * DAY_MICROS + in_day.cast("bigint") * 1_000_000 + fine
+    if isinstance(kind, T.IntegralType):
+        return value.cast("bigint")
+    raise ValueError(f"'{column}' is neither a time nor a whole number")
+
+
+def time_cut(df: DataFrame, key: Column, id_col: str, seed: int, position: int):
+    """The (key, digest, id) at 1-based ``position`` in key order, ties in hash order.
 
     Narrows day, second, microsecond, then digest prefix: every step counts a bounded
-    number of values (days; 86,400; 1,000,000; 4,096) and filters the scan to one of them,
-    so neither a hot day nor a hot instant reaches one task.
+    number of values (days; 86,400; 1,000,000; 4,096) and keeps one of them, so neither a
+    hot day nor a hot instant reaches one task.
     """
-    rows, left = df.filter(F.col(time_col).isNotNull()), position
-    for unit in ("DAY", "SECOND", "MICROSECOND"):
-        steps = rows.groupBy(F.date_trunc(unit, F.col(time_col)).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-        steps = steps.withColumn("_start", F.coalesce(F.sum("_n").over(_before([], "_t")), F.lit(0)))
-        hit = steps.filter((F.col("_start") < left) & (F.lit(left) <= F.col("_start") + F.col("_n"))).first()
+    rows, left = df.select(key.alias("_k"), F.col(id_col)).filter(F.col("_k").isNotNull()), position
+    for step in (DAY_MICROS, 1_000_000, 1):
+        counts = rows.groupBy(F.expr(f"(_k - pmod(_k, {step})) div {step}").alias("_t"))
+        counts = counts.agg(F.count(F.lit(1)).alias("_n"))
+        counts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(_before([], "_t")), F.lit(0)))
+        hit = counts.filter((F.col("_start") < left) & (F.lit(left) <= F.col("_start") + F.col("_n"))).first()
         left -= hit["_start"]
-        width = F.expr(f"INTERVAL 1 {unit}")
-        low = F.lit(hit["_t"])
-        rows = rows.filter((F.col(time_col) >= low) & (F.col(time_col) < low + width))
+        low = hit["_t"] * step
+        rows = rows.filter((F.col("_k") >= low) & (F.col("_k") < low + step))
     quota = df.sparkSession.range(1).select(F.lit(left).cast("bigint").alias("quota"))
     cut = hash_cuts(rows, [], quota, keyed_hash(seed, F.col(id_col)), id_col).first()["cut"]
-    return hit["_t"], cut["digest"], cut["id"]
+    return low, cut["digest"], cut["id"]
 
 
 def flag_lowest(

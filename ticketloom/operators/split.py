@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import keyed_hash
-from ticketloom.operators.rank import flag_first, hash_cuts, rank_by_hash, time_cut
+from ticketloom.operators.rank import flag_first, hash_cuts, rank_by_hash, time_cut, time_key
 from ticketloom.session import measured
 
 SEED = 42
@@ -94,7 +94,8 @@ def temporal_split(
     seen = df.agg(F.count(F.lit(1)).alias("n"), F.count(time_col).alias("timed")).first()
     n_test, n_val = int(seen["n"] * test_size), int(seen["n"] * validation_size)
     n_train = seen["n"] - n_test - n_val
-    key = F.struct(F.col(time_col).alias("t"), keyed_hash(seed, F.col(id_col)).alias("digest"), F.col(id_col).alias("id"))
+    moment = time_key(df, time_col)
+    key = F.struct(moment.alias("t"), keyed_hash(seed, F.col(id_col)).alias("digest"), F.col(id_col).alias("id"))
 
     def upto(position: int) -> Column:
         if position <= 0:
@@ -103,8 +104,8 @@ def temporal_split(
             if position > seen["timed"]:
                 raise ValueError(f"'{time_col}' has too many missing values to place the cut")
             return F.col(time_col).isNotNull()
-        t, digest, row_id = time_cut(df, time_col, id_col, seed, position)
-        return F.coalesce(key <= F.struct(F.lit(t).alias("t"), F.lit(digest).alias("digest"), F.lit(row_id).alias("id")), F.lit(False)) & F.col(time_col).isNotNull()
+        t, digest, row_id = time_cut(df, moment, id_col, seed, position)
+        return F.coalesce(key <= F.struct(F.lit(t).cast("bigint").alias("t"), F.lit(digest).alias("digest"), F.lit(row_id).alias("id")), F.lit(False)) & F.col(time_col).isNotNull()
 
     in_train, in_val = upto(n_train), upto(n_train + n_val)
     return df.withColumn("split", F.when(in_train, "train").when(in_val, "validation").otherwise("test"))

@@ -563,7 +563,7 @@ def _(s, d):
 
 @query("g_07_dbscan")
 def _(s, d):
-    return cluster.dbscan(vec3(s, d), "id", eps=1.16)
+    return cluster.dbscan(vec3(s, d), "id", eps=1.16).withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("bigint")))
 
 
 @query("g_08_isolation_forest")
@@ -644,7 +644,8 @@ def _(s, d):
 
 @query("p_06_nested_cross_validation")
 def _(s, d):
-    return split.nested_cross_validation(_lang_docs(s, d), "lang", "id")
+    out = split.nested_cross_validation(_lang_docs(s, d), "lang", "id")
+    return out.withColumn("inner_fold", F.coalesce("inner_fold", F.lit(-1)))
 
 
 @query("p_07_class_counts")

@@ -369,7 +369,7 @@ k AS (SELECT *, CAST(unnest(range(0, 5)) AS INTEGER) AS outer_fold FROM o),
 i AS (SELECT id, lang, outer_fold, CAST((row_number() OVER (PARTITION BY outer_fold ORDER BY lang, md5('42|' || (outer_fold + 1) || '|' || id), id) - 1) % 3 AS INTEGER) AS inner_fold
   FROM k WHERE own <> outer_fold)
 SELECT id, lang, outer_fold, inner_fold, 'train' AS role FROM i
-UNION ALL SELECT id, lang, outer_fold, NULL, 'test' FROM k WHERE own = outer_fold"""
+UNION ALL SELECT id, lang, outer_fold, -1, 'test' FROM k WHERE own = outer_fold"""
 
 ORACLES["p_07_class_counts"] = "SELECT lang, count(*) AS n FROM documents GROUP BY lang"
 
@@ -497,7 +497,7 @@ max(n) / min(n)::DOUBLE <= 1.5 AS is_balanced FROM sizes GROUP BY method"""
 ORACLES["m_06_knn"] = f"""WITH {VEC3}, da AS (SELECT a.id, a.label, b.label AS vote, round(list_distance(a.f, b.f), 9) AS distance, b.id AS nn_id FROM vec3 a CROSS JOIN vec3 b),
 k AS (SELECT * FROM da QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, nn_id) <= 5),
 v AS (SELECT id, label, vote, count(*) AS n FROM k GROUP BY id, label, vote)
-SELECT id, label::DOUBLE AS label, vote AS prediction FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, vote) = 1"""
+SELECT id, label, vote AS prediction FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, vote) = 1"""
 
 # ---- G ---------------------------------------------------------------------------------
 
@@ -545,7 +545,7 @@ links AS (SELECT c.id, c.nn FROM close c JOIN core a ON c.id = a.id JOIN core b
 reach(id, root) AS (SELECT id, id FROM core UNION SELECT l.nn, r.root FROM reach r JOIN links l ON l.id = r.id),
 labels_core AS (SELECT id, min(root) AS cluster FROM reach GROUP BY id),
 border AS (SELECT c.id, min(l.cluster) AS cluster FROM close c JOIN labels_core l ON c.nn = l.id WHERE c.id NOT IN (SELECT id FROM core) GROUP BY c.id)
-SELECT v.id, coalesce(l.cluster, b.cluster) AS cluster, l.id IS NOT NULL AS is_core FROM vec3 v LEFT JOIN labels_core l ON v.id = l.id LEFT JOIN border b ON v.id = b.id"""
+SELECT v.id, coalesce(l.cluster, b.cluster, -1) AS cluster, l.id IS NOT NULL AS is_core FROM vec3 v LEFT JOIN labels_core l ON v.id = l.id LEFT JOIN border b ON v.id = b.id"""
 
 # ---- E ---------------------------------------------------------------------------------
 
