@@ -872,7 +872,8 @@ def _(s, d):
 
 # ---- O and X: the whole flow -----------------------------------------------------------
 
-LIGHT = {"vectorization": {"max_features": 500}, "modeling": {"models": ["logistic_regression", "naive_bayes"]}}
+SPREAD = {"preprocessing": {"partitions": CLEAN_PARTITIONS}}
+LIGHT = {**SPREAD, "vectorization": {"max_features": 500}, "modeling": {"models": ["logistic_regression", "naive_bayes"]}}
 
 
 @query("o_01_full_flow")
@@ -889,14 +890,14 @@ def _(s, d):
 
 @query("o_03_data_steps")
 def _(s, d):
-    prepared, _ = flow.TicketFlow().prepare(tickets_view(s, d))
+    prepared, _ = flow.TicketFlow(flow.load_config(SPREAD)).prepare(tickets_view(s, d))
     return prepared.groupBy("y2", "y1", "y2_encoded", "y1_encoded").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("ts")).alias("ts_chars"), F.sum(F.length("ic")).alias("ic_chars"))
 
 
 @query("o_03_translated_steps")
 def _(s, d):
-    prepared, _ = flow.TicketFlow(flow.load_config({"translation": {"enable": True}})).prepare(
+    prepared, _ = flow.TicketFlow(flow.load_config({**SPREAD, "translation": {"enable": True}})).prepare(
         tickets_view(s, d), translate_fn=stub_translation, lang_col="Type 1")
     return prepared.select("id", F.md5("ts").alias("ts_md5"), F.md5("ic").alias("ic_md5"))
 
@@ -908,6 +909,7 @@ def _fitted(s, d):
 @query("o_04_stream_scoring")
 def _(s, d):
     model, source = _fitted(s, d), table(s, d, "conversations")
+    model.config["preprocessing"]["partitions"] = None
     stream = messages_as_tickets(ticket_stream(s, d, source.schema, "conversations.parquet"), "text", ["conv_id", "turn"])
     path = scratch_path(s, "scored")
     score_stream(model, stream, ["conv_id", "turn"], path).awaitTermination()
