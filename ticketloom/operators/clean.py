@@ -30,6 +30,18 @@ def spread_input(df: DataFrame, partitions: int | None) -> DataFrame:
     return df if partitions is None else df.repartition(partitions)
 
 
+def with_cleaned(df: DataFrame, summary: Column, interaction: Column, names: tuple[str, str] = ("ts", "ic"), drop_empty: bool = True) -> DataFrame:
+    """Add two cleaned columns and (optionally) drop rows where either is empty.
+
+    The pair is produced by a generator. A filter on a plain column would be pushed below
+    the spreading shuffle and evaluate every pattern a second time, in the scan's tasks.
+    """
+    pair = F.explode(F.array(F.struct(summary.alias("s"), interaction.alias("i"))))
+    out = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], pair.alias("_pair"))
+    out = out.withColumns({names[0]: F.col("_pair.s"), names[1]: F.col("_pair.i")}).drop("_pair")
+    return out.filter((F.col(names[0]) != "") & (F.col(names[1]) != "")) if drop_empty else out
+
+
 def preprocess(
     df: DataFrame,
     summary_col: str = "Ticket Summary",
@@ -39,15 +51,10 @@ def preprocess(
     registry: NoiseRegistry | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add both cleaned columns and drop rows where either is empty.
-
-    The summary test runs before the costly interaction patterns.
-    """
+    """Add both cleaned columns and drop rows where either is empty."""
     summary = clean_summary(F.col(f"`{summary_col}`"), registry)
     interaction = clean_interaction(F.col(f"`{interaction_col}`"), registry)
-    out = spread_input(df, partitions).withColumn(clean_summary_col, summary)
-    out = out.filter(F.col(clean_summary_col) != "").withColumn(clean_interaction_col, interaction)
-    return out.filter(F.col(clean_interaction_col) != "")
+    return with_cleaned(spread_input(df, partitions), summary, interaction, (clean_summary_col, clean_interaction_col))
 
 
 def text_statistics(df: DataFrame, text_column: str) -> DataFrame:

@@ -72,8 +72,13 @@ def lang_predictions(s, d) -> DataFrame:
     return held.select("id", F.col("lang_encoded").alias("label"), "probability", best.alias("prediction"))
 
 
+def texts(s, d) -> DataFrame:
+    """Documents, spread over more tasks than their few row groups give."""
+    return clean.spread_input(table(s, d, "documents"), CLEAN_PARTITIONS)
+
+
 def messages(s, d) -> DataFrame:
-    return table(s, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
+    return clean.spread_input(table(s, d, "conversations"), CLEAN_PARTITIONS).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
 
 
 def stub_translation(texts, langs):
@@ -161,12 +166,12 @@ def _(s, d):
 
 @query("t_05_language_profiles")
 def _(s, d):
-    return translate.fit_language_profiles(table(s, d, "documents"), "text", "lang")
+    return translate.fit_language_profiles(texts(s, d), "text", "lang")
 
 
 @query("t_05_detect_language")
 def _(s, d):
-    docs = table(s, d, "documents")
+    docs = texts(s, d)
     profiles = translate.fit_language_profiles(docs, "text", "lang")
     return translate.detect_language(docs, "text", "doc_id", profiles).select(F.col("doc_id").alias("id"), "lang", "detected")
 
@@ -196,7 +201,7 @@ def _docs(s, d):
 
 @query("c_02_clean_text")
 def _(s, d):
-    return table(s, d, "documents").select(F.col("doc_id").alias("id"), F.md5(clean.clean_text(F.col("text"), lowercase=False)).alias("clean_md5"))
+    return texts(s, d).select(F.col("doc_id").alias("id"), F.md5(clean.clean_text(F.col("text"), lowercase=False)).alias("clean_md5"))
 
 
 @query("c_03_clean_summary")
@@ -291,13 +296,13 @@ def _(s, d):
 @query("v_01_ngram_terms")
 def _(s, d):
     terms = vectorize.TextVectorizer().terms(F.lower("text"))
-    return table(s, d, "documents").select(F.col("doc_id").alias("id"), terms.alias("t")).select(
+    return texts(s, d).select(F.col("doc_id").alias("id"), terms.alias("t")).select(
         "id", F.size("t").cast("bigint").alias("n_terms"), F.md5(F.array_join("t", ",")).alias("terms_md5"))
 
 
 @query("v_02_count_vocabulary")
 def _(s, d):
-    docs = table(s, d, "documents").select(F.lower("text").alias("text"))
+    docs = texts(s, d).select(F.lower("text").alias("text"))
     return vectorize.TextVectorizer("count").vocabulary(docs, "text").select("term", "tf", "df")
 
 
@@ -337,7 +342,7 @@ def _(s, d):
 
 @query("v_06_word_embeddings")
 def _(s, d):
-    out = vectorize.embed(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text"), "text")
+    out = vectorize.embed(texts(s, d).select(F.col("doc_id").alias("id"), "text"), "text")
     return out.select("id", F.size("embedding").alias("width"))
 
 
@@ -695,7 +700,7 @@ QUERIES["m_10_lightgbm"] = _model("lightgbm", {"n_estimators": 10})
 
 @query("m_05_naive_bayes_log_probabilities")
 def _(s, d):
-    data = table(s, d, "documents").select(F.col("doc_id").alias("id"), "lang", F.lower("text").alias("text"))
+    data = texts(s, d).select(F.col("doc_id").alias("id"), "lang", F.lower("text").alias("text"))
     vectorizer = vectorize.TextVectorizer("count", max_features=200, ngram_range=(1, 1)).fit(data, "text")
     coded = labels.encode_labels(vectorizer.transform(data), ["lang"]).withColumnRenamed("lang_encoded", "label")
     bench = models.ModelBench()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions.noise import NoiseRegistry
 from ticketloom.functions.vectors import as_vector
 from ticketloom.operators import balance, split, strategy
-from ticketloom.operators.clean import clean_interaction, clean_summary, spread_input
+from ticketloom.operators.clean import clean_interaction, clean_summary, spread_input, with_cleaned
 from ticketloom.operators.evaluate import best_model, compare_models, evaluate_classification
 from ticketloom.operators.labels import class_mapping, encode_labels
 from ticketloom.operators.models import ModelBench, NeighbourModel, Trained, with_probability
@@ -72,10 +72,9 @@ def clean_step(df: DataFrame, config: dict, registry: NoiseRegistry | None = Non
     source = f"{SUMMARY}_en" if config["translation"]["enable"] and f"{SUMMARY}_en" in df.columns else SUMMARY
     summary, interaction = F.col(f"`{source}`"), F.col(f"`{INTERACTION}`")
     as_is = lambda c: F.coalesce(c, F.lit(""))
-    out = spread_input(df, section["partitions"]).withColumn("ts", clean_summary(summary, registry) if section["clean_summary"] else as_is(summary))
-    out = out.filter(F.col("ts") != "") if drop_empty else out
-    out = out.withColumn("ic", clean_interaction(interaction, registry) if section["clean_interaction"] else as_is(interaction))
-    return out.filter(F.col("ic") != "") if drop_empty else out
+    ts = clean_summary(summary, registry) if section["clean_summary"] else as_is(summary)
+    ic = clean_interaction(interaction, registry) if section["clean_interaction"] else as_is(interaction)
+    return with_cleaned(spread_input(df, section["partitions"]), ts, ic, drop_empty=drop_empty)
 
 
 def structure_step(df: DataFrame, target: str) -> tuple[DataFrame, list[str]]:
