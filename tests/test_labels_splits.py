@@ -67,6 +67,17 @@ def test_ranks_do_not_depend_on_partitions(spark, parts):
     assert all(r["r"] == (r["id"] % 300) + 1 for r in numbered.collect())
 
 
+def test_full_buckets_are_split_further(spark, monkeypatch):
+    monkeypatch.setattr(rank, "BUCKET_ROWS", 5)
+    df = classes(spark, {"hot": 300, "cold": 20})
+    ranked = rank.rank_by_hash(df, ["y"], keyed_hash(1, F.col("id")), "id", "r", digits=1)
+    plain = df.toPandas()
+    import hashlib
+    plain["h"] = [hashlib.md5(f"1|{i}".encode()).hexdigest() for i in plain["id"]]
+    plain["r"] = plain.groupby("y")["h"].rank().astype(int)
+    assert {(r["id"], r["r"]) for r in ranked.collect()} == set(zip(plain["id"], plain["r"]))
+
+
 def test_flag_lowest_breaks_ties_exactly(spark):
     df = spark.createDataFrame([(i, "k", float(i // 10)) for i in range(40)], "id long, g string, v double")
     quota = spark.createDataFrame([("k", 25)], "g string, quota long")

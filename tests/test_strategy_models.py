@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from ticketloom.operators import anomaly, cluster, evaluate, models, strategy
 from ticketloom.plans import flow

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions.hashing import hash_below, hash_unit, keyed_hash
 from ticketloom.functions.vectors import as_array
 from ticketloom.operators.neighbours import neighbours
-from ticketloom.operators.rank import _same, flag_first, flag_lowest, rank_by_hash
+from ticketloom.operators.rank import flag_first, flag_lowest, rank_by_hash
 from ticketloom.operators.split import SEED, class_counts
 from ticketloom.session import measured, settle_table
 

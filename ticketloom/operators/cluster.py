@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ticketloom.functions.vectors import as_array, as_vector, width_of
 from ticketloom.operators.neighbours import BLOCK_ROWS, _fine, _matrix, _rough, block_join, build_cells, route
-from ticketloom.session import measured, settle, settle_table
+from ticketloom.session import settle, settle_table
 
 COMPONENT_LIMIT = 50
 FEASIBLE_SILHOUETTE = 0.3

@@ -8,6 +8,8 @@ prefix-summed, and rows are ordered only inside a bucket. When just a boundary i
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,6 +20,7 @@ from ticketloom.functions.hashing import keyed_hash
 from ticketloom.session import measured
 
 HASH_DIGITS = 3
+BUCKET_ROWS = 2_000_000
 NUMBER_BUCKETS = 512
 
 
@@ -36,9 +39,13 @@ def _same(left: DataFrame, right: DataFrame, by: list[str], rest: list[str], how
     return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in by + rest])
 
 
-def _rank_in_buckets(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
+def _bucket_counts(df: DataFrame, by: list[str]) -> DataFrame:
+    return measured(df.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _rank_in_buckets(df: DataFrame, by: list[str], order: list[str], out: str, counts: DataFrame | None = None) -> DataFrame:
     """``df`` holds ``_bucket``; buckets are in the wanted order."""
-    counts = df.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = _bucket_counts(df, by) if counts is None else counts
     starts = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(_before(by, "_bucket")), F.lit(0)).alias("_start"))
     inside = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy(*order))
     ranked = _same(df.withColumn("_inside", inside), measured(starts), by, ["_bucket"])
@@ -50,10 +57,18 @@ def rank_by_hash(
 ) -> DataFrame:
     """1-based rank per ``by`` in (digest, id) order.
 
-    Digests are uniform, so ``16**digits`` buckets split every key evenly.
+    Digests are uniform, so ``16**digits`` buckets split every key evenly. If the fullest
+    bucket still holds more than ``BUCKET_ROWS`` rows, more digits are used.
     """
-    keyed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
-    return _rank_in_buckets(keyed, by, ["_digest", id_col], out).drop("_digest")
+    keyed = df.withColumn("_digest", digest)
+    bucketed = keyed.withColumn("_bucket", F.substring("_digest", 1, digits))
+    counts = _bucket_counts(bucketed, by)
+    most = counts.agg(F.max("_n").alias("m")).first()["m"] or 0
+    if most > BUCKET_ROWS:
+        digits += math.ceil(math.log(most / BUCKET_ROWS, 16))
+        bucketed = keyed.withColumn("_bucket", F.substring("_digest", 1, digits))
+        counts = _bucket_counts(bucketed, by)
+    return _rank_in_buckets(bucketed, by, ["_digest", id_col], out, counts).drop("_digest")
 
 
 def number_buckets(df: DataFrame, column: str, buckets: int = NUMBER_BUCKETS) -> DataFrame:

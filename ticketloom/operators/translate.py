@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.operators.vectorize import tokens
-from ticketloom.session import measured, settle_table
+from ticketloom.session import measured
 
 TranslateFn = Callable[[Sequence[str], Sequence[str]], Sequence[str]]
 
 MAX_CHARS = 500
 TARGET = "en"
 SCALE = 1_000_000
+PROFILE_PARTS = 64
 
 # Detected codes and the codes the translation model knows them by.
 LANGUAGE_CODES = {
@@ -47,14 +48,16 @@ def fit_language_profiles(df: DataFrame, text_col: str, lang_col: str, top_words
     """``(lang, word, weight)``: the most frequent words per language.
 
     The weight is the word's document share in millionths. A language keeps ``top_words``
-    words, so the profile does not grow with the table; the per-language limit is applied
-    map-side before the final ranking.
+    words, so the profile does not grow with the table. Words are ranked in salted parts
+    of a language first; only the best of each part meet in the final ranking.
     """
     words = df.select(F.col(lang_col).alias("lang"), F.explode(F.array_distinct(tokens(F.lower(text_col)))).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("docs"))
     sizes = df.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("total"))
-    order = W.partitionBy("lang").orderBy(F.desc("docs"), "word")
-    top = counts.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= top_words).drop("_rn")
+    best = [F.desc("docs"), F.asc("word")]
+    parts = counts.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(PROFILE_PARTS)))
+    parts = parts.withColumn("_rn", F.row_number().over(W.partitionBy("lang", "_part").orderBy(*best))).filter(F.col("_rn") <= top_words)
+    top = parts.withColumn("_rn", F.row_number().over(W.partitionBy("lang").orderBy(*best))).filter(F.col("_rn") <= top_words).drop("_rn", "_part")
     return top.join(measured(sizes), "lang").select("lang", "word", F.expr(f"(docs * {SCALE}) div total").alias("weight"))
 
 

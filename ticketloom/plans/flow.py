@@ -7,7 +7,6 @@ import copy
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +17,10 @@ from ticketloom.operators import balance, split, strategy
 from ticketloom.operators.clean import clean_interaction, clean_summary, spread_input, with_cleaned
 from ticketloom.operators.evaluate import best_model, compare_models, evaluate_classification
 from ticketloom.operators.labels import class_mapping, encode_labels
-from ticketloom.operators.models import ModelBench, NeighbourModel, Trained, with_probability
+from ticketloom.operators.models import ModelBench, NeighbourModel
 from ticketloom.operators.select import select_tickets
 from ticketloom.operators.translate import translate_column
-from ticketloom.operators.vectorize import FrameVectors, TextVectorizer, TextVectorModel, WordEmbedding, combine_features
+from ticketloom.operators.vectorize import FrameVectors, TextVectorizer, TextVectorModel, WordEmbedding
 from ticketloom.session import settle_table
 from ticketloom.sources.tickets import INTERACTION, SUMMARY, read_tickets_csv
 
