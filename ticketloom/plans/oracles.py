@@ -448,6 +448,24 @@ edges AS (SELECT h.label, r.id AS src_id, s.nn_id, h.u, h.c AS copy_no, 's|' ||
   FROM h JOIN ranked r ON h.label = r.label AND r.rn = h.slot // 5 + 1 JOIN same s ON s.id = r.id AND s.nn_rank = h.slot % 5 + 1),
 {_synthetic('edges')}"""
 
+SMOTE_DRAWS = f"""{_COUNTS}, plan AS (SELECT label, n, max(n) OVER () - n AS draws FROM counts),
+d AS (SELECT label, n, CAST(unnest(range(1, draws + 1)) AS BIGINT) AS c FROM plan WHERE draws > 0),
+h AS (SELECT label, c, {_hash_int("'42|' || label || '|' || c", 'n * 5')} AS slot, {_hash_unit("'42|u|' || label || '|' || c")} AS u FROM d),
+ranked AS (SELECT id, label, {_hash_rank('label', '42')} AS rn FROM vec3),
+grown AS (SELECT CAST(id AS VARCHAR) AS k, label, false AS is_synthetic, f FROM vec3
+  UNION ALL SELECT 's|' || h.label || '|' || h.c, h.label, true, list_transform(range(1, len(a.f) + 1), lambda i: a.f[i] + h.u * (b.f[i] - a.f[i]))
+  FROM h JOIN ranked r ON h.label = r.label AND r.rn = h.slot // 5 + 1 JOIN same s ON s.id = r.id AND s.nn_rank = h.slot % 5 + 1
+  JOIN vec3 a ON a.id = r.id JOIN vec3 b ON b.id = s.nn_id),
+near AS (SELECT x.k, x.label, y.k AS o, y.label AS o_label, row_number() OVER (PARTITION BY x.k ORDER BY round(list_distance(x.f, y.f), 9), y.k) AS place
+  FROM grown x JOIN grown y ON x.k <> y.k QUALIFY place <= 3)"""
+
+ORACLES["b_08_smote_tomek"] = f"""WITH {VEC3}, {PAIRS}, {SAME}, {SMOTE_DRAWS}, one AS (SELECT * FROM near WHERE place = 1),
+linked AS (SELECT a.k FROM one a JOIN one b ON a.o = b.k AND b.o = a.k WHERE a.label <> b.label)
+SELECT label, is_synthetic, count(*) AS n FROM grown WHERE k NOT IN (SELECT k FROM linked) GROUP BY label, is_synthetic"""
+
+ORACLES["b_09_smote_enn"] = f"""WITH {VEC3}, {PAIRS}, {SAME}, {SMOTE_DRAWS}
+SELECT label, is_synthetic, count(*) AS n FROM grown WHERE k NOT IN (SELECT k FROM near WHERE label <> o_label) GROUP BY label, is_synthetic"""
+
 ALLOCATION = f"""{_COUNTS}, plan AS (SELECT label, n, max(n) OVER () - n AS draws FROM counts),
 per_row AS (SELECT id, label, CAST(sum(CASE WHEN nn_label <> label THEN 1 ELSE 0 END) AS BIGINT) AS other_neighbours FROM nn WHERE nn_rank <= 5 GROUP BY id, label),
 sized AS (SELECT r.*, p.draws, CAST(sum(other_neighbours) OVER (PARTITION BY r.label) AS BIGINT) AS total FROM per_row r JOIN plan p ON r.label = p.label WHERE p.draws > 0),
@@ -614,6 +632,10 @@ ORACLES["e_10_best_model"] = f"WITH {PREDICTIONS}, {_GUESSES} SELECT model, {_r(
 
 # ---- O, X ------------------------------------------------------------------------------
 
+ORACLES["o_01_compat_order"] = f"""WITH {_selected()}, {_cleaned('selected')}, k AS (SELECT y, count(*) AS n FROM cleaned GROUP BY y),
+t AS (SELECT CAST(sum(n) AS BIGINT) AS rows, CASE WHEN max(n) / min(n)::DOUBLE <= 1.5 THEN CAST(sum(n) AS BIGINT) ELSE count(*) * max(n) END AS grown FROM k)
+SELECT rows, grown - CAST(ceil(grown * CAST(0.2 AS DOUBLE)) AS BIGINT) AS train_rows, CAST(ceil(grown * CAST(0.2 AS DOUBLE)) AS BIGINT) AS test_rows FROM t"""
+
 ORACLES["o_03_data_steps"] = f"""WITH {_selected()}, {_cleaned('selected')},
 e AS (SELECT *, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INTEGER) AS y2_encoded, CAST(dense_rank() OVER (ORDER BY y1) - 1 AS INTEGER) AS y1_encoded FROM cleaned)
 SELECT y AS y2, y1, y2_encoded, y1_encoded, count(*) AS n, CAST(sum(length(ts)) AS BIGINT) AS ts_chars, CAST(sum(length(ic)) AS BIGINT) AS ic_chars FROM e GROUP BY ALL"""
