@@ -10,7 +10,7 @@ from ticketloom.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("ticketloom-tests", "local[4]", **{"spark.sql.shuffle.partitions": "4"})
+    session = build_session("ticketloom-tests", "local[8]", **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

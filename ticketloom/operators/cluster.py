@@ -122,8 +122,8 @@ def dbscan(
 
     Copies of a vector are counted, not compared. Counts within ``eps`` come from blocked
     searches that return one number per row and block. Core rows are merged by small grid
-    cells, whose rows all lie within ``eps`` of each other, and only cell-to-cell edges are
-    returned. A border row joins the reachable cluster with the smallest id.
+    cells, whose rows all lie within ``eps`` of each other; a block returns at most one
+    edge per cell, never its pairs. A border row joins the reachable cluster with the smallest id.
     """
     rows = as_array(df.select(F.col(id_col).alias("_id"), F.col(features).alias("_x")), "_x")
     rows = rows.withColumn("_v", F.md5(F.col("_x").cast("string")))
@@ -162,8 +162,28 @@ def dbscan(
     core_cells, core_placed = build_cells(cores.select("_g", "_id", "_x", "_spot"), 1)
     core_placed = core_placed.drop("_dist")
 
-    def link_spots(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        """Distinct touching spots; a core query gives spot edges, another its own reach."""
+    def link_cores(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        """Spots joined within this block, each tied to the first of its part.
+
+        A star per part keeps the connections of all its pairs with one edge per spot.
+        """
+        if not len(queries) or not len(points):
+            return pd.DataFrame({"_a": [], "_b": []})
+        q, p = _matrix(queries["_x"]), _matrix(points["_x"])
+        spots, code = np.unique(np.concatenate([queries["_spot"], points["_spot"]]).astype(str), return_inverse=True)
+        mine, theirs, part = code[:len(q)], code[len(q):], np.arange(len(spots))
+        for i in range(0, len(q), 128):
+            row, col = close(q[i:i + 128], p)
+            for one in np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1):
+                if len(one):
+                    met = np.unique(part[np.append(theirs[col[one]], mine[i + row[one[0]]])])
+                    if len(met) > 1:
+                        part[np.isin(part, met)] = met[0]
+        moved = np.flatnonzero(part != np.arange(len(spots)))
+        return pd.DataFrame({"_a": spots[moved], "_b": spots[part[moved]]})
+
+    def reach_cores(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        """The spots a border row reaches: fewer than ``min_samples`` rows are that near."""
         if not len(queries) or not len(points):
             return pd.DataFrame({"_a": [], "_b": []})
         q, p = _matrix(queries["_x"]), _matrix(points["_x"])
@@ -172,17 +192,16 @@ def dbscan(
         for i in range(0, len(q), 128):
             row, col = close(q[i:i + 128], p)
             seen.update(zip(a[i + row], b[col]))
-        pairs = [(x, y) for x, y in seen if x != y]
-        return pd.DataFrame(pairs, columns=["_a", "_b"])
+        return pd.DataFrame(list(seen), columns=["_a", "_b"])
 
     edge_schema = "_a string, _b string"
     core_visits = route(cores.select("_g", "_id", "_x", "_spot"), core_cells, radius=eps)
-    edges = block_join(core_visits, core_placed, link_spots, edge_schema, block_rows).distinct()
+    edges = block_join(core_visits, core_placed, link_cores, edge_schema, block_rows).distinct()
     spots = cores.groupBy("_spot").agg(F.min("_id").alias("_least"))
     spots = connected(spots, settle_table(edges, "dbscan-edges"))
 
     edge_rows = graded.filter(~F.col("_core")).select("_g", "_id", "_x", F.col("_id").cast("string").alias("_spot"))
-    reach = block_join(route(edge_rows, core_cells, radius=eps), core_placed, link_spots, edge_schema, block_rows)
+    reach = block_join(route(edge_rows, core_cells, radius=eps), core_placed, reach_cores, edge_schema, block_rows)
     border = reach.distinct().join(spots.select(F.col("_spot").alias("_b"), "_least"), "_b").groupBy("_a").agg(F.min("_least").alias("_least"))
     core_labels = cores.join(spots, "_spot").select("_v", F.col("_least").alias("cluster"))
     border_labels = graded.filter(~F.col("_core")).withColumn("_a", F.col("_id").cast("string")).join(border, "_a", "left").select("_v", F.col("_least").alias("cluster"))
