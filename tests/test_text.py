@@ -1,14 +1,18 @@
 """Selection, cleaning, translation: hand-computed and regex-checked cases."""
 
 import re
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from ticketloom.functions.noise import NOISE_PATTERNS, NoiseRegistry, fused_registry
 from ticketloom.operators import clean, select, translate
 from ticketloom.sources.tickets import INTERACTION, SUMMARY, read_tickets_csv, write_tickets_csv
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TEXTS = [
     "Dear Customer, thank you for contacting us. 12 March 10:30 Finance for: market",
     "RE: FW : [x] null pointer", "a b c d e", "12x34 may 5", "x y z\x0bq\x1cw\r\nend", "İstanbul ΟΣ ١٢٣",
