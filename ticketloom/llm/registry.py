@@ -6,6 +6,7 @@ import importlib
 
 #: query name -> module of this subpackage that holds it
 MODULES = {
+    "op9_byte_bpe": "bpe",
     "op5_url_rules": "url_rules",
     "op6_mix_sources": "mixing",
 }
