@@ -7,6 +7,7 @@ import importlib
 #: query name -> module of this subpackage that holds it
 MODULES = {
     "op9_byte_bpe": "bpe",
+    "op1_toxicity": "toxicity",
     "op4_simhash": "simhash",
     "op5_url_rules": "url_rules",
     "op6_mix_sources": "mixing",
