@@ -6,6 +6,7 @@ import importlib
 
 #: query name -> module of this subpackage that holds it
 MODULES = {
+    "op7_language": "langid",
     "op9_byte_bpe": "bpe",
     "op1_toxicity": "toxicity",
     "op4_simhash": "simhash",
