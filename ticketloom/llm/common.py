@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from ticketloom.session import settle_table
 WORD = r"[^\x20\x09-\x0D]+"
 NOT_WORD = " \t\n\x0b\x0c\r"
 SMALL_BYTES = 8_000_000
+PART_BYTES = 4 << 20
+GAP = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,3 +47,14 @@ def word_count(text) -> Column:
     col = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
     marks = F.regexp_replace(col, r"[\x20\x09-\x0D]*" + WORD, "x")
     return F.length(F.rtrim(marks, F.lit(NOT_WORD))).cast("long")
+
+
+def word_parts(text: str | None, size: int = PART_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text, A-Z lower-cased, in parts of bounded size; a null text has none."""
+    data, at = (text or "").encode().lower(), 0
+    while at < len(data):
+        end = len(data)
+        if at + size < end and (gap := GAP.search(data, at + size)):
+            end = gap.start()
+        yield data[at:end].split()
+        at = end

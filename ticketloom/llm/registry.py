@@ -9,6 +9,7 @@ MODULES = {
     "op7_language": "langid",
     "op9_byte_bpe": "bpe",
     "op1_toxicity": "toxicity",
+    "op3_language_model": "language_model",
     "op4_simhash": "simhash",
     "op5_url_rules": "url_rules",
     "op6_mix_sources": "mixing",
