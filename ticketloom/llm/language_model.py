@@ -33,7 +33,7 @@ ENDINGS = 32
 WIDTH = 24
 NOISE = 32
 BATCH = 4096
-STEPS = 1500
+STEPS = 1000
 #: At most so many words have their counts in every task; the others' are joined.
 HEAD_WORDS = 200_000
 END = b""  # no word is empty
