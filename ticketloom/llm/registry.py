@@ -7,6 +7,7 @@ import importlib
 #: query name -> module of this subpackage that holds it
 MODULES = {
     "op7_language": "langid",
+    "op8_nearest": "ann",
     "op9_byte_bpe": "bpe",
     "op1_toxicity": "toxicity",
     "op3_language_model": "language_model",
