@@ -10,6 +10,7 @@ MODULES = {
     "op8_nearest": "ann",
     "op9_byte_bpe": "bpe",
     "op1_toxicity": "toxicity",
+    "op2_main_text": "template",
     "op3_language_model": "language_model",
     "op4_simhash": "simhash",
     "op5_url_rules": "url_rules",
