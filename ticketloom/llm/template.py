@@ -25,6 +25,7 @@ from ticketloom.session import settle_table
 SUPPORT = 0.2
 MIN_PAGES = 5
 SHARE = 0.5
+LINKED = 0.6
 SIDE_TAGS = frozenset("head title nav footer aside form script style noscript template iframe svg button select textarea menu dialog input label object embed canvas audio video".split())
 SIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies disclaimer discussion
 disqus footer menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related replies reply respond
@@ -100,11 +101,12 @@ def equivalence_classes(found: DataFrame) -> DataFrame:
 
 
 def deduce(rows: pd.DataFrame) -> tuple[list[str], list[str]]:
-    """Content roots and constant slots of one host from its tokens; ``rows`` as in :func:`equivalence_classes`.
+    """Content roots of one host, and the slots to drop in them, from its tokens; ``rows`` as in :func:`equivalence_classes`.
 
     Valid classes are those whose tokens' parents are valid too, so that they nest. Roots are the article elements of
     the template, else its main element, else a container named like content, else the smallest container that holds
-    more than ``SHARE`` of the text outside side elements and links.
+    more than ``SHARE`` of the text outside side elements and links. Dropped are slots with one and the same text on
+    all pages whose other text varies and, unless the root is an article or main element, slots made of links.
     """
     total = int(rows.loc[rows["path"] == "", "pages"].iloc[0])
     classes: dict = defaultdict(list)
@@ -130,6 +132,7 @@ def deduce(rows: pd.DataFrame) -> tuple[list[str], list[str]]:
         return kept
 
     roots = top([p for p in open_ if _tag(last[p]) == "article"]) or top([p for p in open_ if _tag(last[p]) == "main" or "@main" in last[p]])
+    clear = bool(roots)
     if not roots:
         named = [p for p in open_ if _tag(last[p]) in ("div", "section", "td") and any(w in CONTENT_WORDS for w in _words(last[p]))]
         roots = [p for p in named if text[p] > SHARE * text[""]][-1:]
@@ -137,7 +140,8 @@ def deduce(rows: pd.DataFrame) -> tuple[list[str], list[str]]:
         roots = [p for p in open_ if _tag(last[p]) in ("body", "div", "section", "td", "html") and text[p] > SHARE * text[""]][-1:] or [""]
     varied = any(not s and c for p, s, c in zip(rows["path"], rows["same"], rows["chars"]) if any(p == r or p.startswith(r + "/") for r in roots))
     constant = [p for p, s, c, n, g in zip(rows["path"], rows["same"], rows["chars"], rows["n"], rows["pages"]) if s and c and n == g >= MIN_PAGES and g >= SHARE * total] if varied else []
-    return roots, constant
+    menus = [] if clear else [p for p, c, k in zip(rows["path"], rows["chars"], rows["linked"]) if k > LINKED * c]
+    return roots, sorted({*constant, *menus})
 
 
 def templates(pages: DataFrame, url: str = "url", page: str = "html", page_id: str = "page_id") -> DataFrame:
@@ -173,10 +177,11 @@ def extract(page: str | None, roots: list[str] | None, constant: list[str] | Non
         held and out.append(" ".join("".join(held).split()))
         return hit or "" in roots, [b for b in out if b]
 
-    hit, out = blocks(roots or [""], frozenset(constant or ()))
+    hit, out = blocks(roots, frozenset(constant or ())) if roots else (False, [])
     if not hit:
         rows = pd.DataFrame([(p, str(n), 1, n, c, k, False) for p, (n, c, k, _) in tokens(page).items()], columns=["path", "vector", "pages", "n", "chars", "linked", "same"])
-        _, out = blocks(deduce(rows)[0], frozenset())
+        roots, menus = deduce(rows)
+        _, out = blocks(roots, frozenset(menus))
     return "\n".join(out)
 
 
