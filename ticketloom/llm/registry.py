@@ -9,6 +9,7 @@ MODULES = {
     "op7_language": "langid",
     "op8_nearest": "ann",
     "op9_byte_bpe": "bpe",
+    "op10_top_documents": "bm25",
     "op1_toxicity": "toxicity",
     "op2_main_text": "template",
     "op3_language_model": "language_model",
