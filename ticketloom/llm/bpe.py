@@ -15,14 +15,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ticketloom.llm.common import read
+from ticketloom.llm.common import map_texts, read
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 MAX_PIECES = 150_000
 CHUNK_CHARS = 1 << 20
-ROWS = 256
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: The pattern's matches never cross from one coarse piece into the next.
 COARSE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
@@ -140,23 +138,17 @@ class Codec:
         return b"".join([table[i] for i in ids])
 
 
-def _map(df: DataFrame, column: str, keep: tuple[str, ...], path: str | None, pattern: str | None, make, fields: str) -> DataFrame:
+def _map(df: DataFrame, column: str, keep: tuple[str, ...], path: str | None, pattern: str | None, make, fields: dict[str, str]) -> DataFrame:
     import public_tokenizers
 
     pattern = pattern or public_tokenizers.PATTERN
-    model = df.sparkSession.sparkContext.broadcast(serialised_model(path or rank_file()))
-    narrow = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias("__value"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
+    model = df.sparkSession.sparkContext.broadcast(serialised_model(path or rank_file()))  # fixed size
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         codec = Codec(model.value, pattern)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                made = make(codec, batch.column(batch.num_columns - 1))
-                yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + list(made.values()), names=list(keep) + list(made))
+        return lambda values: make(codec, values)
 
-    return narrow.mapInArrow(run, ", ".join([*kept, fields]))
+    return map_texts(df, column, keep, start, fields)
 
 
 def encode_texts(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -166,7 +158,7 @@ def encode_texts(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     character share its index. A null or empty text gives empty arrays. Texts are encoded whole, repeated rows alike,
     other columns are left out, so their names cannot clash; an empty table gives an empty result.
     """
-    def make(codec: Codec, column: pa.Array) -> dict[str, pa.Array]:
+    def make(codec: Codec, column: pa.Array) -> list[pa.Array]:
         ids, offsets = [], []
         for text in column.to_pylist():
             data = (text or "").encode()
@@ -176,9 +168,9 @@ def encode_texts(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
             ids.append(own)
             offsets.append(character[begins].astype("i4") if len(own) else np.zeros(0, "i4"))
         kind = pa.list_(pa.int32())
-        return {"ids": pa.array(ids, kind), "offsets": pa.array(offsets, kind)}
+        return [pa.array(ids, kind), pa.array(offsets, kind)]
 
-    return _map(df, text, keep, path, pattern, make, "ids array<int>, offsets array<int>")
+    return _map(df, text, keep, path, pattern, make, {"ids": "array<int>", "offsets": "array<int>"})
 
 
 def decode_ids(df: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",), path: str | None = None) -> DataFrame:
@@ -187,28 +179,32 @@ def decode_ids(df: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id
     Null ids give empty bytes. Where ids begin or end inside a character, its bytes are in ``bytes`` and the
     replacement character is in ``text``. An id outside the rank file is an error.
     """
-    def make(codec: Codec, column: pa.Array) -> dict[str, pa.Array]:
+    def make(codec: Codec, column: pa.Array) -> list[pa.Array]:
         data = [codec.decode(x or ()) for x in column.to_pylist()]
-        return {"bytes": pa.array(data, pa.binary()), "text": pa.array([x.decode(errors="replace") for x in data], pa.string())}
+        return [pa.array(data, pa.binary()), pa.array([x.decode(errors="replace") for x in data], pa.string())]
 
-    return _map(df, ids, keep, path, None, make, "bytes binary, text string")
+    return _map(df, ids, keep, path, None, make, {"bytes": "binary", "text": "string"})
 
 
-def round_trip(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), path: str | None = None, pattern: str | None = None) -> DataFrame:
+def round_trip(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
     """The ``keep`` columns, then n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded again.
 
-    A null text is empty. Only the digests leave the task.
+    A null text is empty. The ids themselves leave the task only ``with_ids``.
     """
-    def make(codec: Codec, column: pa.Array) -> dict[str, pa.Array]:
-        counts, coded, decoded = [], [], []
+    def make(codec: Codec, column: pa.Array) -> list[pa.Array]:
+        counts, coded, decoded, kept = [], [], [], []
         for text in column:
-            ids = codec.encode(text.as_py() or "")
-            counts.append(len(ids) // 4)
-            coded.append(hashlib.sha256(ids).hexdigest())
-            decoded.append(hashlib.sha256(codec.decode(np.frombuffer(ids, "<u4").tolist())).hexdigest())
-        return {"n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(coded, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())}
-
-    return _map(df, text, keep, path, pattern, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+            data = codec.encode(text.as_py() or "")
+            ids = np.frombuffer(data, "<u4")
+            counts.append(len(ids))
+            coded.append(hashlib.sha256(data).hexdigest())
+            decoded.append(hashlib.sha256(codec.decode(ids.tolist())).hexdigest())
+            kept.append(ids.astype("i4"))
+        out = [pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+        return [*out, pa.array(kept, pa.list_(pa.int32()))] if with_ids else out
+
+    fields = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    return _map(df, text, keep, path, pattern, make, {**fields, "ids": "array<int>"} if with_ids else fields)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

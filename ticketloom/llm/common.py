@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +59,27 @@ def word_parts(text: str | None, size: int = PART_BYTES) -> Iterator[list[bytes]
             end = gap.start()
         yield data[at:end].split()
         at = end
+
+
+def map_texts(df: DataFrame, text: str, keep: tuple[str, ...], start, fields: dict[str, str], rows: int = 256) -> DataFrame:
+    """The ``keep`` columns of ``df`` and new ones made from the column ``text``, in Arrow batches of bounded size.
+
+    ``start()`` is called once in each task and returns a function from a text array to the arrays of ``fields``.
+    Columns of ``df`` that are not kept are left out, so their names cannot clash with the new ones.
+    """
+    clash = set(keep) & set(fields)
+    if clash:
+        raise ValueError(f"kept columns clash with new ones: {sorted(clash)}")
+    columns = [*keep] if text in keep else [*keep, text]
+    at = columns.index(text)
+    narrow = df.select(*[F.col(f"`{c}`") for c in columns])
+    kept = [f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = start()
+        for whole in batches:
+            for low in range(0, whole.num_rows, rows):
+                batch = whole.slice(low, rows)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *make(batch.column(at))], names=[*keep, *fields])
+
+    return narrow.mapInArrow(run, ", ".join([*kept, *(f"`{n}` {t}" for n, t in fields.items())]))

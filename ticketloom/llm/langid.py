@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import local_if_small, read, remainder
+from ticketloom.llm.common import local_if_small, map_texts, read, remainder
 from ticketloom.session import settle_table
 
 BITS = 14
@@ -137,26 +137,35 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_i
     return LanguageModel([name for name, _ in found], centres, idf)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), min_cosine: float = MIN_COSINE) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), min_cosine: float = MIN_COSINE, names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
     """The ``keep`` columns, then lang_pred, score and rejected of every whole text.
 
     ``score`` is the cosine to the closest centroid. ``rejected`` marks texts below ``min_cosine`` and those that are
     ``und``: null, empty or without a letter. Equal cosines go to the language first by name. Repeated rows are judged
-    alike; other columns are left out, so their names cannot clash; an empty table gives an empty result.
+    alike; other columns are left out, so their names cannot clash (``names`` are those of the new ones); an empty
+    table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages times centroids of a fixed size
-    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("__text"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         model = shared.value
-        for batch in batches:
-            found = [model.predict(x.as_py()) for x in batch.column(batch.num_columns - 1)]
-            names, scores = [x[0] for x in found], np.array([x[1] for x in found], np.float64)
-            gone = (scores < min_cosine) | np.array([x == UNKNOWN for x in names], bool)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(scores), pa.array(gone)], names=[*keep, "lang_pred", "score", "rejected"])
 
-    return narrow.mapInArrow(run, ", ".join([*kept, "lang_pred string, score double, rejected boolean"]))
+        def make(texts: pa.Array) -> list[pa.Array]:
+            found = [model.predict(x.as_py()) for x in texts]
+            langs, scores = [x[0] for x in found], np.array([x[1] for x in found], np.float64)
+            gone = (scores < min_cosine) | np.array([x == UNKNOWN for x in langs], bool)
+            return [pa.array(langs, pa.string()), pa.array(scores), pa.array(gone)]
+
+        return make
+
+    return map_texts(docs, text, keep, start, dict(zip(names, ("string", "double", "boolean"))))
+
+
+def with_known_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are not rejected by a model fitted on ``docs``, all columns kept."""
+    model = fit_languages(docs, text, lang, doc_id)
+    found = identify(docs, model, text, tuple(docs.columns), names=("__lang", "__score", "__rejected"))
+    return found.where("not __rejected").drop("__lang", "__score", "__rejected")
 
 
 def training_documents(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import read, remainder
+from ticketloom.llm.common import map_texts, read, remainder
 from ticketloom.session import settle_table
 
 ORDERS = (3, 4, 5, 6)
@@ -148,23 +148,30 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     return ToxicityModel(place, scale * weights, intercept)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """The ``keep`` columns, then score (0 to 1) and predicted (1 from ``threshold`` on) of every whole text.
 
     Null and empty texts get the score of a text without features. Repeated rows score alike; other columns are left
-    out, so their names cannot clash; an empty table gives an empty result.
+    out, so their names cannot clash (``names`` are those of the new ones); an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
-    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("__text"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         model = shared.value
-        for batch in batches:
-            scores = np.array([model.score(x.as_py()) for x in batch.column(batch.num_columns - 1)], np.float64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
-    return narrow.mapInArrow(run, ", ".join([*kept, "score double, predicted int"]))
+        def make(texts: pa.Array) -> list[pa.Array]:
+            scores = np.array([model.score(x.as_py()) for x in texts], np.float64)
+            return [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
+
+        return make
+
+    return map_texts(docs, text, keep, start, dict(zip(names, ("double", "int"))))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that a model fitted on all ``labels`` does not reject, all columns kept."""
+    scored = score_toxicity(docs, fit_toxicity(docs, labels, doc_id, text), text, tuple(docs.columns), names=("__score", "__predicted"))
+    return scored.where("__predicted = 0").drop("__score", "__predicted")
 
 
 def training_labels(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
