@@ -130,7 +130,7 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_i
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         x = np.stack([vector(t, idf) for t in group["text"] if has_letter(t)] or [np.zeros(1 << BITS, np.float32)])
         centres = [c for c in spherical_clusters(x, k) if c.any()]
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(centres), "centre": [c.tobytes() for c in centres]})
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(centres), "centre": [c.tobytes() for c in centres]}, dtype=object)
 
     found = sorted(((r["lang"], r["centre"]) for r in rows.groupBy("lang").applyInPandas(cluster, "lang string, centre binary").collect()))
     centres = np.stack([np.frombuffer(c, np.float32) for _, c in found]) if found else np.zeros((0, 1 << BITS), np.float32)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import local_if_small, read
-from ticketloom.llm.html_walk import walk
+from ticketloom.llm.html_walk import BLOCK, walk
 from ticketloom.llm.url_rules import host_of
 from ticketloom.session import settle_table
 
@@ -105,7 +105,7 @@ def deduce(rows: pd.DataFrame) -> tuple[list[str], list[str]]:
 
     Valid classes are those whose tokens' parents are valid too, so that they nest. Roots are the article elements of
     the template, else its main element, else a container named like content, else the smallest container that holds
-    more than ``SHARE`` of the text outside side elements and links. Dropped are slots with one and the same text on
+    more than ``SHARE`` of the text outside side elements and links. Dropped are blocks with one and the same text on
     all pages whose other text varies and, unless the root is an article or main element, slots made of links.
     """
     total = int(rows.loc[rows["path"] == "", "pages"].iloc[0])
@@ -139,7 +139,7 @@ def deduce(rows: pd.DataFrame) -> tuple[list[str], list[str]]:
     if not roots:
         roots = [p for p in open_ if _tag(last[p]) in ("body", "div", "section", "td", "html") and text[p] > SHARE * text[""]][-1:] or [""]
     varied = any(not s and c for p, s, c in zip(rows["path"], rows["same"], rows["chars"]) if any(p == r or p.startswith(r + "/") for r in roots))
-    constant = [p for p, s, c, n, g in zip(rows["path"], rows["same"], rows["chars"], rows["n"], rows["pages"]) if s and c and n == g >= MIN_PAGES and g >= SHARE * total] if varied else []
+    constant = [p for p, s, c, n, g in zip(rows["path"], rows["same"], rows["chars"], rows["n"], rows["pages"]) if s and c and n == g >= MIN_PAGES and g >= SHARE * total and _tag(p.rpartition("/")[2]) in BLOCK] if varied else []
     menus = [] if clear else [p for p, c, k in zip(rows["path"], rows["chars"], rows["linked"]) if k > LINKED * c]
     return roots, sorted({*constant, *menus})
 
