@@ -153,7 +153,7 @@ def test_config_merges_and_rejects():
 
 
 def test_flow_end_to_end(spark, sf_dir, tmp_path):
-    config = flow.load_config({"vectorization": {"max_features": 100}, "modeling": {"models": ["naive_bayes"]}, "preprocessing": {"partitions": 4}})
+    config = flow.load_config({"vectorization": {"max_features": 100}, "modeling": {"models": ["naive_bayes"]}, "preprocessing": {"spread": False}})
     result = flow.TicketFlow(config).fit(tickets_view(spark, sf_dir))
     assert result.model.best == "naive_bayes" and result.n_features <= 200
     path = str(tmp_path / "flow")

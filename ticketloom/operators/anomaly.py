@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ticketloom.functions.hashing import keyed_hash
+from ticketloom.functions.hashing import hash_unit, keyed_hash
 from ticketloom.functions.vectors import as_array
-from ticketloom.operators.rank import flag_first
 from ticketloom.session import settle_table
 
 TREES = 100
@@ -20,21 +19,26 @@ NODE_SCHEMA = "tree int, node int, feature int, threshold double, size int, dept
 
 
 def _deal(df: DataFrame, trees: int, subsample: int, seed: int) -> DataFrame:
-    """``(tree, _id, _x)`` with at most ``subsample`` rows per tree.
+    """``(tree, _id, _x)``: per tree the ``subsample`` rows with the lowest keyed hashes of (seed, tree, id).
 
-    A small table is drawn from per tree. A large one gives ``trees * subsample`` rows by
-    one hash cut, dealt out in hash order: each tree has its own rows.
+    One rule for every size. Only ids are hashed and ranked; a hash share that leaves each tree about four times the
+    rows it needs thins them out before the ranking, and is dropped if a tree ever came out short. The drawn ids, at
+    most ``trees * subsample``, are then broadcast to fetch their vectors.
     """
-    n, pool = df.count(), trees * subsample
-    digest = keyed_hash(seed, F.col("_id"))
-    if n <= pool:
-        copies = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        order = W.partitionBy("tree").orderBy(keyed_hash(seed, F.col("tree"), F.col("_id")), "_id")
-        return copies.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= subsample).drop("_rn")
-    quota = df.sparkSession.range(1).select(F.lit(pool).cast("bigint").alias("quota"))
-    drawn = flag_first(df, [], quota, digest, "_id", "_in").filter("_in").drop("_in")
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(digest, "_id"))
-    return drawn.withColumn("tree", F.pmod(place - 1, F.lit(trees)).cast("int"))
+    ids = df.select("_id").distinct()
+    n = ids.count()
+    share = min(1.0, 4.0 * subsample / max(n, 1))
+    every = ids.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    every = every.withColumn("_h", keyed_hash(seed, F.col("tree"), F.col("_id")))
+    order = W.partitionBy("tree").orderBy("_h", "_id")
+
+    def drawn(part: DataFrame) -> DataFrame:
+        return settle_table(part.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= subsample).select("tree", "_id"), "drawn")
+
+    got = drawn(every.filter(hash_unit(F.col("_h")) < share))
+    if share < 1.0 and got.count() < trees * subsample:
+        got = drawn(every)
+    return df.join(F.broadcast(got), "_id").select("tree", "_id", "_x")
 
 
 def _grow(seed: int):

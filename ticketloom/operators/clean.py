@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +24,20 @@ def clean_interaction(text: Column, registry: NoiseRegistry | None = None) -> Co
     return strip_noise(text, (registry or NoiseRegistry()).interaction_patterns())
 
 
-def spread_input(df: DataFrame, partitions: int | None) -> DataFrame:
-    """Spread few large input splits before regex work; ``None`` keeps the scan's splits.
+SPREAD_BYTES = 512 * 1024
+
+
+def spread_input(df: DataFrame, split_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has slots, before regex work.
 
-    Worth its shuffle only where a table has fewer row groups than the cluster has cores.
+    The number of partitions follows the bytes of the input, up to four a slot. A scan with
+    enough splits keeps them: its rows are not moved.
     """
-    return df if partitions is None else df.repartition(partitions)
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= slots:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(max(1, min(4 * slots, math.ceil(size / split_bytes))))
 
 
 def with_cleaned(df: DataFrame, summary: Column, interaction: Column, names: tuple[str, str] = ("ts", "ic"), drop_empty: bool = True) -> DataFrame:
@@ -49,12 +59,12 @@ def preprocess(
     clean_summary_col: str = "ts",
     clean_interaction_col: str = "ic",
     registry: NoiseRegistry | None = None,
-    partitions: int | None = None,
+    spread: bool = True,
 ) -> DataFrame:
-    """Add both cleaned columns and drop rows where either is empty."""
+    """Add both cleaned columns and drop rows where either is empty; ``spread`` as in :func:`spread_input`."""
     summary = clean_summary(F.col(f"`{summary_col}`"), registry)
     interaction = clean_interaction(F.col(f"`{interaction_col}`"), registry)
-    return with_cleaned(spread_input(df, partitions), summary, interaction, (clean_summary_col, clean_interaction_col))
+    return with_cleaned(spread_input(df) if spread else df, summary, interaction, (clean_summary_col, clean_interaction_col))
 
 
 def text_statistics(df: DataFrame, text_column: str) -> DataFrame:

@@ -104,7 +104,7 @@ def _score_steps(df: DataFrame, positive: Column, score: str, by: list[str]) ->
 
 
 def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score", positive=1, by: list[str] = ()) -> DataFrame:
-    """``(threshold, precision, recall)`` per distinct score."""
+    """``(threshold, precision, recall)`` per distinct score, and the end point (null, 1, 0) of the curve."""
     steps = _score_steps(df, F.col(label) == F.lit(positive), score, list(by))
     total = steps.groupBy(*by).agg(F.sum("pos").alias("_p")) if by else None
     p = total if by else None
@@ -112,9 +112,11 @@ def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "sc
         steps = steps.join(p, list(by))
     else:
         steps = steps.withColumn("_p", F.lit(steps.agg(F.sum("pos").alias("p")).first()["p"] or 0))
-    return steps.select(
+    points = steps.select(
         *by, F.col("score").alias("threshold"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         _ratio(F.col("tp"), F.col("_p")).alias("recall"))
+    groups = total.select(*by) if by else df.sparkSession.range(1).select()
+    return points.union(groups.select(*by, F.lit(None).cast("double"), F.lit(1.0), F.lit(0.0)))
 
 
 def _areas(steps: DataFrame, by: list[str]) -> DataFrame:
@@ -125,7 +127,7 @@ def _areas(steps: DataFrame, by: list[str]) -> DataFrame:
         F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("weighted"))
     both = (F.col("p") > 0) & (F.col("q") > 0)
     return sums.select(
-        *by, F.col("p").alias("positives"),
+        *by, F.col("p").alias("positives"), F.col("q").alias("negatives"),
         F.when(both, 1.0 - F.col("lost") / (F.col("p").cast("double") * F.col("q"))).alias("auc_roc"),
         F.when(both, F.col("weighted") / F.col("p")).alias("auc_pr"))
 
@@ -137,14 +139,20 @@ def binary_areas(df: DataFrame, label: str = "label", score: str = "score", posi
 
 def one_vs_rest_areas(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
     """``(class, positives, auc_roc)``: each class against the rest; class i is entry i."""
+    return _class_areas(df, label, probability).drop("negatives")
+
+
+def _class_areas(df: DataFrame, label: str, probability: str) -> DataFrame:
     long = df.select(F.col(label).cast("int").alias("_label"), F.posexplode(probability).alias("class", "score"))
-    return _areas(_score_steps(long, F.col("_label") == F.col("class"), "score", ["class"]), ["class"]).select("class", "positives", "auc_roc")
+    return _areas(_score_steps(long, F.col("_label") == F.col("class"), "score", ["class"]), ["class"]).select("class", "positives", "negatives", "auc_roc")
 
 
 def weighted_multiclass_auc(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
     """One row: prevalence-weighted one-vs-rest area, null unless widths equal the classes."""
-    areas = one_vs_rest_areas(df, label, probability)
-    return areas.agg(F.when(F.min("positives") > 0, F.sum(F.col("auc_roc") * F.col("positives")) / F.sum("positives")).alias("auc_roc"))
+    areas = _class_areas(df, label, probability)
+    # Every entry has rows of its class, and every row's class has an entry.
+    fits = (F.min("positives") > 0) & (F.sum("positives") == F.max(F.col("positives") + F.col("negatives")))
+    return areas.agg(F.when(fits, F.sum(F.col("auc_roc") * F.col("positives")) / F.sum("positives")).alias("auc_roc"))
 
 
 def evaluate_classification(

@@ -83,6 +83,12 @@ def _scale_gamma(df: DataFrame) -> float:
     return 1.0 / (d * max(row["q"] / (row["n"] * d) - mean * mean, 1e-12))
 
 
+def _depth(p: dict) -> int:
+    if p["max_depth"] > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {p['max_depth']} is above {MAX_TREE_DEPTH}, the deepest tree Spark grows")
+    return p["max_depth"]
+
+
 def _logistic(df: DataFrame, p: dict) -> Estimator:
     return LogisticRegression(family="multinomial", maxIter=p["max_iter"], regParam=1.0 / (p["C"] * df.count()), standardization=False)
 
@@ -117,16 +123,16 @@ def available_models() -> dict[str, ModelSpec]:
     boosted = {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "max_bins": 32, "subsample": 1.0, "parallelism": 4}
     return {
         "random_forest": ModelSpec(
-            lambda df, p: RandomForestClassifier(numTrees=p["n_estimators"], maxDepth=p["max_depth"], seed=p["seed"]),
-            {"n_estimators": 100, "max_depth": 15, "seed": SEED}, "Random Forest - ensemble of decision trees"),
-        "gradient_boosting": ModelSpec(_boosted, boosted, "Gradient Boosting - sequential trees"),
-        "logistic_regression": ModelSpec(_logistic, {"max_iter": 1000, "C": 1.0}, "Logistic Regression - linear model"),
-        "svm": ModelSpec(_svm, {"max_iter": 100, "C": 1.0, "components": 256, "parallelism": 4}, "Support Vector Machine - random Fourier features"),
-        "naive_bayes": ModelSpec(lambda df, p: NaiveBayes(modelType="multinomial", smoothing=p["alpha"]), {"alpha": 1.0}, "Naive Bayes - probabilistic model"),
-        "knn": ModelSpec(None, {"n_neighbors": 5}, "K-Nearest Neighbors - neighborhood based model"),
+            lambda df, p: RandomForestClassifier(numTrees=p["n_estimators"], maxDepth=_depth(p), seed=p["seed"]),
+            {"n_estimators": 100, "max_depth": 15, "seed": SEED}, "Bagged decision trees, majority vote"),
+        "gradient_boosting": ModelSpec(_boosted, boosted, "Shallow trees, each fitted to what the last ones left"),
+        "logistic_regression": ModelSpec(_logistic, {"max_iter": 1000, "C": 1.0}, "Multinomial logit with an L2 penalty"),
+        "svm": ModelSpec(_svm, {"max_iter": 100, "C": 1.0, "components": 256, "parallelism": 4}, "Linear margin over random Fourier features"),
+        "naive_bayes": ModelSpec(lambda df, p: NaiveBayes(modelType="multinomial", smoothing=p["alpha"]), {"alpha": 1.0}, "Multinomial counts with additive smoothing"),
+        "knn": ModelSpec(None, {"n_neighbors": 5}, "Vote of the closest training rows"),
         "decision_tree": ModelSpec(
-            lambda df, p: DecisionTreeClassifier(maxDepth=min(p["max_depth"], MAX_TREE_DEPTH), seed=SEED), {"max_depth": MAX_TREE_DEPTH}, "Decision Tree - single tree"),
-        "mlp": ModelSpec(_perceptron, {"max_iter": 1000, "hidden": [100]}, "Multi-layer Perceptron - neural network"),
+            lambda df, p: DecisionTreeClassifier(maxDepth=_depth(p), seed=SEED), {"max_depth": MAX_TREE_DEPTH}, "One tree grown to the full depth"),
+        "mlp": ModelSpec(_perceptron, {"max_iter": 1000, "hidden": [100]}, "Feed-forward network, one hidden layer"),
         "xgboost": ModelSpec(_boosted, {**boosted, "max_depth": 6, "learning_rate": 0.3}, "Boosted trees, deeper preset"),
         "lightgbm": ModelSpec(_boosted, {**boosted, "max_depth": 5, "max_bins": 128, "subsample": 0.8}, "Boosted trees, fine-binned preset"),
     }

@@ -219,8 +219,7 @@ def neighbours(
     leads = asked.withColumn("_rn", place).filter(F.col("_rn") == 1).drop("_rn")
     cells, placed = build_cells(first, wanted)
     visits = route(leads.select("_g", "_id", "_x"), cells, wanted, farthest)
-    id_type = queries.schema[id_col].dataType
-    schema = T.StructType([T.StructField("_qid", id_type), T.StructField("_id", id_type), T.StructField("_d", T.DoubleType())])
+    schema = T.StructType([T.StructField("_qid", queries.schema[id_col].dataType), T.StructField("_id", points.schema[id_col].dataType), T.StructField("_d", T.DoubleType())])
     found = block_join(visits, placed.drop("_dist"), _top(wanted, farthest), schema, block_rows)
     by_distance = [F.desc("_d") if farthest else F.asc("_d"), F.asc("_id")]
     found = found.withColumn("_rn", F.row_number().over(W.partitionBy("_qid").orderBy(*by_distance))).filter(F.col("_rn") <= wanted)
@@ -236,15 +235,31 @@ def neighbours(
 def approximate_neighbours(
     df: DataFrame, k: int, id_col: str = "id", vec_col: str = "features", radius: float = 1.0, bucket_length: float = 0.5, tables: int = 4
 ) -> DataFrame:
-    """Opt-in approximate search by random projections: neighbours within ``radius`` only."""
+    """Opt-in approximate search by random projections, with k neighbours for every row.
+
+    Rows that find fewer than k within ``radius`` search again with twice the radius and bucket
+    length, until each has k (or all others, in a smaller table).
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
 
     from ticketloom.functions.vectors import as_vector
 
-    source = as_vector(df.select(id_col, vec_col), vec_col)
-    model = BucketedRandomProjectionLSH(inputCol=vec_col, outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=42).fit(source)
-    close = model.approxSimilarityJoin(source, source, radius, "distance").select(
-        F.col(f"datasetA.{id_col}").alias(id_col), F.col(f"datasetB.{id_col}").alias("nn_id"), F.round("distance", DIGITS).alias("distance"))
-    ranked = close.filter(F.col(id_col) != F.col("nn_id")).withColumn(
-        "nn_rank", F.row_number().over(W.partitionBy(id_col).orderBy("distance", "nn_id")))
-    return ranked.filter(F.col("nn_rank") <= k).select(id_col, "nn_rank", "nn_id", "distance")
+    source = settle_table(as_vector(df.select(id_col, vec_col), vec_col), "approximate")
+    need, left, parts = min(k, source.count() - 1), source, []
+    while True:
+        model = BucketedRandomProjectionLSH(inputCol=vec_col, outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=42).fit(source)
+        close = model.approxSimilarityJoin(left, source, radius, "distance").select(
+            F.col(f"datasetA.{id_col}").alias(id_col), F.col(f"datasetB.{id_col}").alias("nn_id"), F.round("distance", DIGITS).alias("distance"))
+        place = F.row_number().over(W.partitionBy(id_col).orderBy("distance", "nn_id"))
+        ranked = close.filter(F.col(id_col) != F.col("nn_id")).withColumn("nn_rank", place).filter(F.col("nn_rank") <= need)
+        ranked = settle_table(ranked, "approximate")
+        full = ranked.filter(F.col("nn_rank") == need).select(id_col)
+        parts.append(ranked.join(full, id_col, "left_semi"))
+        left = settle_table(left.join(full, id_col, "left_anti"), "approximate")
+        if need <= 0 or left.isEmpty():
+            break
+        radius, bucket_length = 2 * radius, 2 * bucket_length
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(id_col, "nn_rank", "nn_id", "distance")

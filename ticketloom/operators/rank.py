@@ -21,7 +21,7 @@ from ticketloom.session import measured
 
 HASH_DIGITS = 3
 BUCKET_ROWS = 2_000_000
-NUMBER_BUCKETS = 512
+LEAST_BUCKETS = 512
 
 
 def _before(partition: list, order: str):
@@ -71,27 +71,34 @@ def rank_by_hash(
     return _rank_in_buckets(bucketed, by, ["_digest", id_col], out, counts).drop("_digest")
 
 
-def number_buckets(df: DataFrame, column: str, buckets: int = NUMBER_BUCKETS) -> DataFrame:
+def number_buckets(df: DataFrame, column: str, buckets: int = LEAST_BUCKETS) -> DataFrame:
     """Add ``_bucket``: which of the (approximate) quantile ranges the number falls in.
 
-    The cut points only shape the buckets; ranks stay exact whatever they are.
+    The cut points only shape the buckets; ranks stay exact whatever they are. ``buckets`` is
+    the least number: a table that would fill them with more than ``BUCKET_ROWS`` rows gets more.
     """
-    shares = [i / buckets for i in range(1, buckets)]
     value = F.col(column).cast("double")
-    row = df.agg(F.percentile_approx(value, shares, 10_000).alias("cuts")).first()
-    cuts = sorted(set((row.cuts if row else None) or []))
+
+    def quantiles(n: int):
+        shares = [i / n for i in range(1, n)]
+        return df.agg(F.percentile_approx(value, shares, max(10_000, 4 * n)).alias("cuts"), F.count(F.lit(1)).alias("n")).first()
+
+    row = quantiles(buckets)
+    if row["n"] > buckets * BUCKET_ROWS:
+        row = quantiles(math.ceil(row["n"] / BUCKET_ROWS))
+    cuts = sorted(set(row["cuts"] or []))
     splits = [float("-inf"), *cuts, float("inf")]
     binned = Bucketizer(splits=splits, inputCol="_value", outputCol="_bucket", handleInvalid="keep")
     return binned.transform(df.withColumn("_value", value)).drop("_value")
 
 
-def rank_by_number(df: DataFrame, by: list[str], column: str, out: str, buckets: int = NUMBER_BUCKETS) -> DataFrame:
+def rank_by_number(df: DataFrame, by: list[str], column: str, out: str, buckets: int = LEAST_BUCKETS) -> DataFrame:
     """1-based rank per ``by`` in the order of a unique number such as an id."""
     return _rank_in_buckets(number_buckets(df, column, buckets), by, [column], out)
 
 
 def running_totals(
-    df: DataFrame, by: list[str], column: str, sums: dict[str, str], descending: bool = False, buckets: int = NUMBER_BUCKETS
+    df: DataFrame, by: list[str], column: str, sums: dict[str, str], descending: bool = False, buckets: int = LEAST_BUCKETS
 ) -> DataFrame:
     """Running sums over distinct values of a number: ``sums`` maps input to output names.
 
@@ -115,10 +122,19 @@ def hash_cuts(
 
     A row belongs to the first ``quota`` rows of its key exactly when its (digest, id) is
     not above the cut, so selecting needs one small join and no sort of the table. Only
-    rows of the boundary bucket, one in ``16**digits``, are ordered.
+    rows of the boundary bucket are ordered, one in ``16**digits``; if the fullest bucket
+    holds more than ``BUCKET_ROWS`` rows, more digits are used.
     """
-    keyed = df.select(*by, digest.alias("_digest"), F.col(id_col).alias("_id")).withColumn("_bucket", F.substring("_digest", 1, digits))
-    counts = keyed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    keyed = df.select(*by, digest.alias("_digest"), F.col(id_col).alias("_id"))
+
+    def bucketed(n: int) -> tuple[DataFrame, DataFrame]:
+        rows = keyed.withColumn("_bucket", F.substring("_digest", 1, n))
+        return rows, measured(rows.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n")))
+
+    keyed, counts = bucketed(digits)
+    most = counts.agg(F.max("_n").alias("m")).first()["m"] or 0
+    if most > BUCKET_ROWS:
+        keyed, counts = bucketed(digits + math.ceil(math.log(most / BUCKET_ROWS, 16)))
     upto = counts.withColumn("_start", F.coalesce(F.sum("_n").over(_before(by, "_bucket")), F.lit(0)))
     edge = _same(upto, quotas.filter("quota > 0"), by, []).filter(
         (F.col("_start") < F.col("quota")) & (F.col("quota") <= F.col("_start") + F.col("_n")))

@@ -71,8 +71,11 @@ def stratified_splits(
     The copies share one class table; each copy has its own hash order.
     """
     counts = class_counts(df, label)
-    if counts.limit(2).count() < 2:
+    kinds = counts.agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
+    if kinds["k"] < 2:
         raise ValueError("Stratification requires at least 2 classes")
+    if kinds["least"] < 2:
+        raise ValueError("The least populated class has only 1 member; stratification needs 2")
     numbers = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1)))
     quotas = test_quotas(counts, label, test_size).select(label, "quota", numbers.alias("split_no"))
     copies = df.withColumn("split_no", numbers)
@@ -87,7 +90,7 @@ def temporal_split(
     """Add ``split`` by time: oldest rows train, newest test; no validation rows if ``int(n*v)`` is 0.
 
     Rows on the same instant are ordered by hash. Two cut points are searched for, then the
-    split is a plain comparison per row. Missing times sort last, as test rows.
+    split is a plain comparison per row. Missing times sort last, in hash order.
     """
     if time_col not in df.columns:
         raise ValueError(f"Column '{time_col}' does not exist")
@@ -100,10 +103,16 @@ def temporal_split(
     def upto(position: int) -> Column:
         if position <= 0:
             return F.lit(False)
-        if position >= seen["timed"]:
-            if position > seen["timed"]:
-                raise ValueError(f"'{time_col}' has too many missing values to place the cut")
+        if position >= seen["n"]:
+            return F.lit(True)
+        if position == seen["timed"]:
             return F.col(time_col).isNotNull()
+        if position > seen["timed"]:
+            digest = keyed_hash(seed, F.col(id_col))
+            quota = df.sparkSession.range(1).select(F.lit(position - seen["timed"]).cast("bigint").alias("quota"))
+            cut = hash_cuts(df.filter(F.col(time_col).isNull()), [], quota, digest, id_col).first()["cut"]
+            own = F.struct(digest.alias("digest"), F.col(id_col).alias("id"))
+            return F.col(time_col).isNotNull() | (own <= F.struct(F.lit(cut["digest"]).alias("digest"), F.lit(cut["id"]).alias("id")))
         t, digest, row_id = time_cut(df, moment, id_col, seed, position)
         return F.coalesce(key <= F.struct(F.lit(t).cast("bigint").alias("t"), F.lit(digest).alias("digest"), F.lit(row_id).alias("id")), F.lit(False)) & F.col(time_col).isNotNull()
 
@@ -117,24 +126,26 @@ def group_split(
     """Add ``split`` by whole groups in hash order; ``max_groups`` drops the groups beyond it.
 
     Only distinct groups are counted. Membership is a comparison of the group's hash with
-    the cut, so a group holding much of the table is never moved.
+    the cut, so a group holding much of the table is never moved. Null is a group of its own.
     """
     if group_col not in df.columns:
         raise ValueError(f"Column '{group_col}' does not exist")
-    digest = keyed_hash(seed, F.col(group_col))
-    groups = df.select(group_col).filter(F.col(group_col).isNotNull()).distinct()
+    name = F.coalesce(F.col(group_col).cast("string"), F.lit("null group"))
+    digest, own = keyed_hash(seed, name), F.struct(F.col(group_col).isNull().alias("none"), name.alias("name"))
+    groups = df.select(digest.alias("_digest"), own.alias("_group")).distinct()
     n_groups = groups.count()
     kept = min(n_groups, max_groups) if max_groups else n_groups
-    key = F.struct(digest.alias("digest"), F.col(group_col).alias("id"))
+    key = F.struct(digest.alias("digest"), own.alias("id"))
 
     def upto(position: int) -> Column:
         if position <= 0:
             return F.lit(False)
         if position >= n_groups:
-            return F.col(group_col).isNotNull()
+            return F.lit(True)
         quota = df.sparkSession.range(1).select(F.lit(position).cast("bigint").alias("quota"))
-        cut = hash_cuts(groups, [], quota, digest, group_col).first()["cut"]
-        return key <= F.struct(F.lit(cut["digest"]).alias("digest"), F.lit(cut["id"]).alias("id"))
+        cut = hash_cuts(groups, [], quota, F.col("_digest"), "_group").first()["cut"]
+        last = F.struct(F.lit(cut["id"]["none"]).alias("none"), F.lit(cut["id"]["name"]).alias("name"))
+        return key <= F.struct(F.lit(cut["digest"]).alias("digest"), last.alias("id"))
 
     in_test, in_any = upto(int(kept * test_size)), upto(kept)
     return df.filter(in_any).withColumn("split", F.when(in_test, "test").otherwise("train"))

@@ -44,21 +44,23 @@ def translation_input(text: Column, max_chars: int | None = MAX_CHARS) -> Column
     return F.when(F.length(text) > max_chars, F.concat(F.substring(text, 1, max_chars), F.lit("..."))).otherwise(text)
 
 
-def fit_language_profiles(df: DataFrame, text_col: str, lang_col: str, top_words: int = 2000) -> DataFrame:
-    """``(lang, word, weight)``: the most frequent words per language.
+def fit_language_profiles(df: DataFrame, text_col: str, lang_col: str, top_words: int | None = None) -> DataFrame:
+    """``(lang, word, weight)``: the words of each language.
 
-    The weight is the word's document share in millionths. A language keeps ``top_words``
-    words, so the profile does not grow with the table. Words are ranked in salted parts
-    of a language first; only the best of each part meet in the final ranking.
+    The weight is the word's document share in millionths. ``top_words`` keeps only a language's most
+    frequent words; they are ranked in salted parts first, and only the best of each part meet in the final ranking.
     """
     words = df.select(F.col(lang_col).alias("lang"), F.explode(F.array_distinct(tokens(F.lower(text_col)))).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("docs"))
     sizes = df.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("total"))
+    weight = F.expr(f"(docs * {SCALE}) div total").alias("weight")
+    if top_words is None:
+        return counts.join(measured(sizes), "lang").select("lang", "word", weight)
     best = [F.desc("docs"), F.asc("word")]
     parts = counts.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(PROFILE_PARTS)))
     parts = parts.withColumn("_rn", F.row_number().over(W.partitionBy("lang", "_part").orderBy(*best))).filter(F.col("_rn") <= top_words)
     top = parts.withColumn("_rn", F.row_number().over(W.partitionBy("lang").orderBy(*best))).filter(F.col("_rn") <= top_words).drop("_rn", "_part")
-    return top.join(measured(sizes), "lang").select("lang", "word", F.expr(f"(docs * {SCALE}) div total").alias("weight"))
+    return top.join(measured(sizes), "lang").select("lang", "word", weight)
 
 
 def detect_language(df: DataFrame, text_col: str, id_col: str, profiles: DataFrame, fallback: str | None = None, out: str = "detected") -> DataFrame:
@@ -97,13 +99,14 @@ def _run(df: DataFrame, translate_fn: TranslateFn, batch_size: int) -> DataFrame
 
 
 def translate_distinct(
-    texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = MAX_CHARS,
+    texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = None,
     batch_size: int = 10, memo: DataFrame | None = None,
 ) -> DataFrame:
     """``(text, lang, translated)`` for a table of distinct, non-empty ``text``.
 
     Texts already in ``memo`` (``text, translated``) are left out. English texts come back
-    in the form the model would have been given.
+    in the form the model would have been given. A text whose language is null gets the
+    detected one if there are ``profiles``; otherwise the model is asked without a code.
     """
     work = texts.withColumn("given", translation_input(F.col("text"), max_chars))
     if memo is not None:
@@ -112,22 +115,26 @@ def translate_distinct(
     if "lang" not in work.columns:
         work = work.withColumn("_key", F.md5("given"))
         work = detect_language(work, "given", "_key", profiles, TARGET, "lang").drop("_key")
+    elif profiles is not None:
+        unknown = work.filter(F.col("lang").isNull()).drop("lang").withColumn("_key", F.md5("given"))
+        unknown = detect_language(unknown, "given", "_key", profiles, TARGET, "lang").drop("_key")
+        work = work.filter(F.col("lang").isNotNull()).unionByName(unknown)
     work = work.withColumn("lang", map_language_code(F.col("lang")))
     english = work.filter(F.col("lang") == TARGET).select("text", "lang", F.col("given").alias("translated"))
-    other = work.filter(F.col("lang") != TARGET)
-    done = _run(other.select(F.col("given").alias("text"), "lang").distinct(), translate_fn, batch_size)
+    other = work.filter(F.col("lang").isNull() | (F.col("lang") != TARGET))
+    done = _run(other.groupBy(F.col("given").alias("text")).agg(F.min("lang").alias("lang")), translate_fn, batch_size)
     foreign = other.join(done.select(F.col("text").alias("given"), "translated"), "given").select("text", "lang", "translated")
     return english.unionByName(foreign)
 
 
 def translate_column(
     df: DataFrame, column: str, translate_fn: TranslateFn, new_column: str | None = None, profiles: DataFrame | None = None,
-    lang_col: str | None = None, max_chars: int | None = MAX_CHARS, batch_size: int = 10,
+    lang_col: str | None = None, max_chars: int | None = None, batch_size: int = 10,
 ) -> DataFrame:
     """Add ``<column>_en``. Null and empty texts pass through.
 
     Each distinct text is translated once, whichever and however many rows hold it. The
-    language comes from ``lang_col`` or is detected with ``profiles``.
+    language comes from ``lang_col`` or, where that is null or not given, from ``profiles``.
     """
     if column not in df.columns:
         raise ValueError(f"Column '{column}' not found")
@@ -146,7 +153,7 @@ def translate_column(
     return joined.withColumn(target, F.coalesce(F.col(f"`{target}`"), text))
 
 
-def extend_memo(memo: DataFrame, texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = MAX_CHARS) -> DataFrame:
+def extend_memo(memo: DataFrame, texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
     """The memo with the translations it lacked; write it back as parquet to keep it.
 
     It is keyed by the text the model is given, so an over-long text is looked up by its

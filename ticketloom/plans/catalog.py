@@ -6,11 +6,12 @@ Names start with the operator's inventory id. Each query reads whole tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import hash_unit, keyed_hash
 from ticketloom.functions.noise import NoiseRegistry
-from ticketloom.functions.vectors import entries
+from ticketloom.functions.vectors import entries, width_of
 from ticketloom.operators import anomaly, balance, clean, cluster, evaluate, labels, models, neighbours, rank, select, split, strategy, translate, vectorize
 from ticketloom.plans import flow, variants
 from ticketloom.session import scratch_path, settle_table
@@ -18,7 +19,6 @@ from ticketloom.sources.tickets import INTERACTION, SUMMARY, TICKET_SCHEMA, csv_
 from ticketloom.streaming.scoring import messages_as_tickets, score_stream, ticket_stream
 
 QUERIES: dict = {}
-CLEAN_PARTITIONS = 32
 
 
 def query(name: str):
@@ -40,7 +40,7 @@ def selected(s, d, min_count: int = 10) -> DataFrame:
 
 
 def cleaned(s, d) -> DataFrame:
-    return clean.preprocess(selected(s, d), partitions=CLEAN_PARTITIONS)
+    return clean.preprocess(selected(s, d))
 
 
 def order_labels(s, d) -> DataFrame:
@@ -66,7 +66,7 @@ def lang_predictions(s, d) -> DataFrame:
     """Three or more classes: the language code of a document against a hashed guess."""
     base = table(s, d, "documents").select(F.col("doc_id").alias("id"), "lang")
     coded = labels.encode_labels(base, ["lang"])
-    weight = [hash_unit(keyed_hash("p", F.col("id"), F.lit(i))) + F.when(F.col("lang_encoded") == i, 0.5).otherwise(0.0) for i in range(4)]
+    weight = [hash_unit(keyed_hash("p", F.col("id"), F.lit(i))) + F.when(F.col("lang_encoded") == i, 0.5).otherwise(0.0) for i in range(coded.agg(F.countDistinct("lang_encoded")).first()[0])]
     held = coded.withColumn("probability", F.array(*weight))
     best = F.array_position("probability", F.array_max("probability")).cast("int") - 1
     return held.select("id", F.col("lang_encoded").alias("label"), "probability", best.alias("prediction"))
@@ -74,11 +74,11 @@ def lang_predictions(s, d) -> DataFrame:
 
 def texts(s, d) -> DataFrame:
     """Documents, spread over more tasks than their few row groups give."""
-    return clean.spread_input(table(s, d, "documents"), CLEAN_PARTITIONS)
+    return clean.spread_input(table(s, d, "documents"))
 
 
 def messages(s, d) -> DataFrame:
-    return clean.spread_input(table(s, d, "conversations"), CLEAN_PARTITIONS).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
+    return clean.spread_input(table(s, d, "conversations")).select(F.concat_ws(":", "conv_id", "turn").alias("id"), "role", "text")
 
 
 def stub_translation(texts, langs):
@@ -196,7 +196,7 @@ def _(s, d):
 # ---- C: cleaning -----------------------------------------------------------------------
 
 def _docs(s, d):
-    return clean.spread_input(tickets_view(s, d), CLEAN_PARTITIONS)
+    return clean.spread_input(tickets_view(s, d))
 
 
 @query("c_02_clean_text")
@@ -217,13 +217,13 @@ def _(s, d):
 
 @query("c_05_preprocess")
 def _(s, d):
-    return clean.preprocess(tickets_view(s, d), partitions=CLEAN_PARTITIONS).select("id", F.md5("ts").alias("ts_md5"), F.md5("ic").alias("ic_md5"))
+    return clean.preprocess(tickets_view(s, d)).select("id", F.md5("ts").alias("ts_md5"), F.md5("ic").alias("ic_md5"))
 
 
 @query("c_06_custom_pattern")
 def _(s, d):
     registry = NoiseRegistry().with_pattern("endings", "ing ").with_pattern("ticket_noise", "the ")
-    return clean.preprocess(tickets_view(s, d), registry=registry, partitions=CLEAN_PARTITIONS).select(
+    return clean.preprocess(tickets_view(s, d), registry=registry).select(
         "id", F.md5("ts").alias("ts_md5"), F.md5("ic").alias("ic_md5"))
 
 
@@ -262,7 +262,7 @@ def _(s, d):
 def _(s, d):
     data = order_labels(s, d)
     mapping = labels.class_mapping(data, ["priority"])
-    return labels.encode_labels(data.filter("status = 'F'"), ["priority"], mapping).select("id", "priority_encoded")
+    return labels.encode_labels(data, ["priority"], mapping).select("id", "priority_encoded")
 
 
 @query("s_05_class_mapping")
@@ -309,21 +309,21 @@ def _(s, d):
 @query("v_03_tfidf_weights")
 def _(s, d):
     data = messages(s, d)
-    model = vectorize.TextVectorizer(max_features=2000).fit(data, "text")
+    model = vectorize.TextVectorizer(max_features=10_000).fit(data, "text")
     return model.weights(data, "id").select("id", "term", r("weight").alias("weight"))
 
 
 @query("v_04_count_vectors")
 def _(s, d):
     data = messages(s, d)
-    model = vectorize.TextVectorizer("count", max_features=1000, ngram_range=(1, 1)).fit(data, "text")
+    model = vectorize.TextVectorizer("count", max_features=10_000, ngram_range=(1, 1)).fit(data, "text")
     return model.weights(data, "id").select("id", "term", F.col("weight").cast("bigint").alias("tf"))
 
 
 @query("v_05_transform_unseen")
 def _(s, d):
     data = messages(s, d)
-    model = vectorize.TextVectorizer("tfidf", max_features=500, ngram_range=(1, 1)).fit(data.filter("role = 'user'"), "text")
+    model = vectorize.TextVectorizer("tfidf", max_features=10_000, ngram_range=(1, 1)).fit(data.filter("role = 'user'"), "text")
     out = model.transform(data.filter("role <> 'user'"))
     sums = entries(out, "features", ["id"]).groupBy("id").agg(F.count(F.lit(1)).alias("terms"), F.sum("w").alias("total"))
     return out.select("id").join(sums, "id", "left").select("id", F.coalesce("terms", F.lit(0)).alias("terms"), r(F.coalesce("total", F.lit(0.0))).alias("total"))
@@ -378,7 +378,7 @@ def _(s, d):
 @query("v_09_feature_importance")
 def _(s, d):
     data = messages(s, d)
-    model = vectorize.TextVectorizer(max_features=2000).fit(data, "text")
+    model = vectorize.TextVectorizer(max_features=10_000).fit(data, "text")
     return model.importance(data, 20).select("term", r("importance").alias("importance"))
 
 
@@ -523,6 +523,13 @@ def _(s, d):
     return neighbours.approximate_neighbours(vec3(s, d), 3, radius=1.1)
 
 
+@query("n_01_approximate_counts")
+def _(s, d):
+    """Every row gets k distinct others, however few lie within the first radius."""
+    found = neighbours.approximate_neighbours(vec3(s, d), 3, radius=0.9)
+    return found.filter("nn_id <> id").groupBy("id").agg(F.countDistinct("nn_id").alias("n"), F.max("nn_rank").alias("last_rank"))
+
+
 # ---- G: strategy -----------------------------------------------------------------------
 
 @query("g_01_characteristics")
@@ -539,7 +546,7 @@ def _(s, d):
 @query("g_02_sparsity")
 def _(s, d):
     data = messages(s, d)
-    model = vectorize.TextVectorizer("count", max_features=500, ngram_range=(1, 1)).fit(data, "text")
+    model = vectorize.TextVectorizer("count", max_features=10_000, ngram_range=(1, 1)).fit(data, "text")
     return strategy.characteristics(model.transform(data)).select("n_features", r("data_sparsity").alias("data_sparsity"))
 
 
@@ -551,12 +558,12 @@ def _(s, d):
 
 @query("g_04_feasibility")
 def _(s, d):
-    return strategy.feasibility(vec3(s, d), "label", 64).withColumn("label_balance_score", r("label_balance_score"))
+    return strategy.feasibility(vec3(s, d), "label", width_of(vec3(s, d), "features")).withColumn("label_balance_score", r("label_balance_score"))
 
 
 @query("g_05_clustering")
 def _(s, d):
-    found = cluster.clustering_analysis(vec3(s, d), "id", n_init=3, eps=1.05)
+    found = cluster.clustering_analysis(vec3(s, d), "id", eps=1.05)
     rows = [(k, float(v), k == found["optimal_k"]) for k, v in found["silhouette_scores"].items()]
     return s.createDataFrame(rows, "k int, silhouette double, is_best boolean")
 
@@ -588,7 +595,7 @@ def _(s, d):
 
 @query("g_10_recommend_unlabelled")
 def _(s, d):
-    return strategy.recommendation_frame(s, strategy.recommend(vec3(s, d), "id", max_clusters=4, n_init=1))
+    return strategy.recommendation_frame(s, strategy.recommend(vec3(s, d), "id"))
 
 
 @query("g_11_strategy_report")
@@ -637,6 +644,18 @@ def _(s, d):
     return split.group_split(_events(s, d), "user_id", 0.25, max_groups=40).select("event_id", "user_id", "split")
 
 
+@query("p_03_temporal_split_missing")
+def _(s, d):
+    missing = _events(s, d).withColumn("ts", F.when(F.col("event_id") % 4 != 0, F.col("ts")))
+    return split.temporal_split(missing, "ts", "event_id").select("event_id", "split")
+
+
+@query("p_04_group_split_nulls")
+def _(s, d):
+    some = _events(s, d).withColumn("user_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")))
+    return split.group_split(some, "user_id").select("event_id", F.coalesce("user_id", F.lit(-1)).alias("user_id"), "split")
+
+
 @query("p_05_cross_validation")
 def _(s, d):
     return split.cross_validation(_lang_docs(s, d), "lang", "id")
@@ -689,19 +708,19 @@ def _model(name: str, params: dict | None = None):
 
 
 QUERIES["m_01_random_forest"] = _model("random_forest")
-QUERIES["m_02_gradient_boosting"] = _model("gradient_boosting", {"n_estimators": 20})
+QUERIES["m_02_gradient_boosting"] = _model("gradient_boosting")
 QUERIES["m_03_logistic_regression"] = _model("logistic_regression")
 QUERIES["m_04_svm"] = _model("svm")
 QUERIES["m_07_decision_tree"] = _model("decision_tree")
 QUERIES["m_08_mlp"] = _model("mlp")
-QUERIES["m_09_xgboost"] = _model("xgboost", {"n_estimators": 10})
-QUERIES["m_10_lightgbm"] = _model("lightgbm", {"n_estimators": 10})
+QUERIES["m_09_xgboost"] = _model("xgboost")
+QUERIES["m_10_lightgbm"] = _model("lightgbm")
 
 
 @query("m_05_naive_bayes_log_probabilities")
 def _(s, d):
     data = texts(s, d).select(F.col("doc_id").alias("id"), "lang", F.lower("text").alias("text"))
-    vectorizer = vectorize.TextVectorizer("count", max_features=200, ngram_range=(1, 1)).fit(data, "text")
+    vectorizer = vectorize.TextVectorizer("count", max_features=10_000, ngram_range=(1, 1)).fit(data, "text")
     coded = labels.encode_labels(vectorizer.transform(data), ["lang"]).withColumnRenamed("lang_encoded", "label")
     bench = models.ModelBench()
     bench.fit(coded.select("id", "features", "label"), "naive_bayes")
@@ -786,7 +805,7 @@ def _(s, d):
 @query("x_05_script_forest")
 def _(s, d):
     parts = settle_table(variants.script_split(vec3(s, d)), "parts")
-    bench = variants.script_forest(parts.filter("split = 'train'").drop("split"), trees=200)
+    bench = variants.script_forest(parts.filter("split = 'train'").drop("split"))
     return bench.predict(parts.filter("split = 'test'").drop("split"))
 
 
@@ -877,44 +896,41 @@ def _(s, d):
 
 # ---- O and X: the whole flow -----------------------------------------------------------
 
-SPREAD = {"preprocessing": {"partitions": CLEAN_PARTITIONS}}
-LIGHT = {**SPREAD, "vectorization": {"max_features": 500}, "modeling": {"models": ["logistic_regression", "naive_bayes"]}}
+COMPAT = {"modeling": {"compat_order": True}}
 
 
 @query("o_01_full_flow")
 def _(s, d):
-    return flow.TicketFlow(flow.load_config(LIGHT)).fit(tickets_view(s, d)).comparison()
+    return flow.TicketFlow(flow.load_config()).fit(tickets_view(s, d)).comparison()
 
 
 @query("o_01_compat_order")
 def _(s, d):
-    config = flow.load_config({**LIGHT, "modeling": {**LIGHT["modeling"], "compat_order": True}})
-    result = flow.TicketFlow(config).fit(tickets_view(s, d))
+    result = flow.TicketFlow(flow.load_config(COMPAT)).fit(tickets_view(s, d))
     return s.createDataFrame([(result.rows, result.train_rows, result.test_rows)], "rows bigint, train_rows bigint, test_rows bigint")
 
 
 @query("o_03_data_steps")
 def _(s, d):
-    prepared, _ = flow.TicketFlow(flow.load_config(SPREAD)).prepare(tickets_view(s, d))
+    prepared, _ = flow.TicketFlow(flow.load_config()).prepare(tickets_view(s, d))
     return prepared.groupBy("y2", "y1", "y2_encoded", "y1_encoded").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("ts")).alias("ts_chars"), F.sum(F.length("ic")).alias("ic_chars"))
 
 
 @query("o_03_translated_steps")
 def _(s, d):
-    prepared, _ = flow.TicketFlow(flow.load_config({**SPREAD, "translation": {"enable": True}})).prepare(
+    prepared, _ = flow.TicketFlow(flow.load_config({"translation": {"enable": True}})).prepare(
         tickets_view(s, d), translate_fn=stub_translation, lang_col="Type 1")
     return prepared.select("id", F.md5("ts").alias("ts_md5"), F.md5("ic").alias("ic_md5"))
 
 
 def _fitted(s, d):
-    return flow.TicketFlow(flow.load_config(LIGHT)).fit(tickets_view(s, d)).model
+    return flow.TicketFlow(flow.load_config()).fit(tickets_view(s, d)).model
 
 
 @query("o_04_stream_scoring")
 def _(s, d):
     model, source = _fitted(s, d), table(s, d, "conversations")
-    model.config["preprocessing"]["partitions"] = None
     stream = messages_as_tickets(ticket_stream(s, d, source.schema, "conversations.parquet"), "text", ["conv_id", "turn"])
     path = scratch_path(s, "scored")
     score_stream(model, stream, ["conv_id", "turn"], path).awaitTermination()
@@ -930,7 +946,7 @@ def _(s, d):
 
 @query("x_03_script_cleaning")
 def _(s, d):
-    out = variants.script_cleaning(clean.spread_input(variants.script_selection(tickets_view(s, d)), CLEAN_PARTITIONS), 45)
+    out = variants.script_cleaning(clean.spread_input(variants.script_selection(tickets_view(s, d))), 45)
     return out.select("id", "y", F.md5("ts").alias("ts_md5"), F.md5("ic").alias("ic_md5"))
 
 
@@ -942,10 +958,10 @@ def _(s, d):
 def flagship(spark: SparkSession, sf_dir: str, min_count: int = 10) -> DataFrame:
     """Select, clean, filter by class frequency, and count the target classes."""
     out = select.drop_empty_targets(select.name_labels(select.text_types(tickets_view(spark, sf_dir))))
-    out = clean.preprocess(out, partitions=CLEAN_PARTITIONS).select("id", "y1", "y", F.length("ic").alias("chars"))
-    out = settle_table(out, "cleaned")
-    counts = select.frequent_classes(out, "y1", min_count).groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("ic_chars"))
-    return counts
+    pairs = clean.preprocess(out).groupBy("y1", "y").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("ic")).alias("ic_chars"))
+    total = F.sum("n").over(W.partitionBy("y1"))  # over the small table of class pairs
+    kept = pairs.where(F.col("y1").isNotNull()).withColumn("total", total).where(F.col("total") > min_count)
+    return kept.groupBy("y").agg(F.sum("n").alias("n"), F.sum("ic_chars").alias("ic_chars"))
 
 
 QUERIES["d_00_flagship"] = flagship

@@ -27,8 +27,8 @@ from ticketloom.sources.tickets import INTERACTION, SUMMARY, read_tickets_csv
 # Configuration sections and their defaults.
 DEFAULT_CONFIG = {
     "data_selection": {"filter_frequency": True, "min_samples_per_class": 10, "frequency_column": "y1"},
-    "translation": {"enable": False, "max_chars": 500},
-    "preprocessing": {"clean_summary": True, "clean_interaction": True, "partitions": None},
+    "translation": {"enable": False, "max_chars": None},
+    "preprocessing": {"clean_summary": True, "clean_interaction": True, "spread": True},
     "vectorization": {"method": "tfidf", "max_features": 10000, "ngram_range": [1, 2]},
     "sampling": {"enable": True, "method": "auto"},
     "data_split": {"test_size": 0.2, "stratify": True, "method": "basic", "time_column": None, "group_column": None},
@@ -73,7 +73,7 @@ def clean_step(df: DataFrame, config: dict, registry: NoiseRegistry | None = Non
     as_is = lambda c: F.coalesce(c, F.lit(""))
     ts = clean_summary(summary, registry) if section["clean_summary"] else as_is(summary)
     ic = clean_interaction(interaction, registry) if section["clean_interaction"] else as_is(interaction)
-    return with_cleaned(spread_input(df, section["partitions"]), ts, ic, drop_empty=drop_empty)
+    return with_cleaned(spread_input(df) if section["spread"] else df, ts, ic, drop_empty=drop_empty)
 
 
 def structure_step(df: DataFrame, target: str) -> tuple[DataFrame, list[str]]:

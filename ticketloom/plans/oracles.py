@@ -77,7 +77,7 @@ probs AS (SELECT id, label, c, ('0x' || substr(md5('p|' || id || '|' || c), 1, 8
   FROM coded, (SELECT unnest([0, 1, 2, 3]) AS c)),
 predictions AS (SELECT id, label, CAST(c AS INTEGER) AS prediction FROM probs QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, c) = 1)"""
 
-MESSAGES = "messages AS (SELECT conv_id * 1000 + turn AS id, role, text FROM conversations)"
+MESSAGES = "messages AS (SELECT conv_id || ':' || turn AS id, role, text FROM conversations)"
 
 
 def _words(text: str) -> str:
@@ -141,7 +141,7 @@ ORACLES["d_06_process_data"] = f"""WITH {_selected()}
 SELECT 'rows' AS metric, '' AS key, count(*) AS value FROM selected
 UNION ALL SELECT 'columns', '', 13 UNION ALL {DISTRIBUTIONS}"""
 
-ORACLES["t_01_translate_column"] = f"""WITH {TICKETS}, l AS (SELECT id, {_given('summary')} AS given, min(type1) OVER (PARTITION BY summary) AS lang FROM tickets),
+ORACLES["t_01_translate_column"] = f"""WITH {TICKETS}, l AS (SELECT id, summary AS given, min(type1) OVER (PARTITION BY summary) AS lang FROM tickets),
 o AS (SELECT id, CASE WHEN lang = 'en' THEN given ELSE concat('<', lang, '> ', given) END AS t FROM l)
 SELECT id, md5(t) AS translated_md5, length(t) AS chars FROM o"""
 
@@ -156,8 +156,7 @@ SELECT code, {_mapped('code')} AS mapped, count(*) AS n FROM c GROUP BY code"""
 PROFILES = f"""words AS (SELECT DISTINCT doc_id AS id, lang, unnest({_words('lower(text)')}) AS word FROM documents),
 counts AS (SELECT lang, word, count(*) AS docs FROM words GROUP BY lang, word),
 sizes AS (SELECT lang, count(*) AS total FROM documents GROUP BY lang),
-profiles AS (SELECT c.lang, word, (docs * 1000000) // total AS weight FROM (
-  SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY lang ORDER BY docs DESC, word) <= 2000) c JOIN sizes s ON c.lang = s.lang)"""
+profiles AS (SELECT c.lang, word, (docs * 1000000) // total AS weight FROM counts c JOIN sizes s ON c.lang = s.lang)"""
 
 ORACLES["t_05_language_profiles"] = f"WITH {PROFILES} SELECT lang, word, weight FROM profiles"
 
@@ -166,7 +165,7 @@ scores AS (SELECT w.id, p.lang, CAST(sum(weight) AS BIGINT) AS score FROM words
 best AS (SELECT id, lang FROM scores QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) = 1)
 SELECT d.doc_id AS id, d.lang, b.lang AS detected FROM documents d LEFT JOIN best b ON d.doc_id = b.id"""
 
-ORACLES["t_06_translation_memo"] = f"""WITH g AS (SELECT {_given('text')} AS text, lang FROM documents WHERE text <> ''),
+ORACLES["t_06_translation_memo"] = f"""WITH g AS (SELECT text, lang FROM documents WHERE text <> ''),
 a AS (SELECT text, min(lang) AS lang FROM g WHERE lang IN ('fr', 'de') GROUP BY text),
 b AS (SELECT text, min(lang) AS lang FROM g WHERE text NOT IN (SELECT text FROM a) GROUP BY text),
 m AS (SELECT * FROM a UNION ALL SELECT * FROM b)
@@ -210,7 +209,7 @@ _CODE = lambda c: f"CAST(dense_rank() OVER (ORDER BY coalesce({c}, 'nan')) - 1 A
 ORACLES["s_04_encode_labels"] = f"WITH {ORDER_LABELS} SELECT id, " + ", ".join(f"{_CODE(c)} AS {c}_encoded" for c in LEVELS) + " FROM order_labels"
 
 ORACLES["s_04_transform_only"] = f"""WITH {ORDER_LABELS}, e AS (SELECT id, status, {_CODE('priority')} AS priority_encoded FROM order_labels)
-SELECT id, priority_encoded FROM e WHERE status = 'F'"""
+SELECT id, priority_encoded FROM e"""
 
 ORACLES["s_05_class_mapping"] = f"""WITH {ORDER_LABELS}, {LONG_LEVELS}, c AS (SELECT DISTINCT "column", coalesce(value, 'nan') AS class FROM levels)
 SELECT "column", class, CAST(row_number() OVER (PARTITION BY "column" ORDER BY class) - 1 AS INTEGER) AS code FROM c"""
@@ -273,17 +272,17 @@ def vector_oracles() -> dict[str, str]:
     SELECT id, CAST(len(t) AS BIGINT) AS n_terms, md5(coalesce(array_to_string(t, ','), '')) AS terms_md5 FROM terms"""
     out["v_02_count_vocabulary"] = f"WITH {_terms('documents', 'doc_id', 'lower(text)', 2, stop)}, {_vocabulary(10000)} SELECT term, tf, df FROM vocab"
     msgs = f"{MESSAGES}, {_terms('messages', 'id', 'text', 2, stop)}"
-    out["v_03_tfidf_weights"] = f"WITH {msgs}, {_vocabulary(2000)}, {_weights()} SELECT id, term, {_r('weight')} AS weight FROM weights"
+    out["v_03_tfidf_weights"] = f"WITH {msgs}, {_vocabulary(10000)}, {_weights()} SELECT id, term, {_r('weight')} AS weight FROM weights"
     singles = f"{MESSAGES}, {_terms('messages', 'id', 'text', 1, stop)}"
-    out["v_04_count_vectors"] = f"WITH {singles}, {_vocabulary(1000)} SELECT id, x.term, x.tf FROM tfs x JOIN vocab v ON x.term = v.term"
+    out["v_04_count_vectors"] = f"WITH {singles}, {_vocabulary(10000)} SELECT id, x.term, x.tf FROM tfs x JOIN vocab v ON x.term = v.term"
     out["v_05_transform_unseen"] = f"""WITH {MESSAGES}, {_terms('messages', 'id', 'text', 1, stop, ', role')},
     fit_terms AS (SELECT id, t FROM terms WHERE role = 'user'), new_terms AS (SELECT id, t FROM terms WHERE role <> 'user'),
-    {_vocabulary(500, 'fit_terms')},
+    {_vocabulary(10000, 'fit_terms')},
     n_occ AS (SELECT id, unnest(t) AS term FROM new_terms), n_tfs AS (SELECT id, term, count(*) AS tf FROM n_occ GROUP BY id, term),
     raw AS (SELECT id, x.term, x.tf * (ln((1.0::DOUBLE + (SELECT count(*) FROM fit_terms)) / (1 + v.df)) + 1) AS w FROM n_tfs x JOIN vocab v ON x.term = v.term),
     s AS (SELECT id, count(*) AS terms, sum(w) / sqrt(sum(w * w)) AS total FROM raw GROUP BY id)
     SELECT n.id, coalesce(s.terms, 0) AS terms, {_r('coalesce(total, 0.0)')} AS total FROM new_terms n LEFT JOIN s ON n.id = s.id"""
-    out["v_09_feature_importance"] = f"""WITH {msgs}, {_vocabulary(2000)}, {_weights()},
+    out["v_09_feature_importance"] = f"""WITH {msgs}, {_vocabulary(10000)}, {_weights()},
     m AS (SELECT term, sum(weight) / (SELECT count(*) FROM terms) AS importance FROM weights GROUP BY term)
     SELECT term, {_r('importance')} AS importance FROM m ORDER BY round(importance, 9) DESC, term LIMIT 20"""
     parts = []
@@ -292,14 +291,14 @@ def vector_oracles() -> dict[str, str]:
           WITH {_terms('kept', 'id', c, 2, stop)}, {_vocabulary(10000)} SELECT * FROM vocab)) AS n_features""")
     out["v_10_vectorize_frame"] = f"""WITH {_selected()}, {_cleaned('selected')}, kept AS MATERIALIZED (SELECT id, ts, ic FROM cleaned),
     each AS ({' UNION ALL '.join(parts)}) SELECT * FROM each UNION ALL SELECT 'total', max(n_rows), CAST(sum(n_features) AS BIGINT) FROM each"""
-    out["g_02_sparsity"] = f"""WITH {singles}, {_vocabulary(500)}, hits AS (SELECT count(*) AS h FROM tfs x JOIN vocab v ON x.term = v.term)
+    out["g_02_sparsity"] = f"""WITH {singles}, {_vocabulary(10000)}, hits AS (SELECT count(*) AS h FROM tfs x JOIN vocab v ON x.term = v.term)
     SELECT (SELECT count(*) FROM vocab) AS n_features, {_r('1.0::DOUBLE - h / ((SELECT count(*) FROM terms) * (SELECT count(*) FROM vocab))::DOUBLE')} AS data_sparsity FROM hits"""
     texts = "texts AS (SELECT id, lower(text) AS ic, lower(role || ' ' || text) AS ts_en FROM messages)"
     parts = [f"""SELECT '{c}_tfidf' AS vectorizer, (SELECT count(*) FROM texts) AS n_rows, (SELECT count(*) FROM (
       WITH {_terms('texts', 'id', c, 1, None)}, {_vocabulary(2000, min_df=4, max_df='0.9')} SELECT * FROM vocab)) AS n_features""" for c in ("ic", "ts_en")]
     out["x_02_script_vectors"] = f"""WITH {MESSAGES}, {texts}, each AS ({' UNION ALL '.join(parts)})
     SELECT * FROM each UNION ALL SELECT 'total', max(n_rows), CAST(sum(n_features) AS BIGINT) FROM each"""
-    out["m_05_naive_bayes_log_probabilities"] = f"""WITH {_terms('documents', 'doc_id', 'lower(text)', 1, stop, ', lang')}, {_vocabulary(200)},
+    out["m_05_naive_bayes_log_probabilities"] = f"""WITH {_terms('documents', 'doc_id', 'lower(text)', 1, stop, ', lang')}, {_vocabulary(10000)},
     langs AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label FROM (SELECT DISTINCT lang FROM documents)),
     frame AS (SELECT l.label, l.lang, v.term FROM langs l CROSS JOIN vocab v),
     hits AS (SELECT d.lang, x.term, sum(x.tf) AS n FROM tfs x JOIN documents d ON x.id = d.doc_id JOIN vocab v ON x.term = v.term GROUP BY d.lang, x.term),
@@ -341,7 +340,7 @@ SELECT id, r.lang, split_no, CASE WHEN rn <= quota THEN 'test' ELSE 'train' END
 
 
 def _temporal(test: str, validation: str) -> str:
-    return f"""tr AS (SELECT *, row_number() OVER (ORDER BY ts, md5('42|' || event_id), event_id) AS rn, count(*) OVER () AS n FROM events),
+    return f"""tr AS (SELECT *, row_number() OVER (ORDER BY ts NULLS LAST, md5('42|' || event_id), event_id) AS rn, count(*) OVER () AS n FROM events),
     tt AS (SELECT *, CAST(floor(n * CAST({test} AS DOUBLE)) AS BIGINT) AS n_test, CAST(floor(n * CAST({validation} AS DOUBLE)) AS BIGINT) AS n_val FROM tr),
     parts AS (SELECT *, CASE WHEN rn <= n - n_test - n_val THEN 'train' WHEN rn <= n - n_test THEN 'validation' ELSE 'test' END AS split FROM tt)"""
 
@@ -349,14 +348,21 @@ def _temporal(test: str, validation: str) -> str:
 ORACLES["p_03_temporal_split"] = f"WITH {_temporal('0.2', '0.1')} SELECT event_id, split FROM parts"
 
 
-def _groups(test: str, cap: str) -> str:
-    return f"""WITH g AS (SELECT user_id, row_number() OVER (ORDER BY md5('42|' || user_id), user_id) AS rn, least(count(*) OVER (), {cap}) AS kept
-    FROM (SELECT DISTINCT user_id FROM events))
+ORACLES["p_03_temporal_split_missing"] = f"""WITH given AS (SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN ts END AS ts FROM main.events),
+events AS (SELECT * FROM given), {_temporal('0.2', '0.1')} SELECT event_id, split FROM parts"""
+
+
+def _groups(test: str, cap: str, user: str = "user_id") -> str:
+    return f"""WITH ev AS (SELECT event_id, {user} AS user_id FROM events),
+    g AS (SELECT user_id, row_number() OVER (ORDER BY md5('42|' || coalesce(CAST(user_id AS VARCHAR), 'null group')), user_id) AS rn, least(count(*) OVER (), {cap}) AS kept
+    FROM (SELECT DISTINCT user_id FROM ev))
     SELECT event_id, e.user_id, CASE WHEN rn <= floor(kept * CAST({test} AS DOUBLE)) THEN 'test' ELSE 'train' END AS split
-    FROM events e JOIN g ON e.user_id = g.user_id WHERE rn <= kept"""
+    FROM ev e JOIN g ON e.user_id IS NOT DISTINCT FROM g.user_id WHERE rn <= kept"""
 
 
 ORACLES["p_04_group_split"] = _groups("0.2", "1000000000")
+_SOME_GROUPS = _groups("0.2", "1000000000", "CASE WHEN event_id % 7 <> 0 THEN user_id END")
+ORACLES["p_04_group_split_nulls"] = f"SELECT event_id, coalesce(user_id, -1) AS user_id, split FROM ({_SOME_GROUPS})"
 ORACLES["p_04_group_split_capped"] = _groups("0.25", "40")
 
 ORACLES["p_05_cross_validation"] = f"""WITH {LANG_DOCS} SELECT id, lang,
@@ -426,6 +432,7 @@ PAIRS = """dist AS (SELECT a.id, a.label, b.id AS nn_id, b.label AS nn_label, ro
 NN = "nn AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, nn_id) AS nn_rank FROM dist)"
 
 ORACLES["n_01_nearest_neighbours"] = f"WITH {VEC3}, {PAIRS}, {NN} SELECT id, CAST(nn_rank AS INTEGER) AS nn_rank, nn_id, distance FROM nn WHERE nn_rank <= 5"
+ORACLES["n_01_approximate_counts"] = "SELECT vec_id AS id, CAST(3 AS BIGINT) AS n, CAST(3 AS INTEGER) AS last_rank FROM embeddings"
 ORACLES["n_01_class_neighbours"] = f"""WITH {VEC3}, {PAIRS}, k AS (SELECT id, nn_id, distance, row_number() OVER (PARTITION BY id ORDER BY distance, nn_id) AS nn_rank
 FROM dist WHERE label = nn_label) SELECT id, CAST(nn_rank AS INTEGER) AS nn_rank, nn_id, distance FROM k WHERE nn_rank <= 3"""
 
@@ -611,7 +618,8 @@ _AREA_ROW = f"SELECT {_r('auc_roc')} AS auc_roc, {_r('auc_pr')} AS auc_pr FROM a
 ORACLES["e_05_binary_areas"] = f"WITH {PREDICTIONS}, {_areas('predictions', 'score')} {_AREA_ROW}"
 ORACLES["e_05_tied_scores"] = f"WITH {PREDICTIONS}, {_areas('predictions', 'round(score, 1)')} {_AREA_ROW}"
 ORACLES["e_05_precision_recall_curve"] = f"""WITH {PREDICTIONS}, {_areas('predictions', 'score')}
-SELECT {_r('score')} AS threshold, {_r('tp / (tp + fp)::DOUBLE')} AS precision, {_r('tp / p::DOUBLE')} AS recall FROM cum"""
+SELECT {_r('score')} AS threshold, {_r('tp / (tp + fp)::DOUBLE')} AS precision, {_r('tp / p::DOUBLE')} AS recall FROM cum
+UNION ALL SELECT NULL, 1.0, 0.0"""
 
 _OVR = """st AS (SELECT c AS class, score, sum(CASE WHEN label = c THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = c THEN 0 ELSE 1 END) AS neg FROM probs GROUP BY c, score),
 cu AS (SELECT *, sum(neg) OVER (PARTITION BY class ORDER BY score DESC) AS fp, sum(neg) OVER (PARTITION BY class) AS q, sum(pos) OVER (PARTITION BY class) AS p FROM st),
@@ -640,7 +648,7 @@ ORACLES["o_03_data_steps"] = f"""WITH {_selected()}, {_cleaned('selected')},
 e AS (SELECT *, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INTEGER) AS y2_encoded, CAST(dense_rank() OVER (ORDER BY y1) - 1 AS INTEGER) AS y1_encoded FROM cleaned)
 SELECT y AS y2, y1, y2_encoded, y1_encoded, count(*) AS n, CAST(sum(length(ts)) AS BIGINT) AS ts_chars, CAST(sum(length(ic)) AS BIGINT) AS ic_chars FROM e GROUP BY ALL"""
 
-ORACLES["o_03_translated_steps"] = f"""WITH {_selected()}, l AS (SELECT id, y, interaction, {_given('summary')} AS given, min(y1) OVER (PARTITION BY summary) AS lang FROM selected),
+ORACLES["o_03_translated_steps"] = f"""WITH {_selected()}, l AS (SELECT id, y, interaction, summary AS given, min(y1) OVER (PARTITION BY summary) AS lang FROM selected),
 tr AS (SELECT id, interaction, CASE WHEN lang = 'en' THEN given ELSE concat('<', lang, '> ', given) END AS summary FROM l),
 {_cleaned('tr')} SELECT id, md5(ts) AS ts_md5, md5(ic) AS ic_md5 FROM cleaned"""
 

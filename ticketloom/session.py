@@ -80,16 +80,20 @@ def settle_table(df: DataFrame, name: str) -> DataFrame:
 
 
 SMALL_ROWS = 20_000
+SMALL_BYTES = 8_000_000
 
 
-def measured(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def measured(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Turn a table that proves small into a broadcastable local one.
 
-    For class tables, cut points and bucket counts: computed once, checked against
-    ``max_rows``, then broadcast, which spares the large side a shuffle. A larger table is
-    returned as it was and is joined by shuffle.
+    For class tables, cut points and bucket counts: read up to ``max_rows`` rows, checked by
+    rows and by bytes, then broadcast, which spares the large side a shuffle. A larger table
+    stays cached, so what was computed to find out is not computed again, and is joined by
+    shuffle.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
+    kept = df.persist()
+    rows = kept.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
+        return kept
+    kept.unpersist()
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
