@@ -62,18 +62,31 @@ def _with_scores(classes: DataFrame) -> DataFrame:
     return scored.withColumn("f1_score", _ratio(2 * F.col("precision") * F.col("recall"), both))
 
 
-def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Counts and scores of the classes that occur as true labels."""
+def _named(column: Column, class_names: list[str] | None) -> Column:
+    """The name of a class code; the code itself where there is no name."""
+    code = column.cast("string")
+    if not class_names:
+        return code
+    return F.coalesce(F.create_map(*[F.lit(x) for i, name in enumerate(class_names) for x in (str(i), name)])[code], code)
+
+
+def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction", class_names: list[str] | None = None) -> DataFrame:
+    """Counts and scores of the classes that occur as true labels; ``class_names`` in code order add ``class_name``."""
+    out = _per_class(df, label, prediction)
+    return out.withColumn("class_name", _named(F.col("class"), class_names)) if class_names else out
+
+
+def _per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return _with_scores(_class_table(df, label, prediction)).filter(F.col("support") > 0).select(
         F.col("class"), "precision", "recall", "f1_score", "support",
         F.col("tp").alias("true_positives"), F.col("fp").alias("false_positives"),
         F.col("tn").alias("true_negatives"), F.col("fn").alias("false_negatives"))
 
 
-def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Scores per class plus ``accuracy``, ``macro avg`` and ``weighted avg`` rows."""
+def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction", class_names: list[str] | None = None) -> DataFrame:
+    """Scores per class, by name where ``class_names`` (in code order) are given, plus ``accuracy``, ``macro avg`` and ``weighted avg`` rows."""
     classes = _with_scores(_class_table(df, label, prediction))
-    rows = classes.select(F.col("class").cast("string").alias("name"), "precision", "recall", "f1_score", "support")
+    rows = classes.select(_named(F.col("class"), class_names).alias("name"), "precision", "recall", "f1_score", "support")
     total = F.sum("support")
     weigh = lambda c: F.sum(F.col(c) * F.col("support")) / total
     macro = classes.agg(F.lit("macro avg").alias("name"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),

@@ -114,9 +114,10 @@ def stratified_groups(df: DataFrame, label: str, id_col: str, group_size: int =
 
 
 def data_summary(df: DataFrame, label_columns: list[str]) -> DataFrame:
-    """Rows, column roles, null counts and types as ``(metric, key, value)`` strings.
+    """Rows, column roles, null counts, types and label distributions as ``(metric, key, value)`` strings.
 
-    One aggregate over the table yields every count; it is then turned into rows.
+    One aggregate over the table yields every count; it is then turned into rows. The label
+    columns are counted together; the key of a label's count is ``column=value``.
     """
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"null_{i}") for i, c in enumerate(df.columns)]
@@ -129,4 +130,10 @@ def data_summary(df: DataFrame, label_columns: list[str]) -> DataFrame:
             F.struct(F.lit("missing_values").alias("metric"), F.lit(name).alias("key"), F.coalesce(F.col(f"null_{i}"), F.lit(0)).cast("string").alias("value")),
             F.struct(F.lit("data_type").alias("metric"), F.lit(name).alias("key"), F.lit(dtype).alias("value")),
         ]
-    return one.select(F.explode(F.array(*items)).alias("i")).select("i.*")
+    facts = one.select(F.explode(F.array(*items)).alias("i")).select("i.*")
+    present = [c for c in label_columns if c in df.columns]
+    if not present:
+        return facts
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in present])).alias("p")
+    counts = df.select(pairs).filter("p.v is not null").groupBy("p.c", "p.v").agg(F.count(F.lit(1)).alias("n"))
+    return facts.unionByName(counts.select(F.lit("label_distribution").alias("metric"), F.concat_ws("=", "c", "v").alias("key"), F.col("n").cast("string").alias("value")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -21,11 +22,9 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +33,7 @@ from ticketloom.functions.vectors import as_vector, width_of
 from ticketloom.operators.evaluate import classification_report, confusion_matrix, summary_metrics
 from ticketloom.operators.neighbours import neighbours
 from ticketloom.operators.split import cross_validation
+from ticketloom.session import settle_table
 
 SEED = 42
 MAX_TREE_DEPTH = 30
@@ -110,6 +110,9 @@ def _perceptron(df: DataFrame, p: dict) -> Estimator:
     return MultilayerPerceptronClassifier(layers=layers, maxIter=p["max_iter"], seed=SEED)
 
 
+SCORINGS = {"accuracy": "accuracy", "f1": "f1_score", "f1_weighted": "f1_score", "precision_weighted": "precision", "recall_weighted": "recall"}
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     """How a registry entry becomes an estimator for a given training table."""
@@ -131,7 +134,7 @@ def available_models() -> dict[str, ModelSpec]:
         "naive_bayes": ModelSpec(lambda df, p: NaiveBayes(modelType="multinomial", smoothing=p["alpha"]), {"alpha": 1.0}, "Multinomial counts with additive smoothing"),
         "knn": ModelSpec(None, {"n_neighbors": 5}, "Vote of the closest training rows"),
         "decision_tree": ModelSpec(
-            lambda df, p: DecisionTreeClassifier(maxDepth=_depth(p), seed=SEED), {"max_depth": MAX_TREE_DEPTH}, "One tree grown to the full depth"),
+            lambda df, p: DecisionTreeClassifier(maxDepth=_depth(p), maxBins=p["max_bins"], seed=SEED), {"max_depth": MAX_TREE_DEPTH, "max_bins": 32}, "One tree grown to the full depth"),
         "mlp": ModelSpec(_perceptron, {"max_iter": 1000, "hidden": [100]}, "Feed-forward network, one hidden layer"),
         "xgboost": ModelSpec(_boosted, {**boosted, "max_depth": 6, "learning_rate": 0.3}, "Boosted trees, deeper preset"),
         "lightgbm": ModelSpec(_boosted, {**boosted, "max_depth": 5, "max_bins": 128, "subsample": 0.8}, "Boosted trees, fine-binned preset"),
@@ -190,6 +193,7 @@ class ModelBench:
 
     trained: dict[str, Trained] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    fold_scores: dict[str, list] = field(default_factory=dict)
     best: str | None = None
 
     def fit(self, train: DataFrame, name: str, params: dict | None = None, validation: DataFrame | None = None) -> Trained:
@@ -200,7 +204,7 @@ class ModelBench:
         merged = {**spec.params, **(params or {})}
         data = as_vector(train, "features").withColumn("label", F.col("label").cast("double"))
         begun = time.time()
-        model = NeighbourModel(data, merged["n_neighbors"]) if spec.make is None else spec.make(data, merged).fit(data)
+        model = self._make(spec, data, merged)
         seconds = time.time() - begun
         seen = summary_metrics(model.transform(data)).first()
         result = Trained(name, model, merged, seconds, seen["accuracy"], train_f1=seen["f1_score"])
@@ -239,29 +243,42 @@ class ModelBench:
     ) -> Trained:
         """Exhaustive search by k-fold mean score; the best is refitted as ``<name>_tuned``.
 
-        ``grid`` names parameters of the Spark estimator. The folds are a column of the
-        table, stratified and the same in every run.
+        ``grid`` names registry parameters, so every model of the registry can be tuned.
+        ``scoring`` is one of ``SCORINGS``. The folds are a column of the table, stratified and
+        the same in every run; ``fold_scores`` keeps the score of each candidate on each fold.
         """
         registry = available_models()
-        if name not in registry or registry[name].make is None:
+        if name not in registry:
             raise ValueError(f"Model '{name}' is not available")
+        unknown = set(grid) - set(registry[name].params)
+        if unknown:
+            raise ValueError(f"unknown parameters of {name}: {sorted(unknown)}")
+        if scoring not in SCORINGS:
+            raise ValueError(f"unknown scoring '{scoring}', choose from {sorted(SCORINGS)}")
         data = as_vector(train, "features").withColumn("label", F.col("label").cast("double"))
-        folded = cross_validation(data, "label", "id", folds).cache()
-        estimator = registry[name].make(folded, registry[name].params)
-        builder = ParamGridBuilder()
-        for key, values in grid.items():
-            builder = builder.addGrid(estimator.getParam(key), values)
-        metric = {"accuracy": "accuracy", "f1_weighted": "f1", "f1": "f1"}[scoring]
-        search = CrossValidator(estimator=estimator, estimatorParamMaps=builder.build(), parallelism=parallelism, foldCol="fold",
-                                numFolds=folds, evaluator=MulticlassClassificationEvaluator(metricName=metric))
-        begun = time.time()
-        found = search.fit(folded)
-        best = max(range(len(found.avgMetrics)), key=lambda i: found.avgMetrics[i])
-        chosen = {p.name: v for p, v in search.getEstimatorParamMaps()[best].items()}
-        seen = summary_metrics(found.bestModel.transform(folded)).first()
-        folded.unpersist()
-        return self._remember(Trained(f"{name}_tuned", found.bestModel, registry[name].params, time.time() - begun, seen["accuracy"],
-                                      val_accuracy=found.avgMetrics[best], train_f1=seen["f1_score"], best_params=chosen))
+        folded = settle_table(cross_validation(data, "label", "id", folds), "folds")
+        candidates = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+        def score(job: tuple[int, int]) -> float:
+            candidate, fold = job
+            model = self._make(registry[name], folded.filter(F.col("fold") != fold).drop("fold"), {**registry[name].params, **candidates[candidate]})
+            return float(summary_metrics(model.transform(folded.filter(F.col("fold") == fold).drop("fold"))).first()[SCORINGS[scoring]])
+
+        begun, jobs = time.time(), list(itertools.product(range(len(candidates)), range(folds)))
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = dict(zip(jobs, pool.map(score, jobs)))
+        self.fold_scores[name] = [(candidates[c], fold, value) for (c, fold), value in scores.items()]
+        means = [sum(scores[c, f] for f in range(folds)) / folds for c in range(len(candidates))]
+        best = max(range(len(means)), key=means.__getitem__)
+        params = {**registry[name].params, **candidates[best]}
+        model = self._make(registry[name], folded.drop("fold"), params)
+        seen = summary_metrics(model.transform(folded.drop("fold"))).first()
+        return self._remember(Trained(f"{name}_tuned", model, params, time.time() - begun, seen["accuracy"],
+                                      val_accuracy=means[best], train_f1=seen["f1_score"], best_params=candidates[best]))
+
+    @staticmethod
+    def _make(spec: ModelSpec, data: DataFrame, params: dict):
+        return NeighbourModel(data, params["n_neighbors"]) if spec.make is None else spec.make(data, params).fit(data)
 
     def comparison(self, spark: SparkSession) -> DataFrame:
         number = lambda v: None if v is None else float(v)

@@ -194,10 +194,18 @@ def nested_cross_validation(
     return both.withColumn("role", F.when(F.col("inner_fold").isNull(), "test").otherwise("train"))
 
 
-def split_summary(df: DataFrame, label: str | None = None, time_col: str | None = None) -> DataFrame:
-    """Rows per split, with class counts or time ranges where asked."""
-    keys = ["split"] + ([label] if label else [])
+def split_summary(
+    df: DataFrame, label: str | None = None, time_col: str | None = None, group_col: str | None = None, by: tuple[str, ...] = ("split",)
+) -> DataFrame:
+    """Rows per part, with class counts, time ranges or numbers of groups where asked.
+
+    ``by`` names the columns that tell the parts: ``("split",)``, ``("split_no", "split")``,
+    ``("fold",)`` or ``("outer_fold", "inner_fold", "role")``. Null counts as one group.
+    """
+    keys = [*by] + ([label] if label else [])
     aggs = [F.count(F.lit(1)).alias("n")]
+    if group_col:
+        aggs.append((F.countDistinct(group_col) + F.max(F.col(group_col).isNull().cast("long"))).alias("groups"))
     if time_col:
         aggs += [F.min(time_col).alias("first_time"), F.max(time_col).alias("last_time")]
     return df.groupBy(*keys).agg(*aggs)

@@ -269,15 +269,19 @@ class FrameVectors:
     def shapes(self, df: DataFrame) -> DataFrame:
         """``(vectorizer, n_rows, n_features)`` per column and in total."""
         n = df.count()
-        widths = [(f"{c}_{m.params.kind}", n, len(m.terms)) for c, m in self.models.items()]
+        width = lambda m: (m.params.kind, len(m.terms)) if isinstance(m, TextVectorModel) else ("embedding", m.model.getVectorSize())
+        widths = [(f"{c}_{width(m)[0]}", n, width(m)[1]) for c, m in self.models.items()]
         total = sum(w for _, _, w in widths) if self.combine == "concatenate" else widths[0][2]
         return df.sparkSession.createDataFrame(widths + [("total", n, total)], "vectorizer string, n_rows bigint, n_features bigint")
 
 
 def vectorize_frame(
-    df: DataFrame, text_columns: list[str], configs: dict[str, TextVectorizer] | None = None, combine: str = "concatenate"
+    df: DataFrame, text_columns: list[str], configs: "dict[str, TextVectorizer | type[WordEmbedding]] | None" = None, combine: str = "concatenate"
 ) -> FrameVectors:
-    """Fit one vectoriser per present column; columns without a config get TF-IDF."""
+    """Fit one vectoriser per present column; columns without a config get TF-IDF.
+
+    The config ``WordEmbedding`` gives a column averaged word vectors.
+    """
     models = {}
     for c in [c for c in text_columns if c in df.columns]:
         models[c] = (configs or {}).get(c, TextVectorizer()).fit(df, c, f"_{c}_features")

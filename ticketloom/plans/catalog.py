@@ -286,6 +286,21 @@ def _(s, d):
     return labels.stratified_groups(order_labels(s, d), "priority", "id").select("id", "priority", "strata_group")
 
 
+@query("p_08_group_summary")
+def _(s, d):
+    return split.split_summary(split.group_split(_events(s, d), "user_id"), group_col="user_id")
+
+
+@query("p_08_stratified_summary")
+def _(s, d):
+    return split.split_summary(split.stratified_splits(_lang_docs(s, d), "lang", "id"), "lang", by=("split_no", "split"))
+
+
+@query("p_08_fold_summary")
+def _(s, d):
+    return split.split_summary(split.cross_validation(_lang_docs(s, d), "lang", "id"), by=("fold",))
+
+
 @query("s_09_data_summary")
 def _(s, d):
     return labels.data_summary(order_labels(s, d), LEVELS)
@@ -760,8 +775,22 @@ def _(s, d):
 @query("m_14_hyperparameter_tuning")
 def _(s, d):
     bench = models.ModelBench()
-    best = bench.tune(settle_table(vec3(s, d), "train"), "decision_tree", {"maxDepth": [2, 5], "maxBins": [16, 32]})
-    return s.createDataFrame([(best.name, float(best.val_accuracy), str(best.best_params))], "model string, mean_accuracy double, params string")
+    bench.tune(settle_table(vec3(s, d), "train"), "decision_tree", {"max_depth": [2, 5], "max_bins": [16, 32]})
+    return s.createDataFrame([(c["max_depth"], c["max_bins"], fold, score) for c, fold, score in bench.fold_scores["decision_tree"]],
+                             "max_depth int, max_bins int, fold int, accuracy double")
+
+
+@query("m_14_tuning_grid")
+def _(s, d):
+    """What is determined of a search: its grid, its folds, and that the best mean is the one reported."""
+    bench, rows = models.ModelBench(), []
+    data = settle_table(vec3(s, d), "train")
+    for name, grid, scoring in [("knn", {"n_neighbors": [1, 5]}, "accuracy"), ("naive_bayes", {"alpha": [0.5, 1.0]}, "precision_weighted"), ("decision_tree", {"max_depth": [2, 4]}, "f1_weighted")]:
+        best = bench.tune(data.withColumn("features", F.transform("features", lambda x: x + 10)), name, grid, 3, scoring)
+        scores = bench.fold_scores[name]
+        means = [sum(v for c, _, v in scores if c == one) / 3 for one in {str(c): c for c, _, _ in scores}.values()]
+        rows.append((name, len(scores), abs(max(means) - best.val_accuracy) < 1e-12, all(0 <= v <= 1 for _, _, v in scores)))
+    return s.createDataFrame(rows, "model string, fits int, best_is_reported boolean, in_range boolean")
 
 
 @query("m_15_model_comparison")

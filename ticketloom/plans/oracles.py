@@ -229,7 +229,9 @@ _ROLES = " UNION ALL ".join(
     f"""SELECT 'role' AS metric, '{c}' AS key, '{'label' if c in LEVELS else 'feature'}' AS value
     UNION ALL SELECT 'data_type', '{c}', '{'bigint' if c == 'id' else 'string'}'
     UNION ALL SELECT 'missing_values', '{c}', CAST(count(*) - count({c}) AS VARCHAR) FROM order_labels""" for c in ("id", *LEVELS))
-ORACLES["s_09_data_summary"] = f"""WITH {ORDER_LABELS} SELECT 'total_samples' AS metric, '' AS key, CAST(count(*) AS VARCHAR) AS value FROM order_labels UNION ALL {_ROLES}"""
+_LEVEL_ROWS = "(" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value FROM order_labels" for c in LEVELS) + ")"
+ORACLES["s_09_data_summary"] = f"""WITH {ORDER_LABELS} SELECT 'total_samples' AS metric, '' AS key, CAST(count(*) AS VARCHAR) AS value FROM order_labels UNION ALL {_ROLES}
+UNION ALL SELECT 'label_distribution', "column" || '=' || value, CAST(count(*) AS VARCHAR) FROM (SELECT * FROM {_LEVEL_ROWS}) WHERE value IS NOT NULL GROUP BY "column", value"""
 
 # ---- V ---------------------------------------------------------------------------------
 
@@ -365,9 +367,13 @@ _SOME_GROUPS = _groups("0.2", "1000000000", "CASE WHEN event_id % 7 <> 0 THEN us
 ORACLES["p_04_group_split_nulls"] = f"SELECT event_id, coalesce(user_id, -1) AS user_id, split FROM ({_SOME_GROUPS})"
 ORACLES["p_04_group_split_capped"] = _groups("0.25", "40")
 
+ORACLES["p_08_group_summary"] = f"SELECT split, count(*) AS n, count(DISTINCT user_id) AS groups FROM ({ORACLES['p_04_group_split']}) GROUP BY split"
+ORACLES["p_08_stratified_summary"] = f"SELECT split_no, split, lang, count(*) AS n FROM ({ORACLES['p_02_stratified_splits']}) GROUP BY ALL"
+ORACLES["m_14_tuning_grid"] = "SELECT * FROM (VALUES ('knn', 6, true, true), ('naive_bayes', 6, true, true), ('decision_tree', 6, true, true)) t(model, fits, best_is_reported, in_range)"
 ORACLES["p_05_cross_validation"] = f"""WITH {LANG_DOCS} SELECT id, lang,
 CAST((row_number() OVER (ORDER BY lang, md5('42|' || id), id) - 1) % 5 AS INTEGER) AS fold FROM docs"""
 ORACLES["p_05_plain_folds"] = f"""WITH {LANG_DOCS} SELECT id, CAST(({_hash_rank(None, '42')} - 1) % 4 AS INTEGER) AS fold FROM docs"""
+ORACLES["p_08_fold_summary"] = f"SELECT fold, count(*) AS n FROM ({ORACLES['p_05_cross_validation']}) GROUP BY fold"
 
 ORACLES["p_06_nested_cross_validation"] = f"""WITH {LANG_DOCS},
 o AS (SELECT id, lang, (row_number() OVER (ORDER BY lang, md5('42|' || id), id) - 1) % 5 AS own FROM docs),
