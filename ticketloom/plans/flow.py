@@ -142,7 +142,7 @@ def model_step(train: DataFrame, test: DataFrame, config: dict) -> tuple[ModelBe
 
 @dataclass
 class FlowModel:
-    """A fitted flow. ``transform`` is row by row, so it serves tables and streams alike."""
+    """A fitted flow. ``transform`` is row by row, so it serves tables and streams alike; only knn needs a table."""
 
     config: dict
     classes: list[str]
@@ -154,6 +154,8 @@ class FlowModel:
     def transform(self, df: DataFrame, model_name: str | None = None, keep: list[str] | None = None) -> DataFrame:
         """Tickets to ``(*keep, prediction, predicted_label)``; texts are cleaned first, no row is dropped."""
         keep = keep or ["id"]
+        if df.isStreaming and isinstance(self.bench.get(model_name or self.best), NeighbourModel):
+            raise ValueError("knn joins its training rows and cannot score a stream; name another model")
         cleaned = clean_step(df, self.config, self.registry, drop_empty=False)
         scored = self.bench.get(model_name or self.best).transform(self.vectors.transform(cleaned))
         name = F.element_at(F.array(*[F.lit(c) for c in self.classes]), F.col("prediction").cast("int") + 1)
