@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from ticketloom import session
 from ticketloom.operators import anomaly, clean, evaluate, models, neighbours, split, translate, vectorize
 from ticketloom.session import measured, settle_table
 
@@ -103,3 +104,9 @@ def test_class_names_and_embedding_shapes(spark):
     fitted = vectorize.vectorize_frame(texts, ["a", "b"], {"a": vectorize.WordEmbedding, "b": vectorize.TextVectorizer("count", min_df=1, max_df=1.0)})
     shapes = {r["vectorizer"]: r["n_features"] for r in fitted.shapes(texts).collect()}
     assert shapes["a_embedding"] == 64 and shapes["total"] == 64 + shapes["b_count"]
+
+
+def test_scratch_tables_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    kept = settle_table(spark.range(3), "gone")
+    assert kept.count() == 3 and session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0

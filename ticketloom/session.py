@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -53,14 +55,29 @@ def shared_folder(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="ticketloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table in the shared folder; :func:`clear_scratch` removes it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables this process wrote to the shared folder; call it when no result is read any more."""
+    gone, conf = 0, spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def settle(df: DataFrame) -> DataFrame:
