@@ -101,7 +101,9 @@ def test_translation_rules(spark):
     rows = [(1, "bonjour", "fro"), (2, "hello", "en"), (3, "", "fr"), (4, None, "fr"), (5, long_en, "en"), (6, long_fr, "kmr"),
             (7, "f" * 500, "nn"), (8, "boom", "fr"), (9, "bonjour", "fro")]
     df = spark.createDataFrame(rows, "id int, t string, lang string")
-    got = {r["id"]: r["t_en"] for r in translate.translate_column(df, "t", shout, lang_col="lang").collect()}
+    whole = {r["id"]: r["t_en"] for r in translate.translate_column(df, "t", shout, lang_col="lang").collect()}
+    assert (whole[5], whole[6]) == (long_en, "tr!" + long_fr)
+    got = {r["id"]: r["t_en"] for r in translate.translate_column(df, "t", shout, lang_col="lang", max_chars=500).collect()}
     assert got == {1: "fr!bonjour", 2: "hello", 3: "", 4: None, 5: "e" * 500 + "...", 6: "tr!" + "f" * 500 + "...", 7: "no!" + "f" * 500, 8: "boom", 9: "fr!bonjour"}
     with pytest.raises(ValueError):
         translate.translate_column(df, "missing", shout, lang_col="lang")
