@@ -108,7 +108,7 @@ def test_bench_errors_persistence_and_importance(spark, tmp_path):
     assert bench.feature_importance(spark, "knn") is None
     assert bench.comparison(spark).count() == 2 or bench.comparison(spark).count() == 3
     tuned = bench.tune(df, "decision_tree", {"max_depth": [1, 3]})
-    assert tuned.name == "decision_tree_tuned" and tuned.best_params == {"maxDepth": 3}
+    assert tuned.name == "decision_tree_tuned" and tuned.best_params == {"max_depth": 3}
 
 
 def scored(spark):
