@@ -82,7 +82,7 @@ def mean_silhouette(df: DataFrame, id_col: str, cluster: str, features: str = "f
 
 
 def kmeans_scores(
-    df: DataFrame, id_col: str, max_clusters: int = 10, n_init: int = 10, seed: int = 42, silhouette: str = "euclidean", parallelism: int = 4
+    df: DataFrame, id_col: str, max_clusters: int = 10, n_init: int = 10, seed: int = 42, silhouette: str = "squared_euclidean", parallelism: int = 4
 ) -> DataFrame:
     """``(k, silhouette)`` for k = 2.. on ``(id, features)``; best of ``n_init`` starts per k.
 
@@ -238,7 +238,7 @@ def dbscan_summary(labelled: DataFrame) -> DataFrame:
 
 
 def clustering_analysis(
-    df: DataFrame, id_col: str, features: str = "features", max_clusters: int = 10, n_init: int = 10, silhouette: str = "euclidean",
+    df: DataFrame, id_col: str, features: str = "features", max_clusters: int = 10, n_init: int = 10, silhouette: str = "squared_euclidean",
     eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES,
 ) -> dict:
     """K-means over a range of k by silhouette, and a DBSCAN count."""
