@@ -181,6 +181,39 @@ def test_language_model_empty(spark, empty):
     assert (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) == (3, 0, 0.0, 0.0)
 
 
+def test_word_net_is_normalised_and_follows_the_vocabulary(spark, monkeypatch):
+    monkeypatch.setattr(language_model.word_net, "LEAST_POSITIONS", 400_000)
+    texts = [(i, " ".join(f"w{(i + j) % 200}aa x{(i + j) % 200}bb" for j in range(40)) + f" once{i}") for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    counts = language_model.settle_table(language_model.count_words(docs), "t")
+    vocab = language_model.vocabulary(counts)
+    net = language_model.fit_words(docs, counts, vocab)
+    assert len(net.rows.words) == 400  # each frequent word has a row of its own, not only the first 94
+    places, known = net.rows.places(), {bytes(r["token"]): r["c"] for r in counts.collect()}
+    of = np.array([places[w] for w in known])
+    for a, b in ((0, 0), (0, 2), (places[b"x1"], places[b"w2"]), (places[b"once3"], 1)):
+        gain = net.gains(np.full(len(of), a), np.full(len(of), b), of)
+        assert sum(10 ** (vocab.base(c) + g) for c, g in zip(known.values(), gain)) + 10 ** vocab.base(0) == pytest.approx(1, abs=1e-4)
+    # Rare words as contexts: w<i> is always followed by x<i>, which classes of 32 endings cannot tell.
+    rare = [w for w in net.rows.words if w.startswith(b"w")]
+    before, own = np.array([places[b"x" + w[1:]] for w in rare]), np.array([places[w] for w in rare])
+    follows = net.log_p(before, own, before)
+    assert follows.mean() > math.log10(0.1)
+
+
+def test_word_net_trains_all_positions(spark, monkeypatch):
+    """Every position is trained on, and twice the corpus takes twice the steps."""
+    net, seen = language_model.word_net, []
+    monkeypatch.setattr(net, "LEAST_POSITIONS", 1)
+    for n in (300, 600):
+        docs = spark.createDataFrame([(i, f"a b c d{i % 5} e") for i in range(n)], "doc_id long, text string")
+        ids = net.encode(docs, net.model_rows({b"": n, b"a": n, b"b": n}, {}))
+        rows = [(r["turn"], len(r["ids"]) // 4 - 2) for r in ids.collect()]
+        assert {t for t, _ in rows} <= set(range(net.ROUNDS))
+        seen.append(sum(x for _, x in rows))
+    assert seen == [300 * 6, 600 * 6]
+
+
 # ---- 4 SimHash --------------------------------------------------------------------------
 
 def slow_fingerprint(text):

@@ -1,15 +1,15 @@
-"""Language-model scores: a log-bilinear model trained in numpy by noise-contrastive estimation.
+"""Language-model scores: a log-bilinear model of words by noise-contrastive estimation.
 
-Words fall into classes: each of the most frequent words is its own, the others share one by their ending. The model
-predicts the next class from the two before it: the context's representations, each times a matrix of its place, add up
-to a prediction whose products with the targets' representations are the scores. It is trained on the counts of all
-class triples of the training texts, gathered by Spark; within a class, words keep their smoothed share. So a known word
-has the log-probability
+The model of :mod:`word_net` has representations of all words seen often enough; rarer ones go by their endings and keep
+their smoothed share inside. So a known word has the log-probability
 
-    base(word) + log10 P(class | context) - log10 P(class),
+    base(word) + log10 P(row | context) - log10 P(row),
 
-which sums to one over the known words and one unknown word, whose probability is the smoothed share of no occurrence.
-Word counts are exact: those of frequent words are looked up in the task, those of rare words by a join.
+where its row is the word itself or its ending. It sums to one over the known words and one unknown word, whose
+probability is the smoothed share of no occurrence. Word counts are exact: those of frequent words are looked up in the
+task, those of rare words by a join.
+
+:func:`fit_gains` has a smaller model of the same form over 128 word classes, for comparison; no query runs it.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom.llm import word_net
 from ticketloom.llm.common import read, remainder, word_parts
 from ticketloom.session import settle_table
 
@@ -204,51 +205,88 @@ def fit_gains(train_docs: DataFrame, counts: DataFrame, words: Vocabulary, text:
     return np.where(np.isfinite(gain), gain, 0).astype(np.float32).reshape(-1)
 
 
-def score_texts(docs: DataFrame, counts: DataFrame, words: Vocabulary, gains: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fit_words(train_docs: DataFrame, counts: DataFrame, words: Vocabulary, text: str = "text") -> word_net.Net:
+    """The model of words, trained on all positions of ``train_docs``, with its rows from the table of counts.
+
+    What it holds grows with the vocabulary: some 200 bytes for each word seen ``word_net.LEAST`` times, in each task.
+    """
+    often = (F.col("c") >= word_net.LEAST) | (F.length("token") == 0)
+    table = counts.where(often).toArrow()
+    head = dict(zip(table.column("token").to_pylist(), table.column("c").to_pylist()))
+    group = (F.crc32(F.substring("token", -2, 2)) % word_net.ENDINGS).cast("int").alias("ending")
+    rare = {r["ending"]: (r["c"], r["v"]) for r in counts.where(~often).groupBy(group).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()}
+    net = word_net.fit(train_docs, word_net.model_rows(head, {i: c for i, (c, _) in rare.items()}), text)
+    types = np.ones(len(net.table))
+    types[2:2 + word_net.ENDINGS] = [rare.get(i, (0, 0))[1] for i in range(word_net.ENDINGS)]
+    mass = net.rows.counts + 0.5 * types
+    net.less = np.log10(np.where(mass > 0, mass, 1) / words.mass) - math.log10(1 - 0.5 / words.mass)
+    net.squares = {}
+    return net
+
+
+def score_texts(docs: DataFrame, counts: DataFrame, words: Vocabulary, gains: np.ndarray | word_net.Net, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every whole text, one row per row of ``docs``.
 
     A null text is empty: its only token is its end. Equal rows are scored once and come out as often as they went
     in; other columns are left out, so their names cannot clash; an empty table gives an empty result.
 
-    Frequent words are summed up in the task. Each rare word of a text becomes a row that meets its exact count by a
+    ``gains`` is a model of words or the table of a model of classes. Frequent words are summed up in the task. Each rare word of a text becomes a row that meets its exact count by a
     join on the word; as those words are rare, no key is hot.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((words, gains))  # bounded by HEAD_WORDS and CLASSES
+    shared = docs.sparkSession.sparkContext.broadcast((words, gains))  # counts of at most HEAD_WORDS, and the model
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "text_hash", "token", "n", "known", "base", "gain"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, gains = shared.value
-        of, base = _Classes(words.place).__getitem__, {w: words.base(c) for w, c in words.head.items()}
-
-        def rows(text):
-            last, tokens, known, sure, gained = [0, 0], 0, 0, [], 0.0
-            rare: dict = defaultdict(lambda: [0, 0.0])
-            for part in [*word_parts(text), [END]]:
-                ids = np.array([*last, *map(of, part)], np.int64)
-                gain = gains[(ids[:-2] * CLASSES + ids[1:-1]) * CLASSES + ids[2:]].astype(np.float64)
-                last, tokens = ids[-2:].tolist(), tokens + len(part)
+        words, model = shared.value
+        base = {w: words.base(c) for w, c in words.head.items()}
+        if isinstance(model, np.ndarray):
+            of, gain_of = _Classes(words.place).__getitem__, lambda a, b, c: model[(a * CLASSES + b) * CLASSES + c].astype(np.float64)
+        else:
+            of, gain_of = model.rows.places().__getitem__, model.gains
+
+        def sums(held: list, own: list) -> None:
+            """Adds what is held to its texts; the positions of all texts are scored together."""
+            if not held or not words.tokens:
+                gain = np.zeros(sum(len(part) for _, part, _ in held))
+            else:
+                gain = gain_of(*(np.concatenate([ids[i:len(ids) - 2 + i] for _, _, ids in held]) for i in range(3)))
+            at = 0
+            for place, part, _ in held:
+                row, gained = own[place], gain[at:at + len(part)]
+                at += len(part)
                 found = list(map(base.get, part))
+                row[1] += len(part)
+                row[2] += len(part)
                 for i in [i for i, x in enumerate(found) if x is None]:
-                    own = rare[part[i]]
-                    own[0] += 1
-                    own[1] += gain[i]
-                    gain[i] = found[i] = 0.0
-                    known -= 1
-                known += len(part)
-                sure.append(math.fsum(found))
-                gained += float(gain.sum())
-            yield None, tokens, known, math.fsum(sure), gained
-            for word, (n, gain) in rare.items():
-                yield word, n, 0, 0.0, gain
+                    rare = row[5][part[i]]
+                    rare[0] += 1
+                    rare[1] += gained[i]
+                    gained[i] = found[i] = 0.0
+                    row[2] -= 1
+                row[3].append(math.fsum(found))
+                row[4] += float(gained.sum())
+            held.clear()
 
         for whole in batches:
             for at in range(0, whole.num_rows, 128):
                 batch = whole.slice(at, 128)
-                own = [list(rows(x.as_py())) for x in batch.column(2)]
-                index = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]), pa.int64())
-                flat = list(zip(*[r for x in own for r in x]))
+                own: list = [[None, 0, 0, [], 0.0, defaultdict(lambda: [0, 0.0])] for _ in range(batch.num_rows)]
+                held, waiting = [], 0
+                for place, x in enumerate(batch.column(2)):
+                    last = [0, 0]
+                    for part in [*word_parts(x.as_py()), [END]]:
+                        ids = np.array([*last, *map(of, part)], np.int64)
+                        last, waiting = ids[-2:].tolist(), waiting + len(part)
+                        held.append((place, part, ids))
+                        if waiting > FLUSH_WORDS:
+                            sums(held, own)
+                            waiting = 0
+                sums(held, own)
+                rows = [[(None, tokens, known, math.fsum(sure), gained), *((w, n, 0, 0.0, g) for w, (n, g) in rare.items())] for _, tokens, known, sure, gained, rare in own]
+                index = pa.array(np.repeat(np.arange(len(rows)), [len(x) for x in rows]), pa.int64())
+                flat = list(zip(*[r for x in rows for r in x]))
                 kinds = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), *(pa.array(x, t) for x, t in zip(flat, kinds))], names=names)
 
@@ -271,5 +309,5 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     training = docs.where(remainder("doc_id", 5) != 1)
     counts = settle_table(count_words(training), "lm-counts")
     words = vocabulary(counts)
-    out = score_texts(docs, counts, words, fit_gains(training, counts, words))
+    out = score_texts(docs, counts, words, fit_words(training, counts, words))
     return out.select("doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
