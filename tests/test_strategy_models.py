@@ -163,3 +163,10 @@ def test_flow_end_to_end(spark, sf_dir, tmp_path):
     assert before == flow.FlowModel.load(spark, path).transform(new).orderBy("id").collect()
     with pytest.raises(ValueError):
         flow.split_step(new, flow.load_config({"data_split": {"method": "odd"}}))
+
+
+def test_several_trains_the_default_models(spark, sf_dir):
+    from ticketloom.plans import catalog
+
+    bench, _ = catalog._several(spark, sf_dir)
+    assert set(bench.trained) == {"random_forest", "logistic_regression", "svm", "naive_bayes"} and not bench.errors
