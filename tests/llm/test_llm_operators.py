@@ -191,18 +191,19 @@ def test_word_net_is_normalised_and_follows_the_vocabulary(spark, monkeypatch):
     assert len(net.rows.words) == 400  # each frequent word has a row of its own, not only the first 94
     places, known = net.rows.places(), {bytes(r["token"]): r["c"] for r in counts.collect()}
     of = np.array([places[w] for w in known])
-    for a, b in ((0, 0), (0, 2), (places[b"x1"], places[b"w2"]), (places[b"once3"], 1)):
+    for a, b in ((0, 0), (0, 2), (places[b"x1bb"], places[b"w2aa"]), (places[b"once3"], 1)):
         gain = net.gains(np.full(len(of), a), np.full(len(of), b), of)
         assert sum(10 ** (vocab.base(c) + g) for c, g in zip(known.values(), gain)) + 10 ** vocab.base(0) == pytest.approx(1, abs=1e-4)
-    # Rare words as contexts: w<i> is always followed by x<i>, which classes of 32 endings cannot tell.
+    # w<i>aa is always followed by x<i>bb; classes by ending give each of the 200 at most 1/200.
     rare = [w for w in net.rows.words if w.startswith(b"w")]
-    before, own = np.array([places[b"x" + w[1:]] for w in rare]), np.array([places[w] for w in rare])
-    follows = net.log_p(before, own, before)
-    assert follows.mean() > math.log10(0.1)
+    after, own = np.array([places[b"x" + w[1:-2] + b"bb"] for w in rare]), np.array([places[w] for w in rare])
+    previous = np.array([places[b"x%dbb" % ((int(w[1:-2]) - 1) % 200)] for w in rare])
+    follows = net.log_p(previous, own, after)
+    assert follows.mean() > math.log10(0.02)
 
 
 def test_word_net_trains_all_positions(spark, monkeypatch):
-    """Every position is trained on, and twice the corpus takes twice the steps."""
+    """Every position is dealt into a round of the training."""
     net, seen = language_model.word_net, []
     monkeypatch.setattr(net, "LEAST_POSITIONS", 1)
     for n in (300, 600):
@@ -371,6 +372,14 @@ def test_language_held_out(spark):
     assert len(got) == 10_000 and (seen.lang == seen.lang_pred).mean() > 0.99 and got.rejected.sum() <= 5
 
 
+def test_language_document_frequencies_cover_all_rows(spark):
+    texts = [(i, f"common {'ab' if i % 10 else 'xyz'} {i}", "en") for i in range(200)] + [(1000, "und so", "de"), (1001, None, "de"), (1002, "no language", None)]
+    model = langid.fit_languages(spark.createDataFrame(texts, "doc_id long, text string, lang string"), per_lang=3)
+    used = [t for _, t, lang in texts if t and lang]
+    df = sum((langid.gram_counts(t) > 0).astype(np.int64) for t in used)
+    assert np.allclose(model.idf, np.log((1 + len(used)) / (1 + df)) + 0.1, atol=1e-5)
+
+
 def test_language_odd(spark, odd, empty):
     model = langid.fit_languages(odd)
     got = {(r["doc_id"], r["lang_pred"], r["rejected"]) for r in langid.identify(odd, model).collect()}

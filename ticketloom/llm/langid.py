@@ -114,17 +114,21 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_i
     """
     rows = settle_table(_sample(docs, text, lang, doc_id, per_lang), "lang-rows")
 
+    # Document frequencies are those of all training rows; only the centroids are fitted on the sample.
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(1 << BITS, np.int64), 0
         for batch in batches:
-            for t in batch.column(1):
+            for t in batch.column(0):
                 total += gram_counts(t.as_py()) > 0
                 n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["df", "n"])
-
-    df, n = np.zeros(1 << BITS, np.int64), 0
-    for row in rows.coalesce(8).mapInArrow(present, "df binary, n long").toLocalIterator():  # one row of fixed size a task
-        df, n = df + np.frombuffer(row["df"], np.int64), n + row["n"]
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1).astype(np.int32)), pa.array(np.append(total[seen], n))], names=["bucket", "df"])
+
+    every = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(text).alias("text"))
+    table = every.mapInArrow(present, "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toArrow()  # a row a bucket
+    found = dict(zip(table.column("bucket").to_pylist(), table.column("df").to_pylist()))
+    n, df = found.pop(-1, 0), np.zeros(1 << BITS, np.int64)
+    df[list(found.keys())] = list(found.values())
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + np.float32(0.1)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
