@@ -17,6 +17,9 @@ NOT_WORD = " \t\n\x0b\x0c\r"
 SMALL_BYTES = 8_000_000
 PART_BYTES = 4 << 20
 GAP = re.compile(rb"[\x20\x09-\x0d]")
+#: Letters and digits of ASCII and every byte above it stay, A-Z as a-z; all other bytes are blanks.
+TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+TERM_GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,17 +53,32 @@ def word_count(text) -> Column:
     return F.length(F.rtrim(marks, F.lit(NOT_WORD))).cast("long")
 
 
-def word_parts(text: str | None, size: int = PART_BYTES) -> Iterator[list[bytes]]:
-    """The words of a text, A-Z lower-cased, in parts of bounded size; a null text has none."""
-    data, at = (text or "").encode().lower(), 0
+def _slices(data: bytes, gap: re.Pattern, size: int) -> Iterator[bytes]:
+    at = 0
     while at < len(data):
         end = len(data)
-        if at + size < end and (gap := GAP.search(data, at + size)):
-            end = gap.start()
-        yield data[at:end].split()
+        if at + size < end and (found := gap.search(data, at + size)):
+            end = found.start()
+        yield data[at:end]
         at = end
 
 
+def word_parts(text: str | None, size: int = PART_BYTES, lower: bool = True) -> Iterator[list[bytes]]:
+    """The words of a text, A-Z lower-cased unless told otherwise, in parts of bounded size; a null text has none."""
+    data = (text or "").encode()
+    for part in _slices(data.lower() if lower else data, GAP, size):
+        yield part.split()
+
+
+def term_parts(text: str | None, size: int = PART_BYTES) -> Iterator[list[bytes]]:
+    """Runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased, in parts of bounded size.
+
+    One byte table lower-cases and blanks the separators; no byte of a longer character is touched. A null text has none.
+    """
+    for part in _slices((text or "").encode(), TERM_GAP, size):
+        yield part.translate(TERM_BYTES).split()
+
+
 def map_texts(df: DataFrame, text: str, keep: tuple[str, ...], start, fields: dict[str, str], rows: int = 256) -> DataFrame:
     """The ``keep`` columns of ``df`` and new ones made from the column ``text``, in Arrow batches of bounded size.
 

@@ -16,6 +16,9 @@ MODULES = {
     "op4_simhash": "simhash",
     "op5_url_rules": "url_rules",
     "op6_mix_sources": "mixing",
+    "op11_pack": "packing",
+    "op12_lexical": "lexical",
+    "op13_resample": "resampling",
 }
 
 
