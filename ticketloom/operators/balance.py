@@ -2,7 +2,8 @@
 
 Samples are returned as ``row_key, label, features, is_synthetic, src_id, copy_no`` where
 new points are made, and as the input rows plus ``copy_no`` where rows are only copied or
-dropped.
+dropped. Vector columns stay vectors, sparse ones sparse. ``search`` is passed to the neighbour
+search of the methods that need one.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ticketloom.functions.hashing import hash_below, hash_unit, keyed_hash
-from ticketloom.functions.vectors import as_array
+from ticketloom.functions.sparse import between, vector_parts
+from ticketloom.functions.vectors import as_array, is_vector
 from ticketloom.operators.neighbours import neighbours
 from ticketloom.operators.rank import flag_first, flag_lowest, rank_by_hash
 from ticketloom.operators.split import SEED, class_counts
@@ -149,20 +151,27 @@ def custom_balanced(
 
 
 def _samples(df: DataFrame, label: str, id_col: str, features: str) -> DataFrame:
-    base = as_array(df.select(F.col(id_col).alias("_id"), F.col(label).alias("label"), F.col(features).alias("features")), "features")
+    base = df.select(F.col(id_col).alias("_id"), F.col(label).alias("label"), F.col(features).alias("features"))
+    base = base if is_vector(base, "features") else as_array(base, "features")
     return base.select(
         F.col("_id").cast("string").alias("row_key"), "label", "features", F.lit(False).alias("is_synthetic"),
         F.col("_id").alias("src_id"), F.lit(0).cast("bigint").alias("copy_no"))
 
 
-def _between(x: Column, y: Column, u: Column) -> Column:
-    return F.zip_with(x, y, lambda a, b: a + u * (b - a))
+def _between(edges: DataFrame) -> Column:
+    """The point at ``_u`` between ``x`` and ``y``: arrays in the plan, vectors by merging their index arrays."""
+    if edges.schema["x"].dataType.typeName() == "struct":
+        return between("x", "y", "_u")
+    return F.zip_with("x", "y", lambda a, b: a + F.col("_u") * (b - a))
 
 
-def _interpolation_edges(rows: DataFrame, id_col: str, label: str, features: str, k: int) -> DataFrame:
+def _interpolation_edges(rows: DataFrame, id_col: str, label: str, features: str, k: int, search: str) -> DataFrame:
     """``(label, src_id, nn_rank, nn_id, x, y)``: each row with its same-class neighbours."""
-    vectors = as_array(rows.select(F.col(id_col).alias("_id"), F.col(features).alias("_x")), "_x")
-    near = neighbours(rows, rows, k, id_col, features, group_col=label).select(F.col(id_col).alias("src_id"), "nn_rank", "nn_id")
+    if is_vector(rows, features):
+        vectors = rows.select(F.col(id_col).alias("_id"), vector_parts(rows, features).alias("_x"))
+    else:
+        vectors = as_array(rows.select(F.col(id_col).alias("_id"), F.col(features).alias("_x")), "_x")
+    near = neighbours(rows, rows, k, id_col, features, group_col=label, search=search).select(F.col(id_col).alias("src_id"), "nn_rank", "nn_id")
     own = rows.select(F.col(id_col).alias("src_id"), F.col(label).alias("label"))
     return (
         near.join(own, "src_id")
@@ -178,7 +187,7 @@ def _enough_neighbours(plan: DataFrame, label: str, k: int) -> None:
 
 
 def smote(
-    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, seed: int = SEED
+    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, seed: int = SEED, search: str = "exact"
 ) -> DataFrame:
     """Originals plus points between a drawn row and one of its k same-class neighbours.
 
@@ -190,7 +199,7 @@ def smote(
     plan = plan.filter("draws > 0").withColumn("_salts", F.expr(f"1 + draws div (n * {k * CHUNK})"))
     rows = df.join(measured(plan.select(label)), label, "left_semi")
     ranked = rank_by_hash(rows.select(label, id_col), [label], keyed_hash(seed, F.col(id_col)), id_col, "_rank")
-    edges = _interpolation_edges(rows, id_col, label, features, k).join(
+    edges = _interpolation_edges(rows, id_col, label, features, k, search).join(
         ranked.select(F.col(id_col).alias("src_id"), "_rank"), "src_id")
     edges = edges.withColumn("_slot", (F.col("_rank") - 1) * k + F.col("nn_rank") - 1)
     salts = measured(plan.select(F.col(label).alias("label"), "_salts"))
@@ -202,14 +211,15 @@ def smote(
         hash_unit(keyed_hash(seed, F.lit("u"), F.col("label"), F.col("copy_no"))).alias("_u"),
         F.pmod("copy_no", "_salts").alias("_salt"),
     )
-    new = draws.join(edges.select("label", "_slot", "_salt", "src_id", "x", "y"), ["label", "_slot", "_salt"]).select(
+    picked = draws.join(edges.select("label", "_slot", "_salt", "src_id", "x", "y"), ["label", "_slot", "_salt"])
+    new = picked.select(
         F.concat_ws("|", F.lit("s"), F.col("label").cast("string"), F.col("copy_no").cast("string")).alias("row_key"),
-        "label", _between(F.col("x"), F.col("y"), F.col("_u")).alias("features"), F.lit(True).alias("is_synthetic"), "src_id", "copy_no")
+        "label", _between(picked).alias("features"), F.lit(True).alias("is_synthetic"), "src_id", "copy_no")
     return _samples(df, label, id_col, features).unionByName(new)
 
 
 def adasyn_allocation(
-    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5
+    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, search: str = "exact"
 ) -> DataFrame:
     """``(id, label, other_neighbours, n_new)``: new points per row of each short class.
 
@@ -218,7 +228,7 @@ def adasyn_allocation(
     """
     plan = over_plan(df, label, strategy).withColumn("draws", F.col("target") - F.col("n")).filter("draws > 0")
     short = df.join(measured(plan.select(label)), label, "left_semi").select(id_col, label, features)
-    near = neighbours(short, df, k, id_col, features)
+    near = neighbours(short, df, k, id_col, features, search=search)
     classes = df.select(F.col(id_col).alias("nn_id"), F.col(label).alias("_other"))
     mixed = near.join(classes, "nn_id").join(short.select(id_col, label), id_col)
     per_row = mixed.groupBy(id_col, label).agg(F.sum((F.col("_other") != F.col(label)).cast("bigint")).alias("other_neighbours"))
@@ -234,20 +244,21 @@ def adasyn_allocation(
 
 
 def adasyn(
-    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, seed: int = SEED
+    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, seed: int = SEED, search: str = "exact"
 ) -> DataFrame:
     """Like :func:`smote`, with the new points given to rows among other classes."""
-    shares = settle_table(adasyn_allocation(df, label, id_col, features, strategy, k), "adasyn")
+    shares = settle_table(adasyn_allocation(df, label, id_col, features, strategy, k, search), "adasyn")
     short = df.join(measured(shares.select(label).distinct()), label, "left_semi")
-    edges = _interpolation_edges(short, id_col, label, features, k)
+    edges = _interpolation_edges(short, id_col, label, features, k, search)
     wanted = _numbered(shares.filter("n_new > 0").select(F.col(id_col).alias("src_id"), "n_new"), "n_new", "copy_no")
     draws = wanted.select(
         "src_id", "copy_no",
         (hash_below(keyed_hash(seed, F.col("src_id"), F.col("copy_no")), F.lit(k)) + 1).cast("int").alias("nn_rank"),
         hash_unit(keyed_hash(seed, F.lit("u"), F.col("src_id"), F.col("copy_no"))).alias("_u"))
-    new = draws.join(edges, ["src_id", "nn_rank"]).select(
+    picked = draws.join(edges, ["src_id", "nn_rank"])
+    new = picked.select(
         F.concat_ws("|", F.lit("s"), F.col("src_id").cast("string"), F.col("copy_no").cast("string")).alias("row_key"),
-        "label", _between(F.col("x"), F.col("y"), F.col("_u")).alias("features"), F.lit(True).alias("is_synthetic"), "src_id", "copy_no")
+        "label", _between(picked).alias("features"), F.lit(True).alias("is_synthetic"), "src_id", "copy_no")
     return _samples(df, label, id_col, features).unionByName(new)
 
 
@@ -256,7 +267,8 @@ def _minority(plan: DataFrame, label: str):
 
 
 def nearmiss(
-    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", version: int = 1, n_neighbors: int = 3, seed: int = SEED
+    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", version: int = 1, n_neighbors: int = 3, seed: int = SEED,
+    search: str = "exact",
 ) -> DataFrame:
     """Cut the larger classes down to the rows nearest the smallest class.
 
@@ -270,14 +282,15 @@ def nearmiss(
     rare = _minority(plan, label)
     minority, others = df.filter(F.col(label) == F.lit(rare)), df.filter(F.col(label) != F.lit(rare))
     if version == 3:
-        near_minority = None
-        for row in plan.filter(F.col(label) != F.lit(rare)).select(label).collect():
-            rival = others.filter(F.col(label) == F.lit(row[label]))
-            part = neighbours(minority, rival, n_neighbors, id_col, features, exclude_self=False)
-            near_minority = part if near_minority is None else near_minority.unionByName(part)
+        # One search for all classes: every minority row asks once in each class it is compared with.
+        rivals = [r[label] for r in plan.filter(F.col(label) != F.lit(rare)).select(label).collect()]
+        asking = minority.withColumn("_rival", F.explode(F.array(*[F.lit(str(c)) for c in rivals])))
+        asking = asking.select(F.concat_ws("|", F.col(id_col).cast("string"), "_rival").alias(id_col), features, "_rival")
+        held = others.select(id_col, features, F.col(label).cast("string").alias("_rival"))
+        near_minority = neighbours(asking, held, n_neighbors, id_col, features, group_col="_rival", exclude_self=False, search=search)
         chosen = near_minority.select(F.col("nn_id").alias(id_col)).distinct()
         others = others.join(settle_table(chosen, "nearmiss"), id_col, "left_semi")
-    near = neighbours(others, minority, n_neighbors, id_col, features, farthest=version == 2, exclude_self=False)
+    near = neighbours(others, minority, n_neighbors, id_col, features, farthest=version == 2, exclude_self=False, search="exact" if version == 2 else search)
     mean = near.groupBy(id_col).agg(F.round(F.avg("distance"), 9).alias("_mean"))
     scored = settle_table(others.select(id_col, label).join(mean, id_col), "nearmiss")
     quotas = plan.filter(F.col(label) != F.lit(rare)).select(label, F.col("target").alias("quota"))
@@ -288,9 +301,9 @@ def nearmiss(
     return df.join(kept.filter("_keep").select(id_col), id_col, "left_semi").unionByName(minority)
 
 
-def tomek_links(df: DataFrame, label: str, id_col: str, features: str = "features") -> DataFrame:
+def tomek_links(df: DataFrame, label: str, id_col: str, features: str = "features", search: str = "exact") -> DataFrame:
     """``(id, mate)``: rows of different classes that are each other's nearest row."""
-    near = neighbours(df, df, 1, id_col, features).select(F.col(id_col).alias("a"), F.col("nn_id").alias("b"))
+    near = neighbours(df, df, 1, id_col, features, search=search).select(F.col(id_col).alias("a"), F.col("nn_id").alias("b"))
     back = near.select(F.col("a").alias("b"), F.col("b").alias("a"))
     pairs = near.join(back, ["a", "b"])
     classes = df.select(F.col(id_col), F.col(label).alias("_l"))
@@ -299,26 +312,29 @@ def tomek_links(df: DataFrame, label: str, id_col: str, features: str = "feature
     return pairs.filter(F.col("_la") != F.col("_lb")).select(F.col("a").alias(id_col), F.col("b").alias("mate"), F.col("_la").alias(label))
 
 
-def tomek_undersample(df: DataFrame, label: str, id_col: str, features: str = "features", both: bool = False) -> DataFrame:
+def tomek_undersample(df: DataFrame, label: str, id_col: str, features: str = "features", both: bool = False, search: str = "exact") -> DataFrame:
     """Drop the members of Tomek links, sparing the smallest class unless ``both``."""
-    linked = tomek_links(df, label, id_col, features)
+    linked = tomek_links(df, label, id_col, features, search)
     if not both:
         linked = linked.filter(F.col(label) != F.lit(_minority(class_counts(df, label), label)))
     return df.join(linked.select(id_col), id_col, "left_anti")
 
 
-def smote_tomek(df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, seed: int = SEED) -> DataFrame:
+def smote_tomek(
+    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, seed: int = SEED, search: str = "exact"
+) -> DataFrame:
     """SMOTE, then both members of every Tomek link dropped."""
-    grown = settle_table(smote(df, label, id_col, features, strategy, k, seed), "smote")
-    return tomek_undersample(grown, "label", "row_key", "features", both=True)
+    grown = settle_table(smote(df, label, id_col, features, strategy, k, seed, search), "smote")
+    return tomek_undersample(grown, "label", "row_key", "features", both=True, search=search)
 
 
 def smote_enn(
-    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, n_neighbors: int = 3, seed: int = SEED
+    df: DataFrame, label: str, id_col: str, features: str = "features", strategy="auto", k: int = 5, n_neighbors: int = 3, seed: int = SEED,
+    search: str = "exact",
 ) -> DataFrame:
     """SMOTE, then rows with any of 3 neighbours in another class dropped."""
-    grown = settle_table(smote(df, label, id_col, features, strategy, k, seed), "smote")
-    near = neighbours(grown, grown, n_neighbors, "row_key", "features")
+    grown = settle_table(smote(df, label, id_col, features, strategy, k, seed, search), "smote")
+    near = neighbours(grown, grown, n_neighbors, "row_key", "features", search=search)
     classes = grown.select("row_key", "label")
     mixed = near.join(classes, "row_key").join(classes.select(F.col("row_key").alias("nn_id"), F.col("label").alias("_other")), "nn_id")
     noisy = mixed.filter(F.col("label") != F.col("_other")).select("row_key").distinct()

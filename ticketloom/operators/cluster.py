@@ -5,17 +5,19 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ticketloom.functions.vectors import as_array, as_vector, width_of
-from ticketloom.operators.neighbours import BLOCK_ROWS, _fine, _matrix, _rough, block_join, build_cells, route
-from ticketloom.session import settle, settle_table
+from ticketloom.functions.sparse import Rows, slack, vector_parts
+from ticketloom.functions.vectors import as_vector, width_of
+from ticketloom.operators.decompose import truncated_svd
+from ticketloom.operators.neighbours import BLOCK_ROWS, QUERY_ROWS, block_join, build_cells, route
+from ticketloom.session import settle_table
 
 COMPONENT_LIMIT = 50
 FEASIBLE_SILHOUETTE = 0.3
@@ -29,8 +31,8 @@ def reduce_for_clustering(df: DataFrame, id_col: str, features: str = "features"
     source = as_vector(df.select(id_col, F.col(features).alias("features")), "features")
     if width_of(source, "features") <= COMPONENT_LIMIT:
         return source
-    model = PCA(k=COMPONENT_LIMIT, inputCol="features", outputCol="_pca").fit(source)
-    return model.transform(source).select(id_col, F.col("_pca").alias("features"))
+    axes = truncated_svd(source, "features", COMPONENT_LIMIT, centre=True)
+    return source.select(id_col, axes.project(source, "features").alias("features"))
 
 
 def silhouette_by_row(df: DataFrame, id_col: str, cluster: str, features: str = "features", block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -40,7 +42,7 @@ def silhouette_by_row(df: DataFrame, id_col: str, cluster: str, features: str =
     blocks is reduced in place to one distance sum per row and cluster; no pair leaves its
     task. For tables too large for that use the squared form in :func:`mean_silhouette`.
     """
-    rows = as_array(df.select(F.col(id_col).alias("_id"), F.col(cluster).alias("_c"), F.col(features).alias("_x")), "_x")
+    rows = df.select(F.col(id_col).alias("_id"), F.col(cluster).alias("_c"), vector_parts(df, features).alias("_x"))
     sizes = {r["_c"]: r["n"] for r in rows.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = max(1, -(-sum(sizes.values()) // block_rows))
     block = F.pmod(F.xxhash64("_id"), F.lit(blocks).cast("bigint")).cast("int")
@@ -50,16 +52,20 @@ def silhouette_by_row(df: DataFrame, id_col: str, cluster: str, features: str =
     id_type, c_type = df.schema[id_col].dataType, df.schema[cluster].dataType
     schema = T.StructType([T.StructField("_id", id_type), T.StructField("_c", c_type), T.StructField("_o", c_type), T.StructField("_sum", T.DoubleType())])
 
-    def sums(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(points):
-            return pd.DataFrame({"_id": [], "_c": [], "_o": [], "_sum": []})
-        q, p, out = _matrix(queries["_x"]), _matrix(points["_x"]), []
-        for other, index in points.groupby("_c").indices.items():
-            total = np.concatenate([_rough(q[i:i + 256], p[index]).sum(1) for i in range(0, len(q), 256)])
-            out.append(pd.DataFrame({"_id": queries["_id"].to_numpy(), "_c": queries["_c"].to_numpy(), "_o": other, "_sum": total}))
-        return pd.concat(out)
+    kinds = to_arrow_schema(schema)
 
-    parts = left.groupBy("_qb", "_pb").cogroup(right.groupBy("_qb", "_pb")).applyInPandas(sums, schema)
+    def sums(queries: pa.Table, points: pa.Table) -> pa.Table:
+        if not queries.num_rows or not points.num_rows:
+            return kinds.empty_table()
+        q, p, out = Rows.of(queries.column("_x")), Rows.of(points.column("_x")), []
+        names = points.column("_c").to_pylist()
+        for other in sorted(set(names)):
+            mine = p.take(np.flatnonzero([n == other for n in names]))
+            total = np.concatenate([q.take(np.arange(i, min(i + QUERY_ROWS, len(q)))).rough(mine).sum(1) for i in range(0, len(q), QUERY_ROWS)])
+            out.append(pa.table({"_id": queries.column("_id"), "_c": queries.column("_c"), "_o": [other] * len(q), "_sum": total}).cast(kinds))
+        return pa.concat_tables(out)
+
+    parts = left.groupBy("_qb", "_pb").cogroup(right.groupBy("_qb", "_pb")).applyInArrow(sums, schema)
     count = F.lit(None).cast("double")
     for name, n in sizes.items():
         count = F.when(F.col("_o") == F.lit(name), F.lit(float(n))).otherwise(count)
@@ -107,11 +113,30 @@ def kmeans_scores(
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
-def _wide_cells(points: DataFrame, eps: float, width: int) -> DataFrame:
-    """Add ``_spot``: a grid cell whose diagonal is at most ``eps``, so its rows are all close."""
-    side = eps / (width ** 0.5) * (1 - 1e-9)
-    spot = F.md5(F.transform("_x", lambda v: F.floor(v / side)).cast("string"))
-    return points.withColumn("_spot", spot)
+def _close(q: Rows, p: Rows, eps: float) -> np.ndarray:
+    """Which pairs lie within eps, as a table of truth values; the band around eps is checked to 9 digits."""
+    out, off = np.zeros((len(q), len(p)), bool), slack(q, p)
+    for low in range(0, len(q), QUERY_ROWS):
+        part = q.take(np.arange(low, min(low + QUERY_ROWS, len(q))))
+        rough = part.rough(p)
+        near = rough <= eps - off
+        row, col = np.nonzero(~near & (rough <= eps + off))
+        near[row, col] = part.fine(row, p, col, EDGE_DIGITS) <= eps
+        out[low:low + len(part)] = near
+    return out
+
+
+def _components(near: np.ndarray, mine: np.ndarray, theirs: np.ndarray, n: int) -> np.ndarray:
+    """The least code each of ``n`` codes is tied to by the close pairs of a block."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, mine, np.where(near, label[theirs][None, :], n).min(axis=1, initial=n))
+        np.minimum.at(new, theirs, np.where(near, label[mine][:, None], n).min(axis=0, initial=n))
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 def dbscan(
@@ -120,114 +145,79 @@ def dbscan(
 ) -> DataFrame:
     """``(id, cluster, is_core)``; cluster is the smallest core id of the component, null for noise.
 
-    Copies of a vector are counted, not compared. Counts within ``eps`` come from blocked
-    searches that return one number per row and block. Core rows are merged by small grid
-    cells, whose rows all lie within ``eps`` of each other; a block returns at most one
-    edge per cell, never its pairs. A border row joins the reachable cluster with the smallest id.
+    Copies of a vector are counted, not compared. Rows are placed in cells once; a first join of blocks returns one count
+    per row and block, a second one the links: a star per part of the core rows of a block, never its pairs, and the core
+    rows near a border row, fewer than ``min_samples``. Stars are contracted to components. A border row joins the
+    reachable cluster with the smallest id.
     """
-    rows = as_array(df.select(F.col(id_col).alias("_id"), F.col(features).alias("_x")), "_x")
-    rows = rows.withColumn("_v", F.md5(F.col("_x").cast("string")))
+    rows = df.select(F.col(id_col).alias("_id"), vector_parts(df, features).alias("_x"))
+    rows = rows.withColumn("_v", F.md5(F.to_json("_x")))
     id_type = df.schema[id_col].dataType
     distinct = rows.groupBy("_v").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_w"), F.first("_x").alias("_x"))
-    distinct = settle_table(distinct.withColumn("_g", F.lit("")), "dbscan-rows")
-    cells, placed = build_cells(distinct, 1)
+    cells, placed = build_cells(distinct.withColumn("_g", F.lit("")), 1)
     placed = placed.drop("_dist")
-    visits = route(distinct.select("_g", "_id", "_x"), cells, radius=eps)
-
-    def close(q: np.ndarray, p: np.ndarray):
-        """Index pairs within eps; the band around eps is checked to 9 digits."""
-        rough = _rough(q, p)
-        row, col = np.nonzero(rough <= eps + 1e-5)
-        near = _fine(q[row], p[col]) <= eps
-        return row[near], col[near]
-
-    def count_close(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(points):
-            return pd.DataFrame({"_id": [], "_c": []})
-        q, p, w = _matrix(queries["_x"]), _matrix(points["_x"]), points["_w"].to_numpy()
-        total = np.zeros(len(q), dtype="int64")
-        for i in range(0, len(q), 128):
-            row, col = close(q[i:i + 128], p)
-            np.add.at(total, i + row, w[col])
-        return pd.DataFrame({"_id": queries["_id"].to_numpy(), "_c": total})
+
+    def count_close(queries: pa.Table, points: pa.Table) -> dict:
+        near = _close(Rows.of(queries.column("_x")), Rows.of(points.column("_x")), eps)
+        return {"_id": queries.column("_id"), "_c": pa.array(near @ points.column("_w").to_numpy().astype(np.int64))}
 
     count_schema = T.StructType([T.StructField("_id", id_type), T.StructField("_c", T.LongType())])
+    visits = route(placed.select("_g", "_id", "_x"), cells, radius=eps)
     near = block_join(visits, placed, count_close, count_schema, block_rows).groupBy("_id").agg(F.sum("_c").alias("_c"))
-    graded = distinct.join(near, "_id").withColumn("_core", F.col("_c") >= min_samples)
-    graded = settle_table(_wide_cells(graded, eps, cells.pivots.shape[1]), "dbscan-grade")
+    graded = settle_table(placed.join(near, "_id").withColumn("_core", F.col("_c") >= min_samples).drop("_c"), "dbscan-grade")
     cores = graded.filter("_core")
-    if cores.isEmpty():
-        return df.select(F.col(id_col), F.lit(None).cast(id_type).alias("cluster"), F.lit(False).alias("is_core"))
-
-    core_cells, core_placed = build_cells(cores.select("_g", "_id", "_x", "_spot"), 1)
-    core_placed = core_placed.drop("_dist")
-
-    def link_cores(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        """Spots joined within this block, each tied to the first of its part.
-
-        A star per part keeps the connections of all its pairs with one edge per spot.
-        """
-        if not len(queries) or not len(points):
-            return pd.DataFrame({"_a": [], "_b": []})
-        q, p = _matrix(queries["_x"]), _matrix(points["_x"])
-        spots, code = np.unique(np.concatenate([queries["_spot"], points["_spot"]]).astype(str), return_inverse=True)
-        mine, theirs, part = code[:len(q)], code[len(q):], np.arange(len(spots))
-        for i in range(0, len(q), 128):
-            row, col = close(q[i:i + 128], p)
-            for one in np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1):
-                if len(one):
-                    met = np.unique(part[np.append(theirs[col[one]], mine[i + row[one[0]]])])
-                    if len(met) > 1:
-                        part[np.isin(part, met)] = met[0]
-        moved = np.flatnonzero(part != np.arange(len(spots)))
-        return pd.DataFrame({"_a": spots[moved], "_b": spots[part[moved]]})
-
-    def reach_cores(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        """The spots a border row reaches: fewer than ``min_samples`` rows are that near."""
-        if not len(queries) or not len(points):
-            return pd.DataFrame({"_a": [], "_b": []})
-        q, p = _matrix(queries["_x"]), _matrix(points["_x"])
-        a, b = queries["_spot"].to_numpy(), points["_spot"].to_numpy()
-        seen: set = set()
-        for i in range(0, len(q), 128):
-            row, col = close(q[i:i + 128], p)
-            seen.update(zip(a[i + row], b[col]))
-        return pd.DataFrame(list(seen), columns=["_a", "_b"])
-
-    edge_schema = "_a string, _b string"
-    core_visits = route(cores.select("_g", "_id", "_x", "_spot"), core_cells, radius=eps)
-    edges = block_join(core_visits, core_placed, link_cores, edge_schema, block_rows).distinct()
-    spots = cores.groupBy("_spot").agg(F.min("_id").alias("_least"))
-    spots = connected(spots, settle_table(edges, "dbscan-edges"))
-
-    edge_rows = graded.filter(~F.col("_core")).select("_g", "_id", "_x", F.col("_id").cast("string").alias("_spot"))
-    reach = block_join(route(edge_rows, core_cells, radius=eps), core_placed, reach_cores, edge_schema, block_rows)
-    border = reach.distinct().join(spots.select(F.col("_spot").alias("_b"), "_least"), "_b").groupBy("_a").agg(F.min("_least").alias("_least"))
-    core_labels = cores.join(spots, "_spot").select("_v", F.col("_least").alias("cluster"))
-    border_labels = graded.filter(~F.col("_core")).withColumn("_a", F.col("_id").cast("string")).join(border, "_a", "left").select("_v", F.col("_least").alias("cluster"))
-    labels = core_labels.withColumn("is_core", F.lit(True)).unionByName(border_labels.withColumn("is_core", F.lit(False)))
+
+    def link(queries: pa.Table, points: pa.Table) -> dict:
+        """Core queries: each row of a part to the least of it. Border queries: every core row they reach."""
+        core = queries.column("_core").to_numpy(zero_copy_only=False)
+        near = _close(Rows.of(queries.column("_x")), Rows.of(points.column("_x")), eps)
+        ids = pa.concat_arrays([c for t in (queries, points) for c in t.column("_id").chunks])
+        _, first, code = np.unique(ids.to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+        mine, theirs = code[:len(core)], code[len(core):]
+        label = _components(near[core], mine[core], theirs, len(first))
+        moved = np.flatnonzero(label != np.arange(len(first)))
+        row, col = np.nonzero(near[~core])
+        a, b = np.append(moved, mine[~core][row]), np.append(label[moved], theirs[col])
+        return {"_a": ids.take(pa.array(first[a])), "_b": ids.take(pa.array(first[b])), "_core": pa.array(np.arange(len(a)) < len(moved))}
+
+    link_schema = T.StructType([T.StructField("_a", id_type), T.StructField("_b", id_type), T.StructField("_core", T.BooleanType())])
+    reached = route(graded.select("_g", "_id", "_x", "_core"), cells, radius=eps)
+    links = settle_table(block_join(reached, cores.select("_g", "_id", "_x", "_cell"), link, link_schema, block_rows), "dbscan-links")
+    roots = connected(links.filter("_core").select("_a", "_b"))
+    least = cores.select(F.col("_id").alias("_b")).join(roots.select(F.col("_a").alias("_b"), F.col("_b").alias("_root")), "_b", "left")
+    least = least.select("_b", F.coalesce("_root", "_b").alias("_least"))
+    border = links.filter(~F.col("_core")).join(least, "_b").groupBy(F.col("_a").alias("_id")).agg(F.min("_least").alias("cluster"))
+    named = least.select(F.col("_b").alias("_id"), F.col("_least").alias("cluster")).unionByName(border)
+    labels = graded.select("_id", "_v", F.col("_core").alias("is_core")).join(named, "_id", "left").drop("_id")
     return rows.join(labels, "_v").select(F.col("_id").alias(id_col), "cluster", "is_core")
 
 
-def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Spread the least ``_least`` along edges ``(_a, _b)`` until nothing changes.
+def connected(edges: DataFrame) -> DataFrame:
+    """``(_a, _b)``: every node that is not the least of its component, and that least node.
 
-    Each round also jumps to the label's own label, so long chains shrink by half. Every
+    Alternating star contraction: a node ties its larger neighbours to its least one, then its smaller neighbours and
+    itself. Nothing is lost, the number of edges does not grow, and the rounds follow the logarithm of the table. Every
     round is stored reliably, so its plan stays short and lost executors cost one round.
     """
-    both = edges.unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
-    first = nodes.select(F.col("_least").alias("_own"), F.col("_spot").alias("_own_spot"))
-    current, last = settle(nodes), None
-    while True:
-        offers = both.join(current.select(F.col("_spot").alias("_b"), "_least"), "_b").groupBy("_a").agg(F.min("_least").alias("_offer"))
-        step = current.join(offers, F.col("_spot") == F.col("_a"), "left").select("_spot", F.least("_least", "_offer").alias("_least"))
-        roots = first.join(current.select(F.col("_spot").alias("_own_spot"), F.col("_least").alias("_up")), "_own_spot").select("_own", "_up")
-        step = step.join(roots, F.col("_least") == F.col("_own"), "left").select("_spot", F.least("_least", "_up").alias("_least"))
-        current = settle(step)
-        state = current.agg(F.sum(F.xxhash64("_spot", "_least").cast("decimal(38,0)")).alias("s")).first()["s"]
-        if state == last:
-            return current
-        last = state
+    def state(df: DataFrame):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("_a", "_b").cast("decimal(38,0)")).alias("s")).first()
+
+    def least(df: DataFrame) -> DataFrame:
+        return df.groupBy("_a").agg(F.least(F.min("_b"), F.first("_a")).alias("_m"))
+
+    current = settle_table(edges.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).filter("_a <> _b").distinct(), "components")
+    now = state(current)
+    while now["n"]:
+        both = current.unionByName(current.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
+        large = both.join(least(both), "_a").filter("_b > _a").select(F.col("_b").alias("_a"), F.col("_m").alias("_b")).distinct()
+        large = settle_table(large, "components")
+        ends = large.groupBy("_a").agg(F.min("_b").alias("_m"))
+        small = large.join(ends, "_a").filter("_b > _m").select(F.col("_b").alias("_a"), F.col("_m").alias("_b"))
+        new = settle_table(small.unionByName(ends.select("_a", F.col("_m").alias("_b"))).distinct(), "components")
+        before, now, current = now, state(new), new
+        if before == now:
+            break
+    return current
 
 
 def dbscan_summary(labelled: DataFrame) -> DataFrame:

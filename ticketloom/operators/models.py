@@ -16,7 +16,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
-    LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
     OneVsRest,
@@ -31,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions.vectors import as_vector, width_of
 from ticketloom.operators.evaluate import classification_report, confusion_matrix, summary_metrics
+from ticketloom.operators.logistic import DualLogistic
 from ticketloom.operators.neighbours import neighbours
 from ticketloom.operators.split import cross_validation
 from ticketloom.session import settle_table
@@ -89,10 +89,6 @@ def _depth(p: dict) -> int:
     return p["max_depth"]
 
 
-def _logistic(df: DataFrame, p: dict) -> Estimator:
-    return LogisticRegression(family="multinomial", maxIter=p["max_iter"], regParam=1.0 / (p["C"] * df.count()), standardization=False)
-
-
 def _svm(df: DataFrame, p: dict) -> Estimator:
     lift = FourierFeatures(inputCol="features", outputCol="lifted", components=p["components"], gamma=_scale_gamma(df), width=width_of(df, "features"))
     base = LinearSVC(featuresCol="lifted", maxIter=p["max_iter"], regParam=1.0 / (p["C"] * df.count()), standardization=False)
@@ -129,10 +125,10 @@ def available_models() -> dict[str, ModelSpec]:
             lambda df, p: RandomForestClassifier(numTrees=p["n_estimators"], maxDepth=_depth(p), seed=p["seed"]),
             {"n_estimators": 100, "max_depth": 15, "seed": SEED}, "Bagged decision trees, majority vote"),
         "gradient_boosting": ModelSpec(_boosted, boosted, "Shallow trees, each fitted to what the last ones left"),
-        "logistic_regression": ModelSpec(_logistic, {"max_iter": 1000, "C": 1.0}, "Multinomial logit with an L2 penalty"),
+        "logistic_regression": ModelSpec(lambda df, p: DualLogistic(C=p["C"], tol=p["tol"], max_iter=p["max_iter"]), {"max_iter": 1000, "C": 1.0, "tol": 1e-4}, "Multinomial logit with an L2 penalty, solved in the dual"),
         "svm": ModelSpec(_svm, {"max_iter": 100, "C": 1.0, "components": 256, "parallelism": 4}, "Linear margin over random Fourier features"),
         "naive_bayes": ModelSpec(lambda df, p: NaiveBayes(modelType="multinomial", smoothing=p["alpha"]), {"alpha": 1.0}, "Multinomial counts with additive smoothing"),
-        "knn": ModelSpec(None, {"n_neighbors": 5}, "Vote of the closest training rows"),
+        "knn": ModelSpec(None, {"n_neighbors": 5, "search": "exact"}, "Vote of the closest training rows"),
         "decision_tree": ModelSpec(
             lambda df, p: DecisionTreeClassifier(maxDepth=_depth(p), maxBins=p["max_bins"], seed=SEED), {"max_depth": MAX_TREE_DEPTH, "max_bins": 32}, "One tree grown to the full depth"),
         "mlp": ModelSpec(_perceptron, {"max_iter": 1000, "hidden": [100]}, "Feed-forward network, one hidden layer"),
@@ -144,13 +140,13 @@ def available_models() -> dict[str, ModelSpec]:
 class NeighbourModel:
     """Majority vote of the k nearest training rows; ties go to the smaller label."""
 
-    def __init__(self, train: DataFrame, k: int):
-        self.train, self.k = train, k
+    def __init__(self, train: DataFrame, k: int, search: str = "exact"):
+        self.train, self.k, self.search = train, k, search
 
     def transform(self, df: DataFrame) -> DataFrame:
         train = self.train.select(F.col("id").alias("_t"), "features", F.col("label").alias("_vote"))
         points = train.select(F.col("_t").alias("id"), "features")
-        near = neighbours(df.select("id", "features"), points, self.k, exclude_self=False)
+        near = neighbours(df.select("id", "features"), points, self.k, exclude_self=False, search=self.search)
         votes = near.join(train.select(F.col("_t").alias("nn_id"), "_vote"), "nn_id").groupBy("id", "_vote").agg(F.count(F.lit(1)).alias("_n"))
         total = votes.groupBy("id").agg(
             F.min(F.struct(-F.col("_n"), F.col("_vote").alias("c")))["c"].cast("double").alias("prediction"),
@@ -278,7 +274,7 @@ class ModelBench:
 
     @staticmethod
     def _make(spec: ModelSpec, data: DataFrame, params: dict):
-        return NeighbourModel(data, params["n_neighbors"]) if spec.make is None else spec.make(data, params).fit(data)
+        return NeighbourModel(data, params["n_neighbors"], params["search"]) if spec.make is None else spec.make(data, params).fit(data)
 
     def comparison(self, spark: SparkSession) -> DataFrame:
         number = lambda v: None if v is None else float(v)

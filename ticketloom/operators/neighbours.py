@@ -1,149 +1,220 @@
 """Exact nearest (or farthest) neighbours and range counts as blocked joins.
 
-Rows are assigned to the nearest of a few pivots. From the summary of each pivot cell
-(radius, smallest pivot distances) every query gets a bound on its k-th distance, and by
-the triangle inequality it visits only cells that can hold a closer row. Cells and their
-visitors are cut into blocks of bounded size, so a cell holding a third of the rows is
-many tasks; each block returns at most k rows per query, never its pairs. Copies of one
-vector share one query.
+Rows are assigned to cells around pivots, some √n of them in a tree of two levels: a row goes to the nearest of the upper
+pivots, then to the nearest pivot below it. From the summary of each cell (radius, smallest pivot distances) every query
+gets a bound on its k-th distance, and by the triangle inequality it opens only the branches and cells that can hold a
+closer row. Cells and their visitors are cut into blocks of bounded size, so a cell holding a third of the rows is many
+tasks; each block returns at most k rows per query, never its pairs. Copies of one vector share one query. Sparse vectors
+stay sparse: distances come from norms and from the features that two rows share.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.functions.hashing import keyed_hash
-from ticketloom.functions.vectors import as_array
+from ticketloom.functions.sparse import Rows, slack, vector_parts
 from ticketloom.session import measured, settle_table
 
-MAX_PIVOTS = 256
-SUMMARY_CELLS = 200_000
+#: Pivots are broadcast: there are fewer than √n where that many would be larger than this.
+PIVOT_BYTES = 64 << 20
+SUMMARY_CELLS = 1_000_000
 BLOCK_ROWS = 2048
+QUERY_ROWS = 256
 DIGITS = 9
+#: Branches whose cells bound a query's k-th distance, and cells an approximate search visits.
+BOUND_BRANCHES, PROBES = 3, 8
 
 
-def _matrix(values) -> np.ndarray:
-    return np.vstack(values.to_numpy()).astype("float64")
-
-
-def _rough(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances by matrix product; good to the tolerance used for pruning."""
-    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(square, 0.0))
-
-
-def _fine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances of row pairs, to the digits results are ranked by."""
-    return np.round(np.sqrt(((a - b) ** 2).sum(1)), DIGITS)
+def _planes(d: np.ndarray, own: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Least distance to the side of each pivot, for rows assigned to it before the query's own nearest pivot."""
+    near = d[np.arange(len(d)), own]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(gap[own] > 0, (d * d - (near * near)[:, None]) / (2 * gap[own]), 0.0)
 
 
 @dataclass
 class Cells:
-    """Pivots and per-group cell summaries; bounded by ``MAX_PIVOTS`` and ``SUMMARY_CELLS``."""
+    """Pivots in two levels and, per group, summaries of branches and cells."""
 
-    pivots: np.ndarray
-    gaps: np.ndarray
-    groups: dict
+    tops: Rows
+    leaves: Rows
+    begin: np.ndarray  # the leaves of top t are begin[t] to begin[t + 1]
     depth: int
-    tolerance: float
-
-    def nearest_pivot(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        d = _rough(x, self.pivots)
-        cell = d.argmin(1)
-        return cell, d[np.arange(len(x)), cell]
-
-    def lower_bounds(self, d: np.ndarray, group: dict) -> np.ndarray:
-        """Least possible distance from each query to a row of each cell."""
-        own = d.argmin(1)
-        near = d[np.arange(len(d)), own]
-        gap = self.gaps[own]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = np.where(gap > 0, (d * d - (near * near)[:, None]) / (2 * gap), 0.0)
-        bound = np.maximum.reduce([d - group["far"], group["near"] - d, plane, np.zeros_like(d)])
-        return np.where(group["count"] > 0, bound, np.inf)
-
-    def visits(self, x: np.ndarray, group: dict, wanted: int, farthest: bool, radius: float | None) -> list[list[int]]:
-        d = _rough(x, self.pivots)
-        if radius is not None:
-            hit = self.lower_bounds(d, group) <= radius + self.tolerance
-        elif farthest:
-            least = np.abs(d[:, :, None] - group["small"][None]).reshape(len(x), -1)
+    groups: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.tolerance = slack(self.leaves)
+        self.top_gaps = self.tops.rough(self.tops)
+        self.below = [np.arange(a, b) for a, b in zip(self.begin[:-1], self.begin[1:])]
+        self.branch = [self.leaves.take(x) for x in self.below]
+        self.gaps = [x.rough(x) for x in self.branch]
+
+    @classmethod
+    def around(cls, pivots: Rows, depth: int) -> "Cells":
+        tops = pivots.take(np.arange(max(1, math.isqrt(len(pivots)))))
+        parent = pivots.rough(tops).argmin(1)
+        order = np.argsort(parent, kind="stable")
+        return cls(tops, pivots.take(order), np.searchsorted(parent[order], np.arange(len(tops) + 1)), depth)
+
+    def assign(self, x: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cell, distance to its pivot, distance to the upper pivot) of every row."""
+        d = x.rough(self.tops)
+        top = d.argmin(1)
+        cell, dist = np.zeros(len(x), np.int64), np.zeros(len(x))
+        for t in np.unique(top):
+            mine = np.flatnonzero(top == t)
+            below = x.take(mine).rough(self.branch[t])
+            near = below.argmin(1)
+            cell[mine], dist[mine] = self.begin[t] + near, below[np.arange(len(mine)), near]
+        return cell, dist, d[np.arange(len(x)), top]
+
+    def summarise(self, group: str, rows: list) -> None:
+        """Take in the cell summaries ``(cell, n, near, far, top_near, top_far, small)`` of one group."""
+        m, tops = len(self.leaves), len(self.tops)
+        g = {"count": np.zeros(m, np.int64), "near": np.full(m, np.inf), "far": np.full(m, -np.inf), "small": np.full((m, self.depth), np.inf),
+             "top_near": np.full(tops, np.inf), "top_far": np.full(tops, -np.inf)}
+        for r in rows:
+            c = r["_cell"]
+            g["count"][c], g["near"][c], g["far"][c] = r["n"], r["near"], r["far"]
+            g["small"][c, :len(r["small"])] = r["small"]
+            t = int(np.searchsorted(self.begin, c, side="right")) - 1
+            g["top_near"][t], g["top_far"][t] = min(g["top_near"][t], r["top_near"]), max(g["top_far"][t], r["top_far"])
+        self.groups[group] = g
+
+    def _bounds(self, x: Rows, group: dict, t: int, d: np.ndarray) -> np.ndarray:
+        """Least possible distance from each query to a row of each cell below the upper pivot ``t``."""
+        at = self.below[t]
+        bound = np.maximum.reduce([d - group["far"][at], group["near"][at] - d, _planes(d, d.argmin(1), self.gaps[t]), np.zeros_like(d)])
+        return np.where(group["count"][at] > 0, bound, np.inf)
+
+    def visits(self, x: Rows, group: dict, wanted: int, farthest: bool, radius: float | None, probes: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """(query, cell) of every cell a query has to visit."""
+        n, tops = len(x), x.rough(self.tops)
+        if farthest:
+            d = x.rough(self.leaves)
+            least = np.abs(d[:, :, None] - group["small"][None]).reshape(n, -1)
             least = np.where(np.isfinite(least), least, -np.inf)
-            edge = -np.partition(-least, wanted - 1, axis=1)[:, wanted - 1] if least.shape[1] >= wanted else np.full(len(x), -np.inf)
-            hit = (d + group["far"] >= edge[:, None] - self.tolerance) & (group["count"] > 0)
+            edge = -np.partition(-least, wanted - 1, axis=1)[:, wanted - 1] if least.shape[1] >= wanted else np.full(n, -np.inf)
+            return np.nonzero((d + group["far"] >= edge[:, None] - self.tolerance) & (group["count"] > 0))
+        held = np.isfinite(group["top_near"])
+        if radius is not None:
+            edge = np.full(n, float(radius))
         else:
-            most = (d[:, :, None] + group["small"][None]).reshape(len(x), -1)
-            edge = np.partition(most, wanted - 1, axis=1)[:, wanted - 1] if most.shape[1] >= wanted else np.full(len(x), np.inf)
-            hit = (self.lower_bounds(d, group) <= edge[:, None] + self.tolerance) & (group["count"] > 0)
-        return [np.flatnonzero(row).tolist() for row in hit]
-
-
-def build_cells(points: DataFrame, depth: int) -> tuple[Cells, DataFrame]:
-    """Choose pivots and summarise cells; ``points`` has ``_g, _id, _x``.
-
-    Pivots are the first rows in hash order and only steer pruning. Returns the cells and
-    the points with their ``_cell``.
-    """
-    size = points.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_g").alias("g")).first()
-    wanted = max(1, min(MAX_PIVOTS, int(math.sqrt(size["n"]) / 2), SUMMARY_CELLS // max(1, size["g"])))
-    rows = points.select("_x", keyed_hash("pivot", F.col("_id")).alias("_h"), "_id").orderBy("_h", "_id").limit(wanted).collect()
-    if not rows:
+            edge = np.full(n, np.inf)
+            some = np.argsort(np.where(held, tops, np.inf), axis=1, kind="stable")[:, :BOUND_BRANCHES]
+            most = [[] for _ in range(n)]
+            for t in np.unique(some):
+                mine = np.flatnonzero((some == t).any(axis=1))
+                if held[t] and len(self.below[t]):
+                    upper = (x.take(mine).rough(self.branch[t])[:, :, None] + group["small"][self.below[t]][None]).reshape(len(mine), -1)
+                    keep = min(wanted, upper.shape[1])
+                    for i, row in zip(mine, np.partition(upper, keep - 1, axis=1)[:, :keep]):
+                        most[i].append(row)
+            for i, parts in enumerate(most):
+                flat = np.concatenate(parts) if parts else np.zeros(0)
+                if len(flat) >= wanted:
+                    edge[i] = np.partition(flat, wanted - 1)[wanted - 1]
+        bound = np.maximum.reduce([tops - group["top_far"], group["top_near"] - tops, _planes(tops, tops.argmin(1), self.top_gaps), np.zeros_like(tops)])
+        open_tops = (bound <= edge[:, None] + self.tolerance) & held
+        queries, found, away = [], [], []
+        for t in np.flatnonzero(open_tops.any(axis=0)):
+            mine = np.flatnonzero(open_tops[:, t])
+            part = x.take(mine)
+            d = part.rough(self.branch[t])
+            row, cell = np.nonzero(self._bounds(part, group, t, d) <= edge[mine][:, None] + self.tolerance)
+            queries.append(mine[row])
+            found.append(self.begin[t] + cell)
+            away.append(d[row, cell])
+        if not queries:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        query, cell, d = np.concatenate(queries), np.concatenate(found), np.concatenate(away)
+        if probes is not None:  # the nearest cells, as many as hold enough rows and not fewer than asked
+            order = np.lexsort((cell, d, query))
+            query, cell = query[order], cell[order]
+            before = np.cumsum(group["count"][cell]) - group["count"][cell]
+            first = np.searchsorted(query, query)
+            keep = (np.arange(len(query)) - first < probes) | (before - before[first] < wanted)
+            query, cell = query[keep], cell[keep]
+        return query, cell
+
+
+def _pivots(points: DataFrame, wanted: int) -> Rows:
+    """The first rows in hash order, each vector once; they only steer pruning."""
+    rows = points.select("_x", keyed_hash("pivot", F.col("_id")).alias("_h"), "_id").orderBy("_h", "_id").limit(wanted).select("_x").toArrow()
+    if not rows.num_rows:
         raise ValueError("no rows to search")
-    pivots = np.unique(np.array([r["_x"] for r in rows], dtype="float64"), axis=0)
-    tolerance = 1e-6 * (1.0 + float(np.abs(pivots).max()) * math.sqrt(pivots.shape[1]))
-    cells = Cells(pivots, _rough(pivots, pivots), {}, depth, tolerance)
+    x = Rows.of(rows.column("_x"))
+    if x.matrix is not None:
+        return Rows(x.width, np.unique(x.matrix, axis=0))
+    seen = {(x.index[a:b].tobytes(), x.value[a:b].tobytes()): i for i, (a, b) in enumerate(zip(x.begin[:-1], x.begin[1:]))}
+    return x.take(np.array(sorted(seen.values())))
 
-    @F.pandas_udf("cell int, dist double")
-    def assign(x: pd.Series) -> pd.DataFrame:
-        cell, dist = cells.nearest_pivot(_matrix(x)) if len(x) else ([], [])
-        return pd.DataFrame({"cell": np.asarray(cell, dtype="int32"), "dist": np.asarray(dist, dtype="float64")})
 
-    placed = points.withColumn("_a", assign("_x")).select("*", F.col("_a.cell").alias("_cell"), F.col("_a.dist").alias("_dist")).drop("_a")
-    placed = settle_table(placed, "cells")
+def build_cells(points: DataFrame, depth: int) -> tuple[Cells, DataFrame]:
+    """Choose pivots and summarise cells; ``points`` has ``_g, _id, _x``. Returns the cells and the points with ``_cell``."""
+    size = points.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_g").alias("g"), F.avg(F.size("_x.values")).alias("w")).first()
+    room = int(PIVOT_BYTES // (12 * max(1.0, size["w"] or 1.0)))
+    wanted = max(1, min(math.isqrt(size["n"]), room, SUMMARY_CELLS // max(1, size["g"])))
+    cells = Cells.around(_pivots(points, wanted), depth)
+    shared = points.sparkSession.sparkContext.broadcast(cells)  # at most some PIVOT_BYTES
+    kept = [f for f in points.schema.fields]
+
+    def assign(batches):
+        for batch in batches:
+            cell, dist, top = shared.value.assign(Rows.of(batch.column(batch.schema.get_field_index("_x")))) if batch.num_rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(dist, pa.float64()), pa.array(top, pa.float64())],
+                                             names=[*batch.schema.names, "_cell", "_dist", "_top"])
+
+    schema = T.StructType([*kept, T.StructField("_cell", T.IntegerType()), T.StructField("_dist", T.DoubleType()), T.StructField("_top", T.DoubleType())])
+    placed = settle_table(points.mapInArrow(assign, schema), "cells")
     sizes = placed.groupBy("_g", "_cell").agg(
-        F.count(F.lit(1)).alias("n"), F.max("_dist").alias("far"), F.min("_dist").alias("near"))
+        F.count(F.lit(1)).alias("n"), F.max("_dist").alias("far"), F.min("_dist").alias("near"), F.max("_top").alias("top_far"), F.min("_top").alias("top_near"))
     closest = placed.select("_g", "_cell", "_dist").withColumn(
         "_rn", F.row_number().over(W.partitionBy("_g", "_cell").orderBy("_dist"))
     ).filter(F.col("_rn") <= depth).groupBy("_g", "_cell").agg(F.sort_array(F.collect_list("_dist")).alias("small"))
-    width = len(pivots)
-    for r in sizes.join(closest, ["_g", "_cell"]).collect():
-        group = cells.groups.setdefault(r["_g"], {
-            "count": np.zeros(width, dtype="int64"), "far": np.full(width, -np.inf), "near": np.full(width, np.inf),
-            "small": np.full((width, depth), np.inf)})
-        c = r["_cell"]
-        group["count"][c], group["far"][c], group["near"][c] = r["n"], r["far"], r["near"]
-        group["small"][c, :len(r["small"])] = r["small"]
-    return cells, placed
-
-
-def route(queries: DataFrame, cells: Cells, wanted: int = 1, farthest: bool = False, radius: float | None = None) -> DataFrame:
-    """One row per query and visited cell."""
-
-    @F.pandas_udf("array<int>")
-    def targets(group: pd.Series, x: pd.Series) -> pd.Series:
-        out = pd.Series([[] for _ in range(len(x))], dtype=object)
-        for name, index in group.groupby(group).groups.items():
-            if name in cells.groups:
-                found = cells.visits(_matrix(x.loc[index]), cells.groups[name], wanted, farthest, radius)
-                for position, hit in zip(index, found):
-                    out.at[position] = hit
-        return out
-
-    return queries.withColumn("_cell", F.explode(targets("_g", "_x")))
-
-
-def block_join(visits: DataFrame, placed: DataFrame, work, schema, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Run ``work(queries, points)`` on every pair of blocks of a cell and its visitors.
-
-    Both sides of a block hold about ``block_rows`` rows whatever the size of the cell.
+    by_group: dict = {}
+    for r in sizes.join(closest, ["_g", "_cell"]).collect():  # one row per group and cell, at most SUMMARY_CELLS
+        by_group.setdefault(r["_g"], []).append(r)
+    for name, rows in by_group.items():
+        cells.summarise(name, rows)
+    return cells, placed.drop("_top")
+
+
+def route(queries: DataFrame, cells: Cells, wanted: int = 1, farthest: bool = False, radius: float | None = None, probes: int | None = None) -> DataFrame:
+    """One row per query and visited cell: the columns of ``queries`` and ``_cell``."""
+    shared = queries.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches):
+        cells = shared.value
+        for whole in batches:
+            for low in range(0, whole.num_rows, QUERY_ROWS):
+                batch = whole.slice(low, QUERY_ROWS)
+                x = Rows.of(batch.column(batch.schema.get_field_index("_x")))
+                names = np.array(batch.column(batch.schema.get_field_index("_g")).to_pylist(), dtype=object)
+                for name in sorted(set(names)):
+                    if name in cells.groups:
+                        mine = np.flatnonzero(names == name)
+                        query, cell = cells.visits(x.take(mine), cells.groups[name], wanted, farthest, radius, probes)
+                        taken = batch.take(pa.array(mine[query]))
+                        yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell, pa.int32())], names=[*taken.schema.names, "_cell"])
+
+    return queries.mapInArrow(run, T.StructType([*queries.schema.fields, T.StructField("_cell", T.IntegerType())]))
+
+
+def block_join(visits: DataFrame, placed: DataFrame, work, schema: T.StructType, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Run ``work(queries, points)`` on Arrow tables of every pair of blocks of a cell and its visitors.
+
+    Both sides of a block hold about ``block_rows`` rows whatever the size of the cell. Where a side is empty ``work`` is
+    not called.
     """
     count = F.count(F.lit(1))
     parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / block_rows)).cast("int")
@@ -159,32 +230,44 @@ def block_join(visits: DataFrame, placed: DataFrame, work, schema, block_rows: i
     right = placed.join(plan, ["_g", "_cell"]).withColumn("_pb", spot("_pbs")).withColumn("_qb", every("_qbs")).drop("_pbs", "_qbs")
     keys = ["_g", "_cell", "_qb", "_pb"]
     left = left.select(*[F.col(c).alias(c) for c in left.columns])
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(work, schema)
+    names = [f.name for f in schema.fields]
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = to_arrow_schema(schema)
+
+    def run(queries: pa.Table, points: pa.Table) -> pa.Table:
+        if not queries.num_rows or not points.num_rows:
+            return kinds.empty_table()
+        return pa.table(work(queries, points)).select(names).cast(kinds)
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
 
 def _top(k: int, farthest: bool):
     """Block work: at most ``k`` best points per query, ties by id."""
 
-    def work(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"_qid": [], "_id": [], "_d": []})
-        if not len(queries) or not len(points):
-            return empty
-        q, p = _matrix(queries["_x"]), _matrix(points["_x"])
-        ids = points["_id"].to_numpy()
-        slack = 1e-6 * (1.0 + np.sqrt(max((q * q).sum(1).max(), (p * p).sum(1).max())))
-        frames = []
-        for start in range(0, len(q), 256):
-            rough = _rough(q[start:start + 256], p)
-            score = -rough if farthest else rough
+    def work(queries: pa.Table, points: pa.Table) -> dict:
+        points = points.sort_by("_id")
+        q, p = Rows.of(queries.column("_x")), Rows.of(points.column("_x"))
+        off = slack(q, p)
+        rows, cols, dists = [], [], []
+        for start in range(0, len(q), QUERY_ROWS):
+            part = q.take(np.arange(start, min(start + QUERY_ROWS, len(q))))
+            score = -part.rough(p) if farthest else part.rough(p)
             if score.shape[1] > k:
                 edge = np.partition(score, k - 1, axis=1)[:, k - 1]
-                row, col = np.nonzero(score <= edge[:, None] + slack)
+                row, col = np.nonzero(score <= edge[:, None] + off)
             else:
                 row, col = np.nonzero(np.ones_like(score, dtype=bool))
-            frames.append(pd.DataFrame({
-                "_qid": queries["_id"].to_numpy()[start + row], "_id": ids[col], "_d": _fine(q[start + row], p[col])}))
-        best = pd.concat(frames).sort_values(["_qid", "_d", "_id"], ascending=[True, not farthest, True])
-        return best.groupby("_qid", sort=False).head(k)
+            d = part.fine(row, p, col, DIGITS)
+            order = np.lexsort((col, -d if farthest else d, row))  # points are in the order of their ids
+            row, col, d = row[order], col[order], d[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            rows.append(start + row[best])
+            cols.append(col[best])
+            dists.append(d[best])
+        row, col = np.concatenate(rows), np.concatenate(cols)
+        return {"_qid": queries.column("_id").take(pa.array(row)), "_id": points.column("_id").take(pa.array(col)), "_d": pa.array(np.concatenate(dists))}
 
     return work
 
@@ -199,26 +282,34 @@ def neighbours(
     farthest: bool = False,
     exclude_self: bool = True,
     block_rows: int = BLOCK_ROWS,
+    search: str = "exact",
+    probes: int = PROBES,
 ) -> DataFrame:
     """``(id, nn_rank, nn_id, distance)``: the k nearest rows by Euclidean distance, ties by id.
 
     With ``group_col`` only rows of the query's own group count. Copies of one vector are
     searched once: the k+1 first ids per vector are enough as points, one row per vector
-    as query, and a row drops itself from the shared list.
+    as query, and a row drops itself from the shared list. ``search="approximate"`` visits only the
+    ``probes`` cells whose pivots are nearest, and more where these hold too few rows; every row still gets
+    k neighbours if there are that many, with their true distances.
     """
+    if search not in ("exact", "approximate"):
+        raise ValueError(f"unknown search: {search}")
+    if search == "approximate" and farthest:
+        raise ValueError("the farthest rows have no approximate search")
     wanted = k + 1 if exclude_self else k
 
     def shaped(df: DataFrame) -> DataFrame:
         group = F.coalesce(F.col(group_col).cast("string"), F.lit("\0")) if group_col else F.lit("")
-        out = as_array(df.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_x"), group.alias("_g")), "_x")
-        return out.withColumn("_v", F.md5(F.col("_x").cast("string")))
+        out = df.select(F.col(id_col).alias("_id"), vector_parts(df, vec_col).alias("_x"), group.alias("_g"))
+        return out.withColumn("_v", F.md5(F.to_json("_x")))
 
     asked, held = shaped(queries), shaped(points)
     place = F.row_number().over(W.partitionBy("_g", "_v").orderBy("_id"))
     first = held.withColumn("_rn", place).filter(F.col("_rn") <= wanted).drop("_rn", "_v")
     leads = asked.withColumn("_rn", place).filter(F.col("_rn") == 1).drop("_rn")
     cells, placed = build_cells(first, wanted)
-    visits = route(leads.select("_g", "_id", "_x"), cells, wanted, farthest)
+    visits = route(leads.select("_g", "_id", "_x"), cells, wanted, farthest, probes=probes if search == "approximate" else None)
     schema = T.StructType([T.StructField("_qid", queries.schema[id_col].dataType), T.StructField("_id", points.schema[id_col].dataType), T.StructField("_d", T.DoubleType())])
     found = block_join(visits, placed.drop("_dist"), _top(wanted, farthest), schema, block_rows)
     by_distance = [F.desc("_d") if farthest else F.asc("_d"), F.asc("_id")]
@@ -232,34 +323,6 @@ def neighbours(
         id_col, (F.col("_pos") + 1).alias("nn_rank"), F.col("_n._id").alias("nn_id"), F.col("_n._d").alias("distance"))
 
 
-def approximate_neighbours(
-    df: DataFrame, k: int, id_col: str = "id", vec_col: str = "features", radius: float = 1.0, bucket_length: float = 0.5, tables: int = 4
-) -> DataFrame:
-    """Opt-in approximate search by random projections, with k neighbours for every row.
-
-    Rows that find fewer than k within ``radius`` search again with twice the radius and bucket
-    length, until each has k (or all others, in a smaller table).
-    """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-
-    from ticketloom.functions.vectors import as_vector
-
-    source = settle_table(as_vector(df.select(id_col, vec_col), vec_col), "approximate")
-    need, left, parts = min(k, source.count() - 1), source, []
-    while True:
-        model = BucketedRandomProjectionLSH(inputCol=vec_col, outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=42).fit(source)
-        close = model.approxSimilarityJoin(left, source, radius, "distance").select(
-            F.col(f"datasetA.{id_col}").alias(id_col), F.col(f"datasetB.{id_col}").alias("nn_id"), F.round("distance", DIGITS).alias("distance"))
-        place = F.row_number().over(W.partitionBy(id_col).orderBy("distance", "nn_id"))
-        ranked = close.filter(F.col(id_col) != F.col("nn_id")).withColumn("nn_rank", place).filter(F.col("nn_rank") <= need)
-        ranked = settle_table(ranked, "approximate")
-        full = ranked.filter(F.col("nn_rank") == need).select(id_col)
-        parts.append(ranked.join(full, id_col, "left_semi"))
-        left = settle_table(left.join(full, id_col, "left_anti"), "approximate")
-        if need <= 0 or left.isEmpty():
-            break
-        radius, bucket_length = 2 * radius, 2 * bucket_length
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select(id_col, "nn_rank", "nn_id", "distance")
+def approximate_neighbours(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "features", probes: int = PROBES) -> DataFrame:
+    """Every row's k neighbours in the ``probes`` cells nearest to it (or all others, in a smaller table)."""
+    return neighbours(df, df, k, id_col, vec_col, search="approximate", probes=probes)

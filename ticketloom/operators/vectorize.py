@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.functions.vectors import as_array, as_vector, entries, width_of
+from ticketloom.operators.decompose import truncated_svd
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -196,29 +197,12 @@ def embed(df: DataFrame, text_column: str, encode=None, output: str = "embedding
 def reduce_dimensions(df: DataFrame, column: str, n_components: int = 300, method: str = "svd", output: str = "reduced") -> DataFrame:
     """Uncentred truncated SVD; the output is the projection U times sigma.
 
-    The decomposition is distributed over rows; only the d x k right factor is sent back.
+    Sums over rows are d x k numbers; see :mod:`ticketloom.operators.decompose`.
     """
     if method != "svd":
         raise ValueError(f"Unsupported reduction method: {method}")
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
     source = as_vector(df, column)
-    rows = source.select(column).rdd.map(lambda r: OldVectors.fromML(r[0]))
-    factors = RowMatrix(rows, numCols=width_of(source, column)).computeSVD(n_components, computeU=False)
-    right = factors.V.toArray()
-    project = _projector(right)
-    return source.withColumn(output, project(F.col(column)))
-
-
-def _projector(right: np.ndarray):
-    @F.pandas_udf("array<double>")
-    def project(values: pd.Series) -> pd.Series:
-        if not len(values):
-            return pd.Series([], dtype=object)
-        return pd.Series(list(np.vstack(values.to_numpy()) @ right))
-
-    return lambda column: array_to_vector(project(vector_to_array(column)))
+    return source.withColumn(output, truncated_svd(source, column, n_components).project(source, column))
 
 
 def combine_features(df: DataFrame, columns: list[str], method: str = "concatenate", output: str = "features") -> DataFrame:

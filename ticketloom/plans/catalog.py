@@ -535,13 +535,13 @@ def _(s, d):
 
 @query("n_01_approximate")
 def _(s, d):
-    return neighbours.approximate_neighbours(vec3(s, d), 3, radius=1.1)
+    return neighbours.approximate_neighbours(vec3(s, d), 3)
 
 
 @query("n_01_approximate_counts")
 def _(s, d):
-    """Every row gets k distinct others, however few lie within the first radius."""
-    found = neighbours.approximate_neighbours(vec3(s, d), 3, radius=0.9)
+    """Every row gets k distinct others, however few lie in the nearest cell."""
+    found = neighbours.approximate_neighbours(vec3(s, d), 3, probes=1)
     return found.filter("nn_id <> id").groupBy("id").agg(F.countDistinct("nn_id").alias("n"), F.max("nn_rank").alias("last_rank"))
 
 
