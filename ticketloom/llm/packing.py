@@ -10,6 +10,7 @@ its own; the pieces that complete no bin are numbered within their class over al
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from zlib import crc32
@@ -20,12 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ticketloom.llm.bpe import byte_characters
 from ticketloom.llm.common import read, word_parts
 from ticketloom.session import settle_table
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END_ID, SLACK = 2048, 1, 0.01
-CACHE_BYTES, CACHED_WORD = 32 << 20, 256
+CACHE_BYTES, CACHED_WORD, ENTRY_BYTES, CACHED_PARTS = 48 << 20, 256, 150, 200_000
+#: Printable ASCII without A-Z and small letters of the Latin-1 block: no normalisation or lower-casing changes them.
+COMMON = re.compile(r"[!-@\[-~\xdf-\xf6\xf8-\xff]+").fullmatch
+#: The model's pattern on such characters.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+").findall
+SPECIAL = re.compile(r"<\|(?:start|end)oftext\|>", re.IGNORECASE).search
 FLUSH_PIECES = 8192
 #: Sequences filled by one task, over tasks, and by the last pieces have ids from different ranges.
 TASK_IDS, CLASS_IDS, OVER_TASKS, LAST = 1 << 32, 1 << 44, 1 << 60, 1 << 61
@@ -38,33 +45,60 @@ def vocabulary_file() -> str:
 
 
 class WordEncoder:
-    """Ids of texts by a ``tokenizers`` model that drops white space, from a table of met words bounded by bytes."""
+    """Ids of texts by a ``tokenizers`` model that drops white space, from tables of met words bounded by bytes.
+
+    A word of common letters that lower-casing leaves alone is cut by the model's own pattern and its parts go straight to
+    the merges; any other word goes through the whole library.
+    """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
+        self.merge = self.tokenizer.model.tokenize
+        self.character = dict(enumerate(byte_characters()))
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.held = 0
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
+    def _library(self, word: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        ids = array("I", [t.id for t in self.merge(part.encode().decode("latin-1").translate(self.character))]).tobytes()
+        if len(self.parts) >= CACHED_PARTS:
+            self.parts.clear()
+        self.parts[part] = ids
+        return ids
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if len(text) > CACHED_WORD or not COMMON(text) or SPECIAL(text):
+            return self._library(word)
+        known = self.parts
+        return b"".join([known.get(p) or self._part(p) for p in PARTS(text)])
 
     def ids(self, words: list[bytes]) -> bytes:
         """Ids of the words in turn, as little-endian unsigned 32-bit integers."""
-        new = list(set(words).difference(self.known))
-        long = {w: None for w in new if len(w) > CACHED_WORD}
-        short = [w for w in new if w not in long]
         if self.held > CACHE_BYTES:
-            self.known.clear()
-            self.held, short = 0, [w for w in set(words) if len(w) <= CACHED_WORD]
-        for word, ids in zip(short, self._encode(short)):
-            self.known[word] = ids
-            self.held += len(word) + len(ids) + 150
+            self.known, self.older, self.held = {}, self.known, 0
+        known, older, long = self.known, self.older, {}
+        for word in set(words).difference(known):
+            if len(word) > CACHED_WORD:
+                long[word] = None
+                continue
+            ids = known[word] = older.get(word) or self._word(word)
+            self.held += len(word) + len(ids) + ENTRY_BYTES
         if not long:
-            return b"".join([self.known[w] for w in words])
-        return b"".join([self.known[w] if w not in long else self._encode([w])[0] for w in words])
+            return b"".join([known[w] for w in words])
+        return b"".join([self._library(w) if w in long else known[w] for w in words])
+
+    def text(self, text: str | None) -> Iterator[bytes]:
+        """Ids of a text in parts of bounded size. A-Z may be lower-cased first unless that could make a special token."""
+        lower = not SPECIAL(text or "")
+        return (self.ids(words) for words in word_parts(text, lower=lower))
 
 
 def cut(length: int, allowed: int, capacity: int = CAPACITY) -> list[int]:
@@ -116,7 +150,7 @@ def _fill(docs: DataFrame, doc_id: str, text: str, model: str, capacity: int, en
         for batch in batches:
             id_type = batch.schema.field(0).type
             for own, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens, found = pieces((encoder.ids(w) for w in word_parts(x.as_py(), lower=False)), capacity, end_id, slack)
+                tokens, found = pieces(encoder.text(x.as_py()), capacity, end_id, slack)
                 for start, length, crc in found:
                     j = capacity // length
                     held = open_bins.setdefault(j, [])
