@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.vectors import as_vector, width_of
+from ticketloom.operators.boosting import BoostedModel, Booster, BoostRule
 from ticketloom.operators.evaluate import classification_report, confusion_matrix, summary_metrics
 from ticketloom.operators.logistic import DualLogistic
 from ticketloom.operators.neighbours import neighbours
@@ -101,6 +102,11 @@ def _boosted(df: DataFrame, p: dict) -> Estimator:
     return base if _rows_classes(df)[1] <= 2 else OneVsRest(classifier=base, parallelism=p["parallelism"])
 
 
+def _histogram_boosted(df: DataFrame, p: dict) -> Booster:
+    return Booster(BoostRule(p["n_estimators"], p["learning_rate"], p["max_depth"], p["max_leaves"], p["reg_lambda"], p["min_child_weight"], p["min_child_samples"],
+                             bins=p["max_bins"], top=p["top_rate"], other=p["other_rate"], seed=SEED))
+
+
 def _perceptron(df: DataFrame, p: dict) -> Estimator:
     layers = [width_of(df, "features"), *p["hidden"], _rows_classes(df)[1]]
     return MultilayerPerceptronClassifier(layers=layers, maxIter=p["max_iter"], seed=SEED)
@@ -132,8 +138,10 @@ def available_models() -> dict[str, ModelSpec]:
         "decision_tree": ModelSpec(
             lambda df, p: DecisionTreeClassifier(maxDepth=_depth(p), maxBins=p["max_bins"], seed=SEED), {"max_depth": MAX_TREE_DEPTH, "max_bins": 32}, "One tree grown to the full depth"),
         "mlp": ModelSpec(_perceptron, {"max_iter": 1000, "hidden": [100]}, "Feed-forward network, one hidden layer"),
-        "xgboost": ModelSpec(_boosted, {**boosted, "max_depth": 6, "learning_rate": 0.3}, "Boosted trees, deeper preset"),
-        "lightgbm": ModelSpec(_boosted, {**boosted, "max_depth": 5, "max_bins": 128, "subsample": 0.8}, "Boosted trees, fine-binned preset"),
+        "xgboost": ModelSpec(_histogram_boosted, {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6, "max_leaves": None, "reg_lambda": 1.0, "min_child_weight": 1.0,
+                                                  "min_child_samples": 1, "max_bins": 256, "top_rate": None, "other_rate": None}, "Second-order boosting of softmax trees, level by level"),
+        "lightgbm": ModelSpec(_histogram_boosted, {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 60, "max_leaves": 31, "reg_lambda": 0.0, "min_child_weight": 1e-3,
+                                                   "min_child_samples": 20, "max_bins": 255, "top_rate": 0.2, "other_rate": 0.1}, "Boosting by the best leaf on one-side samples"),
     }
 
 
@@ -303,19 +311,29 @@ class ModelBench:
         return classification_report(scored), confusion_matrix(scored)
 
     def save(self, name: str, path: str) -> None:
-        """Spark ML persistence; a neighbour model is its training table."""
+        """Spark ML persistence; a neighbour model is its training table, boosted trees are tables of their nodes."""
         model = self.get(name)
         if isinstance(model, NeighbourModel):
             model.train.write.mode("overwrite").parquet(path)
+        elif isinstance(model, BoostedModel):
+            model.save(SparkSession.getActiveSession(), path)
         else:
             PipelineModel([model]).write().overwrite().save(path)
 
-    def load(self, path: str, name: str, k: int | None = None) -> None:
-        """Read a saved model; ``k`` marks a neighbour model's training table."""
-        if k is None:
-            model = PipelineModel.load(path)
+    def kind(self, name: str) -> str:
+        """What :meth:`load` has to be told about a saved model: knn, boosted or ml."""
+        model = self.get(name)
+        return "knn" if isinstance(model, NeighbourModel) else "boosted" if isinstance(model, BoostedModel) else "ml"
+
+    def load(self, path: str, name: str, k: int | None = None, kind: str | None = None, search: str = "exact") -> None:
+        """Read a saved model; ``k`` marks a neighbour model's training table, ``kind="boosted"`` boosted trees."""
+        spark = SparkSession.getActiveSession()
+        if k is not None:
+            model = NeighbourModel(spark.read.parquet(path), k, search)
+        elif kind == "boosted":
+            model = BoostedModel.load(spark, path)
         else:
-            model = NeighbourModel(SparkSession.getActiveSession().read.parquet(path), k)
+            model = PipelineModel.load(path)
         self.trained[name] = Trained(name, model, {}, 0.0, 0.0)
 
     def feature_importance(self, spark: SparkSession, name: str, names: list[str] | None = None) -> DataFrame | None:

@@ -173,7 +173,7 @@ class FlowModel:
             else:
                 columns[column] = {"kind": "embedding", "output": model.output}
                 model.model.write().overwrite().save(f"{path}/embedding/{column}")
-        models = {n: t.model.k if isinstance(t.model, NeighbourModel) else None for n, t in self.bench.trained.items()}
+        models = {n: {"kind": self.bench.kind(n), **({"k": t.model.k, "search": t.model.search} if self.bench.kind(n) == "knn" else {})} for n, t in self.bench.trained.items()}
         patterns = {c: list(self.registry.patterns(c)) for c in self.registry.categories}
         settings = {"config": self.config, "classes": self.classes, "best": self.best, "columns": columns, "models": models,
                     "patterns": patterns, "combine": self.vectors.combine}
@@ -193,8 +193,8 @@ class FlowModel:
             params = TextVectorizer(p["kind"], p["max_features"], tuple(p["ngram_range"]), p["min_df"], p["max_df"], p["stop_words"])
             models[column] = TextVectorModel(params, column, p["output"], [r["term"] for r in rows], [r["df"] for r in rows], p["n_docs"])
         bench = ModelBench()
-        for name, k in settings["models"].items():
-            bench.load(f"{path}/models/{name}", name, k)
+        for name, saved in settings["models"].items():
+            bench.load(f"{path}/models/{name}", name, **saved)
         registry = NoiseRegistry({c: tuple(ps) for c, ps in settings["patterns"].items()})
         return cls(settings["config"], settings["classes"], FrameVectors(models, settings["combine"]), bench, settings["best"], registry)
 
