@@ -8,31 +8,25 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
-    LinearSVC,
     MultilayerPerceptronClassifier,
     NaiveBayes,
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.vectors import as_vector, width_of
 from ticketloom.operators.boosting import BoostedModel, Booster, BoostRule
 from ticketloom.operators.evaluate import classification_report, confusion_matrix, summary_metrics
+from ticketloom.operators.kernel import KernelMachine, KernelModel
 from ticketloom.operators.logistic import DualLogistic
-from ticketloom.operators.neighbours import neighbours
+from ticketloom.operators.neighbours import NeighbourIndex
 from ticketloom.operators.split import cross_validation
 from ticketloom.session import settle_table
 
@@ -40,62 +34,17 @@ SEED = 42
 MAX_TREE_DEPTH = 30
 
 
-class FourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Random cosine features that stand in for a Gaussian kernel."""
-
-    components = Param(Params._dummy(), "components", "number of features", TypeConverters.toInt)
-    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
-    width = Param(Params._dummy(), "width", "input features", TypeConverters.toInt)
-    seed = Param(Params._dummy(), "seed", "seed of the projection", TypeConverters.toInt)
-
-    @keyword_only
-    def __init__(self, inputCol=None, outputCol=None, components=256, gamma=1.0, width=1, seed=SEED):
-        super().__init__()
-        self._setDefault(components=256, gamma=1.0, width=1, seed=SEED)
-        self._set(**self._input_kwargs)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        n, d = self.getOrDefault("components"), self.getOrDefault("width")
-        rng = np.random.default_rng(self.getOrDefault("seed"))
-        w = rng.normal(0.0, np.sqrt(2 * self.getOrDefault("gamma")), (d, n))
-        b = rng.uniform(0, 2 * np.pi, n)
-
-        @F.pandas_udf("array<double>")
-        def lift(x: pd.Series) -> pd.Series:
-            if not len(x):
-                return pd.Series([], dtype=object)
-            return pd.Series(list(np.sqrt(2.0 / n) * np.cos(np.vstack(x.to_numpy()) @ w + b)))
-
-        return df.withColumn(self.getOutputCol(), array_to_vector(lift(vector_to_array(self.getInputCol()))))
-
-
 def _rows_classes(df: DataFrame) -> tuple[int, int]:
     row = df.agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("k")).first()
     return row["n"], int(row["k"]) + 1
 
 
-def _scale_gamma(df: DataFrame) -> float:
-    """1 / (d * variance of all entries), the usual kernel width."""
-    d = width_of(df, "features")
-    x = vector_to_array("features")
-    row = df.select(F.aggregate(x, F.lit(0.0), lambda s, v: s + v).alias("s"), F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v).alias("q")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
-    mean = row["s"] / (row["n"] * d)
-    return 1.0 / (d * max(row["q"] / (row["n"] * d) - mean * mean, 1e-12))
-
-
 def _depth(p: dict) -> int:
     if p["max_depth"] > MAX_TREE_DEPTH:
         raise ValueError(f"max_depth {p['max_depth']} is above {MAX_TREE_DEPTH}, the deepest tree Spark grows")
     return p["max_depth"]
 
 
-def _svm(df: DataFrame, p: dict) -> Estimator:
-    lift = FourierFeatures(inputCol="features", outputCol="lifted", components=p["components"], gamma=_scale_gamma(df), width=width_of(df, "features"))
-    base = LinearSVC(featuresCol="lifted", maxIter=p["max_iter"], regParam=1.0 / (p["C"] * df.count()), standardization=False)
-    return Pipeline(stages=[lift, OneVsRest(classifier=base, featuresCol="lifted", parallelism=p["parallelism"])])
-
-
 def _boosted(df: DataFrame, p: dict) -> Estimator:
     base = GBTClassifier(maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"], maxBins=p["max_bins"],
                          subsamplingRate=p["subsample"], seed=SEED)
@@ -132,7 +81,8 @@ def available_models() -> dict[str, ModelSpec]:
             {"n_estimators": 100, "max_depth": 15, "seed": SEED}, "Bagged decision trees, majority vote"),
         "gradient_boosting": ModelSpec(_boosted, boosted, "Shallow trees, each fitted to what the last ones left"),
         "logistic_regression": ModelSpec(lambda df, p: DualLogistic(C=p["C"], tol=p["tol"], max_iter=p["max_iter"]), {"max_iter": 1000, "C": 1.0, "tol": 1e-4}, "Multinomial logit with an L2 penalty, solved in the dual"),
-        "svm": ModelSpec(_svm, {"max_iter": 100, "C": 1.0, "components": 256, "parallelism": 4}, "Linear margin over random Fourier features"),
+        "svm": ModelSpec(lambda df, p: KernelMachine(p["C"], p["landmarks"], p["folds"], p["max_iter"]), {"max_iter": 30, "C": 1.0, "landmarks": 256, "folds": 3},
+                         "Gaussian kernel margin over landmark rows, calibrated probabilities"),
         "naive_bayes": ModelSpec(lambda df, p: NaiveBayes(modelType="multinomial", smoothing=p["alpha"]), {"alpha": 1.0}, "Multinomial counts with additive smoothing"),
         "knn": ModelSpec(None, {"n_neighbors": 5, "search": "exact"}, "Vote of the closest training rows"),
         "decision_tree": ModelSpec(
@@ -150,17 +100,23 @@ class NeighbourModel:
 
     def __init__(self, train: DataFrame, k: int, search: str = "exact"):
         self.train, self.k, self.search = train, k, search
+        self._index, self._kinds = None, 0
+
+    def index(self) -> NeighbourIndex:
+        """The training rows in cells: stored at first use and read by every later table or batch."""
+        if self._index is None:
+            self._index = NeighbourIndex.build(self.train.select("id", "features"), self.k)
+            self._kinds = int(self.train.agg(F.max("label").alias("m")).first()["m"]) + 1
+        return self._index
 
     def transform(self, df: DataFrame) -> DataFrame:
-        train = self.train.select(F.col("id").alias("_t"), "features", F.col("label").alias("_vote"))
-        points = train.select(F.col("_t").alias("id"), "features")
-        near = neighbours(df.select("id", "features"), points, self.k, exclude_self=False, search=self.search)
-        votes = near.join(train.select(F.col("_t").alias("nn_id"), "_vote"), "nn_id").groupBy("id", "_vote").agg(F.count(F.lit(1)).alias("_n"))
+        near = self.index().search(df.select("id", "features"), self.k, exclude_self=False, search=self.search)
+        train = self.train.select(F.col("id").alias("nn_id"), F.col("label").alias("_vote"))
+        votes = near.join(train, "nn_id").groupBy("id", "_vote").agg(F.count(F.lit(1)).alias("_n"))
         total = votes.groupBy("id").agg(
             F.min(F.struct(-F.col("_n"), F.col("_vote").alias("c")))["c"].cast("double").alias("prediction"),
             F.map_from_entries(F.collect_list(F.struct(F.col("_vote").cast("int"), F.col("_n")))).alias("_votes"))
-        kinds = int(self.train.agg(F.max("label").alias("m")).first()["m"]) + 1
-        shares = F.transform(F.sequence(F.lit(0), F.lit(kinds - 1)), lambda c: F.coalesce(F.col("_votes")[c], F.lit(0)) / self.k)
+        shares = F.transform(F.sequence(F.lit(0), F.lit(self._kinds - 1)), lambda c: F.coalesce(F.col("_votes")[c], F.lit(0)) / self.k)
         return df.join(total.withColumn("probability", shares).drop("_votes"), "id")
 
 
@@ -315,23 +271,23 @@ class ModelBench:
         model = self.get(name)
         if isinstance(model, NeighbourModel):
             model.train.write.mode("overwrite").parquet(path)
-        elif isinstance(model, BoostedModel):
+        elif isinstance(model, (BoostedModel, KernelModel)):
             model.save(SparkSession.getActiveSession(), path)
         else:
             PipelineModel([model]).write().overwrite().save(path)
 
     def kind(self, name: str) -> str:
-        """What :meth:`load` has to be told about a saved model: knn, boosted or ml."""
+        """What :meth:`load` has to be told about a saved model: knn, boosted, kernel or ml."""
         model = self.get(name)
-        return "knn" if isinstance(model, NeighbourModel) else "boosted" if isinstance(model, BoostedModel) else "ml"
+        return next((k for k, t in (("knn", NeighbourModel), ("boosted", BoostedModel), ("kernel", KernelModel)) if isinstance(model, t)), "ml")
 
     def load(self, path: str, name: str, k: int | None = None, kind: str | None = None, search: str = "exact") -> None:
-        """Read a saved model; ``k`` marks a neighbour model's training table, ``kind="boosted"`` boosted trees."""
+        """Read a saved model; ``k`` marks a neighbour model's training table, other kinds are what :meth:`kind` says."""
         spark = SparkSession.getActiveSession()
         if k is not None:
             model = NeighbourModel(spark.read.parquet(path), k, search)
-        elif kind == "boosted":
-            model = BoostedModel.load(spark, path)
+        elif kind in ("boosted", "kernel"):
+            model = {"boosted": BoostedModel, "kernel": KernelModel}[kind].load(spark, path)
         else:
             model = PipelineModel.load(path)
         self.trained[name] = Trained(name, model, {}, 0.0, 0.0)

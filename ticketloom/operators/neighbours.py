@@ -272,6 +272,51 @@ def _top(k: int, farthest: bool):
     return work
 
 
+def _shaped(df: DataFrame, id_col: str, vec_col: str, group_col: str | None) -> DataFrame:
+    group = F.coalesce(F.col(group_col).cast("string"), F.lit("\0")) if group_col else F.lit("")
+    out = df.select(F.col(id_col).alias("_id"), vector_parts(df, vec_col).alias("_x"), group.alias("_g"))
+    return out.withColumn("_v", F.md5(F.to_json("_x")))
+
+
+@dataclass
+class NeighbourIndex:
+    """Points in cells, stored once; any number of query tables, or batches of a stream, are searched in it."""
+
+    cells: Cells
+    placed: DataFrame
+    depth: int
+
+    @classmethod
+    def build(cls, points: DataFrame, depth: int, id_col: str = "id", vec_col: str = "features", group_col: str | None = None) -> "NeighbourIndex":
+        """``depth`` is the largest number of neighbours asked for. Of copies the first ``depth`` ids are enough."""
+        place = F.row_number().over(W.partitionBy("_g", "_v").orderBy("_id"))
+        first = _shaped(points, id_col, vec_col, group_col).withColumn("_rn", place).filter(F.col("_rn") <= depth).drop("_rn", "_v")
+        cells, placed = build_cells(first, depth)
+        return cls(cells, placed.drop("_dist"), depth)
+
+    def search(self, queries: DataFrame, k: int, id_col: str = "id", vec_col: str = "features", group_col: str | None = None, farthest: bool = False,
+               exclude_self: bool = True, block_rows: int = BLOCK_ROWS, search: str = "exact", probes: int = PROBES) -> DataFrame:
+        """See :func:`neighbours`. Copies of a query vector are searched once."""
+        wanted = k + 1 if exclude_self else k
+        if wanted > self.depth:
+            raise ValueError(f"the index serves {self.depth} neighbours, {wanted} are asked for")
+        asked = _shaped(queries, id_col, vec_col, group_col)
+        place = F.row_number().over(W.partitionBy("_g", "_v").orderBy("_id"))
+        leads = asked.withColumn("_rn", place).filter(F.col("_rn") == 1).drop("_rn")
+        visits = route(leads.select("_g", "_id", "_x"), self.cells, wanted, farthest, probes=probes if search == "approximate" else None)
+        schema = T.StructType([T.StructField("_qid", queries.schema[id_col].dataType), T.StructField("_id", self.placed.schema["_id"].dataType), T.StructField("_d", T.DoubleType())])
+        found = block_join(visits, self.placed, _top(wanted, farthest), schema, block_rows)
+        by_distance = [F.desc("_d") if farthest else F.asc("_d"), F.asc("_id")]
+        found = found.withColumn("_rn", F.row_number().over(W.partitionBy("_qid").orderBy(*by_distance))).filter(F.col("_rn") <= wanted)
+        lists = found.groupBy("_qid").agg(F.sort_array(F.collect_list(F.struct("_rn", "_id", "_d"))).alias("_list"))
+        shared = leads.select("_g", "_v", F.col("_id").alias("_qid")).join(lists, "_qid").drop("_qid")
+        mine = asked.select("_g", "_v", F.col("_id").alias(id_col)).join(shared, ["_g", "_v"])
+        others = F.filter("_list", lambda n: n["_id"] != F.col(id_col)) if exclude_self else F.col("_list")
+        picked = mine.select(id_col, F.posexplode(F.slice(others, 1, k)).alias("_pos", "_n"))
+        return picked.select(
+            id_col, (F.col("_pos") + 1).alias("nn_rank"), F.col("_n._id").alias("nn_id"), F.col("_n._d").alias("distance"))
+
+
 def neighbours(
     queries: DataFrame,
     points: DataFrame,
@@ -297,30 +342,8 @@ def neighbours(
         raise ValueError(f"unknown search: {search}")
     if search == "approximate" and farthest:
         raise ValueError("the farthest rows have no approximate search")
-    wanted = k + 1 if exclude_self else k
-
-    def shaped(df: DataFrame) -> DataFrame:
-        group = F.coalesce(F.col(group_col).cast("string"), F.lit("\0")) if group_col else F.lit("")
-        out = df.select(F.col(id_col).alias("_id"), vector_parts(df, vec_col).alias("_x"), group.alias("_g"))
-        return out.withColumn("_v", F.md5(F.to_json("_x")))
-
-    asked, held = shaped(queries), shaped(points)
-    place = F.row_number().over(W.partitionBy("_g", "_v").orderBy("_id"))
-    first = held.withColumn("_rn", place).filter(F.col("_rn") <= wanted).drop("_rn", "_v")
-    leads = asked.withColumn("_rn", place).filter(F.col("_rn") == 1).drop("_rn")
-    cells, placed = build_cells(first, wanted)
-    visits = route(leads.select("_g", "_id", "_x"), cells, wanted, farthest, probes=probes if search == "approximate" else None)
-    schema = T.StructType([T.StructField("_qid", queries.schema[id_col].dataType), T.StructField("_id", points.schema[id_col].dataType), T.StructField("_d", T.DoubleType())])
-    found = block_join(visits, placed.drop("_dist"), _top(wanted, farthest), schema, block_rows)
-    by_distance = [F.desc("_d") if farthest else F.asc("_d"), F.asc("_id")]
-    found = found.withColumn("_rn", F.row_number().over(W.partitionBy("_qid").orderBy(*by_distance))).filter(F.col("_rn") <= wanted)
-    lists = found.groupBy("_qid").agg(F.sort_array(F.collect_list(F.struct("_rn", "_id", "_d"))).alias("_list"))
-    shared = leads.select("_g", "_v", F.col("_id").alias("_qid")).join(lists, "_qid").drop("_qid")
-    mine = asked.select("_g", "_v", F.col("_id").alias(id_col)).join(shared, ["_g", "_v"])
-    others = F.filter("_list", lambda n: n["_id"] != F.col(id_col)) if exclude_self else F.col("_list")
-    picked = mine.select(id_col, F.posexplode(F.slice(others, 1, k)).alias("_pos", "_n"))
-    return picked.select(
-        id_col, (F.col("_pos") + 1).alias("nn_rank"), F.col("_n._id").alias("nn_id"), F.col("_n._d").alias("distance"))
+    index = NeighbourIndex.build(points, k + 1 if exclude_self else k, id_col, vec_col, group_col)
+    return index.search(queries, k, id_col, vec_col, group_col, farthest, exclude_self, block_rows, search, probes)
 
 
 def approximate_neighbours(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "features", probes: int = PROBES) -> DataFrame:

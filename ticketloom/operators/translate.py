@@ -13,8 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketloom.operators.memo import MemoStore, unseen
 from ticketloom.operators.vectorize import tokens
-from ticketloom.session import measured
+from ticketloom.session import measured, settle_table, small_copy
 
 TranslateFn = Callable[[Sequence[str], Sequence[str]], Sequence[str]]
 
@@ -22,6 +23,7 @@ MAX_CHARS = 500
 TARGET = "en"
 SCALE = 1_000_000
 PROFILE_PARTS = 64
+HEAVY_SHARE = 0.01
 
 # Detected codes and the codes the translation model knows them by.
 LANGUAGE_CODES = {
@@ -66,16 +68,32 @@ def fit_language_profiles(df: DataFrame, text_col: str, lang_col: str, top_words
 def detect_language(df: DataFrame, text_col: str, id_col: str, profiles: DataFrame, fallback: str | None = None, out: str = "detected") -> DataFrame:
     """Add the best-scoring language; ties go to the smaller code.
 
-    Words meet the profile by a join that is broadcast while the profile is small, and the
+    Words meet the profile by a join that is broadcast while the profile is small; see :func:`meet_profile` beyond. The
     scores are summed map-side, so a few rows per text are shuffled.
     """
     words = df.select(F.col(id_col), F.explode(F.array_distinct(tokens(F.lower(text_col)))).alias("word"))
-    scores = words.join(measured(profiles), "word").groupBy(id_col, "lang").agg(F.sum("weight").alias("score"))
+    small = small_copy(profiles)
+    met = words.join(F.broadcast(small), "word") if small is not None else meet_profile(words, profiles)
+    scores = met.groupBy(id_col, "lang").agg(F.sum("weight").alias("score"))
     best = scores.groupBy(id_col).agg(F.min(F.struct(-F.col("score"), F.col("lang").alias("lang")))["lang"].alias(out))
     joined = df.join(best, id_col, "left")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(fallback))) if fallback else joined
 
 
+def meet_profile(words: DataFrame, profiles: DataFrame, share: float = HEAVY_SHARE) -> DataFrame:
+    """``words`` joined with a profile of any size; no shuffled word holds more than ``share`` of the rows.
+
+    Words above the share are counted, map-side first; there are at most ``1 / share`` of them, so their part of the
+    profile is broadcast and their rows stay where they are. All other words are shuffled.
+    """
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    heavy = F.broadcast(settle_table(counts.filter(F.col("n") > share * total).select("word"), "heavy-words"))
+    near = words.join(F.broadcast(profiles.join(heavy, "word", "left_semi")), "word")
+    far = words.join(heavy, "word", "left_anti").join(profiles.join(heavy, "word", "left_anti").hint("shuffle_hash"), "word")
+    return near.unionByName(far.select(*near.columns))
+
+
 def _run(df: DataFrame, translate_fn: TranslateFn, batch_size: int) -> DataFrame:
     """``(text, lang)`` to ``(text, translated)``; a failing text comes back as it was."""
 
@@ -110,8 +128,7 @@ def translate_distinct(
     """
     work = texts.withColumn("given", translation_input(F.col("text"), max_chars))
     if memo is not None:
-        known = memo.select(F.col("text").alias("_known"))
-        work = work.join(known, F.col("given") == F.col("_known"), "left_anti")
+        work = unseen(work, "given", memo)
     if "lang" not in work.columns:
         work = work.withColumn("_key", F.md5("given"))
         work = detect_language(work, "given", "_key", profiles, TARGET, "lang").drop("_key")
@@ -153,16 +170,23 @@ def translate_column(
     return joined.withColumn(target, F.coalesce(F.col(f"`{target}`"), text))
 
 
-def extend_memo(memo: DataFrame, texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
-    """The memo with the translations it lacked; write it back as parquet to keep it.
+def new_entries(memo: DataFrame, texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
+    """``(text, translated)`` of the texts that the memo lacks; known texts are left out before anything is shuffled.
 
-    It is keyed by the text the model is given, so an over-long text is looked up by its
-    shortened form.
+    The memo is keyed by the text the model is given, so an over-long text is looked up by its shortened form.
     """
-    given = texts.withColumn("text", translation_input(F.col("text"), max_chars)).filter((F.col("text") != "") & F.col("text").isNotNull())
-    if "lang" in given.columns:
-        given = given.groupBy("text").agg(F.min("lang").alias("lang"))
-    else:
-        given = given.select("text").distinct()
-    new = translate_distinct(given, translate_fn, profiles, None, memo=memo)
-    return memo.select("text", "translated").unionByName(new.select("text", "translated"))
+    given = texts.select(*[c for c in texts.columns if c in ("text", "lang")]).withColumn("text", translation_input(F.col("text"), max_chars))
+    given = unseen(given.filter((F.col("text") != "") & F.col("text").isNotNull()), "text", memo)
+    given = given.groupBy("text").agg(F.min("lang").alias("lang")) if "lang" in given.columns else given.distinct()
+    return translate_distinct(given, translate_fn, profiles, None).select("text", "translated")
+
+
+def extend_memo(memo: DataFrame, texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
+    """The memo with the translations it lacked; write it back as parquet to keep it, or use a :class:`MemoStore`."""
+    return memo.select("text", "translated").unionByName(new_entries(memo, texts, translate_fn, profiles, max_chars))
+
+
+def extend_store(store: MemoStore, texts: DataFrame, translate_fn: TranslateFn, profiles: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
+    """Like :func:`extend_memo` on a stored memo: only what it lacked is written, as a part of its own."""
+    store.add(new_entries(store.table(), texts, translate_fn, profiles, max_chars))
+    return store.table()

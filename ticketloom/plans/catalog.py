@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from ticketloom.functions.hashing import hash_unit, keyed_hash
 from ticketloom.functions.noise import NoiseRegistry
 from ticketloom.functions.vectors import entries, width_of
-from ticketloom.operators import anomaly, balance, clean, cluster, evaluate, labels, models, neighbours, rank, select, split, strategy, translate, vectorize
+from ticketloom.operators import anomaly, balance, clean, cluster, evaluate, labels, memo, models, neighbours, rank, select, split, strategy, translate, vectorize
 from ticketloom.plans import flow, variants
 from ticketloom.session import scratch_path, settle_table
 from ticketloom.sources.tickets import INTERACTION, SUMMARY, TICKET_SCHEMA, csv_to_parquet, read_tickets_csv, table, tickets_view, write_tickets_csv
-from ticketloom.streaming.scoring import messages_as_tickets, score_stream, ticket_stream
+from ticketloom.streaming.scoring import messages_as_tickets, score_stream, scored_rows, ticket_stream
 
 QUERIES: dict = {}
 
@@ -187,6 +187,26 @@ def _(s, d):
     return memo.select(F.md5("text").alias("text_md5"), F.md5("translated").alias("translated_md5"))
 
 
+@query("t_06_memo_store")
+def _(s, d):
+    """A stored memo, extended twice; known texts come from its parts."""
+    docs = table(s, d, "documents").select("text", "lang")
+    store = memo.MemoStore(s, scratch_path(s, "memo"))
+    translate.extend_store(store, docs.filter("lang IN ('fr', 'de')"), stub_translation)
+    out = translate.extend_store(store, docs, stub_translation)
+    return out.select(F.md5("text").alias("text_md5"), F.md5("translated").alias("translated_md5"))
+
+
+@query("t_05_split_join")
+def _(s, d):
+    """Detection with the profile joined by frequent and rare words apart, as beyond the broadcast bound."""
+    docs = texts(s, d)
+    profiles = settle_table(translate.fit_language_profiles(docs, "text", "lang"), "profiles")
+    words = docs.select("doc_id", F.explode(F.array_distinct(vectorize.tokens(F.lower("text")))).alias("word"))
+    scores = translate.meet_profile(words, profiles).groupBy("doc_id", "lang").agg(F.sum("weight").alias("score"))
+    return scores.withColumnRenamed("doc_id", "id")
+
+
 @query("x_07_language_aware_translation")
 def _(s, d):
     out = translate.translate_column(table(s, d, "documents"), "text", stub_translation, lang_col="lang", max_chars=None)
@@ -965,7 +985,7 @@ def _(s, d):
     stream = messages_as_tickets(ticket_stream(s, d, source.schema, "conversations.parquet"), "text", ["conv_id", "turn"])
     path = scratch_path(s, "scored")
     score_stream(model, stream, ["conv_id", "turn"], path).awaitTermination()
-    return s.read.parquet(path)
+    return scored_rows(s, path)
 
 
 @query("o_05_save_load")

@@ -142,7 +142,8 @@ def model_step(train: DataFrame, test: DataFrame, config: dict) -> tuple[ModelBe
 
 @dataclass
 class FlowModel:
-    """A fitted flow. ``transform`` is row by row, so it serves tables and streams alike; only knn needs a table."""
+    """A fitted flow. ``transform`` is row by row, so it serves tables and streams alike; only knn needs a table or the
+    batches of a stream, which ``streaming.scoring.score_stream`` gives it."""
 
     config: dict
     classes: list[str]
@@ -155,12 +156,16 @@ class FlowModel:
         """Tickets to ``(*keep, prediction, predicted_label)``; texts are cleaned first, no row is dropped."""
         keep = keep or ["id"]
         if df.isStreaming and isinstance(self.bench.get(model_name or self.best), NeighbourModel):
-            raise ValueError("knn joins its training rows and cannot score a stream; name another model")
+            raise ValueError("knn joins its training rows and scores a stream batch by batch; use score_stream")
         cleaned = clean_step(df, self.config, self.registry, drop_empty=False)
         scored = self.bench.get(model_name or self.best).transform(self.vectors.transform(cleaned))
         name = F.element_at(F.array(*[F.lit(c) for c in self.classes]), F.col("prediction").cast("int") + 1)
         return scored.select(*keep, F.col("prediction").cast("int").alias("prediction"), name.alias("predicted_label"))
 
+    def by_batch(self, model_name: str | None = None) -> bool:
+        """Whether a stream has to be scored batch by batch."""
+        return isinstance(self.bench.get(model_name or self.best), NeighbourModel)
+
     def save(self, spark: SparkSession, path: str) -> None:
         """A folder: settings as JSON text, vocabularies as parquet, models by Spark ML."""
         columns = {}

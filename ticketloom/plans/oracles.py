@@ -165,12 +165,17 @@ scores AS (SELECT w.id, p.lang, CAST(sum(weight) AS BIGINT) AS score FROM words
 best AS (SELECT id, lang FROM scores QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) = 1)
 SELECT d.doc_id AS id, d.lang, b.lang AS detected FROM documents d LEFT JOIN best b ON d.doc_id = b.id"""
 
+ORACLES["t_05_split_join"] = f"""WITH {PROFILES}
+SELECT w.id, p.lang, CAST(sum(weight) AS BIGINT) AS score FROM words w JOIN profiles p ON w.word = p.word GROUP BY w.id, p.lang"""
+
 ORACLES["t_06_translation_memo"] = f"""WITH g AS (SELECT text, lang FROM documents WHERE text <> ''),
 a AS (SELECT text, min(lang) AS lang FROM g WHERE lang IN ('fr', 'de') GROUP BY text),
 b AS (SELECT text, min(lang) AS lang FROM g WHERE text NOT IN (SELECT text FROM a) GROUP BY text),
 m AS (SELECT * FROM a UNION ALL SELECT * FROM b)
 SELECT md5(text) AS text_md5, md5(CASE WHEN lang = 'en' THEN text ELSE concat('<', lang, '> ', text) END) AS translated_md5 FROM m"""
 
+ORACLES["t_06_memo_store"] = ORACLES["t_06_translation_memo"]
+
 ORACLES["x_07_language_aware_translation"] = """WITH l AS (SELECT doc_id AS id, text, min(lang) OVER (PARTITION BY text) AS lang FROM documents)
 SELECT id, md5(CASE WHEN lang = 'en' THEN text ELSE concat('<', lang, '> ', text) END) AS translated_md5 FROM l"""
 

@@ -100,17 +100,25 @@ SMALL_ROWS = 20_000
 SMALL_BYTES = 8_000_000
 
 
+def small_copy(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame | None:
+    """A local copy of a table of at most so many rows and bytes, to be broadcast; ``None`` if it is larger."""
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
+        return None
+    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+
+
 def measured(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Turn a table that proves small into a broadcastable local one.
 
     For class tables, cut points and bucket counts: read up to ``max_rows`` rows, checked by
     rows and by bytes, then broadcast, which spares the large side a shuffle. A larger table
-    stays cached, so what was computed to find out is not computed again, and is joined by
-    shuffle.
+    is written to shared storage, so what was computed to find out is not computed again, and is
+    joined by shuffle.
     """
     kept = df.persist()
-    rows = kept.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
-        return kept
-    kept.unpersist()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
+    try:
+        small = small_copy(kept, max_rows, max_bytes)
+        return settle_table(kept, "measured") if small is None else F.broadcast(small)
+    finally:
+        kept.unpersist()

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ticketloom.session import scratch_path
 from ticketloom.sources.tickets import INTERACTION, SUMMARY
 
+BATCH = "_batch"
+
 
 def ticket_stream(spark: SparkSession, folder: str, schema, file_filter: str | None = None, max_files: int | None = None) -> DataFrame:
     """New parquet files of a folder as a stream."""
@@ -27,11 +29,23 @@ def messages_as_tickets(messages: DataFrame, text_col: str, key_cols: list[str])
 def score_stream(model, stream: DataFrame, keep: list[str], path: str, checkpoint: str | None = None, model_name: str | None = None):
     """Start scoring into parquet with whatever is there now, then stop.
 
-    Sink and progress log lie in shared storage, so a restart goes on where it ended.
+    Sink and progress log lie in shared storage, so a restart goes on where it ended. A model that joins its training rows
+    (knn) scores each batch as a table against its stored cells; a batch is written under its number, so one that is
+    repeated after a failure replaces itself. :func:`scored_rows` reads either kind of result.
     """
-    scored = model.transform(stream, model_name, keep)
     log = checkpoint or scratch_path(stream.sparkSession, "score-log")
+    if model.by_batch(model_name):
+        def score(batch: DataFrame, number: int) -> None:
+            model.transform(batch, model_name, keep).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+
+        return stream.writeStream.foreachBatch(score).option("checkpointLocation", log).trigger(availableNow=True).start()
+    scored = model.transform(stream, model_name, keep)
     return (
         scored.writeStream.format("parquet").option("path", path).option("checkpointLocation", log)
         .trigger(availableNow=True).start()
     )
+
+
+def scored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`score_stream` has written."""
+    return spark.read.parquet(path).drop(BATCH)
