@@ -67,6 +67,7 @@ def _named(column: Column, class_names: list[str] | None) -> Column:
     code = column.cast("string")
     if not class_names:
         return code
+    code = F.regexp_replace(code, r"\.0$", "")
     return F.coalesce(F.create_map(*[F.lit(x) for i, name in enumerate(class_names) for x in (str(i), name)])[code], code)
 
 
@@ -175,11 +176,10 @@ def evaluate_classification(
     row = summary_metrics(df, label, prediction, model)
     if probability is None:
         return row.withColumns({"auc_roc": F.lit(None).cast("double"), "auc_pr": F.lit(None).cast("double")})
-    kinds = df.select(label).distinct().count()
-    if kinds == 2:
+    found = df.agg(F.count_distinct(label).alias("k"), F.max(label).alias("m")).first()
+    if found["k"] == 2:
         entry = F.when(F.size(probability) == 2, F.col(probability)[1]).otherwise(F.col(probability)[0])
-        high = df.agg(F.max(label).alias("m")).first()["m"]
-        got = binary_areas(df.withColumn("_score", entry), label, "_score", high).first()
+        got = binary_areas(df.withColumn("_score", entry), label, "_score", found["m"]).first()
         roc, pr = got["auc_roc"], got["auc_pr"]
     else:
         roc, pr = weighted_multiclass_auc(df, label, probability).first()["auc_roc"], None
@@ -209,15 +209,20 @@ def best_model(evaluations: list[DataFrame], metric: str = "f1_score") -> tuple[
     return top["model"], top["score"]
 
 
-def evaluation_report(df: DataFrame, label: str = "label", prediction: str = "prediction", probability: str | None = None, model: str = "model") -> str:
-    """Markdown of the metrics, classes and confusion matrix (k and k x k rows)."""
+def evaluation_report(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", probability: str | None = None, model: str = "model",
+    class_names: list[str] | None = None,
+) -> str:
+    """Markdown of the metrics, classes and confusion matrix (k and k x k rows); ``class_names`` in code order name the classes."""
+    names = {str(i): name for i, name in enumerate(class_names or [])}
     row = evaluate_classification(df, label, prediction, probability, model).first()
     lines = [f"# Model Evaluation: {model}", "", "## Metrics Summary"]
     shown = {"Accuracy": "accuracy", "Precision": "precision", "Recall": "recall", "F1-Score": "f1_score", "AUC-ROC": "auc_roc", "AUC-PR": "auc_pr"}
     lines += [f"- **{title}**: {row[key]:.4f}" for title, key in shown.items() if row[key] is not None]
     lines += ["", "## Per-Class Analysis"]
     for c in per_class(df, label, prediction).orderBy("class").collect():
-        lines += ["", f"### Class_{c['class']}", f"- Precision: {c['precision']:.4f}", f"- Recall: {c['recall']:.4f}", f"- F1-Score: {c['f1_score']:.4f}",
+        code = str(int(c["class"])) if isinstance(c["class"], float) and c["class"].is_integer() else str(c["class"])
+        lines += ["", f"### {names.get(code, 'Class_' + str(c['class']))}", f"- Precision: {c['precision']:.4f}", f"- Recall: {c['recall']:.4f}", f"- F1-Score: {c['f1_score']:.4f}",
                   f"- Support: {c['support']}", f"- TP: {c['true_positives']}, FP: {c['false_positives']}",
                   f"- TN: {c['true_negatives']}, FN: {c['false_negatives']}"]
     lines += ["", "## Confusion Matrix"]

@@ -29,7 +29,7 @@ MODEL_BYTES = 256 << 20
 SMOOTH = 0.5  # share of the uniform distribution in the first duals
 LEAST = 1e-12
 STATIC = ("block", "begin", "index", "value", "label")
-BLOCK_SCHEMA = "block long, begin binary, index binary, value binary, label binary, dual binary, delta binary, intercept binary, facts binary"
+BLOCK_SCHEMA = "block long, begin binary, index binary, value binary, label binary, dual binary, sums binary"
 
 
 @dataclass
@@ -159,7 +159,7 @@ def make_blocks(df: DataFrame, id_col: str, features: str, label: str, block_ent
     blocks = max(1, math.ceil(facts["entries"] / block_entries))
     flat = data.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "label", F.col("v.type").alias("type"), F.col("v.indices").alias("indices"), F.col("v.values").alias("values"))
     packed = flat.groupBy("block").applyInArrow(_pack_blocks, "block long, begin binary, index binary, value binary, label binary")
-    empty = [F.lit(None).cast("binary").alias(c) for c in ("dual", "delta", "intercept", "facts")]
+    empty = [F.lit(None).cast("binary").alias(c) for c in ("dual", "sums")]
     return settle_table(packed.select("*", *empty), "logistic-blocks"), blocks, facts["n"], width_of(df, features), max(2, facts["k"] + 1)
 
 
@@ -173,7 +173,7 @@ def _round(table: DataFrame, weights: np.ndarray, intercepts: np.ndarray, number
                 row = {c: batch.column(c)[i].as_py() for c in (*STATIC, "dual")}
                 block = Block.of(row, classes)
                 change, shift, (gap, gradient, hessian) = improve(block, weights, intercepts, number == 0, scale, blocks, epochs, tol, 1000 * number + row["block"] % 1000)
-                made = {"dual": block.dual, "delta": change, "intercept": shift, "facts": np.concatenate([[gap], gradient])}
+                made = {"dual": block.dual, "sums": np.concatenate([[gap], gradient, shift, change.ravel()])}
                 columns = [pa.array([row["block"]], pa.int64()), *(pa.array([row[c]], pa.binary()) for c in STATIC[1:]), *(pa.array([v.tobytes()], pa.binary()) for v in made.values())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*STATIC, *made])
 
@@ -225,12 +225,11 @@ class DualLogistic:
         weights, intercepts = np.zeros((features, free)), np.zeros(free)
         for number in range(max(2, self.max_iter)):
             table = _round(table, weights, intercepts, number, scale, self.blocks, classes, self.epochs, self.tol)
-            facts = _added(table, "facts", 1 + free)
+            facts, shift, delta = np.split(_added(table, "sums", 1 + 2 * free + features * free), [1 + free, 1 + 2 * free])
             self.gap, self.rounds = facts[0] / n, number
             if number and self.gap <= self.tol and np.abs(facts[1:]).max() <= self.tol * n:
                 break
-            weights = weights + _added(table, "delta", features * free).reshape(features, free)
-            intercepts = intercepts + _added(table, "intercept", free) / n
+            weights, intercepts = weights + delta.reshape(features, free), intercepts + shift / n
         return logistic_model(df, weights, intercepts, classes)
 
 

@@ -157,6 +157,9 @@ class ModelBench:
     best: str | None = None
 
     def fit(self, train: DataFrame, name: str, params: dict | None = None, validation: DataFrame | None = None) -> Trained:
+        return self._remember(self._fitted(train, name, params, validation))
+
+    def _fitted(self, train: DataFrame, name: str, params: dict | None = None, validation: DataFrame | None = None) -> Trained:
         registry = available_models()
         if name not in registry:
             raise ValueError(f"Model '{name}' is not available. Available models: {list(registry)}")
@@ -172,7 +175,7 @@ class ModelBench:
             held = as_vector(validation, "features").withColumn("label", F.col("label").cast("double"))
             got = summary_metrics(model.transform(held)).first()
             result.val_accuracy, result.val_f1 = got["accuracy"], got["f1_score"]
-        return self._remember(result)
+        return result
 
     def _remember(self, result: Trained) -> Trained:
         self.trained[result.name] = result
@@ -183,20 +186,28 @@ class ModelBench:
     def fit_many(
         self, train: DataFrame, names: list[str] | None = None, validation: DataFrame | None = None, parallelism: int = 1
     ) -> dict[str, Trained | dict]:
-        """Fit several models; a failing one is recorded and the rest go on."""
+        """Fit several models, ``parallelism`` at a time; a failing one is recorded and the rest go on.
+
+        Results are remembered in the order of the names, so ties for the best do not depend on which ended first.
+        """
         names = ["random_forest", "logistic_regression", "svm", "naive_bayes"] if names is None else names
 
         def one(name):
             try:
-                return name, self.fit(train, name, validation=validation)
+                return self._fitted(train, name, validation=validation)
             except Exception as error:
-                self.errors[name] = str(error)
-                return name, {"error": str(error)}
+                return error
 
-        if parallelism == 1:
-            return dict(one(n) for n in names)
         with ThreadPoolExecutor(parallelism) as pool:
-            return dict(pool.map(one, names))
+            found = list(pool.map(one, names))
+        out = {}
+        for name, result in zip(names, found):
+            if isinstance(result, Trained):
+                out[name] = self._remember(result)
+            else:
+                self.errors[name] = str(result)
+                out[name] = {"error": str(result)}
+        return out
 
     def tune(
         self, train: DataFrame, name: str, grid: dict[str, list], folds: int = 3, scoring: str = "accuracy", parallelism: int = 4

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -266,9 +267,9 @@ def vectorize_frame(
 
     The config ``WordEmbedding`` gives a column averaged word vectors.
     """
-    models = {}
-    for c in [c for c in text_columns if c in df.columns]:
-        models[c] = (configs or {}).get(c, TextVectorizer()).fit(df, c, f"_{c}_features")
-    if not models:
+    present = [c for c in text_columns if c in df.columns]
+    if not present:
         raise ValueError("no text column to vectorise")
+    with ThreadPoolExecutor(len(present)) as pool:  # independent jobs, side by side
+        models = dict(zip(present, pool.map(lambda c: (configs or {}).get(c, TextVectorizer()).fit(df, c, f"_{c}_features"), present)))
     return FrameVectors(models, combine)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import copy
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Word2VecModel
@@ -15,12 +16,12 @@ from ticketloom.functions.noise import NoiseRegistry
 from ticketloom.functions.vectors import as_vector
 from ticketloom.operators import balance, split, strategy
 from ticketloom.operators.clean import clean_interaction, clean_summary, spread_input, with_cleaned
-from ticketloom.operators.evaluate import best_model, compare_models, evaluate_classification
+from ticketloom.operators.evaluate import best_model, compare_models, evaluate_classification, evaluation_report
 from ticketloom.operators.labels import class_mapping, encode_labels
 from ticketloom.operators.models import ModelBench, NeighbourModel
 from ticketloom.operators.select import select_tickets
 from ticketloom.operators.translate import translate_column
-from ticketloom.operators.vectorize import FrameVectors, TextVectorizer, TextVectorModel, WordEmbedding
+from ticketloom.operators.vectorize import FrameVectors, TextVectorizer, TextVectorModel, WordEmbedding, vectorize_frame
 from ticketloom.session import settle_table
 from ticketloom.sources.tickets import INTERACTION, SUMMARY, read_tickets_csv
 
@@ -33,7 +34,7 @@ DEFAULT_CONFIG = {
     "sampling": {"enable": True, "method": "auto"},
     "data_split": {"test_size": 0.2, "stratify": True, "method": "basic", "time_column": None, "group_column": None},
     "modeling": {"models": ["random_forest", "logistic_regression", "naive_bayes"], "hyperparameter_tuning": False,
-                 "param_grids": {}, "compat_order": False},
+                 "param_grids": {}, "compat_order": False, "parallelism": 4},
 }
 
 
@@ -84,11 +85,10 @@ def structure_step(df: DataFrame, target: str) -> tuple[DataFrame, list[str]]:
 
 
 def vectorize_step(df: DataFrame, config: dict) -> FrameVectors:
+    """Both text columns are fitted side by side."""
     section = config["vectorization"]
-    if section["method"] == "embedding":
-        return FrameVectors({c: WordEmbedding.fit(df, c, f"_{c}_features") for c in ("ts", "ic")})
-    vectorizer = TextVectorizer(section["method"], section["max_features"], tuple(section["ngram_range"]))
-    return FrameVectors({c: vectorizer.fit(df, c, f"_{c}_features") for c in ("ts", "ic")})
+    kind = WordEmbedding if section["method"] == "embedding" else TextVectorizer(section["method"], section["max_features"], tuple(section["ngram_range"]))
+    return vectorize_frame(df, ["ts", "ic"], {"ts": kind, "ic": kind})
 
 
 def sample_step(df: DataFrame, config: dict) -> DataFrame:
@@ -125,19 +125,25 @@ def split_step(df: DataFrame, config: dict, label: str = "label") -> DataFrame:
     raise ValueError(f"unknown split method: {method}")
 
 
-def model_step(train: DataFrame, test: DataFrame, config: dict) -> tuple[ModelBench, dict[str, DataFrame]]:
-    """Train the configured models (tuned ones too if asked) and evaluate them on the test rows."""
+def model_step(train: DataFrame, test: DataFrame, config: dict) -> tuple[ModelBench, dict[str, DataFrame], dict[str, DataFrame]]:
+    """Train the configured models (tuned ones too if asked) and evaluate them on the test rows, some side by side.
+
+    Returns the bench, one evaluation row per model, and the scored test rows those came from.
+    """
     section, bench = config["modeling"], ModelBench()
-    bench.fit_many(train, section["models"], test)
+    bench.fit_many(train, section["models"], test, section["parallelism"])
     if section["hyperparameter_tuning"]:
         for name, grid in section["param_grids"].items():
             bench.tune(train, name, grid)
-    held = test.withColumn("label", F.col("label").cast("double"))
-    results = {}
-    for name in bench.trained:
-        scored = settle_table(bench.predict(held.select("id", "label", "features"), name, probability=True), "scored")
-        results[name] = evaluate_classification(scored, probability="probability", model=name)
-    return bench, results
+    held = test.withColumn("label", F.col("label").cast("double")).select("id", "label", "features")
+
+    def one(name: str) -> tuple[DataFrame, DataFrame]:
+        scored = settle_table(bench.predict(held, name, probability=True), "scored")
+        return settle_table(evaluate_classification(scored, probability="probability", model=name), "evaluation"), scored
+
+    with ThreadPoolExecutor(section["parallelism"]) as pool:
+        found = dict(zip(bench.trained, pool.map(one, bench.trained)))
+    return bench, {n: e for n, (e, _) in found.items()}, {n: t for n, (_, t) in found.items()}
 
 
 @dataclass
@@ -213,6 +219,12 @@ class FlowResult:
     n_features: int
     train_rows: int
     test_rows: int
+    scored: dict[str, DataFrame] = field(default_factory=dict)
+
+    def report(self, model_name: str | None = None) -> str:
+        """The evaluation report of a model (the best by default), its classes by name."""
+        name = model_name or self.model.best
+        return evaluation_report(self.scored[name], probability="probability", model=name, class_names=self.model.classes)
 
     def comparison(self) -> DataFrame:
         return compare_models(list(self.evaluations.values()))
@@ -255,10 +267,10 @@ class TicketFlow:
             advice = None
         train, test = settle_table(train, "train"), settle_table(test, "test")
         advice = advice or strategy_step(train)
-        bench, evaluations = model_step(train, test, self.config)
+        bench, evaluations, scored = model_step(train, test, self.config)
         best, _ = best_model(list(evaluations.values()))
         model = FlowModel(self.config, names, vectors, bench, best, self.registry)
-        return FlowResult(model, advice, evaluations, rows, advice["n_features"], train.count(), test.count())
+        return FlowResult(model, advice, evaluations, rows, advice["n_features"], train.count(), test.count(), scored)
 
     def fit_csv(self, spark: SparkSession, path: str, target: str = "y2", **kwargs) -> FlowResult:
         return self.fit(read_tickets_csv(spark, path), target, **kwargs)
