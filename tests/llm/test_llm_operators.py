@@ -49,7 +49,7 @@ def rows_of(df, *columns):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(registry.oracle_sql()[name]).df()
     got = registry.queries()[name](spark, SF).toPandas()
