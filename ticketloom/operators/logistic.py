@@ -2,9 +2,10 @@
 
 Rows lie in blocks of bounded size with one dual distribution over the classes each. In a round every task improves the
 duals of its blocks by coordinate steps against the shared weights, and the weight changes of all blocks are added; the
-quadratic term of a block's problem is scaled by the number of blocks, so that adding is safe. For weights that belong to
+quadratic term of a block's problem is scaled up, at most by the number of blocks, with which adding is safe. For weights that belong to
 the duals, the duality gap is the mean divergence of a row's dual from its predicted distribution, so it comes with every
-round at no cost and ends the search. Intercepts are not penalised: blocks take Newton steps on them, which are averaged.
+round at no cost and ends the search. Intercepts are not penalised: they take a Newton step a round from the sums over all
+rows, or a step an epoch where all rows are one block.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ BLOCK_ENTRIES = 2_000_000
 MODEL_BYTES = 256 << 20
 SMOOTH = 0.5  # share of the uniform distribution in the first duals
 LEAST = 1e-12
+FIRST_CAUTION = 0.4  # of the number of blocks; doubled whenever the gap grows
+SHARED_EPOCHS = 4  # local passes of a round where other blocks move the weights too
 STATIC = ("block", "begin", "index", "value", "label")
 BLOCK_SCHEMA = "block long, begin binary, index binary, value binary, label binary, dual binary, sums binary"
 
@@ -90,10 +93,10 @@ def _newton(gradient: np.ndarray, hessian: np.ndarray) -> np.ndarray:
     return step * min(1.0, 2.0 / max(np.abs(step).max(), LEAST))
 
 
-def improve(block: Block, weights: np.ndarray, intercepts: np.ndarray, first: bool, scale: float, blocks: int, epochs: int, tol: float, seed: int):
-    """Coordinate steps on the duals of a block: (change of weights, of intercepts, what held before).
+def improve(block: Block, weights: np.ndarray, intercepts: np.ndarray, first: bool, scale: float, blocks: int, caution: float, epochs: int, tol: float, seed: int):
+    """Coordinate steps on the duals of a block: (change of weights, change of intercepts, what held before).
 
-    ``scale`` is the penalty times the number of all rows. A step moves a row's dual towards its prediction, as far as the
+    ``scale`` is the penalty times the number of all rows; ``caution`` scales what a block assumes all blocks to move. A step moves a row's dual towards its prediction, as far as the
     dual objective along that line rises. A block ends early once it meets the tolerance by itself.
     """
     classes, free, n = block.dual.shape[1], weights.shape[1], len(block.label)
@@ -104,18 +107,19 @@ def improve(block: Block, weights: np.ndarray, intercepts: np.ndarray, first: bo
     held = _facts(Block(block.begin, block.index, block.value, block.label, before), _softmax(_all_scores(block.margins(weights) + intercepts, classes)), free)
     own, b = weights.copy(), intercepts.copy()
     if first:
-        own += blocks / scale * block.pull((before - block.dual)[:, -free:], len(weights))
+        own += caution / scale * block.pull((before - block.dual)[:, -free:], len(weights))
     norm = np.add.reduceat(np.append(block.value ** 2, 0.0), block.begin[:-1]) * (np.diff(block.begin) > 0)
-    curve, push = blocks / scale * norm, blocks / scale
+    curve, push = caution / scale * norm, caution / scale
     rng = np.random.default_rng(seed)
     begin, index, value, dual = block.begin, block.index, block.value, block.dual
     z = np.zeros(classes)
-    for _ in range(epochs):
+    for _ in range(epochs if blocks == 1 else min(epochs, SHARED_EPOCHS)):
         predicted = _softmax(_all_scores(block.margins(own) + b, classes))
         gap, gradient, hessian = _facts(block, predicted, free)
-        if gap <= 0.3 * tol * n and np.abs(gradient).max() <= 0.3 * tol * n:
+        if gap <= 0.3 * tol * n and (blocks > 1 or np.abs(gradient).max() <= 0.3 * tol * n):
             break
-        b = b + _newton(gradient, hessian)
+        if blocks == 1:
+            b = b + _newton(gradient, hessian)
         for i in rng.permutation(n).tolist():
             at, x, p = index[begin[i]:begin[i + 1]], value[begin[i]:begin[i + 1]], dual[i]
             near = own[at]
@@ -133,7 +137,7 @@ def improve(block: Block, weights: np.ndarray, intercepts: np.ndarray, first: bo
             dual[i] = np.maximum(p + s * way, LEAST)
             own[at] = near - (push * s) * np.outer(x, part)
     change = 1.0 / scale * block.pull((before - dual)[:, -free:], len(weights))
-    return change, (b - intercepts) * n, held
+    return change, b - intercepts, held
 
 
 def _pack_blocks(rows: pa.Table) -> pa.Table:
@@ -163,7 +167,7 @@ def make_blocks(df: DataFrame, id_col: str, features: str, label: str, block_ent
     return settle_table(packed.select("*", *empty), "logistic-blocks"), blocks, facts["n"], width_of(df, features), max(2, facts["k"] + 1)
 
 
-def _round(table: DataFrame, weights: np.ndarray, intercepts: np.ndarray, number: int, scale: float, blocks: int, classes: int, epochs: int, tol: float) -> DataFrame:
+def _round(table: DataFrame, weights: np.ndarray, intercepts: np.ndarray, number: int, scale: float, blocks: int, caution: float, classes: int, epochs: int, tol: float) -> DataFrame:
     shared = table.sparkSession.sparkContext.broadcast((weights, intercepts))  # at most MODEL_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +176,8 @@ def _round(table: DataFrame, weights: np.ndarray, intercepts: np.ndarray, number
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in (*STATIC, "dual")}
                 block = Block.of(row, classes)
-                change, shift, (gap, gradient, hessian) = improve(block, weights, intercepts, number == 0, scale, blocks, epochs, tol, 1000 * number + row["block"] % 1000)
-                made = {"dual": block.dual, "sums": np.concatenate([[gap], gradient, shift, change.ravel()])}
+                change, shift, (gap, gradient, hessian) = improve(block, weights, intercepts, number == 0, scale, blocks, caution, epochs, tol, 1000 * number + row["block"] % 1000)
+                made = {"dual": block.dual, "sums": np.concatenate([[gap], gradient, hessian.ravel(), shift, change.ravel()])}
                 columns = [pa.array([row["block"]], pa.int64()), *(pa.array([row[c]], pa.binary()) for c in STATIC[1:]), *(pa.array([v.tobytes()], pa.binary()) for v in made.values())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*STATIC, *made])
 
@@ -223,13 +227,19 @@ class DualLogistic:
             return LogisticRegression(family="multinomial" if classes > 2 else "binomial", maxIter=self.max_iter, tol=self.tol, regParam=1.0 / (self.C * n), standardization=False).fit(df)
         scale = 1.0 / self.C  # the penalty times the number of rows
         weights, intercepts = np.zeros((features, free)), np.zeros(free)
+        caution, last = max(1.0, FIRST_CAUTION * self.blocks), math.inf
         for number in range(max(2, self.max_iter)):
-            table = _round(table, weights, intercepts, number, scale, self.blocks, classes, self.epochs, self.tol)
-            facts, shift, delta = np.split(_added(table, "sums", 1 + 2 * free + features * free), [1 + free, 1 + 2 * free])
-            self.gap, self.rounds = facts[0] / n, number
-            if number and self.gap <= self.tol and np.abs(facts[1:]).max() <= self.tol * n:
+            table = _round(table, weights, intercepts, number, scale, self.blocks, caution, classes, self.epochs, self.tol)
+            cuts = np.cumsum([1, free, free * free, free])
+            gap, gradient, hessian, shift, delta = np.split(_added(table, "sums", cuts[-1] + features * free), cuts)
+            self.gap, self.rounds = float(gap[0]) / n, number
+            if number and self.gap <= self.tol and np.abs(gradient).max() <= self.tol * n:
                 break
-            weights, intercepts = weights + delta.reshape(features, free), intercepts + shift / n
+            if number > 1 and self.gap > last:  # the blocks pull too far together
+                caution = min(2 * caution, float(self.blocks))
+            last = self.gap
+            weights = weights + delta.reshape(features, free)
+            intercepts = intercepts + (shift if self.blocks == 1 else _newton(gradient, hessian.reshape(free, free)))
         return logistic_model(df, weights, intercepts, classes)
 
 
