@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -144,19 +143,18 @@ def slack(*parts: Rows) -> float:
     return 1e-6 * (1.0 + most ** 0.5)
 
 
-@F.pandas_udf(VectorUDT())
-def between(x: pd.DataFrame, y: pd.DataFrame, u: pd.Series) -> pd.Series:
-    """x + u (y - x) of columns of :func:`vector_parts`: index arrays are merged, so sparse vectors stay sparse."""
-    out = []
-    for kx, n, ix, vx, ky, iy, vy, t in zip(x["type"], x["size"], x["indices"], x["values"], y["type"], y["indices"], y["values"], u):
-        if kx and ky:
-            out.append(DenseVector(vx + t * (vy - vx)))
-            continue
-        ix, iy = (np.arange(len(v)) if k else np.asarray(i, np.int64) for k, i, v in ((kx, ix, vx), (ky, iy, vy)))
-        index = np.union1d(ix, iy)
-        a, b = np.zeros(len(index)), np.zeros(len(index))
-        a[np.searchsorted(index, ix)], b[np.searchsorted(index, iy)] = vx, vy
-        value = a + t * (b - a)
-        size = int(n) if not kx else len(vx)
-        out.append(SparseVector(size, index[value != 0], value[value != 0]))
-    return pd.Series(out, dtype=object)
+def _between(x, y, u: float):
+    if x["type"] and y["type"]:
+        a, b = np.array(x["values"]), np.array(y["values"])
+        return DenseVector(a + u * (b - a))
+    ix, iy = (np.arange(len(v["values"])) if v["type"] else np.asarray(v["indices"], np.int64) for v in (x, y))
+    index = np.union1d(ix, iy)
+    a, b = np.zeros(len(index)), np.zeros(len(index))
+    a[np.searchsorted(index, ix)], b[np.searchsorted(index, iy)] = x["values"], y["values"]
+    value = a + u * (b - a)
+    return SparseVector(x["size"] or y["size"], index[value != 0], value[value != 0])
+
+
+#: x + u (y - x) of columns of :func:`vector_parts`: index arrays are merged, so sparse vectors stay sparse. One call makes
+#: one vector, and only new points are made; vectors have no Arrow form that a batch could return.
+between = F.udf(_between, VectorUDT(), useArrow=False)
