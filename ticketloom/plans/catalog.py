@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions.hashing import hash_unit, keyed_hash
 from ticketloom.functions.noise import NoiseRegistry
 from ticketloom.functions.vectors import entries, width_of
-from ticketloom.operators import anomaly, balance, clean, cluster, evaluate, labels, memo, models, neighbours, rank, select, split, strategy, translate, vectorize
+from ticketloom.operators import anomaly, balance, clean, cluster, decompose, evaluate, labels, logistic, memo, models, neighbours, rank, select, split, strategy, translate, vectorize
 from ticketloom.plans import flow, variants
 from ticketloom.session import scratch_path, settle_table
 from ticketloom.sources.tickets import INTERACTION, SUMMARY, TICKET_SCHEMA, csv_to_parquet, read_tickets_csv, table, tickets_view, write_tickets_csv
@@ -387,6 +387,36 @@ def _(s, d):
     return entries(out, "reduced", ["id"]).groupBy("id").agg(r(F.sum(F.col("w") * F.col("w")), 6).alias("energy"))
 
 
+@query("v_07_planted_rank")
+def _(s, d):
+    """Vectors that are multiples of four fixed ones: four values stand out, and their projections keep all lengths."""
+    data = vec3(s, d).select("id", F.transform("features", lambda v, i: F.when(i < 4, v).otherwise(F.lit(2.0) * F.col("features")[F.pmod(i, F.lit(4))])).alias("features"))
+    found = decompose.truncated_svd(data, "features", 8)
+    kept = data.select("id", found.project(data, "features").alias("reduced"))
+    rank = int((found.values > 1e-5 * found.values[0]).sum())
+    return entries(kept, "reduced", ["id"]).groupBy("id").agg(r(F.sum(F.col("w") * F.col("w")), 5).alias("energy")).withColumn("rank", F.lit(rank))
+
+
+@query("n_01_recall")
+def _(s, d):
+    """The share of true neighbours that the approximate search finds."""
+    data = vec3(s, d)
+    exact = neighbours.neighbours(data, data, 5).select("id", "nn_id")
+    near = neighbours.approximate_neighbours(data, 5).select("id", "nn_id")
+    hit = exact.join(near, ["id", "nn_id"]).agg(F.count(F.lit(1)).alias("hit"))
+    return hit.select((F.col("hit") >= F.lit(0.3 * 5 * data.count())).alias("recall_above_chance"))
+
+
+@query("b_08_smote_tomek_rows")
+def _(s, d):
+    return balance.smote_tomek(vec3(s, d), "label", "id").select("row_key", "label", "is_synthetic")
+
+
+@query("b_09_smote_enn_rows")
+def _(s, d):
+    return balance.smote_enn(vec3(s, d), "label", "id").select("row_key", "label", "is_synthetic")
+
+
 @query("v_07_svd_full_rank")
 def _(s, d):
     out = vectorize.reduce_dimensions(vec3(s, d), "features", 64)
@@ -733,15 +763,76 @@ def _(s, d):
 
 # ---- M: models -------------------------------------------------------------------------
 
-def _model(name: str, params: dict | None = None):
-    def run(s, d):
+_TRAINED: dict = {}
+
+
+def _trained(s, d, name: str) -> tuple[models.ModelBench, DataFrame]:
+    """A model of the vectors and their stored scores; queries on one model share its training while a session lasts."""
+    key = s.sparkContext.applicationId, d, name
+    if key not in _TRAINED:
         data = settle_table(vec3(s, d), "train")
         bench = models.ModelBench()
-        bench.fit(data, name, params)
-        return bench.predict(data, name)
+        bench.fit(data, name)
+        _TRAINED[key] = bench, settle_table(bench.predict(data, name, probability=True), "scored")
+    return _TRAINED[key]
+
+
+def _model(name: str):
+    return lambda s, d: _trained(s, d, name)[1].drop("probability")
+
+
+def _facts(name: str):
+    """What holds of any fitted classifier: every row is scored, by a known class, the likeliest one, and shares add up."""
+    def run(s, d):
+        scored = _trained(s, d, name)[1]
+        best = F.array_max("probability") - F.col("probability")[F.col("prediction").cast("int")]
+        hits = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+        most = F.array_max(F.array(*[F.avg((F.col("label") == c).cast("double")) for c in range(3)]))
+        total = F.aggregate("probability", F.lit(0.0), lambda a, v: a + v)
+        return scored.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min(F.col("prediction").isin(0.0, 1.0, 2.0).cast("int")).cast("boolean").alias("known_classes"),
+            (F.max(F.abs(total - 1)) < 1e-6).alias("sums_to_one"), (F.max(best) < 1e-9).alias("likeliest"), (hits >= most).alias("beats_majority"))
     return run
 
 
+for _name in ("random_forest", "gradient_boosting", "decision_tree", "xgboost", "lightgbm"):
+    QUERIES[f"m_facts_{_name}"] = _facts(_name)
+for _name in ("logistic_regression", "mlp"):
+    QUERIES[f"m_facts_{_name}"] = lambda s, d, _run=_facts(_name): _run(s, d).drop("beats_majority")
+QUERIES["m_facts_svm"] = lambda s, d: _facts("svm")(s, d).drop("beats_majority", "likeliest")  # margins decide, shares are calibrated
+
+
+@query("m_03_duality_gap")
+def _(s, d):
+    """How the dual solver ended: its gap and the gradient of the free intercepts bound the distance to the optimum."""
+    data = settle_table(vec3(s, d), "train")
+    solver = logistic.DualLogistic()
+    model = solver.fit(data)
+    return s.createDataFrame([(solver.gap < 1e-3, model.numClasses, model.numFeatures)], "gap_closed boolean, classes int, features int")
+
+
+@query("m_09_training_loss")
+def _(s, d):
+    """The softmax loss falls in every round, with one tree a round for each of three classes."""
+    model = _trained(s, d, "xgboost")[0].get("xgboost")
+    falls = all(b < a for a, b in zip(model.losses, model.losses[1:]))
+    trees = {r[:2] for r in model.nodes}
+    return s.createDataFrame([(falls, len(trees), len({c for _, c in trees}))], "falls boolean, trees int, classes int")
+
+
+@query("m_10_leaf_rule")
+def _(s, d):
+    """Trees grown by the best leaf keep their leaf bound, and a second fit grows the same ones."""
+    model = _trained(s, d, "lightgbm")[0].get("lightgbm")
+    leaves: dict = {}
+    for n in model.nodes:
+        leaves[n[:2]] = leaves.get(n[:2], 0) + (n[3] < 0)
+    again = models.ModelBench()
+    again.fit(vec3(s, d).repartition(5), "lightgbm")
+    same = sorted(map(str, again.get("lightgbm").nodes)) == sorted(map(str, model.nodes))
+    return s.createDataFrame([(len(leaves), max(leaves.values()) <= 31, same)], "trees int, within_bound boolean, rerun_equal boolean")
+
+
 QUERIES["m_01_random_forest"] = _model("random_forest")
 QUERIES["m_02_gradient_boosting"] = _model("gradient_boosting")
 QUERIES["m_03_logistic_regression"] = _model("logistic_regression")

@@ -319,6 +319,9 @@ SELECT id, length(t) AS chars, length(t) - length(replace(t, 'e', '')) AS letter
 
 ORACLES["v_07_svd_full_rank"] = f"WITH {VEC3} SELECT id, {_r('list_dot_product(f, f)', 5)} AS energy FROM vec3"
 
+ORACLES["v_07_planted_rank"] = f"""WITH {VEC3}, p AS (SELECT id, list_transform(range(len(f)), lambda i: CASE WHEN i < 4 THEN f[i + 1] ELSE 2 * f[i % 4 + 1] END) AS v FROM vec3)
+SELECT id, {_r('list_dot_product(v, v)', 5)} AS energy, 4 AS rank FROM p"""
+
 _BOTH = {"v_08_concatenate": "list_concat(f, list_reverse(f))", "v_08_average": "list_transform(range(1, len(f) + 1), lambda i: (f[i] + f[len(f) + 1 - i]) / 2)"}
 for _name, _expr in _BOTH.items():
     ORACLES[_name] = f"""WITH {VEC3}, b AS (SELECT id, {_expr} AS v FROM vec3)
@@ -484,6 +487,9 @@ SELECT label, is_synthetic, count(*) AS n FROM grown WHERE k NOT IN (SELECT k FR
 ORACLES["b_09_smote_enn"] = f"""WITH {VEC3}, {PAIRS}, {SAME}, {SMOTE_DRAWS}
 SELECT label, is_synthetic, count(*) AS n FROM grown WHERE k NOT IN (SELECT k FROM near WHERE label <> o_label) GROUP BY label, is_synthetic"""
 
+for _name in ("b_08_smote_tomek", "b_09_smote_enn"):
+    ORACLES[f"{_name}_rows"] = ORACLES[_name].replace("SELECT label, is_synthetic, count(*) AS n FROM grown", "SELECT k AS row_key, label, is_synthetic FROM grown").replace(" GROUP BY label, is_synthetic", "")
+
 ALLOCATION = f"""{_COUNTS}, plan AS (SELECT label, n, max(n) OVER () - n AS draws FROM counts),
 per_row AS (SELECT id, label, CAST(sum(CASE WHEN nn_label <> label THEN 1 ELSE 0 END) AS BIGINT) AS other_neighbours FROM nn WHERE nn_rank <= 5 GROUP BY id, label),
 sized AS (SELECT r.*, p.draws, CAST(sum(other_neighbours) OVER (PARTITION BY r.label) AS BIGINT) AS total FROM per_row r JOIN plan p ON r.label = p.label WHERE p.draws > 0),
@@ -669,6 +675,19 @@ WHERE y1 IN (SELECT y1 FROM cleaned GROUP BY y1 HAVING count(*) > 45)"""
 
 ORACLES["x_06_script_selection"] = f"WITH {TICKETS}, {TYPED}, {NONEMPTY} SELECT id, y, md5(interaction) AS interaction_md5 FROM nonempty"
 
+# ---- What holds of any fitted model -----------------------------------------------------
+
+_FACTS = "SELECT count(*) AS n_rows, true AS known_classes, true AS sums_to_one"
+for _name in ("random_forest", "gradient_boosting", "decision_tree", "xgboost", "lightgbm"):
+    ORACLES[f"m_facts_{_name}"] = f"{_FACTS}, true AS likeliest, true AS beats_majority FROM embeddings"
+for _name in ("logistic_regression", "mlp"):
+    ORACLES[f"m_facts_{_name}"] = f"{_FACTS}, true AS likeliest FROM embeddings"
+ORACLES["m_facts_svm"] = f"{_FACTS} FROM embeddings"
+ORACLES["n_01_recall"] = "SELECT true AS recall_above_chance"
+ORACLES["m_03_duality_gap"] = f"WITH {VEC3} SELECT true AS gap_closed, CAST(max(label) + 1 AS INTEGER) AS classes, CAST(max(len(f)) AS INTEGER) AS features FROM vec3"
+ORACLES["m_09_training_loss"] = f"WITH {VEC3} SELECT true AS falls, CAST(100 * (max(label) + 1) AS INTEGER) AS trees, CAST(max(label) + 1 AS INTEGER) AS classes FROM vec3"
+ORACLES["m_10_leaf_rule"] = f"WITH {VEC3} SELECT CAST(100 * (max(label) + 1) AS INTEGER) AS trees, true AS within_bound, true AS rerun_equal FROM vec3"
+
 
 def all_oracles() -> dict[str, str]:
     return {**ORACLES, **vector_oracles()}
