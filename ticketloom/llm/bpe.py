@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ticketloom.llm.common import map_texts, read
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
-MAX_PIECES = 150_000
+MAX_PIECES, MAX_CHARS = 150_000, 256  # pieces in a table, and characters of one
 CHUNK_CHARS = 1 << 20
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: The pattern's matches never cross from one coarse piece into the next.
@@ -91,15 +91,24 @@ class Codec:
         self.alone: dict[str, bytes] = {}
         self.before: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # the tables that were full last
 
-    def _learn(self, pieces, known: dict[str, bytes], lead: str) -> None:
-        """Put the ids of all ``pieces`` into the table ``known``; a full one becomes the second, older table."""
+    def _ids(self, piece: str, lead: str) -> bytes:
+        parts = [x.encode().decode("latin-1").translate(self.character) for x in self.fine(lead + piece)]
+        return b"".join([self.coded[t.id] for x in parts for t in self.merge(x)])
+
+    def _learn(self, pieces, known: dict[str, bytes], lead: str) -> dict[str, bytes]:
+        """Put the ids of all ``pieces`` into the table ``known``; a full one becomes the second, older table.
+
+        Pieces over ``MAX_CHARS`` are not kept: their ids are returned.
+        """
         new = set(pieces).difference(known)
         if not new:
-            return
+            return {}
+        long = {p: self._ids(p, lead) for p in new if len(p) > MAX_CHARS}
+        new.difference_update(long)
         if len(known) + len(new) > MAX_PIECES:
             self.before[lead] = dict(known)
             known.clear()
-            new = set(pieces)
+            new = set(pieces).difference(long)
         older, coded, character = self.before[lead], self.coded, self.character
         for p in new:
             ids = older.get(p)
@@ -107,6 +116,7 @@ class Codec:
                 parts = [x.encode().decode("latin-1").translate(character) for x in self.fine(lead + p)]
                 ids = b"".join([coded[t.id] for x in parts for t in self.merge(x)])
             known[p] = ids
+        return long
 
     def chunks(self, text: str) -> Iterator[str]:
         """Long texts in parts, cut where the pattern's matches always end."""
@@ -126,10 +136,10 @@ class Codec:
                 first, *pieces = part.split(" ")
                 known, lead = self.after_space, " "
                 if first:
-                    self._learn([first], self.alone, "")
-                    out.append(self.alone[first])
-            self._learn(pieces, known, lead)
-            out.extend([known[p] for p in pieces])
+                    long = self._learn([first], self.alone, "")
+                    out.append(long[first] if long else self.alone[first])
+            long = self._learn(pieces, known, lead)
+            out.extend([long[p] if p in long else known[p] for p in pieces] if long else [known[p] for p in pieces])
         return b"".join(out)
 
     def decode(self, ids) -> bytes:
