@@ -84,7 +84,7 @@ def test_report_text(spark):
 def test_models_beat_the_majority(spark, name):
     _, df = blobs(spark, noise=10)
     bench = models.ModelBench()
-    small = {"random_forest": {"n_estimators": 10}, "gradient_boosting": {"n_estimators": 3}, "mlp": {"max_iter": 60}, "svm": {"components": 64, "max_iter": 20}}
+    small = {"random_forest": {"n_estimators": 10}, "gradient_boosting": {"n_estimators": 3}, "mlp": {"max_iter": 60}, "svm": {"landmarks": 64}}
     assert bench.fit(df, name, small.get(name)).train_accuracy > 0.8
     out = bench.predict(df, probability=True)
     assert out.count() == 90 and len(out.first()["probability"]) == 3

@@ -52,7 +52,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="ticketloom-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
