@@ -38,3 +38,11 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_stop_words_are_those_of_spark(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from ticketloom.operators.vectorize import english_stop_words
+
+    assert english_stop_words() == StopWordsRemover.loadDefaultStopWords("english")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover, VectorAssembler, Word2Vec, Word2VecModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler, Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +21,21 @@ from ticketloom.operators.decompose import truncated_svd
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+#: The English stop words of Spark's own StopWordsRemover, in its order.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them their theirs
+themselves what which who whom this that these those am is are was were be been being have has had having do does did doing a an the and but if or
+because as until while of at by for with about against between into through during before after above below to from up down in out on off over under
+again further then once here there when where why how all any both each few more most other some such no nor not only own same so than too very s t
+can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've
+we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't
+cannot could here's how's let's ought that's there's what's when's where's who's why's would
+""".split()
+
+
 def english_stop_words() -> list[str]:
-    """Spark's own English list, the default where stop words are asked for by name."""
-    return StopWordsRemover.loadDefaultStopWords("english")
+    """Spark's own English list, the default where stop words are asked for by name; needs no session."""
+    return list(ENGLISH_STOP_WORDS)
 
 
 def tokens(text: Column, stop_words: list[str] | None = None) -> Column:
