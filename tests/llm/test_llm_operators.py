@@ -427,6 +427,35 @@ def test_neighbours_odd(spark):
     assert ann.nearest(df.where("false"), lambda i: i % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize("block", [8192, 2])
+def test_neighbours_of_every_width(spark, monkeypatch, block):
+    """Vectors of another length than most are answered too, by rows of their own length."""
+    monkeypatch.setattr(ann, "QUERY_BLOCK", block)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=4 if i % 15 == 0 else 8)]) for i in range(320)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0, sure=1 - 1e-12).toPandas()
+    by_id, want = {i: np.array(v) for i, v in rows}, []
+    for q in range(0, 320, 20):
+        near = sorted((float(np.sqrt(((v - by_id[q]) ** 2).sum())), i) for i, v in by_id.items() if i != q and len(v) == len(by_id[q]))
+        want += [(q, rank, i) for rank, (_, i) in enumerate(near[:10], 1)]
+    assert sorted(got[["query_id", "rank", "vec_id"]].itertuples(index=False, name=None)) == want
+
+
+def test_recall_of_the_query(spark):
+    sf = "/root/testdata/sf0.01"
+    got = ann.op8_nearest(spark, sf).toPandas()
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas().dropna(subset=["vec_id", "embedding"])
+    ids, v = table["vec_id"].to_numpy(), np.stack([np.asarray(x, np.float64) for x in table["embedding"]])
+    found = total = 0
+    for at in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((v - v[at]) ** 2).sum(axis=1))
+        near = [i for i in np.lexsort((ids, d)) if i != at][:10]
+        own = got[got["query_id"] == ids[at]]
+        assert np.allclose(own["score"], [np.sqrt(((v[ids == i][0] - v[at]) ** 2).sum()) for i in own["vec_id"]], rtol=0, atol=1e-12)
+        found, total = found + len(set(ids[near]) & set(own["vec_id"])), total + len(near)
+    assert total and found >= 0.9 * total
+
+
 # ---- 9 BPE ------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

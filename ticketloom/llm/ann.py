@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -110,37 +111,53 @@ class LeafIndex:
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, v): rows with an id and a finite vector other than zero, of the most frequent length."""
+    """(vec_id, v): rows with an id and a finite vector other than zero, of any length."""
     v = F.col(embedding).cast("array<double>")
     rows = vectors.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
-    rows = rows.where(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
-    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "n").first()
-    return rows.where(F.size("v") == (lengths["n"] if lengths else 0))
+    return rows.where(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
 
 
-def _projected(rows: DataFrame, weights: np.ndarray) -> DataFrame:
+def _projected(rows: DataFrame, seed: int) -> DataFrame:
+    """Vectors as bytes, and their projections; vectors of one width share their weights."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights: dict[int, np.ndarray] = {}
         for batch in batches:
             column = batch.column(1)
-            v = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, len(weights)))
-            p = v @ weights
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in v], pa.binary()), pa.array(list(p), pa.list_(pa.float64()))], names=["vec_id", "v", "p"])
+            flat, widths = column.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(column).to_numpy().astype(np.int64)
+            begin = np.cumsum(widths) - widths
+            p = np.empty((len(widths), DIMENSIONS))
+            for width in np.unique(widths).tolist():
+                if width not in weights:
+                    weights[width] = np.random.default_rng(seed).normal(size=(width, DIMENSIONS))
+                at = np.flatnonzero(widths == width)
+                p[at] = flat[begin[at][:, None] + np.arange(width)] @ weights[width]
+            v = [flat[i:i + n].tobytes() for i, n in zip(begin.tolist(), widths.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(v, pa.binary()), pa.array(list(p), pa.list_(pa.float64()))], names=["vec_id", "v", "p"])
 
     return rows.mapInArrow(run, "vec_id long, v binary, p array<double>")
 
 
 def _with_cell(rows: DataFrame, splits: list[tuple[int, float]]) -> DataFrame:
+    """``cell``: the leaf of the projection, among the leaves of the vector's width."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, DIMENSIONS)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(kd_leaf(p, splits).astype(np.int32))], names=["vec_id", "v", "p", "cell"])
+            width = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) // 8
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(width * MAX_CELLS + kd_leaf(p, splits))], names=["vec_id", "v", "p", "cell"])
 
-    return rows.mapInArrow(run, "vec_id long, v binary, p array<double>, cell int")
+    return rows.mapInArrow(run, "vec_id long, v binary, p array<double>, cell long")
 
 
 def _search(rows: DataFrame, asked: DataFrame, k: int, sure: float, blocks: int) -> DataFrame:
-    """Answers of the cells' parts to what is asked of them: (cell, part, block) groups meet group by group."""
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else rows.withColumn("block", F.lit(0))
+    """Answers of the cells' parts to what is asked of them: (cell, part, block) groups meet group by group.
+
+    With several blocks of queries, a part of a cell is copied for those blocks only that ask for it.
+    """
+    if blocks > 1:
+        wanted = asked.select("cell", "part", F.col("block").alias("asking")).distinct()
+        rows = rows.join(wanted, ["cell", "part"]).withColumnRenamed("asking", "block")
+    else:
+        rows = rows.withColumn("block", F.lit(0))
 
     def answer(cell: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -157,8 +174,9 @@ def _search(rows: DataFrame, asked: DataFrame, k: int, sure: float, blocks: int)
 def nearest(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", sure: float = SURE, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest other rows found, by Euclidean distance in double.
 
-    ``is_query`` is a condition on ``vec_id``. Null ids and vectors that are null, zero, of another length than most, or
-    hold null or non-finite components take no part. Equal distances go to the smaller id. Rows with the query's id
+    ``is_query`` is a condition on ``vec_id``. Null ids and vectors that are null, zero, or hold null or
+    non-finite components take no part. Vectors of other lengths have no distance: a query is answered by rows of its own
+    length (few lengths are expected: each has up to ``MAX_CELLS`` cells). Equal distances go to the smaller id. Rows with the query's id
     count as its own; a query row that repeats is answered once, a candidate row that repeats is a candidate each time.
     With fewer than k candidates all come back. Other columns are ignored; an empty table gives an empty result.
 
@@ -171,18 +189,17 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", e
     n = rows.count()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width = rows.select(F.size("v").alias("n")).first()["n"]
-    weights = np.random.default_rng(seed).normal(size=(width, DIMENSIONS))
-    rows = settle_table(_projected(rows, weights), "ann-projected")
+    rows = settle_table(_projected(rows, seed), "ann-projected")
     sample = rows.select("p", F.xxhash64("vec_id", F.lit(seed)).alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()
     leaf = max(1.0, CELL_ROWS * len(sample) / n)
     splits = kd_splits(np.array([r["p"] for r in sample]), leaf, MAX_CELLS)
     rows = settle_table(_with_cell(rows, splits), "ann-cells")
     boxes = [f(F.col("p")[i]).alias(f"{name}{i}") for i in range(DIMENSIONS) for name, f in (("low", F.min), ("high", F.max))]
-    cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *boxes).orderBy("cell").collect()  # at most MAX_CELLS rows
+    cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *boxes).orderBy("cell").collect()  # at most MAX_CELLS rows for each length
     low, high = (np.array([[c[f"{name}{i}"] for i in range(DIMENSIONS)] for c in cells]) for name in ("low", "high"))
     names, parts = [c["cell"] for c in cells], [math.ceil(c["n"] / CELL_ROWS) for c in cells]
-    per_cell = F.broadcast(spark.createDataFrame(list(zip(names, parts)), "cell int, parts int"))
+    widths = np.array(names) // MAX_CELLS
+    per_cell = F.broadcast(spark.createDataFrame(list(zip(names, parts)), "cell long, parts int"))
     rows = rows.join(per_cell, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int"))
     queries = settle_table(rows.where(is_query(F.col("vec_id"))).select("vec_id", "v", "p", "cell").distinct(), "ann-queries")
     n_queries = queries.count()
@@ -197,13 +214,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", e
         for queries in batches:
             out = []
             for own, v, p, cell, bound in zip(queries["vec_id"], queries["v"], queries["p"], queries["cell"], queries["bound"]):
-                for i in np.flatnonzero(box_distance(np.asarray(p), low, high) <= bound * bound * limit):
+                for i in np.flatnonzero((widths == cell // MAX_CELLS) & (box_distance(np.asarray(p), low, high) <= bound * bound * limit)):
                     out += [(own, v, p, names[i], part, bound) for part in range(parts[i]) if (names[i], part) != (cell, 0)]
             yield pd.DataFrame(out, columns=["vec_id", "v", "p", "cell", "part", "bound"])
 
     asked = queries.join(bounds, queries["vec_id"] == bounds["query_id"], "left").select("vec_id", "v", "p", "cell", F.coalesce("bound", F.lit(math.inf)).alias("bound"))
-    asked = asked.mapInPandas(route, "vec_id long, v binary, p array<double>, cell int, part int, bound double").select("vec_id", "v", "p", "cell", "part", block, "bound")
-    rest = _search(rows.select(*held), asked, k, sure, blocks)
+    asked = asked.mapInPandas(route, "vec_id long, v binary, p array<double>, cell long, part int, bound double").select("vec_id", "v", "p", "cell", "part", block, "bound")
+    rest = _search(rows.select(*held), settle_table(asked, "ann-asked") if blocks > 1 else asked, k, sure, blocks)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return first.union(rest).select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
