@@ -131,6 +131,64 @@ def test_main_text_odd(spark):
     assert template.main_texts(df.where("false")).count() == 0
 
 
+def _wording(n, layout):
+    """Varied paragraphs around one sentence of the site's."""
+    return f"""<html><body><div class="menu">menu</div><div class="{layout}"><h2>Heading {n}</h2><p>First paragraph, number {n * n}, of some length.</p><p>Subscribe to our daily letter</p>
+<p>Second paragraph with other words {n + 7}.</p><div class="thread"><p>reader {n}</p></div><p>All rights kept by us</p></div></body></html>"""
+
+
+@pytest.mark.parametrize("n,layouts", [(20, ["content"]), (3, ["content"]), (20, ["content", "story", "b1", "b2", "b3"])])
+def test_wording_of_templates_goes(spark, n, layouts):
+    """On all pages of a host, on a small host, and in layouts on a fifth of the pages each."""
+    pages = [(i, f"https://w.example/{i}", _wording(i, layouts[i % len(layouts)])) for i in range(n)]
+    got = {r["page_id"]: r["text"] for r in template.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Heading {i}\nFirst paragraph, number {i * i}, of some length.\nSecond paragraph with other words {i + 7}." for i in range(n)}
+
+
+def test_copied_pages_lose_nothing(spark):
+    """Copies and near copies of an article, alone on their host, under an element of their own, and beside others."""
+    page = "<html><body><article id='%s'><p>First long paragraph of the text.</p><p>Second one.</p><p>seen %d</p></article></body></html>"
+    rows = [(1, "http://a", page % ("one", 1)), (2, "http://a", page % ("one", 2)), (3, "http://b", page % ("x", 1)), (4, "http://b", page % ("x", 1))]
+    rows += [(i, "http://c", page % ("abcdefgh"[i // 2 % 8], i)) for i in range(10, 20)]
+    got = {r["page_id"]: r["text"] for r in template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"First long paragraph of the text.\nSecond one.\nseen {1 if i in (3, 4) else i}" for i, _, _ in rows}
+
+
+def test_constant_blocks_equal_brute_force(spark):
+    """Vectors counted page by page: a block goes if it comes as often as an element around it, on every page."""
+    pages = [(i, f"http://{'ab'[i % 3 == 0]}.example/", _wording(i, "one" if i % 2 else "two")) for i in range(24)]
+    vectors, spans, where = defaultdict(Counter), defaultdict(int), {}
+    for i, url, page in pages:
+        for path, row in template.tokens(page).items():
+            vectors[url, path][i] += row[0]
+        for key, (path, n, chars) in template.block_tokens(page).items():
+            vectors[url, key][i] += n
+            spans[url, key] += chars
+            where[url, key] = path
+    want = defaultdict(set)
+    for (url, path), vector in list(vectors.items()):
+        if isinstance(path, str) and len(vector) > 1:
+            below = [k for u, k in where if u == url and (where[u, k] + "/").startswith(path + "/")]
+            same = {k for k in below if vectors[url, k] == vector}
+            if 2 * sum(spans[url, k] for k in same) < sum(spans[url, k] for k in below):
+                want[url] |= same
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    classes = common.settle_table(template.equivalence_classes(template.page_tokens(df)), "t")
+    got = {r["host"]: set(r["dropped"]) for r in template.constant_blocks(classes).collect()}
+    assert got == {url[7:-1]: keys for url, keys in want.items()} and all(len(k) == 4 for k in got.values())  # two sentences in two layouts
+
+
+def test_deep_pages_are_linear():
+    import time
+
+    begun = time.time()
+    for page in ("<b>" * 20_000 + "deep", "<div>" * 20_000 + "deep" + "</i></div>" * 20_000, "<p><a>" * 20_000 + "deep", "<a " * 100_000 + "deep"):
+        list(template.walk(page, template.is_side))
+    assert time.time() - begun < 4
+    deep = "<article>" + "<div>" * 300 + "<p>kept</p><nav>menu<p>of links</p></nav>" + "</div>" * 300 + "<p>end</p></article>"
+    assert template.extract(deep, ["/article"], []) == "kept\nend"
+
+
 # ---- 3 language model -------------------------------------------------------------------
 
 def test_language_model_counts(spark):

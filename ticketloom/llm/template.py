@@ -4,6 +4,10 @@ A token is an element with its path. Tokens that occur equally often on every pa
 vector and form an equivalence class; classes on a fair share of the pages are valid and nest by path into the host's
 template. The text between template tokens fills its slots. Slots of menus, footers, forms and the like, slots whose
 text is the same on all pages, and slots outside the content root are dropped; what remains is the article.
+
+Blocks of text are tokens too. A block whose occurrence vector is that of an element around it comes once with each of
+those elements: it is wording of the template and no slot, on a host of any size from two pages on, in a layout on any
+share of the pages. An element whose text repeats for the most part is a copied page, no layout, and loses nothing.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +27,17 @@ from ticketloom.llm.html_walk import BLOCK, walk
 from ticketloom.llm.url_rules import host_of
 from ticketloom.session import settle_table
 
+#: A block is constant if its class has so many pages, in an element of whose text constant blocks are under a half.
+LEAST_PAGES = 2
+COPIED = 0.5
 SUPPORT = 0.2
 MIN_PAGES = 5
 SHARE = 0.5
 LINKED = 0.6
 SIDE_TAGS = frozenset("head title nav footer aside form script style noscript template iframe svg button select textarea menu dialog input label object embed canvas audio video".split())
 SIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies disclaimer discussion
-disqus footer menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related replies reply respond
-responses share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets""".split())
+disqus footer forum menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related replies reply respond
+responses share sharing sidebar social sponsor sponsored subscribe thread threads toolbar widget widgets""".split())
 CONTENT_WORDS = frozenset("article content entry post story body main".split())
 
 
@@ -54,11 +62,27 @@ def is_side(path: str) -> bool:
     return False
 
 
+def block_key(path: str, text: str) -> int:
+    return xxhash.xxh64_intdigest(f"{path}\n{text}".encode("utf-8", "replace")) >> 1
+
+
+def blocks_of(page: str) -> Iterator[tuple[str, list[tuple[str, str]], str]]:
+    """(path, pieces with their paths, text) of each block of text; the path is that of its first piece."""
+    held: list[tuple[str, str]] = []
+    for kind, path, text, _ in [*walk(page, is_side), ("break", "", "", False)]:
+        if kind == "text":
+            held.append((path, text))
+        elif kind == "break" and held:
+            if text := " ".join("".join(t for _, t in held).split()):
+                yield next(p for p, t in held if t.strip()), held, text
+            held = []
+
+
 def tokens(page: str) -> dict[str, list]:
     """Per path: occurrences, own characters, characters in links, and the own text."""
     out: dict[str, list] = defaultdict(lambda: [0, 0, 0, []])
     out[""][0] = 1
-    for kind, path, text, linked in walk(page):
+    for kind, path, text, linked in walk(page, is_side):
         if kind == "open":
             out[path][0] += 1
         elif kind == "text" and (own := " ".join(text.split())):
@@ -69,33 +93,46 @@ def tokens(page: str) -> dict[str, list]:
     return out
 
 
+def block_tokens(page: str) -> dict[int, list]:
+    """Per block outside menus and the like, by its key: path, occurrences, characters."""
+    out: dict[int, list] = {}
+    known: dict[str, bool] = {}
+    for path, _, text in blocks_of(page):
+        if path not in known:
+            known[path] = is_side(path)
+        if not known[path]:
+            row = out.setdefault(block_key(path, text), [path, 0, 0])
+            row[1] += 1
+            row[2] += len(text)
+    return out
+
+
 def page_tokens(pages: DataFrame, url: str = "url", page: str = "html", page_id: str = "page_id") -> DataFrame:
-    """(host, path, page, n, chars, linked, content) for each distinct token of each page."""
+    """(host, path, key, page, n, chars, linked, content) for each distinct token of each page; ``key`` is null for elements."""
     narrow = pages.select(host_of(F.col(url)).alias("host"), F.xxhash64(page_id, url, page).alias("page"), F.col(page).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 out = []
                 for host, own, html in zip(*(c.to_pylist() for c in whole.slice(at, 64).columns)):
                     for path, (n, chars, linked, texts) in tokens(html or "").items():
-                        out.append((host, path, own, n, chars, linked, xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "replace")) >> 1))
-                kinds = [pa.string(), pa.string(), *[pa.int64()] * 5]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 7, kinds)], names=["host", "path", "page", "n", "chars", "linked", "content"])
+                        out.append((host, path, None, own, n, chars, linked, xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "replace")) >> 1))
+                    out += [(host, path, key, own, n, chars, 0, 0) for key, (path, n, chars) in block_tokens(html or "").items()]
+                kinds = [pa.string(), pa.string(), *[pa.int64()] * 6]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 8, kinds)], names=["host", "path", "key", "page", "n", "chars", "linked", "content"])
 
-    return narrow.mapInArrow(run, "host string, path string, page long, n long, chars long, linked long, content long")
+    return narrow.mapInArrow(run, "host string, path string, key long, page long, n long, chars long, linked long, content long")
 
 
 def equivalence_classes(found: DataFrame) -> DataFrame:
-    """(host, path, vector, pages, n, chars, linked, same): the tokens of each host.
+    """(host, path, key, vector, pages, n, chars, linked, same): the tokens of each host.
 
     ``vector`` identifies the occurrence vector: a sum of keyed hashes of (page, occurrences), so it is formed from
     partial sums and a host with a third of all pages is no hot group. Tokens of a host with equal vectors are one class.
     """
     mark = F.xxhash64("page", "n").cast("decimal(38,0)")
-    return found.groupBy("host", "path").agg(
+    return found.groupBy("host", "path", "key").agg(
         F.sum(mark).alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
         (F.min("content") == F.max("content")).alias("same"))
 
@@ -144,45 +181,64 @@ def deduce(rows: pd.DataFrame) -> tuple[list[str], list[str]]:
     return roots, sorted({*constant, *menus})
 
 
+def constant_blocks(classes: DataFrame) -> DataFrame:
+    """(host, dropped): keys of each host's blocks that belong to its templates.
+
+    Such a block shares its occurrence vector, on ``LEAST_PAGES`` or more, with an element around it, and the blocks
+    that do make up under ``COPIED`` of the text in that element. Elements and blocks of a class meet by (host, vector).
+    """
+    elements = classes.where("key is null")
+    blocks = classes.where(F.col("key").isNotNull() & (F.col("pages") >= LEAST_PAGES)).select("host", "vector", F.col("path").alias("inner"), "key", F.col("chars").alias("own"))
+    around = elements.where(F.col("pages") >= LEAST_PAGES).select("host", "vector", "path")
+    inside = (F.col("path") == "") | (F.col("inner") == F.col("path")) | F.col("inner").startswith(F.concat("path", F.lit("/")))
+    shared = settle_table(blocks.join(around, ["host", "vector"]).where(inside).select("host", "path", "key", "own"), "template-shared")
+    # All text of those elements: that of each block below them, partially summed by element before it is shuffled.
+    steps = F.split("inner", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
+    held = classes.where("key is not null").groupBy("host", F.col("path").alias("inner")).agg(F.sum("chars").alias("chars"))
+    held = held.select("host", "chars", F.explode(above).alias("path")).groupBy("host", "path").agg(F.sum("chars").alias("held"))
+    layouts = shared.groupBy("host", "path").agg(F.sum("own").alias("constant")).join(held, ["host", "path"]).where(F.col("constant") < F.col("held") * COPIED)
+    return shared.join(layouts.select("host", "path"), ["host", "path"]).groupBy("host").agg(F.sort_array(F.collect_set("key")).alias("dropped"))
+
+
 def templates(pages: DataFrame, url: str = "url", page: str = "html", page_id: str = "page_id") -> DataFrame:
-    """(host, roots, constant) of every host, from all its pages."""
+    """(host, roots, constant, dropped) of every host, from all its pages."""
     classes = settle_table(equivalence_classes(page_tokens(pages, url, page, page_id)), "template-classes")
-    hosts = settle_table(classes.where("path = ''").select("host", F.col("pages").alias("total")), "template-hosts")
+    elements = classes.where("key is null").drop("key")
+    hosts = settle_table(elements.where("path = ''").select("host", F.col("pages").alias("total")), "template-hosts")
     # Pages hold finitely many tokens, so only finitely many are on a fifth of them: one host's are a bounded group.
-    valid = classes.join(hosts, "host").where(F.col("pages") >= F.col("total") * SUPPORT).withColumn("vector", F.col("vector").cast("string")).drop("total")
+    valid = elements.join(hosts, "host").where(F.col("pages") >= F.col("total") * SUPPORT).withColumn("vector", F.col("vector").cast("string")).drop("total")
 
     def of_host(rows: pd.DataFrame) -> pd.DataFrame:
         roots, constant = deduce(rows)
         return pd.DataFrame({"host": [rows["host"].iloc[0]], "roots": [roots], "constant": [constant]})
 
-    return valid.groupBy("host").applyInPandas(of_host, "host string, roots array<string>, constant array<string>")
+    found = valid.groupBy("host").applyInPandas(of_host, "host string, roots array<string>, constant array<string>")
+    return found.join(constant_blocks(classes), "host", "left")
 
 
-def extract(page: str | None, roots: list[str] | None, constant: list[str] | None) -> str:
-    """Blocks under the roots, joined by line feeds. A page without its host's root is taken by its own tokens."""
-    page = page or ""
+def extract(page: str | None, roots: list[str] | None, constant: list[str] | None, dropped: list[int] | None = None) -> str:
+    """Blocks under the roots, joined by line feeds, without the template's. A page without its host's root is taken by its own tokens."""
+    page, keys = page or "", frozenset(dropped or ())
 
-    def blocks(roots, constant) -> tuple[bool, list[str]]:
-        out, held, hit, known = [], [], False, {}
-        for kind, path, text, _ in walk(page):
-            take = known.get(path)
-            if take is None:
-                take = known[path] = any(path == r or path.startswith(r + "/") for r in roots) and path not in constant and not is_side(path)
-            hit = hit or kind == "open" and any(path == r for r in roots)
-            if kind == "break":
-                held and out.append(" ".join("".join(held).split()))
-                held = []
-            elif kind == "text" and take:
-                held.append(text)
-        held and out.append(" ".join("".join(held).split()))
-        return hit or "" in roots, [b for b in out if b]
+    def blocks(roots, constant) -> list[str]:
+        out, known = [], {}
+        for first, pieces, text in blocks_of(page):
+            taken = []
+            for path, piece in pieces:
+                if path not in known:
+                    known[path] = any(path == r or path.startswith(r + "/") for r in roots) and path not in constant and not is_side(path)
+                if known[path]:
+                    taken.append(piece)
+            if taken and not (keys and block_key(first, text) in keys):
+                out.append(" ".join("".join(taken).split()))
+        return [b for b in out if b]
 
-    hit, out = blocks(roots, frozenset(constant or ())) if roots else (False, [])
-    if not hit:
-        rows = pd.DataFrame([(p, str(n), 1, n, c, k, False) for p, (n, c, k, _) in tokens(page).items()], columns=["path", "vector", "pages", "n", "chars", "linked", "same"])
-        roots, menus = deduce(rows)
-        _, out = blocks(roots, frozenset(menus))
-    return "\n".join(out)
+    if roots and ("" in roots or any(kind == "open" and path in roots for kind, path, _, _ in walk(page, is_side))):
+        return "\n".join(blocks(roots, frozenset(constant or ())))
+    rows = pd.DataFrame([(p, str(n), 1, n, c, k, False) for p, (n, c, k, _) in tokens(page).items()], columns=["path", "vector", "pages", "n", "chars", "linked", "same"])
+    roots, menus = deduce(rows)
+    return "\n".join(blocks(roots, frozenset(menus)))
 
 
 def main_texts(pages: DataFrame, url: str = "url", page: str = "html", page_id: str = "page_id") -> DataFrame:
@@ -190,18 +246,19 @@ def main_texts(pages: DataFrame, url: str = "url", page: str = "html", page_id:
 
     A null or empty page has an empty text; pages with a null URL or none with ``://`` share the host of the empty
     name. Nothing of a kept slot is dropped, however long. Repeated rows come out alike; other columns are ignored,
-    so their names cannot clash; an empty table gives an empty result.
+    so their names cannot clash; an empty table gives an empty result. Wording of a host's template goes wherever it
+    stands; nested elements cost no more than others, those below ``DEPTH`` levels count as one.
     """
     known = local_if_small(templates(pages, url, page, page_id), "template")
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"), host_of(F.col(url)).alias("host"))
-    rows = rows.join(known, "host", "left").select("page_id", "url", "html", "roots", "constant")
+    rows = rows.join(known, "host", "left").select("page_id", "url", "html", "roots", "constant", "dropped")
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 batch = whole.slice(at, 64)
-                texts = [extract(*x).encode("utf-8", "replace").decode() for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+                texts = [extract(*x).encode("utf-8", "replace").decode() for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)))]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
