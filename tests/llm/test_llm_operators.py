@@ -159,9 +159,10 @@ def test_constant_blocks_equal_brute_force(spark):
     pages = [(i, f"http://{'ab'[i % 3 == 0]}.example/", _wording(i, "one" if i % 2 else "two")) for i in range(24)]
     vectors, spans, where = defaultdict(Counter), defaultdict(int), {}
     for i, url, page in pages:
-        for path, row in template.tokens(page).items():
+        events = template.events_of(page)
+        for path, row in template.tokens(events).items():
             vectors[url, path][i] += row[0]
-        for key, (path, n, chars) in template.block_tokens(page).items():
+        for key, (path, n, chars) in template.block_tokens(events).items():
             vectors[url, key][i] += n
             spans[url, key] += chars
             where[url, key] = path

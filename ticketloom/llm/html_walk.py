@@ -19,6 +19,8 @@ form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol opt
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 CONTAINERS = frozenset("div section td table".split())
 CLOSED_BY_BLOCKS = frozenset("button td article section div body table li blockquote".split())
+#: Of each element that ends others: which, and what ends the search for them.
+CLOSES = {t: ((ENDS[t][0] | {"p"} if t in BLOCK else ENDS[t][0], ENDS[t][1] - ENDS[t][0]) if t in ENDS else (frozenset({"p"}), CLOSED_BY_BLOCKS)) for t in BLOCK | set(ENDS)}
 #: All elements deeper in an element count as one, or as two: those in menus and the like, and the others.
 DEPTH = 100
 
@@ -118,10 +120,8 @@ def walk(page: str, is_side: Callable[[str], bool] = lambda path: False) -> Iter
         if tag == "br":
             yield "text", stack.top.path, " ", False
             continue
-        ends, limits = ENDS.get(tag, (frozenset(), frozenset()))
-        if tag in BLOCK:
-            ends, limits = ends | {"p"}, limits if ends else CLOSED_BY_BLOCKS
-        while (place := stack.nearest(ends)) > stack.nearest(limits - ends):
+        ends, limits = CLOSES.get(tag, ((), ()))
+        while (place := stack.nearest(ends)) and place > stack.nearest(limits):
             stack.close(place)
             if tag not in ("tr", "td", "th"):
                 break

@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -66,10 +67,10 @@ def block_key(path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{text}".encode("utf-8", "replace")) >> 1
 
 
-def blocks_of(page: str) -> Iterator[tuple[str, list[tuple[str, str]], str]]:
+def blocks_of(events: list[tuple]) -> Iterator[tuple[str, list[tuple[str, str]], str]]:
     """(path, pieces with their paths, text) of each block of text; the path is that of its first piece."""
     held: list[tuple[str, str]] = []
-    for kind, path, text, _ in [*walk(page, is_side), ("break", "", "", False)]:
+    for kind, path, text, _ in chain(events, [("break", "", "", False)]):
         if kind == "text":
             held.append((path, text))
         elif kind == "break" and held:
@@ -78,11 +79,16 @@ def blocks_of(page: str) -> Iterator[tuple[str, list[tuple[str, str]], str]]:
             held = []
 
 
-def tokens(page: str) -> dict[str, list]:
+def events_of(page: str | None) -> list[tuple]:
+    """What one walk over a page meets; everything else is taken from it."""
+    return list(walk(page or "", is_side))
+
+
+def tokens(events: list[tuple]) -> dict[str, list]:
     """Per path: occurrences, own characters, characters in links, and the own text."""
     out: dict[str, list] = defaultdict(lambda: [0, 0, 0, []])
     out[""][0] = 1
-    for kind, path, text, linked in walk(page, is_side):
+    for kind, path, text, linked in events:
         if kind == "open":
             out[path][0] += 1
         elif kind == "text" and (own := " ".join(text.split())):
@@ -93,11 +99,11 @@ def tokens(page: str) -> dict[str, list]:
     return out
 
 
-def block_tokens(page: str) -> dict[int, list]:
+def block_tokens(events: list[tuple]) -> dict[int, list]:
     """Per block outside menus and the like, by its key: path, occurrences, characters."""
     out: dict[int, list] = {}
     known: dict[str, bool] = {}
-    for path, _, text in blocks_of(page):
+    for path, _, text in blocks_of(events):
         if path not in known:
             known[path] = is_side(path)
         if not known[path]:
@@ -116,9 +122,10 @@ def page_tokens(pages: DataFrame, url: str = "url", page: str = "html", page_id:
             for at in range(0, whole.num_rows, 64):
                 out = []
                 for host, own, html in zip(*(c.to_pylist() for c in whole.slice(at, 64).columns)):
-                    for path, (n, chars, linked, texts) in tokens(html or "").items():
+                    events = events_of(html)
+                    for path, (n, chars, linked, texts) in tokens(events).items():
                         out.append((host, path, None, own, n, chars, linked, xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "replace")) >> 1))
-                    out += [(host, path, key, own, n, chars, 0, 0) for key, (path, n, chars) in block_tokens(html or "").items()]
+                    out += [(host, path, key, own, n, chars, 0, 0) for key, (path, n, chars) in block_tokens(events).items()]
                 kinds = [pa.string(), pa.string(), *[pa.int64()] * 6]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 8, kinds)], names=["host", "path", "key", "page", "n", "chars", "linked", "content"])
 
@@ -219,11 +226,11 @@ def templates(pages: DataFrame, url: str = "url", page: str = "html", page_id: s
 
 def extract(page: str | None, roots: list[str] | None, constant: list[str] | None, dropped: list[int] | None = None) -> str:
     """Blocks under the roots, joined by line feeds, without the template's. A page without its host's root is taken by its own tokens."""
-    page, keys = page or "", frozenset(dropped or ())
+    events, keys = events_of(page), frozenset(dropped or ())
 
     def blocks(roots, constant) -> list[str]:
         out, known = [], {}
-        for first, pieces, text in blocks_of(page):
+        for first, pieces, text in blocks_of(events):
             taken = []
             for path, piece in pieces:
                 if path not in known:
@@ -234,9 +241,9 @@ def extract(page: str | None, roots: list[str] | None, constant: list[str] | Non
                 out.append(" ".join("".join(taken).split()))
         return [b for b in out if b]
 
-    if roots and ("" in roots or any(kind == "open" and path in roots for kind, path, _, _ in walk(page, is_side))):
+    if roots and ("" in roots or any(kind == "open" and path in roots for kind, path, _, _ in events)):
         return "\n".join(blocks(roots, frozenset(constant or ())))
-    rows = pd.DataFrame([(p, str(n), 1, n, c, k, False) for p, (n, c, k, _) in tokens(page).items()], columns=["path", "vector", "pages", "n", "chars", "linked", "same"])
+    rows = pd.DataFrame([(p, str(n), 1, n, c, k, False) for p, (n, c, k, _) in tokens(events).items()], columns=["path", "vector", "pages", "n", "chars", "linked", "same"])
     roots, menus = deduce(rows)
     return "\n".join(blocks(roots, frozenset(menus)))
 
