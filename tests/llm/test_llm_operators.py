@@ -208,38 +208,23 @@ def test_language_model_counts(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_language_model_is_normalised(spark):
-    texts = [(i, f"the cat sat on the mat number {i % 7} and it was word{i}.") for i in range(60)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    counts = language_model.settle_table(language_model.count_words(docs), "t")
-    vocab = language_model.vocabulary(counts)
-    gains = language_model.fit_gains(docs, counts, vocab).reshape(-1, language_model.CLASSES).astype(float)
-    of = language_model._Classes(vocab.place)
-    known = {r["token"]: r["c"] for r in counts.collect()}
-    known = {bytes(t): c for t, c in known.items()}
-    for context in (0, 1, language_model.CLASSES * 5 + 7):
-        total = sum(10 ** (vocab.base(c) + gains[context, of[w]]) for w, c in known.items()) + 10 ** vocab.base(0)
-        assert total == pytest.approx(1, abs=1e-4)
-
-
 def test_rare_words_join_like_frequent_ones(spark, odd, monkeypatch):
     docs = odd.select("doc_id", "text")
     counts = language_model.settle_table(language_model.count_words(docs), "t")
-    out = []
+    out, net = [], language_model.fit_words(docs, counts, language_model.vocabulary(counts))
     for head in (200_000, 3):
         vocab = language_model.vocabulary(counts, head)
-        vocab.place = {w: i for w, i in vocab.place.items() if i < 3}
-        out.append(sorted(((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in language_model.score_texts(odd, counts, vocab, np.zeros(language_model.CLASSES ** 3, np.float32)).collect())))
+        out.append(sorted(((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in language_model.score_texts(odd, counts, vocab, net).collect())))
     assert out[0] == out[1] and len(out[0]) == odd.count()
 
 
 def test_language_model_empty(spark, empty):
     counts = language_model.settle_table(language_model.count_words(empty), "t")
     vocab = language_model.vocabulary(counts)
-    gains = language_model.fit_gains(empty, counts, vocab)
-    assert language_model.score_texts(empty, counts, vocab, gains).count() == 0
+    net = language_model.fit_words(empty, counts, vocab)
+    assert language_model.score_texts(empty, counts, vocab, net).count() == 0
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
-    (r,) = language_model.score_texts(one, counts, vocab, gains).collect()
+    (r,) = language_model.score_texts(one, counts, vocab, net).collect()
     assert (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) == (3, 0, 0.0, 0.0)
 
 

@@ -8,14 +8,11 @@ their smoothed share inside. So a known word has the log-probability
 where its row is the word itself or its ending. It sums to one over the known words and one unknown word, whose
 probability is the smoothed share of no occurrence. Word counts are exact: those of frequent words are looked up in the
 task, those of rare words by a join.
-
-:func:`fit_gains` has a smaller model of the same form over 128 word classes, for comparison; no query runs it.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,22 +26,12 @@ from ticketloom.llm import word_net
 from ticketloom.llm.common import read, remainder, word_parts
 from ticketloom.session import settle_table
 
-CLASSES = 128  # 0: before the text, 1: its end, then frequent words, then endings
-ENDINGS = 32
-WIDTH = 24
-NOISE = 32
-BATCH = 4096
-STEPS = 1000
 #: At most so many words have their counts in every task; the others' are joined.
 HEAD_WORDS = 200_000
 END = b""  # no word is empty
 FLUSH_WORDS = 400_000
 
 
-def ending(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % ENDINGS
-
-
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """(token, c) over all texts; each text adds one ``END``. Sums are formed in the tasks before they are shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,10 +56,9 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """``head``: counts of frequent words; ``place``: classes of the most frequent; ``tokens``, ``types``: N and V."""
+    """``head``: counts of frequent words; ``tokens``, ``types``: N and V."""
 
     head: dict[bytes, int]
-    place: dict[bytes, int]
     tokens: int
     types: int
 
@@ -95,120 +81,14 @@ def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS) -> Vocabulary:
         held, least = held + levels[i][0], i
     table = counts.where(F.col("c") >= F.lit(2.0) ** least).toArrow()  # at most head_words rows
     head = dict(sorted(zip(table.column("token").to_pylist(), table.column("c").to_pylist()), key=lambda x: (-x[1], x[0])))
-    words = [w for w in head if w != END][:CLASSES - ENDINGS - 2]
-    return Vocabulary(head, {END: 1} | {w: i + 2 for i, w in enumerate(words)}, sum(c for _, c in levels.values()), sum(n for n, _ in levels.values()))
-
-
-class _Classes(dict):
-    """Class of each word; words without one of their own go by their ending."""
-
-    def __missing__(self, word: bytes) -> int:
-        return CLASSES - ENDINGS + ending(word)
-
-
-def count_triples(docs: DataFrame, words: Vocabulary, text: str = "text") -> np.ndarray:
-    """How often each class follows each two: an array over all triples, summed over all texts by Spark."""
-    place = docs.sparkSession.sparkContext.broadcast(words.place)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, total, held, waiting = _Classes(place.value).__getitem__, np.zeros(CLASSES ** 3, np.int64), [], 0
-        for batch in batches:
-            for x in batch.column(0):
-                last = [0, 0]
-                for part in [*word_parts(x.as_py()), [END]]:
-                    ids = np.array([*last, *map(of, part)], np.int64)
-                    held.append((ids[:-2] * CLASSES + ids[1:-1]) * CLASSES + ids[2:])
-                    last, waiting = ids[-2:].tolist(), waiting + len(part)
-                if waiting > 1_000_000:
-                    total += np.bincount(np.concatenate(held), minlength=len(total))
-                    held, waiting = [], 0
-        if held:
-            total += np.bincount(np.concatenate(held), minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["triple", "n"])
-
-    table = docs.select(text).mapInArrow(run, "triple int, n long").groupBy("triple").agg(F.sum("n").alias("n")).toArrow()  # at most CLASSES ** 3 rows
-    out = np.zeros(CLASSES ** 3, np.int64)
-    out[table.column("triple").to_numpy()] = table.column("n").to_numpy()
-    return out
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def train(triples: np.ndarray, steps: int = STEPS, seed: int = 11) -> np.ndarray:
-    """log10 P(class | two classes before) for all triples, by noise-contrastive estimation on the weighted triples.
-
-    Batches are drawn in proportion to the counts; each shares a draw of noise classes from their overall shares. In the
-    end one product of all contexts with all targets gives the scores, which are then normalised exactly.
-    """
-    rng, k = np.random.default_rng(seed), CLASSES
-    seen = np.flatnonzero(triples)
-    upto = np.cumsum(triples[seen]) / triples.sum()
-    share = np.bincount(seen % k, triples[seen], minlength=k) / triples.sum()
-    log_noise = np.log(NOISE * np.maximum(share, 1e-12))
-    p = {"context": rng.normal(0, 0.1, (k, WIDTH)), "far": np.eye(WIDTH) * 0.5, "near": np.eye(WIDTH), "target": rng.normal(0, 0.1, (k, WIDTH)), "bias": np.log(np.maximum(share, 1e-9))}
-    p = {name: x.astype(np.float32) for name, x in p.items()}
-    first, second = ({name: np.zeros_like(x) for name, x in p.items()} for _ in range(2))
-    rows = np.arange(BATCH)
-
-    def spread(at: np.ndarray, x: np.ndarray) -> np.ndarray:
-        hot = np.zeros((k, BATCH), np.float32)
-        hot[at, rows] = 1
-        return hot @ x
-
-    for step in range(1, steps + 1):
-        code = seen[np.minimum(np.searchsorted(upto, rng.random(BATCH)), len(seen) - 1)]
-        a, b, c = code // (k * k), code // k % k, code % k
-        noise = rng.choice(k, NOISE, p=share)
-        ra, rb, tc, tn = p["context"][a], p["context"][b], p["target"][c], p["target"][noise]
-        q = ra @ p["far"] + rb @ p["near"]
-        up = (_sigmoid((q * tc).sum(axis=1) + p["bias"][c] - log_noise[c]) - 1).astype(np.float32)[:, None]
-        down = _sigmoid(q @ tn.T + p["bias"][noise] - log_noise[noise]).astype(np.float32)
-        dq = up * tc + down @ tn
-        grad = {"target": spread(c, up * q), "bias": np.bincount(c, up[:, 0], minlength=k), "far": ra.T @ dq, "near": rb.T @ dq, "context": spread(a, dq @ p["far"].T) + spread(b, dq @ p["near"].T)}
-        np.add.at(grad["target"], noise, down.T @ q)
-        np.add.at(grad["bias"], noise, down.sum(axis=0))
-        rate = 0.02 * min(1.0, 2 * (1 - step / (steps + 1)))
-        for name, g in grad.items():
-            g = (g / BATCH).astype(np.float32)
-            first[name] = 0.9 * first[name] + 0.1 * g
-            second[name] = 0.99 * second[name] + 0.01 * g * g
-            p[name] = p[name] - rate * (first[name] / (1 - 0.9 ** step)) / (np.sqrt(second[name] / (1 - 0.99 ** step)) + 1e-7)
-    q = ((p["context"] @ p["far"])[:, None, :] + (p["context"] @ p["near"])[None, :, :]).reshape(k * k, WIDTH)
-    z = (q @ p["target"].T + p["bias"]).astype(np.float64)
-    z[:, share == 0] = -np.inf
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z / math.log(10)
-
-
-def fit_gains(train_docs: DataFrame, counts: DataFrame, words: Vocabulary, text: str = "text") -> np.ndarray:
-    """log10 P(class | context) - log10 P(class) of all triples, as 32-bit floats; zero everywhere without training texts."""
-    k = CLASSES
-    if not words.tokens:
-        return np.zeros(k ** 3, np.float32)
-    log_p = train(count_triples(train_docs, words, text))
-    group = (F.crc32(F.substring("token", -2, 2)) % ENDINGS).cast("int").alias("ending")
-    n, v = np.zeros(k), np.zeros(k)
-    for r in counts.where(F.length("token") > 0).groupBy(group).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
-        n[k - ENDINGS + r["ending"]], v[k - ENDINGS + r["ending"]] = r["c"], r["v"]
-    for word, i in words.place.items():  # words with a class of their own are not in their ending's
-        n[i], v[i] = words.head[word], 1
-        if word != END:
-            n[k - ENDINGS + ending(word)] -= words.head[word]
-            v[k - ENDINGS + ending(word)] -= 1
-    share = (n + 0.5 * v) / words.mass
-    known = math.log10(1 - 0.5 / words.mass)
-    gain = log_p.reshape(k * k, k) + known - np.log10(np.where(share > 0, share, 1))[None, :]
-    return np.where(np.isfinite(gain), gain, 0).astype(np.float32).reshape(-1)
+    return Vocabulary(head, sum(c for _, c in levels.values()), sum(n for n, _ in levels.values()))
 
 
 def fit_words(train_docs: DataFrame, counts: DataFrame, words: Vocabulary, text: str = "text") -> word_net.Net:
     """The model of words, trained on all positions of ``train_docs``, with its rows from the table of counts.
 
     What it holds grows with the vocabulary: some 200 bytes for each word seen ``word_net.LEAST`` times, in each task.
+    Without training texts nothing is known and nothing is gained.
     """
     often = (F.col("c") >= word_net.LEAST) | (F.length("token") == 0)
     table = counts.where(often).toArrow()
@@ -219,21 +99,21 @@ def fit_words(train_docs: DataFrame, counts: DataFrame, words: Vocabulary, text:
     types = np.ones(len(net.table))
     types[2:2 + word_net.ENDINGS] = [rare.get(i, (0, 0))[1] for i in range(word_net.ENDINGS)]
     mass = net.rows.counts + 0.5 * types
-    net.less = np.log10(np.where(mass > 0, mass, 1) / words.mass) - math.log10(1 - 0.5 / words.mass)
+    net.less = np.log10(np.where(mass > 0, mass, 1) / words.mass) - (math.log10(1 - 0.5 / words.mass) if words.tokens else 0.0)
     net.squares = {}
     return net
 
 
-def score_texts(docs: DataFrame, counts: DataFrame, words: Vocabulary, gains: np.ndarray | word_net.Net, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: word_net.Net, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every whole text, one row per row of ``docs``.
 
     A null text is empty: its only token is its end. Equal rows are scored once and come out as often as they went
     in; other columns are left out, so their names cannot clash; an empty table gives an empty result.
 
-    ``gains`` is a model of words or the table of a model of classes. Frequent words are summed up in the task. Each rare word of a text becomes a row that meets its exact count by a
+    Frequent words are summed up in the task. Each rare word of a text becomes a row that meets its exact count by a
     join on the word; as those words are rare, no key is hot.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((words, gains))  # counts of at most HEAD_WORDS, and the model
+    shared = docs.sparkSession.sparkContext.broadcast((words, model))  # counts of at most HEAD_WORDS, and the model
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "text_hash", "token", "n", "known", "base", "gain"]
@@ -241,10 +121,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, words: Vocabulary, gains: np
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, model = shared.value
         base = {w: words.base(c) for w, c in words.head.items()}
-        if isinstance(model, np.ndarray):
-            of, gain_of = _Classes(words.place).__getitem__, lambda a, b, c: model[(a * CLASSES + b) * CLASSES + c].astype(np.float64)
-        else:
-            of, gain_of = model.rows.places().__getitem__, model.gains
+        of, gain_of = model.rows.places().__getitem__, model.gains
 
         def sums(held: list, own: list) -> None:
             """Adds what is held to its texts; the positions of all texts are scored together."""
