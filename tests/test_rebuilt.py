@@ -290,3 +290,19 @@ def test_models_side_by_side_are_remembered_in_order(spark):
     assert "naive_bayes" in bench.errors  # negative values
     assert list(bench.trained) == ["decision_tree", "logistic_regression"]
     assert flow.load_config({"modeling": {"parallelism": 2}})["modeling"]["parallelism"] == 2
+
+
+def test_a_query_travels_to_parts_not_to_cells(spark):
+    """Rows without structure open nearly every cell; they are still copied once per part, and the result is exact."""
+    x = np.random.default_rng(5).normal(size=(900, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, features array<double>")
+    points = neighbours._shaped(df, "id", "features", None).drop("_v")
+    cells, _ = neighbours.build_cells(points, 6)
+    visits = neighbours.route(points, cells, 6, block_rows=300).groupBy("_id").count().agg(F.max("count")).first()[0]
+    assert len(cells.leaves) >= 25 and visits <= 4
+    d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), 9)
+    np.fill_diagonal(d, np.inf)
+    for far in (False, True):
+        got = {(r["id"], r["nn_rank"]): r["nn_id"] for r in neighbours.neighbours(df, df, 5, farthest=far, block_rows=300).collect()}
+        want = np.argsort(np.where(np.isinf(d), np.inf, -d) if far else d, axis=1, kind="stable")[:, :5]
+        assert got == {(i, r + 1): want[i, r] for i in range(900) for r in range(5)}
