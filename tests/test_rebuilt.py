@@ -1,5 +1,7 @@
 """Solvers, searches and stores against numpy or brute force, and the same results in one block and in many."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -306,3 +308,11 @@ def test_a_query_travels_to_parts_not_to_cells(spark):
         got = {(r["id"], r["nn_rank"]): r["nn_id"] for r in neighbours.neighbours(df, df, 5, farthest=far, block_rows=300).collect()}
         want = np.argsort(np.where(np.isinf(d), np.inf, -d) if far else d, axis=1, kind="stable")[:, :5]
         assert got == {(i, r + 1): want[i, r] for i in range(900) for r in range(5)}
+
+
+def test_silhouette_copies_a_table_some_times(spark):
+    """The number of blocks, and so of copies of every row, does not follow the table."""
+    df = spark.range(30_000).select("id", F.array(F.col("id").cast("double")).alias("features"), (F.col("id") % 3).alias("label"))
+    plan = cluster.silhouette_by_row(df, "id", "label")._jdf.queryExecution().analyzed().toString()
+    blocks = {int(n) for n in re.findall(r"pmod\(xxhash64\(_id#\d+L?, \d+\), cast\((\d+)L? as bigint\)", plan)} | {int(n) for n in re.findall(r"sequence\(0, (\d+),", plan)}
+    assert blocks and max(blocks) <= neighbours.PARTS
