@@ -316,3 +316,14 @@ def test_silhouette_copies_a_table_some_times(spark):
     plan = cluster.silhouette_by_row(df, "id", "label")._jdf.queryExecution().analyzed().toString()
     blocks = {int(n) for n in re.findall(r"pmod\(xxhash64\(_id#\d+L?, \d+\), cast\((\d+)L? as bigint\)", plan)} | {int(n) for n in re.findall(r"sequence\(0, (\d+),", plan)}
     assert blocks and max(blocks) <= neighbours.PARTS
+
+
+@pytest.mark.parametrize("entries", [boosting.BLOCK_ENTRIES, 8_000])
+def test_trees_do_not_depend_on_the_partitioning(spark, entries):
+    """Cuts of more values than a sketch keeps apart, and sums over several blocks, are the same in any order."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(a), float(b)], int(a + 0.3 * c > 0)) for i, (a, b, c) in enumerate(rng.normal(size=(12_000, 3)))]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int")
+    rule = boosting.BoostRule(rounds=2, depth=4, min_hessian=1e-3)
+    fits = [boosting.Booster(rule, block_entries=entries).fit(part).nodes for part in (df.coalesce(1), df.repartition(7))]
+    assert sorted(map(str, fits[0])) == sorted(map(str, fits[1]))
