@@ -327,3 +327,17 @@ def test_trees_do_not_depend_on_the_partitioning(spark, entries):
     rule = boosting.BoostRule(rounds=2, depth=4, min_hessian=1e-3)
     fits = [boosting.Booster(rule, block_entries=entries).fit(part).nodes for part in (df.coalesce(1), df.repartition(7))]
     assert sorted(map(str, fits[0])) == sorted(map(str, fits[1]))
+
+
+@pytest.mark.parametrize("k", [2, 3])
+def test_narrow_logit_takes_few_rounds_in_many_blocks(spark, k):
+    _, _, df = planted(spark, k, n=400)
+    want = LogisticRegression(family="multinomial" if k > 2 else "binomial", maxIter=500, tol=1e-10, regParam=1.0 / 400, standardization=False).fit(df)
+    solver = logistic.DualLogistic(block_entries=300, tol=1e-6)
+    model = solver.fit(df.repartition(3))
+    assert solver.blocks > 5 and solver.rounds < 12 and solver.gap <= 1e-6
+    a, b = (np.vstack([r["probability"].toArray() for r in m.transform(df).orderBy("id").collect()]) for m in (want, model))
+    assert np.abs(a - b).max() < 2e-3
+    wide = logistic.DualLogistic(block_entries=300, tol=1e-2, max_iter=40, newton_width=0)
+    wide.fit(df)
+    assert wide.gap <= 1e-2
