@@ -148,3 +148,12 @@ def test_combined_samplers(spark):
     _, _, df = cloud(spark)
     for out in (balance.smote_tomek(df, "label", "id"), balance.smote_enn(df, "label", "id"), balance.adasyn(df, "label", "id")):
         assert out.count() > 0 and out.select("row_key").distinct().count() == out.count()
+
+
+def test_counts_are_a_least_size_on_request(spark):
+    """A class above its count keeps its rows, as in the SQL of b_02_oversample_counts; without the request it is an error."""
+    df = spark.createDataFrame([(i, i % 3) for i in range(60)], "id long, label int")
+    with pytest.raises(ValueError):
+        balance.random_oversample(df, "label", "id", {0: 25, 1: 10})
+    out = balance.random_oversample(df, "label", "id", {0: 25, 1: 10}, at_least=True)
+    assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == {0: 25, 1: 20, 2: 20}
