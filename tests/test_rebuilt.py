@@ -74,6 +74,16 @@ def test_trees_do_not_depend_on_blocks(spark, rule):
     assert all((at + 1).bit_length() - 1 <= rule.depth for v in leaves.values() for at in v)
 
 
+def test_blocks_are_few_and_rarely_written(spark, monkeypatch):
+    """A large table is spread over a fixed number of blocks, written once in some rounds and not in each."""
+    _, _, df = planted(spark, 3)
+    rule, written = boosting.BoostRule(rounds=9, depth=1, bins=4), []
+    monkeypatch.setattr(boosting, "settle_table", lambda df, *a, _keep=boosting.settle_table, **k: written.append(_keep(df, *a, **k)) or written[-1])
+    many = boosting.Booster(rule, block_entries=500).fit(df)
+    assert len(written) == 2 and all(1 < w.count() <= boosting.PARTS for w in written)
+    assert np.allclose(many.losses, boosting.Booster(rule).fit(df).losses)
+
+
 def test_best_split_equals_brute_force():
     rng = np.random.default_rng(4)
     zero = np.array([1, 0, 2])
