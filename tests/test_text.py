@@ -1,13 +1,16 @@
 """Selection, cleaning, translation: hand-computed and regex-checked cases."""
 
+import random
 import re
 import sys
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from ticketloom.functions.noise import NOISE_PATTERNS, NoiseRegistry, fused_registry
+from ticketloom.functions import noise
+from ticketloom.functions.noise import NOISE_PATTERNS, NoiseRegistry, fused_registry, java_pattern, squeeze
 from ticketloom.operators import clean, select, translate
 from ticketloom.sources.tickets import INTERACTION, SUMMARY, read_tickets_csv, write_tickets_csv
 
@@ -119,3 +122,38 @@ def test_language_detection_and_memo(spark):
     texts = spark.createDataFrame([("le chat",), ("le chien",)], "text string")
     grown = {r["text"]: r["translated"] for r in translate.extend_memo(memo, texts, shout, profiles).collect()}
     assert grown == {"le chat": "the cat", "le chien": "fr!le chien"}
+
+
+def test_faster_patterns_replace_the_same(spark):
+    """Every rewritten pattern, and the squeeze, leave what the plain one leaves."""
+    rng = random.Random(5)
+    words = ["january", "jan", "june", "maybe", "mar", "march", "augu", "monday", "satur", "day", "hello", "hi there", "hi", "hallo", "from :", "re :", "r\t:", "sent :", "fwd :", "fw:",
+             "sv  :", "ynt:", "[x]", "null", "nan", "bonus place my support.pt \u81ea\u52a8\u56de\u590d:", "support!pt \u81ea\u52a8\u56de\u590d:", "aspiegel support issue submit", "12:30", "12 30", "12\n30", "\u0661\u0662x\u0663\u0664",
+             "\u00e9", "a", "-", "x1", "\u00a0", "\u2003", "\x1c", "\n", "\t", "  ", " "]
+    texts = [(i, "".join(rng.choice(words) + rng.choice(["", " ", "  ", "\n"]) for _ in range(rng.randrange(12)))) for i in range(400)]
+    df = spark.createDataFrame([*texts, (400, ""), (401, " "), (402, "a"), (403, "\n")], "id int, text string")
+    plain = lambda p: ("(?dU)" if re.search(r"\\[sdwb]", p, re.IGNORECASE) else "(?d)" if "." in p else "") + p
+    checks = {f"p{i}": (F.regexp_replace("text", java_pattern(p), " "), F.regexp_replace("text", plain(p), " ")) for i, p in enumerate(noise.FASTER)}
+    checks["squeeze"] = squeeze(F.col("text")), F.trim(F.regexp_replace("text", r"(?U)[\s\x{1c}-\x{1f}]+", " "))
+    wrong = df.select("id", "text", *[(~a.eqNullSafe(b)).alias(n) for n, (a, b) in checks.items()])
+    assert all(java_pattern(p) != plain(p) for p in noise.FASTER)
+    assert [r for r in wrong.collect() if any(r[n] for n in checks)] == []
+
+
+def test_needed_text_is_in_every_match():
+    from ticketloom.functions.noise import needed
+
+    assert needed("thank you for reaching us (back)?") == "thank you for reaching us " and needed("sent from my huawei (cell )?phone") == "sent from my huawei "
+    assert needed("dear?") == needed("dear|good") == needed("(dear)+") == needed("(?i)dear") == needed("a[b]cdef") == ""
+    assert needed("abcdef*") == "abcde" and needed("abc.defg") == "defg" and needed("dear ((customer)|(user))") == "dear "
+    assert sum(bool(needed(p)) for group in NOISE_PATTERNS.values() for p in group) > 20
+
+
+def test_translation_takes_slices_of_a_batch():
+    seen = []
+    batch = pa.RecordBatch.from_arrays([pa.array([f"t{i}" for i in range(2000)]), pa.array(["fr", None] * 1000)], names=["text", "lang"])
+    parts = translate.translated([batch], lambda texts, langs: seen.extend(texts) or [f"{g}:{t}" for t, g in zip(texts, langs)], 10)
+    first = next(parts)
+    assert len(seen) == first.num_rows == translate.SLICE_ROWS
+    whole = pa.Table.from_batches([first, *parts])
+    assert whole.column("translated").to_pylist()[:2] == ["fr:t0", "None:t1"] and whole.num_rows == 2000
