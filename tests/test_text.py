@@ -157,3 +157,13 @@ def test_translation_takes_slices_of_a_batch():
     assert len(seen) == first.num_rows == translate.SLICE_ROWS
     whole = pa.Table.from_batches([first, *parts])
     assert whole.column("translated").to_pylist()[:2] == ["fr:t0", "None:t1"] and whole.num_rows == 2000
+
+
+def test_word_vectors_are_trained_in_several_tasks(spark, monkeypatch):
+    from ticketloom.operators import vectorize
+
+    asked = []
+    monkeypatch.setattr(vectorize, "WORDS_CHARS", 1000, raising=False)
+    monkeypatch.setattr(vectorize, "Word2Vec", lambda _make=vectorize.Word2Vec, **k: asked.append(k.get("numPartitions", 1)) or _make(**k))
+    df = spark.createDataFrame([(i, "some words that come again") for i in range(100)], "id int, text string")
+    assert vectorize.WordEmbedding.fit(df, "text").transform(df).count() == 100 and asked == [3]
