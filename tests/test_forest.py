@@ -6,6 +6,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.linalg import Vectors
 
 from ticketloom.operators import forest, models
+from ticketloom.plans import catalog
 
 
 def table(n=300, wide=40, seed=3):
@@ -80,3 +81,13 @@ def test_larger_tables_are_left_to_spark(spark):
     assert isinstance(forest.Forest(forest.ForestRule(3), most_entries=10).fit(df), RandomForestClassificationModel)
     model = forest.Forest(forest.ForestRule(3)).fit(df)
     assert [r["prediction"] for r in model.transform(df).orderBy("id").collect()] == [float(i % 2) for i in range(40)]
+
+
+def test_default_models_are_fitted_side_by_side(spark, monkeypatch):
+    """The queries on the default models hand their four fits out together."""
+    seen = {}
+    monkeypatch.setattr(models.ModelBench, "fit_many", lambda self, train, names=None, validation=None, parallelism=1: seen.update(names=names, at_once=parallelism))
+    monkeypatch.setattr(catalog, "settle_table", lambda df, name: df)
+    monkeypatch.setattr(catalog, "vec3", lambda s, d: s.createDataFrame([(i, i % 3, [float(i)]) for i in range(30)], "id long, label int, features array<double>"))
+    catalog._several(spark, "")
+    assert seen == {"names": None, "at_once": 4}
