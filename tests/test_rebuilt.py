@@ -351,3 +351,15 @@ def test_narrow_logit_takes_few_rounds_in_many_blocks(spark, k):
     wide = logistic.DualLogistic(block_entries=300, tol=1e-2, max_iter=40, newton_width=0)
     wide.fit(df)
     assert wide.gap <= 1e-2
+
+
+def test_wide_logit_reads_several_blocks_without_rewriting_them(spark, monkeypatch):
+    _, _, df = planted(spark, 3, n=400)
+    want = LogisticRegression(family="multinomial", maxIter=500, tol=1e-10, regParam=1.0 / 400, standardization=False).fit(df)
+    written, kept = [], logistic.settle_table
+    monkeypatch.setattr(logistic, "settle_table", lambda df, name, **options: written.append(name) or kept(df, name, **options))
+    solver = logistic.DualLogistic(block_entries=1000, newton_width=0, tol=1e-5)
+    model = solver.fit(df.repartition(3))
+    assert solver.blocks > 1 and solver.gap <= 1e-5 and len(written) == 1
+    a, b = (np.vstack([r["probability"].toArray() for r in m.transform(df).orderBy("id").collect()]) for m in (want, model))
+    assert np.abs(a - b).max() < 2e-2
