@@ -91,3 +91,12 @@ def test_default_models_are_fitted_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(catalog, "vec3", lambda s, d: s.createDataFrame([(i, i % 3, [float(i)]) for i in range(30)], "id long, label int, features array<double>"))
     catalog._several(spark, "")
     assert seen == {"names": None, "at_once": 4}
+
+
+def test_nodes_whose_drawn_features_hold_nothing_stay_leaves():
+    """Texts of few words seldom hold a word that is drawn."""
+    data = forest.Binned(np.array([0, 1, 1, 1]), np.array([7], np.int32), np.array([1], np.uint8), np.array([0, 1, 1], np.int32))
+    gain, *_, left = forest._split(data, np.arange(3), np.zeros(3, int), np.ones(3), np.array([[1.0, 2.0]]), np.array([[1, 2]]), np.zeros(300, int))
+    assert gain[0] <= forest.LEAST_GAIN and left.all()
+    for tree in range(20):
+        forest.grow_tree(data, [np.zeros(1)] * 300, np.zeros(300, int), 2, forest.ForestRule(), tree)
