@@ -12,6 +12,7 @@ import pandas as pd
 import pytest
 
 from ticketloom.llm import ann, bm25, bpe, langid, language_model, mixing, registry, simhash, template, toxicity, url_rules
+from ticketloom import session
 from ticketloom.llm import common
 from ticketloom.llm.components import connected
 
@@ -235,6 +236,7 @@ def test_word_net_is_normalised_and_follows_the_vocabulary(spark, monkeypatch):
     counts = language_model.settle_table(language_model.count_words(docs), "t")
     vocab = language_model.vocabulary(counts)
     net = language_model.fit_words(docs, counts, vocab)
+    assert not any("lm-ids" in x for x in session._SCRATCH)  # what the rounds read is gone when they are over
     assert len(net.rows.words) == 400  # each frequent word has a row of its own, not only the first 94
     places, known = net.rows.places(), {bytes(r["token"]): r["c"] for r in counts.collect()}
     of = np.array([places[w] for w in known])
@@ -249,6 +251,49 @@ def test_word_net_is_normalised_and_follows_the_vocabulary(spark, monkeypatch):
     assert follows.mean() > math.log10(0.02)
 
 
+def test_word_net_sums_once_for_a_context(monkeypatch):
+    """Equal contexts share one sum over the groups; the results are those of a plain softmax over all rows."""
+    net, rng, met = language_model.word_net, np.random.default_rng(5), []
+    rows = net.model_rows({b"": 9, **{b"w%d" % i: 400 - i for i in range(300)}}, {i: 3 for i in range(net.ENDINGS)})
+    model = net.start(rows)
+    model.table[:, net.WIDTH:2 * net.WIDTH] = rng.normal(0, 0.5, (len(model.table), net.WIDTH))
+    model.dense["group"][:] = rng.normal(0, 0.5, model.dense["group"].shape)
+    plain = net._log_sums
+    monkeypatch.setattr(net, "_log_sums", lambda q, *x: met.append(len(q)) or plain(q, *x))
+    c = rng.permutation(np.arange(1, len(rows.counts)))
+    a, b = np.where(c % 2, 5, 200), np.where(c % 3, 7, 1)
+    got = model.log_p(a, b, c)
+    assert met[0] == 4  # contexts, not positions
+    group = rows.group(np.arange(len(rows.counts)))
+    held = np.bincount(group, rows.counts, minlength=rows.groups) > 0
+    for i in range(0, len(c), 29):
+        q = model.table[a[i], :net.WIDTH] @ model.dense["far"] + model.table[b[i], :net.WIDTH] @ model.dense["near"]
+        z = np.exp(model.dense["group"] @ q + model.dense["bias"]) * held
+        want = np.log10(z[group[c[i]]] / z.sum())
+        if c[i] >= net.ALONE:
+            mine = np.flatnonzero(group == group[c[i]])
+            z = np.exp(model.table[mine, net.WIDTH:2 * net.WIDTH] @ q + model.table[mine, 2 * net.WIDTH])
+            want += np.log10(z[mine == c[i]][0] / z.sum())
+        assert got[i] == pytest.approx(want, abs=1e-4)
+    assert len(model.log_p(a[:0], b[:0], c[:0])) == 0
+
+
+def test_language_model_scores_parts_like_whole_texts(spark, odd, monkeypatch):
+    """Wherever waiting words are scored, a text's sums and the context of its next word stay the same."""
+    docs = odd.where("doc_id is null or doc_id <> 6").select("doc_id", "text").unionByName(spark.createDataFrame([(900 + i, " ".join(f"v{j % (7 + i)}" for j in range(300))) for i in range(3)], "doc_id long, text string"))
+    counts = language_model.settle_table(language_model.count_words(docs), "t")
+    vocab = language_model.vocabulary(counts, 3)
+    net, out = language_model.fit_words(docs, counts, vocab), []
+    for flush, size, part in ((400_000, 1024, 4 << 20), (1, 2, 8)):
+        monkeypatch.setattr(language_model, "FLUSH_WORDS", flush)
+        monkeypatch.setattr(language_model, "SLICE_TEXTS", size)
+        monkeypatch.setattr(language_model, "word_parts", lambda text, part=part: common.word_parts(text, part))
+        got = language_model.score_texts(docs, counts, vocab, net).collect()
+        out.append(sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6), r["score"]) for r in got))
+    assert [r[:4] for r in out[0]] == [r[:4] for r in out[1]] and len(out[0]) == docs.count()
+    assert [r[4] for r in out[0]] == pytest.approx([r[4] for r in out[1]], rel=1e-5)
+
+
 def test_word_net_trains_all_positions(spark, monkeypatch):
     """Every position is dealt into a round of the training."""
     net, seen = language_model.word_net, []

@@ -13,7 +13,7 @@ task, those of rare words by a join.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +30,7 @@ from ticketloom.session import settle_table
 HEAD_WORDS = 200_000
 END = b""  # no word is empty
 FLUSH_WORDS = 400_000
+SLICE_TEXTS = 1024  # scored together, so that contexts and rare words they share are met once
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -104,6 +105,68 @@ def fit_words(train_docs: DataFrame, counts: DataFrame, words: Vocabulary, text:
     return net
 
 
+class _Codes(word_net.Places):
+    """A number for each word: its row in the model, or one of its own beyond them where only its count is held.
+
+    ``row`` and ``base`` give the model's row and the base score of each number; ``base`` is NaN where the count is not held.
+    """
+
+    def __init__(self, words: Vocabulary, model: word_net.Net):
+        super().__init__(model.rows.places())
+        more = [w for w in words.head if w not in self]
+        rows = len(model.rows.counts)
+        self.row = np.concatenate([np.arange(rows), np.array([self[w] for w in more], np.int64)])
+        self.update(zip(more, range(rows, rows + len(more))))
+        self.base = np.full(len(self.row), np.nan)
+        for w, c in words.head.items():
+            self.base[self[w]] = words.base(c)
+
+
+class _Slice:
+    """Some texts and what is summed up of them; words wait until enough of them are scored together."""
+
+    def __init__(self, texts: int, codes: _Codes, model: word_net.Net, known: bool):
+        self.codes, self.model, self.known = codes, model, known
+        self.n, self.met, self.base, self.gain = np.zeros(texts, np.int64), np.zeros(texts, np.int64), np.zeros(texts), np.zeros(texts)
+        self.words, self.begin, self.place, self.last = [], [], [], (0, 0)
+
+    def add(self, place: int, words: list[bytes]) -> None:
+        """The next words of a text; the parts of a text come one after the other."""
+        if not words:
+            return
+        if not self.place or self.place[-1] != place:
+            self.begin.append(len(self.words))
+            self.place.append(place)
+        self.words += words
+
+    def score(self, more: bool) -> pa.Table | None:
+        """Sums up the waiting words; returns those without a count here, once a text. ``more``: the last text is not at its end."""
+        if not self.words:
+            return None
+        code = np.fromiter(map(self.codes.__getitem__, self.words), np.int64, len(self.words))
+        begin, place = np.array(self.begin), np.array(self.place)
+        c = self.codes.row[code]
+        b = np.append(0, c[:-1])
+        b[begin] = 0
+        b[0] = self.last[1]
+        a = np.append(0, b[:-1])
+        a[begin] = 0
+        a[0] = self.last[0]
+        gain, base = self.model.gains(a, b, c) if self.known else np.zeros(len(c)), self.codes.base[code]
+        rare = np.isnan(base)
+        self.n[place] += np.diff(np.append(begin, len(c)))
+        for held, x in ((self.met, ~rare), (self.base, np.where(rare, 0.0, base)), (self.gain, np.where(rare, 0.0, gain))):
+            held[place] += np.add.reduceat(x.astype(held.dtype), begin)
+        at = np.flatnonzero(rare)
+        owner = place[np.searchsorted(begin, at, side="right") - 1]
+        out = pa.table({"place": owner, "token": pa.array([self.words[i] for i in at.tolist()], pa.binary()), "gain": gain[at]})
+        self.last = (int(b[-1]), int(c[-1])) if more else (0, 0)
+        self.words, self.begin, self.place = [], [], self.place[-1:] if more else []
+        if more:
+            self.begin = [0]
+        return out.group_by(["place", "token"], use_threads=False).aggregate([("gain", "count"), ("gain", "sum")]) if len(at) else None
+
+
 def score_texts(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: word_net.Net, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every whole text, one row per row of ``docs``.
 
@@ -120,52 +183,30 @@ def score_texts(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: wo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, model = shared.value
-        base = {w: words.base(c) for w, c in words.head.items()}
-        of, gain_of = model.rows.places().__getitem__, model.gains
-
-        def sums(held: list, own: list) -> None:
-            """Adds what is held to its texts; the positions of all texts are scored together."""
-            if not held or not words.tokens:
-                gain = np.zeros(sum(len(part) for _, part, _ in held))
-            else:
-                gain = gain_of(*(np.concatenate([ids[i:len(ids) - 2 + i] for _, _, ids in held]) for i in range(3)))
-            at = 0
-            for place, part, _ in held:
-                row, gained = own[place], gain[at:at + len(part)]
-                at += len(part)
-                found = list(map(base.get, part))
-                row[1] += len(part)
-                row[2] += len(part)
-                for i in [i for i, x in enumerate(found) if x is None]:
-                    rare = row[5][part[i]]
-                    rare[0] += 1
-                    rare[1] += gained[i]
-                    gained[i] = found[i] = 0.0
-                    row[2] -= 1
-                row[3].append(math.fsum(found))
-                row[4] += float(gained.sum())
-            held.clear()
+        codes = _Codes(words, model)
+
+        def rows(batch: pa.RecordBatch, place, token, n, known, base, gain) -> pa.RecordBatch:
+            place = pa.array(place, pa.int64())
+            return pa.RecordBatch.from_arrays([batch.column(0).take(place), batch.column(1).take(place), token, n, known, base, gain], names=names)
+
+        def rare(batch: pa.RecordBatch, part: _Slice, more: bool) -> Iterator[pa.RecordBatch]:
+            found = part.score(more)
+            for x in found.to_batches() if found is not None else []:
+                none = pa.array(np.zeros(x.num_rows))
+                yield rows(batch, x.column("place"), x.column("token"), x.column("gain_count").cast(pa.int64()), none.cast(pa.int64()), none, x.column("gain_sum"))
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
-                own: list = [[None, 0, 0, [], 0.0, defaultdict(lambda: [0, 0.0])] for _ in range(batch.num_rows)]
-                held, waiting = [], 0
+            for at in range(0, whole.num_rows, SLICE_TEXTS):
+                batch = whole.slice(at, SLICE_TEXTS)
+                own = _Slice(batch.num_rows, codes, model, words.tokens > 0)
                 for place, x in enumerate(batch.column(2)):
-                    last = [0, 0]
-                    for part in [*word_parts(x.as_py()), [END]]:
-                        ids = np.array([*last, *map(of, part)], np.int64)
-                        last, waiting = ids[-2:].tolist(), waiting + len(part)
-                        held.append((place, part, ids))
-                        if waiting > FLUSH_WORDS:
-                            sums(held, own)
-                            waiting = 0
-                sums(held, own)
-                rows = [[(None, tokens, known, math.fsum(sure), gained), *((w, n, 0, 0.0, g) for w, (n, g) in rare.items())] for _, tokens, known, sure, gained, rare in own]
-                index = pa.array(np.repeat(np.arange(len(rows)), [len(x) for x in rows]), pa.int64())
-                flat = list(zip(*[r for x in rows for r in x]))
-                kinds = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), *(pa.array(x, t) for x, t in zip(flat, kinds))], names=names)
+                    for part in word_parts(x.as_py()):
+                        own.add(place, part)
+                        if len(own.words) > FLUSH_WORDS:
+                            yield from rare(batch, own, True)
+                    own.add(place, [END])
+                yield from rare(batch, own, False)
+                yield rows(batch, np.arange(batch.num_rows), pa.nulls(batch.num_rows, pa.binary()), *map(pa.array, (own.n, own.met, own.base, own.gain)))
 
     found = settle_table(narrow.mapInArrow(run, f"doc_id {kind}, text_hash long, token binary, n long, known long, base double, gain double"), "lm-found")
     sums = [F.sum(c).alias(c) for c in ("tokens", "known", "base", "gain")]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import word_parts
-from ticketloom.session import settle_table
+from ticketloom.session import drop_scratch, scratch_path
 
 LEAST = 32
 ENDINGS = 32
@@ -40,6 +40,8 @@ RATE = 0.1
 LEAST_POSITIONS = 2_000_000
 BUFFER = 1 << 18
 BLOCK_ROWS = 8_192
+#: Positions scored, and products held, at a time.
+SCORED, CACHED = 4_096, 1 << 16
 END = b""  # no word is empty
 ALONE = 2 + ENDINGS + SINGLES  # rows below are groups of their own: before the text, its end, endings, frequent words
 
@@ -94,40 +96,73 @@ class Net:
         return self.log_p(a, b, c) - self.less[c]
 
     def log_p(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """log10 P(row c | rows a and b before it), normalised over all rows; an ending's row stands for all its words."""
+        """log10 P(row c | rows a and b before it), normalised over all rows; an ending's row stands for all its words.
+
+        The sum over the groups is formed once for each pair of rows that occurs before some position.
+        """
         out = np.empty(len(c))
+        if not len(c):
+            return out
         open_ = np.bincount(self.rows.group(np.arange(len(self.rows.counts))), self.rows.counts, minlength=self.rows.groups) > 0
-        bias, targets = np.where(open_, self.dense["bias"], -np.inf).astype(np.float32), np.ascontiguousarray(self.dense["group"].T)
-        group = self.rows.group(c)
-        for at in range(0, len(c), 4096):
-            s = slice(at, at + 4096)
-            q = self.table[a[s], :WIDTH] @ self.dense["far"] + self.table[b[s], :WIDTH] @ self.dense["near"]
-            out[s] = _log_softmax(q @ targets + bias, group[s])
+        bias = np.where(open_, self.dense["bias"], -np.inf).astype(np.float32)
+        pairs, of = np.unique(a * len(self.table) + b, return_inverse=True)
+        before = [self.table[:, :WIDTH].take(x, axis=0) for x in np.divmod(pairs, len(self.table))]
+        q = before[0] @ self.dense["far"] + before[1] @ self.dense["near"]
+        total, group = _log_sums(q, self.dense["group"], bias), self.rows.group(c)
+        for at in range(0, len(c), SCORED):
+            s = slice(at, at + SCORED)
+            own = np.einsum("ij,ij->i", q.take(of[s], axis=0), self.dense["group"].take(group[s], axis=0))
+            out[s] = own.astype(np.float64) + bias[group[s]] - total[of[s]]
         inner = np.flatnonzero(c >= ALONE)
-        inner = inner[np.argsort(group[inner], kind="stable")]
+        inner = inner[np.argsort(_narrow(group[inner], self.rows.groups), kind="stable")]
         if len(inner):
-            q = self.table[a[inner], :WIDTH] @ self.dense["far"] + self.table[b[inner], :WIDTH] @ self.dense["near"]
             edges = np.flatnonzero(np.concatenate([[True], np.diff(group[inner]) != 0, [True]]))
             for i, j in zip(edges[:-1], edges[1:]):
                 low = ALONE + (int(group[inner[i]]) - ALONE) * self.rows.size
-                own = self.table[low:low + self.rows.size]
-                for k in range(i, j, 4096):
-                    s = slice(k, min(j, k + 4096))
-                    out[inner[s]] += _log_softmax(q[s] @ own[:, WIDTH:2 * WIDTH].T + own[:, 2 * WIDTH], c[inner[s]] - low)
+                held = self.table[low:low + self.rows.size]
+                targets, weights = np.ascontiguousarray(held[:, WIDTH:2 * WIDTH]), held[:, 2 * WIDTH]
+                mine, place = q.take(of[inner[i:j]], axis=0), c[inner[i:j]] - low
+                own = np.einsum("ij,ij->i", mine, targets.take(place, axis=0)).astype(np.float64) + weights[place]
+                out[inner[i:j]] += own - _log_sums(mine, targets, weights)
         return out / math.log(10)
 
 
-def _log_softmax(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    own = z[np.arange(len(z)), at].astype(np.float64)
-    top = float(z.max()) if z.size else 0.0
-    if top > 60:  # else 32-bit floats hold every exponential
-        most = z.max(axis=1)
-        return own - most - np.log(np.exp(z - most[:, None]).sum(axis=1, dtype=np.float64))
-    return own - np.log(np.exp(z).sum(axis=1))
+def _narrow(at: np.ndarray, most: int) -> np.ndarray:
+    """Numbers below ``most`` in the fewest bytes, where they are sorted fastest."""
+    return at.astype(np.min_scalar_type(max(most, 1)))
+
+
+def _log_sums(q: np.ndarray, targets: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """log of the sum over all targets of exp(q . target + bias), a few rows at a time, so that a part stays in the cache."""
+    out, columns = np.empty(len(q)), np.ascontiguousarray(targets.T)
+    part = max(16, CACHED // max(1, len(targets)))
+    room = np.empty((min(part, len(q)), len(targets)), np.float32)
+    far = float(np.sqrt((targets * targets).sum(axis=1).max(initial=0.0)))
+    for at in range(0, len(q), part):
+        mine = q[at:at + part]
+        z = np.matmul(mine, columns, out=room[:len(mine)])
+        z += bias
+        if far * float(np.sqrt((mine * mine).sum(axis=1).max())) + float(bias.max()) > 60:  # else 32-bit floats hold every exponential
+            most = z.max(axis=1)
+            out[at:at + part] = most + np.log(np.exp(z - most[:, None]).sum(axis=1, dtype=np.float64))
+        else:
+            out[at:at + part] = np.log(np.exp(z, out=z).sum(axis=1))
+    return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In 32-bit floats, in place."""
+    np.clip(x, -30, 30, out=x)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _summed(of: np.ndarray, grad: np.ndarray, rows: int) -> np.ndarray:
+    """``rows`` sums of the rows of ``grad``, row ``i`` in sum ``of[i]``."""
+    width = grad.shape[1]
+    at = (of[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(at, grad.ravel(), minlength=rows * width).reshape(rows, width).astype(np.float32)
 
 
 def start(rows: Rows, seed: int = 11) -> Net:
@@ -143,12 +178,18 @@ def start(rows: Rows, seed: int = 11) -> Net:
 
 
 class Trainer:
-    """Steps of noise-contrastive estimation from a model's parameters; ``met`` counts how often a row was trained."""
+    """Steps of noise-contrastive estimation from a model's parameters; ``met`` counts how often a row was trained.
+
+    Contexts, targets with their bias, and sums of squares lie in tables of their own, whose rows are read and written whole.
+    """
 
     def __init__(self, net: Net, seed: int):
-        self.rows, self.table = net.rows, net.table.copy()
+        self.rows = net.rows
+        self.context, self.target = net.table[:, :WIDTH].copy(), net.table[:, WIDTH:2 * WIDTH + 1].copy()
+        self.sums = [net.table[:, 2 * WIDTH + i].copy() for i in (1, 2, 3)]
         self.dense, self.squares = ({n: x.copy() for n, x in own.items()} for own in (net.dense, net.squares))
         self.rng, self.met, self.positions = np.random.default_rng(seed), np.zeros(len(net.table), np.float32), 0
+        self.spot = np.zeros(len(net.table), np.int64)
         share = np.bincount(self.rows.group(np.arange(len(net.table))), self.rows.counts, minlength=self.rows.groups)
         self.upto = np.cumsum(share) / share.sum()
         self.log_noise = np.log(NOISE * np.maximum(share / share.sum(), 1e-12)).astype(np.float32)
@@ -159,55 +200,57 @@ class Trainer:
         total = np.bincount(of, counts) if len(counts) else np.zeros(0)
         self.log_inner = np.log(NEAR_NOISE * np.maximum(counts, 0.5) / np.maximum(total[of], 0.5)).astype(np.float32)
 
-    def _add(self, at: np.ndarray, grad: np.ndarray, columns: slice, square: int) -> None:
+    def reached(self, low: int, high: int) -> np.ndarray:
+        """Some rows of the model's table as they stand now."""
+        return np.column_stack([self.context[low:high], self.target[low:high], *(x[low:high] for x in self.sums)])
+
+    def _add(self, at: np.ndarray, grad: np.ndarray, table: np.ndarray, square: np.ndarray) -> None:
         """One sparse step: gradients of equal rows are added up, and scaled by the row's squares so far."""
-        order = np.argsort(at, kind="stable")
-        at = at[order]
-        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        grad, at = np.add.reduceat(grad[order], first, axis=0), at[first]
-        self.table[at, square] += (grad * grad).mean(axis=1)
-        self.table[at, columns] -= RATE * grad / np.sqrt(self.table[at, square] + 1e-6)[:, None]
+        self.spot[at] = np.arange(len(at))
+        lead = self.spot[at]  # one of the places that hold the same row
+        first = lead == np.arange(len(at))
+        at, grad = at[first], _summed((np.cumsum(first) - 1)[lead], grad, int(first.sum()))
+        total = square[at] + np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
+        square[at] = total
+        grad *= (RATE / np.sqrt(total + 1e-6))[:, None]
+        table[at] = table.take(at, axis=0) - grad
 
     def step(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> None:
-        w, table, dense = WIDTH, self.table, self.dense
-        group = self.rows.group(c)
-        ra, rb = table[a, :w], table[b, :w]
+        w, dense, group = WIDTH, self.dense, self.rows.group(c)
+        at = np.concatenate([a, b])
+        before = self.context.take(at, axis=0)
+        ra, rb = before[:len(a)], before[len(a):]
         q = ra @ dense["far"] + rb @ dense["near"]
         noise = np.minimum(np.searchsorted(self.upto, self.rng.random(NOISE), side="right"), len(self.upto) - 1)
-        tc, tn = dense["group"][group], dense["group"][noise]
-        up = (_sigmoid(np.einsum("ij,ij->i", q, tc) + dense["bias"][group] - self.log_noise[group]) - 1).astype(np.float32)
-        down = _sigmoid(q @ tn.T + dense["bias"][noise] - self.log_noise[noise]).astype(np.float32)
-        dq = up[:, None] * tc + down @ tn
+        tc, tn = dense["group"].take(group, axis=0), dense["group"].take(noise, axis=0)
+        up = _sigmoid(np.einsum("ij,ij->i", q, tc) + (dense["bias"] - self.log_noise)[group]) - np.float32(1)
+        down = _sigmoid(q @ tn.T + (dense["bias"] - self.log_noise)[noise])
+        dq = up[:, None] * tc
+        dq += down @ tn
         inner = np.flatnonzero(c >= ALONE)
         if len(inner):
-            own, qi = c[inner], q[inner]
+            own, qi = c[inner], np.ones((len(inner), w + 1), np.float32)
+            qi[:, :w] = q.take(inner, axis=0)
             low = (group[inner] - ALONE) * self.rows.size
-            ends = self.inner[low], self.inner[np.minimum(low + self.rows.size, len(self.inner) - 1)]
+            high = np.minimum(low + self.rows.size, len(self.inner) - 1)
+            ends = self.inner[low], self.inner[high]
             draw = ends[0][:, None] + self.rng.random((len(own), NEAR_NOISE)) * (ends[1] - ends[0])[:, None]
-            drawn = np.clip(np.searchsorted(self.inner, draw, side="right") - 1, low[:, None], np.minimum(low + self.rows.size, len(self.inner) - 1)[:, None] - 1)
-            at = np.concatenate([own[:, None], drawn + ALONE], axis=1)
-            t = table[at, w:2 * w + 1]
-            z = np.matmul(t[:, :, :w], qi[:, :, None])[:, :, 0] + t[:, :, w] - self.log_inner[at - ALONE]
-            g = _sigmoid(z).astype(np.float32)
+            drawn = np.clip(np.searchsorted(self.inner, draw, side="right") - 1, low[:, None], high[:, None] - 1)
+            rows = np.concatenate([own[:, None], drawn + ALONE], axis=1)
+            t = self.target.take(rows.ravel(), axis=0).reshape(*rows.shape, w + 1)
+            g = _sigmoid(np.einsum("ijk,ik->ij", t, qi) - self.log_inner[rows - ALONE])
             g[:, 0] -= 1
-            dq[inner] += np.matmul(g[:, None, :], t[:, :, :w])[:, 0]
-            both = np.concatenate([g[:, :, None] * qi[:, None, :], g[:, :, None]], axis=2).reshape(-1, w + 1)
-            self._add(at.ravel(), both, slice(w, 2 * w + 1), 2 * w + 1)
-        grad = {name: np.zeros_like(dense[name]) for name in ("group", "bias")}
-        order = np.argsort(group, kind="stable")
-        sorted_ = group[order]
-        first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        grad["group"][sorted_[first]] = np.add.reduceat((up[:, None] * q)[order], first, axis=0)
-        grad["bias"] += np.bincount(group, up, minlength=len(grad["bias"])).astype(np.float32)
+            dq[inner] += np.einsum("ij,ijk->ik", g, t)[:, :w]
+            self._add(rows.ravel(), (g[:, :, None] * qi[:, None, :]).reshape(-1, w + 1), self.target, self.sums[0])
+        grad = {"group": _summed(group, up[:, None] * q, len(dense["group"])), "bias": np.bincount(group, up, minlength=len(dense["bias"])).astype(np.float32)}
         np.add.at(grad["group"], noise, down.T @ q)
         np.add.at(grad["bias"], noise, down.sum(axis=0))
         grad["far"], grad["near"] = ra.T @ dq, rb.T @ dq
-        far, near = dq @ dense["far"].T, dq @ dense["near"].T
+        back = np.concatenate([dq @ dense["far"].T, dq @ dense["near"].T])
         for name, x in grad.items():
             self.squares[name] += x * x
             dense[name] -= RATE * x / np.sqrt(self.squares[name] + 1e-6)
-        at = np.concatenate([a, b])
-        self._add(at, np.concatenate([far, near]), slice(0, w), 2 * w + 2)
+        self._add(at, back, self.context, self.sums[1])
         self.positions += len(c)
 
     def train(self, texts: list[np.ndarray], passes: int) -> None:
@@ -246,7 +289,9 @@ def fit(docs: DataFrame, rows: Rows, text: str = "text") -> Net:
     spark, net, total = docs.sparkSession, start(rows), int(rows.counts.sum())
     if not total:
         return net
-    ids = settle_table(encode(docs, rows, text), "lm-ids")
+    path = scratch_path(spark, "lm-ids")
+    encode(docs, rows, text).write.parquet(path)
+    ids = spark.read.schema("turn int, ids binary").parquet(path)
     passes, slots = max(1, math.ceil(LEAST_POSITIONS / total)), spark.sparkContext.defaultParallelism
     names = sorted(net.dense)
     for turn in range(ROUNDS):
@@ -266,9 +311,9 @@ def fit(docs: DataFrame, rows: Rows, text: str = "text") -> Net:
                 own.train(held, passes)
             if own is None:
                 return
-            for low in range(0, len(own.table), BLOCK_ROWS):
+            for low in range(0, len(own.met), BLOCK_ROWS):
                 met = own.met[low:low + BLOCK_ROWS, None]
-                out = np.concatenate([own.table[low:low + BLOCK_ROWS] * met, met], axis=1)
+                out = np.concatenate([own.reached(low, low + BLOCK_ROWS) * met, met], axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array([low // BLOCK_ROWS], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["block", "sums"])
             n = np.float32(own.positions)
             flat = np.concatenate([*(own.dense[x].ravel() for x in names), *(own.squares[x].ravel() for x in names)]) * n
@@ -295,4 +340,7 @@ def fit(docs: DataFrame, rows: Rows, text: str = "text") -> Net:
             met, low = sums[:, -1] > 0, r["block"] * BLOCK_ROWS
             net.table[low:low + len(sums)][met] = sums[met, :-1] / sums[met, -1:]
         shared.unpersist()
+        del reached, r
+        spark.sparkContext._jvm.System.gc()  # the files of a shuffle are deleted when the driver has collected it
+    drop_scratch(spark, path)
     return net
