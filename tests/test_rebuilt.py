@@ -320,6 +320,16 @@ def test_a_query_travels_to_parts_not_to_cells(spark):
         assert got == {(i, r + 1): want[i, r] for i in range(900) for r in range(5)}
 
 
+@pytest.mark.parametrize("n", [25_000, 50_000, 100_000, 500_000])
+def test_parts_do_not_follow_the_table(n):
+    """What a search moves is a table times its parts: from some 25,000 rows on there are six."""
+    cells = neighbours.Cells.around(neighbours.Rows(2, np.random.default_rng(1).normal(size=(100, 2))), 2)
+    cells.width, share = 64.0, n // 100
+    cells.summarise("", [{"_cell": i, "n": share, "near": 0.0, "far": 1.0, "top_near": 0.0, "top_far": 1.0, "small": [0.0]} for i in range(100)])
+    cells.deal(neighbours.BLOCK_ROWS)
+    assert 6 <= len(cells.groups[""]["spans"]) <= 7
+
+
 def test_silhouette_copies_a_table_some_times(spark):
     """The number of blocks, and so of copies of every row, does not follow the table."""
     df = spark.range(30_000).select("id", F.array(F.col("id").cast("double")).alias("features"), (F.col("id") % 3).alias("label"))
