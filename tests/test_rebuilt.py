@@ -330,6 +330,15 @@ def test_parts_do_not_follow_the_table(n):
     assert 6 <= len(cells.groups[""]["spans"]) <= 7
 
 
+def test_searches_move_single_precision_as_it_is(spark):
+    """Vectors of floats are widened in the task and not before they are moved; the neighbours stay those of doubles."""
+    x = np.random.default_rng(3).normal(size=(120, 4)).astype(np.float32)
+    wide = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, features array<double>")
+    narrow = wide.withColumn("features", F.col("features").cast("array<float>"))
+    assert neighbours._shaped(narrow, "id", "features", None).schema["_x"].dataType["values"].dataType.elementType.typeName() == "float"
+    assert sorted(neighbours.neighbours(narrow, narrow, 3).collect()) == sorted(neighbours.neighbours(wide, wide, 3).collect())
+
+
 def test_silhouette_copies_a_table_some_times(spark):
     """The number of blocks, and so of copies of every row, does not follow the table."""
     df = spark.range(30_000).select("id", F.array(F.col("id").cast("double")).alias("features"), (F.col("id") % 3).alias("label"))
