@@ -236,7 +236,6 @@ def test_word_net_is_normalised_and_follows_the_vocabulary(spark, monkeypatch):
     counts = language_model.settle_table(language_model.count_words(docs), "t")
     vocab = language_model.vocabulary(counts)
     net = language_model.fit_words(docs, counts, vocab)
-    assert not any("lm-ids" in x for x in session._SCRATCH)  # what the rounds read is gone when they are over
     assert len(net.rows.words) == 400  # each frequent word has a row of its own, not only the first 94
     places, known = net.rows.places(), {bytes(r["token"]): r["c"] for r in counts.collect()}
     of = np.array([places[w] for w in known])
@@ -294,6 +293,14 @@ def test_language_model_scores_parts_like_whole_texts(spark, odd, monkeypatch):
     assert [r[4] for r in out[0]] == pytest.approx([r[4] for r in out[1]], rel=1e-5)
 
 
+def test_word_net_rounds_without_positions(spark, monkeypatch):
+    """One text has no position for some rounds; what the rounds read is deleted at the end."""
+    net = language_model.word_net
+    monkeypatch.setattr(net, "LEAST_POSITIONS", 1)
+    model = net.fit(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), net.model_rows({b"": 1, b"a": 1, b"b": 1}, {}))
+    assert np.isfinite(model.table).all() and not any("lm-ids" in x for x in session._SCRATCH)
+
+
 def test_word_net_trains_all_positions(spark, monkeypatch):
     """Every position is dealt into a round of the training."""
     net, seen = language_model.word_net, []

@@ -340,7 +340,7 @@ def fit(docs: DataFrame, rows: Rows, text: str = "text") -> Net:
             met, low = sums[:, -1] > 0, r["block"] * BLOCK_ROWS
             net.table[low:low + len(sums)][met] = sums[met, :-1] / sums[met, -1:]
         shared.unpersist()
-        del reached, r
+        reached = r = None
         spark.sparkContext._jvm.System.gc()  # the files of a shuffle are deleted when the driver has collected it
     drop_scratch(spark, path)
     return net
